@@ -10,6 +10,14 @@ broadcast joins of small dimension tables and partial/final aggregations:
 * ``streaming`` - the stateless stages applied to a streaming source
 """
 
-from ledgerloom.session import get_spark, checkpoint_dir
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# The few Arrow functions (NFKC, fuzzy scoring) are defined in this package.
+# Pickle the package by value so executors need no installed copy of it.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
+from ledgerloom.session import checkpoint_dir, get_spark  # noqa: E402
 
 __all__ = ["get_spark", "checkpoint_dir"]

@@ -1,17 +1,18 @@
 """Exact "best of all choices" search without a cross join.
 
 The matching stages need, for every distinct query string, the best entry of
-a dimension (alias choices, reference vectors) under some score.  Instead of
-a nested-loop join we cut the dimension into ``K`` chunks of at most about
-``chunk_size`` entries, each chunk one row holding its entries as arrays,
-and equi-join the queries to the chunks on ``chunk_id`` (every query visits
-each of the ``K`` chunk rows once).  Each (query, chunk) row finds its local
-best with native higher-order functions or an Arrow function; a final
-``groupBy(query)`` keeps the global best.  With the built-in dimensions
-``K == 1``: the single chunk row is broadcast and no reduce shuffle happens.
-
-``K`` comes from a ``count()`` of the dimension: the size that is broadcast
-is checked, never assumed, and the work is still exact beyond it.
+a dimension (alias choices, reference vectors).  The dimension is counted
+first, so its size is checked, never assumed:
+
+* up to ``chunk_size`` entries (the built-in alias map has 96): the entries
+  are collected once (bounded by the count) and travel with the plan as
+  literal arrays or as a constant of the Arrow function.  No join at all.
+* more: the dimension is cut into ``K`` chunk rows of about ``chunk_size``
+  entries (arrays), every query row is repeated once per chunk id
+  (``explode(sequence(0, K-1))``) and equi-joined to the chunk rows on
+  ``chunk_id``; each (query, chunk) row finds its local best and a
+  ``groupBy(query)`` keeps the global best.  Exact, and the work per query
+  is bounded by the dimension size, not by the data.
 """
 
 from __future__ import annotations
@@ -26,33 +27,38 @@ DEFAULT_CHUNK = 512
 BROADCAST_CHUNK_ROWS = 64
 
 
-def chunk_count(dim: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> int:
-    n = dim.count()
-    return max(1, math.ceil(n / chunk_size))
-
-
-def chunk_table(dim: DataFrame, order_col: str, item_cols: list[str], k: int) -> DataFrame:
-    """One row per chunk: ``chunk_id`` plus one array per ``item_cols``
-    column, entries sorted by ``order_col`` (which is included first)."""
-    cols = [order_col] + [c for c in item_cols if c != order_col]
-    chunk_id = F.pmod(F.xxhash64(F.col(order_col)), F.lit(k)).cast("int") if k > 1 else F.lit(0)
-    grouped = dim.select(chunk_id.alias("chunk_id"), F.struct(*cols).alias("_item")).groupBy("chunk_id").agg(
-        F.array_sort(F.collect_list("_item")).alias("_items")
-    )
-    return grouped.select("chunk_id", *[F.col("_items." + c).alias(c + "s") for c in cols])
-
-
-def attach_chunks(queries: DataFrame, chunks: DataFrame, k: int) -> DataFrame:
-    """Each query row once per chunk, with the chunk's arrays."""
-    q = queries.withColumn("chunk_id", F.explode(F.sequence(F.lit(0), F.lit(k - 1))) if k > 1 else F.lit(0))
-    side = F.broadcast(chunks) if k <= BROADCAST_CHUNK_ROWS else chunks
-    return q.join(side, "chunk_id")
+class ChunkedDimension:
+    def __init__(self, dim: DataFrame, order_col: str, item_cols: list[str], chunk_size: int = DEFAULT_CHUNK):
+        self.order_col = order_col
+        self.cols = [order_col] + [c for c in item_cols if c != order_col]
+        self.n = dim.count()
+        self.k = max(1, math.ceil(self.n / chunk_size))
+        if self.k == 1:
+            # bounded by the count above: at most chunk_size rows
+            rows = dim.select(*self.cols).orderBy(order_col).collect()
+            self.local = {c: [r[c] for r in rows] for c in self.cols}
+            self.chunks = None
+        else:
+            self.local = None
+            chunk_id = F.pmod(F.xxhash64(F.col(order_col)), F.lit(self.k)).cast("int")
+            grouped = dim.select(chunk_id.alias("chunk_id"), F.struct(*self.cols).alias("_item")).groupBy(
+                "chunk_id"
+            ).agg(F.array_sort(F.collect_list("_item")).alias("_items"))
+            self.chunks = grouped.select("chunk_id", *[F.col("_items." + c).alias(c + "s") for c in self.cols])
 
+    def attach(self, queries: DataFrame) -> DataFrame:
+        """Query rows with the columns ``<col>s`` (arrays, sorted by the
+        order column), once per chunk."""
+        if self.k == 1:
+            lits = [F.array(*[F.lit(v) for v in self.local[c]]).alias(c + "s") for c in self.cols]
+            return queries.select("*", *lits)
+        q = queries.withColumn("chunk_id", F.explode(F.sequence(F.lit(0), F.lit(self.k - 1))))
+        side = F.broadcast(self.chunks) if self.k <= BROADCAST_CHUNK_ROWS else self.chunks
+        return q.join(side, "chunk_id")
 
-def reduce_best(df: DataFrame, key_cols: list[str], rank: Column, payload: list[str], k: int) -> DataFrame:
-    """Keep, per key, the row with the greatest ``rank`` (a struct ordered so
-    that greater is better).  No-op when there was a single chunk."""
-    if k == 1:
-        return df.select(*key_cols, *payload)
-    best = F.max_by(F.struct(*[F.col(c) for c in payload]), rank).alias("_best")
-    return df.groupBy(*key_cols).agg(best).select(*key_cols, *[F.col("_best." + c).alias(c) for c in payload])
+    def reduce_best(self, df: DataFrame, key_cols: list[str], rank: Column, payload: list[str]) -> DataFrame:
+        """Per key, the row with the greatest ``rank`` (no-op for one chunk)."""
+        if self.k == 1:
+            return df.select(*key_cols, *payload)
+        best = F.max_by(F.struct(*[F.col(c) for c in payload]), rank).alias("_best")
+        return df.groupBy(*key_cols).agg(best).select(*key_cols, *[F.col("_best." + c).alias(c) for c in payload])

@@ -23,7 +23,7 @@ Result tags: ``empty_merchant``, ``no_merchant_map``, ``fuzzy_matched``,
 
 from __future__ import annotations
 
-import math
+import unicodedata
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -33,13 +33,8 @@ from pyspark.sql import types as T
 from ledgerloom.functions import fuzzy
 from ledgerloom.functions.common import strip_ws
 from ledgerloom.functions.text import aggressive_clean_expr, clean_merchant_expr, is_ascii, nfkc
-from ledgerloom.operators.chunks import (
-    BROADCAST_CHUNK_ROWS,
-    DEFAULT_CHUNK,
-    attach_chunks,
-    chunk_table,
-    reduce_best,
-)
+from ledgerloom.operators.chunks import BROADCAST_CHUNK_ROWS, DEFAULT_CHUNK, ChunkedDimension
+from ledgerloom.session import checkpoint_dir
 from ledgerloom.sources import dims
 
 DEFAULT_THRESHOLD = 85
@@ -64,25 +59,45 @@ def clean_distinct(df: DataFrame, col: str, out: str = "cleaned") -> DataFrame:
     return d.select(F.col("_raw").alias(col), clean_merchant_expr(F.col("_norm")).alias(out))
 
 
+def cleaned_distinct(df: DataFrame, col: str, out: str = "cleaned") -> DataFrame:
+    """``clean_distinct`` materialised: every later stage reads this small
+    table instead of re-scanning (and re-cleaning) the source."""
+    return _checkpoint(clean_distinct(df, col, out))
+
+
 def prepare_choices(spark: SparkSession, aliases=None) -> DataFrame:
     """Alias dimension -> ``(choice_idx, alias_clean, canonical)``.
 
     ``aliases`` is a dict ``{canonical: [aliases]}`` (default: built-in map)
     or a DataFrame ``(choice_idx, canonical, alias)``.  Choices whose cleaned
-    form is empty are dropped.
+    form is empty are dropped.  A dict is a literal table built on the
+    driver, so its NFKC step is applied to the literals themselves; a
+    DataFrame goes through the Arrow function.
     """
     if aliases is None or isinstance(aliases, dict):
-        raw = dims.alias_map_df(spark, aliases)
-        raw = raw.select(
-            (F.col("canon_pos").cast("long") * 1_000_000 + F.col("alias_pos")).alias("choice_idx"), "canonical", "alias"
-        )
+        rows = [
+            (ci * 1_000_000 + ai, canon, unicodedata.normalize("NFKC", alias))
+            for ci, ai, canon, alias in dims.alias_rows(aliases)
+        ]
+        raw = spark.createDataFrame(rows, "choice_idx long, canonical string, _norm string")
     else:
         raw = aliases.select(F.col("choice_idx").cast("long"), "canonical", "alias")
-    raw = nfkc_normalize(raw, "alias", "_norm")
+        raw = nfkc_normalize(raw, "alias", "_norm")
     out = raw.select("choice_idx", clean_merchant_expr(F.col("_norm")).alias("alias_clean"), "canonical")
     return out.where(F.col("alias_clean") != "")
 
 
+_DEFAULT_INDEX: dict[int, "ChoiceIndex"] = {}
+
+
+def default_index(spark: SparkSession) -> "ChoiceIndex":
+    """The built-in alias map, prepared once per session (cached: 96 rows)."""
+    key = id(spark)
+    if key not in _DEFAULT_INDEX:
+        _DEFAULT_INDEX[key] = ChoiceIndex(prepare_choices(spark).cache())
+    return _DEFAULT_INDEX[key]
+
+
 def _tokens(c):
     return F.array_distinct(F.filter(F.split(c, " "), lambda t: t != ""))
 
@@ -91,39 +106,52 @@ def _tokens(c):
 _SCORE_TYPE = T.StructType(
     [
         T.StructField("best_idx", T.LongType()),
-        T.StructField("best_choice", T.StringType()),
         T.StructField("set_score", T.DoubleType()),
         T.StructField("score", T.IntegerType()),
     ]
 )
 
 
+def _score_rows(keys, idx_lists, choice_lists) -> pd.DataFrame:
+    rows = []
+    for key, ix, ch in zip(keys, idx_lists, choice_lists):
+        i, s = fuzzy.best_choice(key, ch)
+        rows.append((int(ix[i]), s, fuzzy.combined_score(key, ch[i], s)))
+    return pd.DataFrame(rows, columns=["best_idx", "set_score", "score"])
+
+
 @F.pandas_udf(_SCORE_TYPE)
 def _score_chunk(keys: pd.Series, idxs: pd.Series, choices: pd.Series) -> pd.DataFrame:
     """Per (string, chunk): first best choice by token-set score and the
     combined integer score for it.  Chunks arrive sorted by choice_idx."""
-    rows = []
-    for key, ix, ch in zip(keys, idxs, choices):
-        lst = list(ch)
-        i, s = fuzzy.best_choice(key, lst)
-        best = lst[i]
-        rows.append((int(ix[i]), best, s, fuzzy.combined_score(key, best, s)))
-    return pd.DataFrame(rows, columns=["best_idx", "best_choice", "set_score", "score"])
+    return _score_rows(keys, [list(x) for x in idxs], [list(x) for x in choices])
+
+
+def _local_scorer(idxs: list[int], choices: list[str]):
+    """Scoring function with the (size-checked) choice list as a constant."""
+
+    @F.pandas_udf(_SCORE_TYPE)
+    def score_local(keys: pd.Series) -> pd.DataFrame:
+        n = len(keys)
+        return _score_rows(keys, [idxs] * n, [choices] * n)
+
+    return score_local
 
 
 class ChoiceIndex:
-    """The alias choices, prepared once per job: token table for the subset
-    equi-join, chunk table for the scored search, exact map."""
+    """The alias choices, prepared once per job: exact map, token table for
+    the subset equi-join, chunked dimension for the scored search."""
 
     def __init__(self, choices: DataFrame, chunk_size: int = DEFAULT_CHUNK):
         self.choices = choices
-        self.n = choices.count()
-        self.k = max(1, math.ceil(self.n / chunk_size))
-        self.small = self.k <= BROADCAST_CHUNK_ROWS
-        self.chunks = chunk_table(choices, "choice_idx", ["alias_clean"], self.k)
+        self.dim = ChunkedDimension(choices, "choice_idx", ["alias_clean"], chunk_size)
+        self.n = self.dim.n
+        self.small = self.dim.k <= BROADCAST_CHUNK_ROWS
         self.exact = choices.groupBy("alias_clean").agg(F.max_by("canonical", "choice_idx").alias("canonical"))
         ct = choices.select("choice_idx", _tokens(F.col("alias_clean")).alias("_t"))
         self.tokens = ct.select("choice_idx", F.explode("_t").alias("tok"), F.size("_t").alias("nc"))
+        if self.dim.k == 1:
+            self._scorer = _local_scorer(self.dim.local["choice_idx"], self.dim.local["alias_clean"])
 
     def empty(self) -> bool:
         return self.n == 0
@@ -146,37 +174,58 @@ class ChoiceIndex:
         return hits.groupBy("key").agg(F.min("choice_idx").alias("best_idx"))
 
     def score(self, keys: DataFrame) -> DataFrame:
-        """``(key, best_idx, score)`` for every key: exact search over all
-        choices, token-subset hits via the equi-join, the rest scored."""
+        """``(key, best_idx, score)`` for every distinct key: exact search
+        over all choices; token-subset hits via the equi-join, the rest by
+        the Arrow scorer."""
         keys = keys.select("key").distinct()
         hits = self.subset_hits(keys)
         hit_rows = hits.select("key", "best_idx", F.lit(100).alias("score"))
         rest = keys.join(hits.select("key"), "key", "left_anti")
-        paired = attach_chunks(rest, self.chunks, self.k)
-        scored = paired.select("key", _score_chunk("key", "choice_idxs", "alias_cleans").alias("_s")).select(
-            "key", "_s.*"
-        )
-        best = reduce_best(
-            scored, ["key"], F.struct(F.col("set_score"), -F.col("best_idx")), ["best_idx", "score"], self.k
-        )
+        if self.dim.k == 1:
+            best = rest.select("key", self._scorer("key").alias("_s")).select("key", "_s.best_idx", "_s.score")
+        else:
+            paired = self.dim.attach(rest)
+            scored = paired.select("key", _score_chunk("key", "choice_idxs", "alias_cleans").alias("_s")).select(
+                "key", "_s.*"
+            )
+            best = self.dim.reduce_best(
+                scored, ["key"], F.struct(F.col("set_score"), -F.col("best_idx")), ["best_idx", "score"]
+            )
         return hit_rows.unionByName(best.select("key", "best_idx", "score"))
 
     def substring_first(self, keys: DataFrame) -> DataFrame:
         """``(key, best_idx)``: first choice (list order) that contains or is
         contained in the string; empty strings never match."""
-        paired = attach_chunks(keys.where(F.col("key") != ""), self.chunks, self.k)
-        first = F.element_at(
+        paired = self.dim.attach(keys.where(F.col("key") != ""))
+        first = F.try_element_at(
             F.filter(
                 F.arrays_zip(F.col("choice_idxs").alias("i"), F.col("alias_cleans").alias("c")),
                 lambda z: (F.instr(F.col("key"), z["c"]) > 0) | (F.instr(z["c"], F.col("key")) > 0),
             ),
-            1,
+            F.lit(1),
         )
         found = paired.select("key", first["i"].alias("best_idx")).where(F.col("best_idx").isNotNull())
-        return reduce_best(found, ["key"], -F.col("best_idx"), ["best_idx"], self.k)
+        return self.dim.reduce_best(found, ["key"], -F.col("best_idx"), ["best_idx"])
 
 
 # --------------------------------------------------------------------------- stages
+def _checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise a small intermediate that several stages read, cutting
+    its lineage (the shared ``spark.checkpoint.dir``; see ``session``)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _out(df: DataFrame, canonical, score, issue: str, stage: str) -> DataFrame:
+    return df.select(
+        "key",
+        F.lit(canonical).cast("string").alias("merchant_canonical") if canonical is None else canonical.alias("merchant_canonical"),
+        score.cast("int").alias("merchant_score"),
+        F.lit(issue).cast("string").alias("issue"),
+        F.lit(stage).alias("match_stage"),
+    )
+
+
 def resolve_keys(
     keys: DataFrame,
     index: ChoiceIndex,
@@ -186,110 +235,86 @@ def resolve_keys(
     vectors: tuple[DataFrame, DataFrame] | None = None,
     vector_cutoff: float = 0.72,
 ) -> DataFrame:
-    """Resolve distinct cleaned strings ``keys(key)``.  Returns one row per
-    key with ``RESOLVED_SCHEMA``."""
+    """Resolve distinct cleaned strings ``keys(key)`` (already materialised).
+    Returns one row per key with ``RESOLVED_SCHEMA``."""
     keys = keys.select("key").distinct()
     if index.empty():
-        return keys.select(
-            "key",
-            F.lit(None).cast("string").alias("merchant_canonical"),
-            F.lit(0).alias("merchant_score"),
-            F.lit("no_merchant_map").alias("issue"),
-            F.lit("no_map").alias("match_stage"),
-        )
-    exact = keys.join(index._b(index.exact), keys.key == F.col("alias_clean")).select(
-        "key",
-        F.col("canonical").alias("merchant_canonical"),
-        F.lit(100).alias("merchant_score"),
-        F.lit(None).cast("string").alias("issue"),
-        F.lit("exact").alias("match_stage"),
-    )
-    rest = keys.join(exact.select("key"), "key", "left_anti")
+        return _out(keys, None, F.lit(0), "no_merchant_map", "no_map")
+    exact_map = index._b(index.exact.select(F.col("alias_clean").alias("key"), "canonical"))
+    exact = keys.join(exact_map, "key")
+    rest = keys.join(exact_map.select("key"), "key", "left_anti")
+    exact_out = _out(exact, F.col("canonical"), F.lit(100), None, "exact")
 
     if fallback == "substring":
         sub = index.canonical_of(index.substring_first(rest), "best_idx")
-        found = sub.select(
+        r = rest.join(sub, "key", "left")
+        found = F.col("best_idx").isNotNull()
+        out = r.select(
             "key",
             F.col("canonical").alias("merchant_canonical"),
-            F.lit(SUBSTRING_SCORE).alias("merchant_score"),
-            F.lit("substring_matched").alias("issue"),
-            F.lit("substring").alias("match_stage"),
-        )
-        none = rest.join(sub.select("key"), "key", "left_anti").select(
-            "key",
-            F.lit(None).cast("string").alias("merchant_canonical"),
-            F.lit(0).alias("merchant_score"),
-            F.lit("no_match").alias("issue"),
-            F.lit("none").alias("match_stage"),
+            F.when(found, SUBSTRING_SCORE).otherwise(0).alias("merchant_score"),
+            F.when(found, "substring_matched").otherwise("no_match").alias("issue"),
+            F.when(found, "substring").otherwise("none").alias("match_stage"),
         )
-        return exact.unionByName(found).unionByName(none)
+        return exact_out.unionByName(out)
 
-    first = index.canonical_of(index.score(rest), "best_idx")
-    accepted = first.where(F.col("score") >= threshold).select(
-        "key",
-        F.col("canonical").alias("merchant_canonical"),
-        F.col("score").alias("merchant_score"),
-        F.lit("fuzzy_matched").alias("issue"),
-        F.lit("fuzzy").alias("match_stage"),
-    )
-    low = first.where(F.col("score") < threshold).select(
-        "key", F.col("score").alias("score1"), aggressive_clean_expr(F.col("key")).alias("aggr")
+    # first pass, materialised: both the accepted rows and the retry read it
+    first = _checkpoint(
+        index.canonical_of(index.score(rest), "best_idx").select(
+            "key", F.col("canonical").alias("can1"), F.col("score").alias("score1")
+        )
     )
-    retry_keys = low.where((F.col("aggr") != "") & (F.col("aggr") != F.col("key"))).select(F.col("aggr").alias("key"))
-    second = index.canonical_of(index.score(retry_keys), "best_idx").select(
-        F.col("key").alias("aggr"), F.col("canonical").alias("canonical2"), F.col("score").alias("score2")
+    first = first.withColumn("aggr", aggressive_clean_expr(F.col("key")))
+    retry = first.where(
+        (F.col("score1") < threshold) & (F.col("aggr") != "") & (F.col("aggr") != F.col("key"))
+    ).select(F.col("aggr").alias("key"))
+    second = index.canonical_of(index.score(retry), "best_idx").select(
+        F.col("key").alias("aggr"), F.col("canonical").alias("can2"), F.col("score").alias("score2")
     )
-    low = low.join(second, "aggr", "left")
-    accepted2 = low.where(F.col("score2") >= threshold).select(
+    r = first.join(second, "aggr", "left")
+    retried = (F.col("aggr") != "") & (F.col("aggr") != F.col("key"))
+    r = r.withColumn("score2", F.when(retried, F.col("score2"))).withColumn("can2", F.when(retried, F.col("can2")))
+    ok1 = F.col("score1") >= threshold
+    ok2 = ~ok1 & (F.col("score2") >= threshold)
+    low_score = F.greatest(F.col("score1"), F.coalesce(F.col("score2"), F.col("score1")))
+    r = r.select(
         "key",
-        F.col("canonical2").alias("merchant_canonical"),
-        F.col("score2").alias("merchant_score"),
-        F.lit("aggressive_fuzzy_matched").alias("issue"),
-        F.lit("aggressive").alias("match_stage"),
+        "aggr",
+        F.when(ok1, F.col("can1")).when(ok2, F.col("can2")).alias("merchant_canonical"),
+        F.when(ok1, F.col("score1")).when(ok2, F.col("score2")).otherwise(low_score).alias("merchant_score"),
+        F.when(ok1, "fuzzy_matched").when(ok2, "aggressive_fuzzy_matched").otherwise("low_confidence").alias("issue"),
+        F.when(ok1, "fuzzy").when(ok2, "aggressive").otherwise("unresolved").alias("match_stage"),
     )
-    unresolved = low.where(F.col("score2").isNull() | (F.col("score2") < threshold)).select(
-        "key", F.greatest("score1", F.coalesce("score2", "score1")).alias("score"), "aggr"
-    )
-    parts = [exact, accepted, accepted2]
     if vectors is not None:
-        vec_hit, unresolved = _vector_stage(unresolved, index, vectors, vector_cutoff)
-        parts.append(vec_hit)
-    parts.append(
-        unresolved.select(
-            "key",
-            F.lit(None).cast("string").alias("merchant_canonical"),
-            F.col("score").alias("merchant_score"),
-            F.lit("low_confidence").alias("issue"),
-            F.lit("unresolved").alias("match_stage"),
-        )
-    )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        r = _vector_stage(r, index, vectors, vector_cutoff)
+    return exact_out.unionByName(r.drop("aggr"))
 
 
-def _vector_stage(unresolved: DataFrame, index: ChoiceIndex, vectors, cutoff: float):
-    """Cosine top-1 of caller-supplied vectors: ``vectors = (text_vecs,
-    choice_vecs)`` with ``text_vecs(text, vec)`` for query strings and
-    ``choice_vecs(choice_idx, vec)``.  The query is the aggressive form when
-    it is non-empty, else the cleaned string."""
+def _vector_stage(r: DataFrame, index: ChoiceIndex, vectors, cutoff: float) -> DataFrame:
+    """Cosine top-1 of caller-supplied vectors for still-unresolved strings:
+    ``vectors = (text_vecs(text, vec), choice_vecs(choice_idx, vec))``.  The
+    query is the aggressive form when it is non-empty, else the string."""
     from ledgerloom.operators.vectors import nearest
 
     text_vecs, choice_vecs = vectors
-    q = unresolved.select("key", F.when(F.col("aggr") != "", F.col("aggr")).otherwise(F.col("key")).alias("text"))
-    q = q.join(text_vecs, "text")
+    un = r.where(F.col("match_stage") == "unresolved")
+    q = un.select("key", F.when(F.col("aggr") != "", F.col("aggr")).otherwise(F.col("key")).alias("text"))
+    q = q.join(text_vecs.select("text", "vec"), "text")
     best = nearest(q.select("key", "vec"), choice_vecs.select(F.col("choice_idx").alias("ref_id"), "vec"), "key")
-    best = index.canonical_of(best.withColumnRenamed("ref_id", "choice_idx_hit"), "choice_idx_hit")
+    best = index.canonical_of(best.withColumnRenamed("ref_id", "hit_idx"), "hit_idx")
     hit = best.where(F.col("cos") >= cutoff).select(
+        "key", F.col("canonical").alias("vcan"), F.bround(F.col("cos") * 100, 0).cast("int").alias("vscore")
+    )
+    r = r.join(hit, "key", "left")
+    v = (F.col("match_stage") == "unresolved") & F.col("vscore").isNotNull()
+    return r.select(
         "key",
-        F.col("canonical").alias("merchant_canonical"),
-        F.bround(F.col("cos") * 100).cast("int").alias("merchant_score"),
-        F.lit("embedding_matched").alias("issue"),
-        F.lit("vector").alias("match_stage"),
+        "aggr",
+        F.when(v, F.col("vcan")).otherwise(F.col("merchant_canonical")).alias("merchant_canonical"),
+        F.when(v, F.col("vscore")).otherwise(F.col("merchant_score")).alias("merchant_score"),
+        F.when(v, "embedding_matched").otherwise(F.col("issue")).alias("issue"),
+        F.when(v, "vector").otherwise(F.col("match_stage")).alias("match_stage"),
     )
-    rest = unresolved.join(hit.select("key"), "key", "left_anti")
-    return hit, rest
 
 
 def resolve_distinct(
@@ -305,8 +330,11 @@ def resolve_distinct(
     """One row per distinct raw merchant: ``merchant_col, merchant_cleaned,
     merchant_canonical, merchant_score, merchant_issues, match_stage``."""
     spark = df.sparkSession
-    index = ChoiceIndex(prepare_choices(spark, aliases), chunk_size)
-    cleaned = clean_distinct(df, merchant_col, "merchant_cleaned")
+    if aliases is None and chunk_size == DEFAULT_CHUNK:
+        index = default_index(spark)
+    else:
+        index = ChoiceIndex(prepare_choices(spark, aliases), chunk_size)
+    cleaned = cleaned_distinct(df, merchant_col, "merchant_cleaned")
     raw = F.col(merchant_col)
     is_empty = raw.isNull() | (strip_ws(raw) == "")
     nonempty = cleaned.where(~is_empty)

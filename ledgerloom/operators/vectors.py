@@ -11,9 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.chunks import DEFAULT_CHUNK, attach_chunks, chunk_table, reduce_best
-
-import math
+from ledgerloom.operators.chunks import DEFAULT_CHUNK, ChunkedDimension
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -31,13 +29,11 @@ def with_norm(df: DataFrame, vec_col: str = "vec") -> DataFrame:
 
 def nearest(queries: DataFrame, refs: DataFrame, key_col: str, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """``queries(key_col, vec)``, ``refs(ref_id, vec)`` -> ``(key_col, ref_id,
-    cos)`` with the best reference per query (cos in double)."""
-    n = refs.count()
-    k = max(1, math.ceil(n / chunk_size))
+    cos)`` with the best reference per query (cos in double; ties go to the
+    lowest ``ref_id``)."""
     refs = with_norm(refs.select("ref_id", "vec"))
-    chunks = chunk_table(refs, "ref_id", ["vec", "vec_norm"], k)
-    q = with_norm(queries.select(key_col, "vec"))
-    paired = attach_chunks(q, chunks, k)
+    dim = ChunkedDimension(refs, "ref_id", ["vec", "vec_norm"], chunk_size)
+    paired = dim.attach(with_norm(queries.select(key_col, "vec")))
     scored = F.transform(
         F.arrays_zip(F.col("ref_ids").alias("i"), F.col("vecs").alias("v"), F.col("vec_norms").alias("n")),
         lambda z: F.struct(
@@ -52,4 +48,4 @@ def nearest(queries: DataFrame, refs: DataFrame, key_col: str, chunk_size: int =
         lambda acc, x: F.when(acc["c"].isNull() | (x["c"] > acc["c"]), x).otherwise(acc),
     )
     local = paired.select(key_col, best["i"].alias("ref_id"), best["c"].alias("cos"))
-    return reduce_best(local, [key_col], F.struct(F.col("cos"), -F.col("ref_id")), ["ref_id", "cos"], k)
+    return dim.reduce_best(local, [key_col], F.struct(F.col("cos"), -F.col("ref_id")), ["ref_id", "cos"])

@@ -158,12 +158,12 @@ def merchants_clean_spaced(spark, sf):
 
 
 def _cleaned_keys(spark, sf):
-    d = M.clean_distinct(_tx(spark, sf), "merchant", "merchant_cleaned")
+    d = M.cleaned_distinct(_tx(spark, sf), "merchant", "merchant_cleaned")
     return d.where(F.col("merchant").isNotNull() & (F.trim("merchant") != ""))
 
 
 def _index(spark):
-    return M.ChoiceIndex(M.prepare_choices(spark))
+    return M.default_index(spark)
 
 
 def merchants_exact(spark, sf):

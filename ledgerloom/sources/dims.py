@@ -187,11 +187,12 @@ SYMBOL_SEARCH_ORDER: list[str] = sorted(
 RATE_TYPE = T.DecimalType(13, 8)
 
 
-def alias_map_df(spark: SparkSession, aliases: dict[str, list[str] | str] | None = None) -> DataFrame:
+def alias_rows(aliases: dict[str, list[str] | str] | None = None) -> list[tuple[int, int, str, str]]:
     """Alias dimension as rows ``(canon_pos, alias_pos, canonical, alias)``.
 
     ``alias_pos`` 0 is the canonical name itself, 1.. are its aliases, so
-    ``(canon_pos, alias_pos)`` is the list order of the choices.
+    ``(canon_pos, alias_pos)`` is the list order of the choices.  Aliases may
+    be a list or a single string.
     """
     aliases = MERCHANT_ALIASES if aliases is None else aliases
     rows = []
@@ -201,8 +202,12 @@ def alias_map_df(spark: SparkSession, aliases: dict[str, list[str] | str] | None
             al = [al]
         for ai, a in enumerate(al or []):
             rows.append((ci, ai + 1, canon, a))
+    return rows
+
+
+def alias_map_df(spark: SparkSession, aliases: dict[str, list[str] | str] | None = None) -> DataFrame:
     schema = "canon_pos int, alias_pos int, canonical string, alias string"
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(alias_rows(aliases), schema)
 
 
 def category_map_df(spark: SparkSession, entries: list[tuple[str, str]] | None = None) -> DataFrame:
