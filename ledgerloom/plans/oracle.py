@@ -508,6 +508,11 @@ def oracle_sql() -> dict[str, str]:
     q["merchants_resolve"] = _q(
         full, "SELECT merchant, merchant_cleaned, merchant_canonical, merchant_score, issue, match_stage FROM merchant_resolved"
     )
+    q["merchants_resolve_spaced"] = _q(
+        [f"sptx AS (SELECT {spaced} AS merchant FROM tx WHERE merchant <> '')"]
+        + choices_ctes() + merchant_keys_ctes("sptx") + resolve_ctes(),
+        "SELECT merchant, merchant_cleaned, merchant_canonical, merchant_score, match_stage FROM merchant_resolved",
+    )
     q["merchants_review_queue"] = _q(
         full,
         "SELECT r.merchant_cleaned, max(r.merchant_score) AS merchant_score, sum(n) AS n_tx, count(*) AS n_variants "
