@@ -38,13 +38,13 @@ AMOUNT_TYPE = T.DecimalType(24, 8)
 AMOUNT_SQL_TYPE = "decimal(24,8)"
 
 # FIXED VALUES — special spaces, in the order they are tested.
-SPECIAL_SPACES = [" ", " ", " ", " "]
+SPECIAL_SPACES = ["\u00a0", "\u2009", "\u202f", "\u200a"]  # no-break, thin, narrow no-break, hair
 # FIXED VALUES — separator characters: fullwidth full stop and Arabic decimal
 # separator become ".", Arabic thousands separator is removed.
-DECIMAL_SEPARATORS_TO_DOT = "．٫"
-THOUSANDS_SEPARATORS_DROPPED = "٬"
-SIGN_CHARS = ["-", "–", "−"]
-APOSTROPHES = "'’"
+DECIMAL_SEPARATORS_TO_DOT = "\uff0e\u066b"  # fullwidth full stop, Arabic decimal separator
+THOUSANDS_SEPARATORS_DROPPED = "\u066c"  # Arabic thousands separator
+SIGN_CHARS = ["-", "\u2013", "\u2212"]  # hyphen-minus, en dash, minus sign
+APOSTROPHES = "'\u2019"  # apostrophe, right single quotation mark
 
 
 @lru_cache(maxsize=1)

@@ -61,14 +61,18 @@ def listing_order(grouped: DataFrame, key: str) -> DataFrame:
     return grouped.orderBy(F.col("amount_raw").desc(), F.col(key).asc_nulls_last())
 
 
-def report_row(grouped: DataFrame, key: str, round_digits: int | None = 2, check_size: bool = True) -> DataFrame:
+def report_row(
+    grouped: DataFrame, key: str, round_digits: int | None = 2, check_size: bool = True, formatted: bool = True
+) -> DataFrame:
     """One-row report DataFrame.  The by-group list is one array, so the
-    number of groups is checked first (categories are a bounded set)."""
+    number of groups is checked first (categories are a bounded set).
+    ``formatted=False`` keeps every amount numeric (the raw summary)."""
     if check_size and key != "category":
         n = grouped.count()
         if n > MAX_REPORT_GROUPS:
             raise ValueError(f"{n} groups: too many for a one-row report; use group_totals()")
     d = 2 if round_digits is None else round_digits
+    money = (lambda c: format_usd(c, d)) if formatted else (lambda c: c.cast("double"))
     item = F.struct(
         (-F.col("amount_raw")).alias("neg_raw"),
         F.col(key).isNull().alias("key_null"),
@@ -90,16 +94,16 @@ def report_row(grouped: DataFrame, key: str, round_digits: int | None = 2, check
         F.col("items"),
         lambda it: F.struct(
             it["k"].alias("category"),
-            format_usd(it["amt"], d).alias("amount"),
+            money(it["amt"]).alias("amount"),
             pct_expr(it["amt"], F.col("total")).alias("pct"),
         ),
     )
     return row.select(
         F.col("top.k").alias("top_category"),
-        F.coalesce(format_usd(F.col("top.amt"), d), format_usd(F.lit(0), d)).alias("amount"),
+        F.coalesce(money(F.col("top.amt")), money(F.lit(0))).alias("amount"),
         F.coalesce(F.col("top.amt").cast("double"), F.lit(0.0)).alias("top_amount"),
         by_cat.alias("by_category"),
-        format_usd(F.col("total"), d).alias("total_usd"),
+        money(F.col("total")).alias("total_usd"),
     )
 
 
