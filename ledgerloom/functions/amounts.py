@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions.common import WHITESPACE
 from ledgerloom.sources.dims import CURRENCY_WORDS, SYMBOL_CURRENCY, SYMBOL_SEARCH_ORDER
 
 AMOUNT_TYPE = T.DecimalType(24, 8)
@@ -68,28 +69,34 @@ def sql_lit(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+_REF = re.compile(r"(?<![\w\\])s\.([a-z_0-9]+)")
+
+
 class _Chain:
-    """Builds ``transform(array(prev), s -> named_struct(...))[0]`` steps as SQL
-    text: each step's value is bound once to the lambda variable ``s``, so the
-    expression stays linear in size however often later steps read it (a
-    chain of multi-use columns would grow exponentially when a filter is
-    pushed through it).  Text is parsed by one ``F.expr`` call."""
+    """The parse as ordered steps of SQL expressions over named values
+    (written ``s.<name>``).  ``clean_amounts`` turns each step into one
+    projection (whole-stage codegen, common subexpressions computed once)
+    and ends the chain with a generator, ``inline(array(struct(...)))``:
+    a filter on a parsed column cannot be pushed below a generator, so the
+    optimizer never substitutes (and multiplies) the chain into it."""
 
     def __init__(self, first: dict[str, str]):
-        self.names = list(first)
-        self.sql = "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in first.items()) + ")"
+        self.steps: list[dict[str, str]] = [dict(first)]
 
     def step(self, **new: str) -> None:
-        fields = [f"'{n}', s.{n}" for n in self.names] + [f"'{k}', {v}" for k, v in new.items()]
-        self.sql = f"transform(array({self.sql}), s -> named_struct({', '.join(fields)}))[0]"
-        self.names += list(new)
+        self.steps.append(dict(new))
 
-    def finish(self, body: str) -> str:
-        return f"transform(array({self.sql}), s -> {body})[0]"
+    def finish(self, body: str) -> None:
+        self.body = body
+
+    def projections(self, prefix: str) -> tuple[list[list[str]], str]:
+        sub = lambda e: _REF.sub(lambda m: prefix + m.group(1), e)
+        steps = [[f"{sub(e)} AS {prefix}{k}" for k, e in st.items()] for st in self.steps]
+        return steps, sub(self.body)
 
 
 def _strip(x: str) -> str:
-    return f"regexp_replace({x}, {sql_lit(r'(?U)^\s+|\s+$')}, '')"
+    return f"btrim({x}, {sql_lit(WHITESPACE)})"
 
 
 def _instr(x: str, sub: str) -> str:
@@ -104,8 +111,9 @@ def _case(pairs: list[tuple[str, str]]) -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in pairs) + " END"
 
 
-def parse_amount_sql(raw: str) -> str:
-    """SQL text: struct<amount_decimal decimal(24,8), currency string, issues array<string>>."""
+def parse_amount_chain(raw: str) -> _Chain:
+    """The parse steps; the final body is
+    struct<amount_decimal decimal(24,8), currency string, issues array<string>>."""
     digits_src, digits_dst = unicode_digit_table()
     seps = DECIMAL_SEPARATORS_TO_DOT + THOUSANDS_SEPARATORS_DROPPED
     trail = sql_lit(r"(?U)\b([A-Za-z]{3})\b\s*$")
@@ -185,25 +193,20 @@ def parse_amount_sql(raw: str) -> str:
         f"'currency', CASE WHEN {ok} THEN coalesce(s.code, element_at({sym_map}, s.sym), {words}) END, "
         f"'issues', CASE WHEN {ok} THEN {issues} ELSE CAST(array() AS array<string>) END)"
     )
-    return ch.finish(body)
+    ch.finish(body)
+    return ch
 
 
-def parse_amount_expr(raw: Column | str) -> Column:
-    """Column: struct<amount_decimal decimal(24,8), currency string, issues array<string>>."""
-    name = raw if isinstance(raw, str) else None
-    if name is None:
-        raise TypeError("pass the amount column name")
-    return F.expr(parse_amount_sql(f"`{name}`"))
+OUTPUTS = ["amount_decimal", "currency", "issues"]
 
 
 def clean_amounts(df: DataFrame, amount_col: str = "amount", *, prefix: str = "_amt_") -> DataFrame:
     """Add ``amount_decimal decimal(24,8)``, ``currency string`` and
-    ``issues array<string>`` computed from ``amount_col``."""
-    parsed = prefix + "parsed"
-    df = df.select("*", parse_amount_expr(amount_col).alias(parsed))
-    return df.select(
-        *[F.col(f"`{c}`") for c in df.columns if c != parsed],
-        F.col(parsed + ".amount_decimal").alias("amount_decimal"),
-        F.col(parsed + ".currency").alias("currency"),
-        F.col(parsed + ".issues").alias("issues"),
-    )
+    ``issues array<string>`` computed from ``amount_col`` (existing columns
+    of those names are replaced)."""
+    keep = [c for c in df.columns if c not in OUTPUTS]
+    steps, body = parse_amount_chain(f"`{amount_col}`").projections(prefix)
+    for exprs in steps:
+        df = df.selectExpr("*", *exprs)
+    df = df.select(*[F.col(f"`{c}`") for c in keep], F.inline(F.array(F.expr(body))))
+    return df

@@ -54,37 +54,60 @@ def _trailing_year(c: Column, pivot: int) -> Column:
     return c
 
 
+def _steps(raw: Column, pivot: int) -> list[tuple[str, Column]]:
+    """(name, expression) steps; each may read the names before it."""
+    s3 = F.col("_d_s3")
+    words = F.regexp_replace(s3, r"[,.’‘'\-]", " ")
+    words = _trailing_year(F.trim(F.regexp_replace(words, r"(?U)\s+", " ")), pivot)
+    return [
+        ("_d_s1", F.nullif(strip_ws(raw), F.lit(""))),
+        ("_d_s2", F.regexp_replace(F.col("_d_s1"), r"(?i)(\d)(st|nd|rd|th)", "$1")),
+        ("_d_s3", _two_digit_years(F.col("_d_s2"), pivot)),
+        ("_d_words", F.when(s3.rlike("[A-Za-z]"), words)),
+        ("_d_mdy", F.when(s3.rlike(_MDY), F.translate(s3, ".-", "//"))),
+    ]
+
+
+def _final() -> Column:
+    s3 = F.col("_d_s3")
+    iso = F.when(s3.rlike(_ISO), F.try_to_date(F.regexp_extract(s3, _ISO, 1), "yyyy-M-d"))
+    ymd = F.when(s3.rlike(_YMD), F.try_to_date(F.translate(s3, "/.", "--"), "yyyy-M-d"))
+    mdy = F.coalesce(F.try_to_date(F.col("_d_mdy"), "M/d/yyyy"), F.try_to_date(F.col("_d_mdy"), "d/M/yyyy"))
+    named = F.coalesce(
+        *[F.try_to_date(F.col("_d_words"), fmt) for fmt in ("MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy")]
+    )
+    return F.coalesce(iso, ymd, mdy, named)
+
+
 def parse_date_expr(raw: Column, pivot: int = DEFAULT_PIVOT) -> Column:
-    """Column expression: raw text -> DATE or NULL."""
+    """Single-expression form (for small inputs; ``clean_dates`` evaluates
+    the same steps once each)."""
     s1 = F.nullif(strip_ws(raw), F.lit(""))
-    s2 = F.regexp_replace(s1, r"(?i)(\d)(st|nd|rd|th)", "$1")
-    s3 = _two_digit_years(s2, pivot)
-    iso = F.when(
-        s3.rlike(_ISO), F.try_to_date(F.regexp_extract(s3, _ISO, 1), "yyyy-M-d")
-    )
+    s3 = _two_digit_years(F.regexp_replace(s1, r"(?i)(\d)(st|nd|rd|th)", "$1"), pivot)
+    iso = F.when(s3.rlike(_ISO), F.try_to_date(F.regexp_extract(s3, _ISO, 1), "yyyy-M-d"))
     ymd = F.when(s3.rlike(_YMD), F.try_to_date(F.translate(s3, "/.", "--"), "yyyy-M-d"))
     mdy_txt = F.translate(s3, ".-", "//")
     mdy = F.when(
-        s3.rlike(_MDY),
-        F.coalesce(F.try_to_date(mdy_txt, "M/d/yyyy"), F.try_to_date(mdy_txt, "d/M/yyyy")),
+        s3.rlike(_MDY), F.coalesce(F.try_to_date(mdy_txt, "M/d/yyyy"), F.try_to_date(mdy_txt, "d/M/yyyy"))
     )
-    words = F.regexp_replace(s3, r"[,.’‘'\-]", " ")
-    words = F.trim(F.regexp_replace(words, r"(?U)\s+", " "))
-    words = _trailing_year(words, pivot)
+    words = _trailing_year(F.trim(F.regexp_replace(F.regexp_replace(s3, r"[,.’‘'\-]", " "), r"(?U)\s+", " ")), pivot)
     named = F.when(
         s3.rlike("[A-Za-z]"),
-        F.coalesce(
-            *[F.try_to_date(words, fmt) for fmt in ("MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy")]
-        ),
+        F.coalesce(*[F.try_to_date(words, fmt) for fmt in ("MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy")]),
     )
     return F.coalesce(iso, ymd, mdy, named)
 
 
 def clean_dates(df: DataFrame, date_col: str = "date", out_col: str = "date_iso", pivot: int = DEFAULT_PIVOT) -> DataFrame:
-    """Add ``date_iso`` (DATE) unless the column is already there."""
+    """Add ``date_iso`` (DATE) unless the column is already there.  Each
+    step is its own projection, so every regex runs once per row; a
+    generator ends the chain so pushed filters never inline it."""
     if out_col in df.columns:
         return df
-    return df.withColumn(out_col, parse_date_expr(F.col(date_col), pivot))
+    keep = list(df.columns)
+    for name, e in _steps(F.col(date_col), pivot):
+        df = df.withColumn(name, e)
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.inline(F.array(F.struct(_final().alias(out_col)))))
 
 
 def expand_two_digit_year_expr(raw: Column, pivot: int = DEFAULT_PIVOT) -> Column:

@@ -35,7 +35,7 @@ def is_ascii(c: Column) -> Column:
 
 
 def collapse_ws(c: Column) -> Column:
-    return strip_ws(F.regexp_replace(c, r"(?U)\s+", " "))
+    return F.btrim(F.regexp_replace(c, r"(?U)\s+", " "), F.lit(" "))
 
 
 def clean_merchant_expr(normalized: Column) -> Column:

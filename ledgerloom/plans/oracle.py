@@ -26,6 +26,7 @@ from ledgerloom.functions.amounts import (
     THOUSANDS_SEPARATORS_DROPPED,
     unicode_digit_table,
 )
+from ledgerloom.functions.common import WHITESPACE
 from ledgerloom.functions.dates import DEFAULT_PIVOT
 from ledgerloom.operators.categorize import _dedup_map
 from ledgerloom.operators.merchants import DEFAULT_THRESHOLD, SUBSTRING_SCORE
@@ -39,7 +40,7 @@ def lit(s: str) -> str:
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({x}, {lit(WHITESPACE)})"
 
 
 def _years(lo: int, hi: int) -> str:

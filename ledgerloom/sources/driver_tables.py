@@ -50,9 +50,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small, unsplittable input (one file, one row group) one task
+    per core.  A large input already has many more scan tasks than cores,
+    so it is left alone (no shuffle at scale)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def messy_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``tx(tx_id, account_id, date, amount, merchant)``, all text but ids."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
     k8 = F.col("o_orderkey") % 8
     date = F.lit("not a date")
     for i in reversed(range(len(TX_DATE_FORMATS))):
