@@ -163,8 +163,26 @@ class ChoiceIndex:
         lookup = self.choices.select(F.col("choice_idx").alias(idx_col), "canonical")
         return df.join(self._b(lookup), idx_col, "left")
 
+    def _subset_expr(self):
+        """Native test against the literal choice list (single chunk): the
+        first choice whose token set contains or is contained in the key's."""
+        idxs = self.dim.local["choice_idx"]
+        toks = [list(dict.fromkeys(t for t in a.split(" ") if t)) for a in self.dim.local["alias_clean"]]
+        choice_toks = F.array(*[F.array(*[F.lit(t) for t in ts]).cast("array<string>") for ts in toks])
+        zipped = F.arrays_zip(F.array(*[F.lit(i) for i in idxs]).alias("i"), choice_toks.alias("t"))
+        kt = _tokens(F.col("key"))
+
+        def hit(z):
+            n = F.size(F.array_intersect(kt, z["t"]))
+            return (n > 0) & ((n == F.size(kt)) | (n == F.size(z["t"])))
+
+        return F.try_element_at(F.filter(zipped, hit), F.lit(1))["i"]
+
     def subset_hits(self, keys: DataFrame) -> DataFrame:
         """``(key, best_idx)`` for strings with a token-subset choice (score 100)."""
+        if self.dim.k == 1:
+            hits = keys.select("key", self._subset_expr().alias("best_idx"))
+            return hits.where(F.col("best_idx").isNotNull())
         kt = keys.select("key", _tokens(F.col("key")).alias("_t"))
         kt = kt.select("key", F.explode("_t").alias("tok"), F.size("_t").alias("nk"))
         pairs = kt.join(self._b(self.tokens), "tok").groupBy("key", "choice_idx").agg(
@@ -177,20 +195,26 @@ class ChoiceIndex:
         """``(key, best_idx, score)`` for every distinct key: exact search
         over all choices; token-subset hits via the equi-join, the rest by
         the Arrow scorer."""
-        keys = keys.select("key").distinct()
+        keys = keys.select("key")  # callers pass distinct keys
+        if self.dim.k == 1:
+            # one pass, no shuffle: native subset test, Arrow scorer for the rest
+            tagged = keys.select("key", self._subset_expr().alias("hit_idx"))
+            hit_rows = tagged.where(F.col("hit_idx").isNotNull()).select(
+                "key", F.col("hit_idx").alias("best_idx"), F.lit(100).alias("score")
+            )
+            rest = tagged.where(F.col("hit_idx").isNull()).select("key")
+            best = rest.select("key", self._scorer("key").alias("_s")).select("key", "_s.best_idx", "_s.score")
+            return hit_rows.unionByName(best)
         hits = self.subset_hits(keys)
         hit_rows = hits.select("key", "best_idx", F.lit(100).alias("score"))
         rest = keys.join(hits.select("key"), "key", "left_anti")
-        if self.dim.k == 1:
-            best = rest.select("key", self._scorer("key").alias("_s")).select("key", "_s.best_idx", "_s.score")
-        else:
-            paired = self.dim.attach(rest)
-            scored = paired.select("key", _score_chunk("key", "choice_idxs", "alias_cleans").alias("_s")).select(
-                "key", "_s.*"
-            )
-            best = self.dim.reduce_best(
-                scored, ["key"], F.struct(F.col("set_score"), -F.col("best_idx")), ["best_idx", "score"]
-            )
+        paired = self.dim.attach(rest)
+        scored = paired.select("key", _score_chunk("key", "choice_idxs", "alias_cleans").alias("_s")).select(
+            "key", "_s.*"
+        )
+        best = self.dim.reduce_best(
+            scored, ["key"], F.struct(F.col("set_score"), -F.col("best_idx")), ["best_idx", "score"]
+        )
         return hit_rows.unionByName(best.select("key", "best_idx", "score"))
 
     def substring_first(self, keys: DataFrame) -> DataFrame:
@@ -267,7 +291,7 @@ def resolve_keys(
     first = first.withColumn("aggr", aggressive_clean_expr(F.col("key")))
     retry = first.where(
         (F.col("score1") < threshold) & (F.col("aggr") != "") & (F.col("aggr") != F.col("key"))
-    ).select(F.col("aggr").alias("key"))
+    ).select(F.col("aggr").alias("key")).distinct()
     second = index.canonical_of(index.score(retry), "best_idx").select(
         F.col("key").alias("aggr"), F.col("canonical").alias("can2"), F.col("score").alias("score2")
     )

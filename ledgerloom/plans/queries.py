@@ -208,7 +208,7 @@ def merchants_aggressive(spark, sf):
     first = idx.score(_not_exact(spark, sf, idx)).where(F.col("score") < M.DEFAULT_THRESHOLD)
     low = first.select(F.col("key").alias("merchant_cleaned"), aggressive_clean_expr(F.col("key")).alias("key"))
     low = low.where((F.col("key") != "") & (F.col("key") != F.col("merchant_cleaned")))
-    second = _with_choice(idx, idx.score(low.select("key")))
+    second = _with_choice(idx, idx.score(low.select("key").distinct()))
     out = low.join(second, "key", "left")
     return out.select(
         "merchant_cleaned",
