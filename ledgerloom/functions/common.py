@@ -24,15 +24,3 @@ def contains(c: Column, s: str) -> Column:
     return F.instr(c, s) > 0
 
 
-def last_index(c: Column, ch: str) -> Column:
-    """0-based position of the last ``ch`` in ``c``; -1 when absent."""
-    return F.when(F.instr(c, ch) > 0, F.length(c) - F.instr(F.reverse(c), ch)).otherwise(F.lit(-1))
-
-
-def count_char(c: Column, ch: str) -> Column:
-    return F.length(c) - F.length(F.replace(c, F.lit(ch), F.lit("")))
-
-
-def tags(*pairs: tuple[Column, str]) -> Column:
-    """Array of tag literals for the conditions that hold, in the given order."""
-    return F.filter(F.array(*[F.when(cond, F.lit(tag)) for cond, tag in pairs]), lambda x: x.isNotNull())

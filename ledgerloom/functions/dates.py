@@ -79,24 +79,6 @@ def _final() -> Column:
     return F.coalesce(iso, ymd, mdy, named)
 
 
-def parse_date_expr(raw: Column, pivot: int = DEFAULT_PIVOT) -> Column:
-    """Single-expression form (for small inputs; ``clean_dates`` evaluates
-    the same steps once each)."""
-    s1 = F.nullif(strip_ws(raw), F.lit(""))
-    s3 = _two_digit_years(F.regexp_replace(s1, r"(?i)(\d)(st|nd|rd|th)", "$1"), pivot)
-    iso = F.when(s3.rlike(_ISO), F.try_to_date(F.regexp_extract(s3, _ISO, 1), "yyyy-M-d"))
-    ymd = F.when(s3.rlike(_YMD), F.try_to_date(F.translate(s3, "/.", "--"), "yyyy-M-d"))
-    mdy_txt = F.translate(s3, ".-", "//")
-    mdy = F.when(
-        s3.rlike(_MDY), F.coalesce(F.try_to_date(mdy_txt, "M/d/yyyy"), F.try_to_date(mdy_txt, "d/M/yyyy"))
-    )
-    words = _trailing_year(F.trim(F.regexp_replace(F.regexp_replace(s3, r"[,.’‘'\-]", " "), r"(?U)\s+", " ")), pivot)
-    named = F.when(
-        s3.rlike("[A-Za-z]"),
-        F.coalesce(*[F.try_to_date(words, fmt) for fmt in ("MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy")]),
-    )
-    return F.coalesce(iso, ymd, mdy, named)
-
 
 def clean_dates(df: DataFrame, date_col: str = "date", out_col: str = "date_iso", pivot: int = DEFAULT_PIVOT) -> DataFrame:
     """Add ``date_iso`` (DATE) unless the column is already there.  Each

@@ -14,8 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.common import strip_ws
-
 # FIXED VALUES — cleaning patterns for merchant text.
 PUNCT_CLASS = r"[\u2000-\u206F\u2E00-\u2E7F'\"·•*/\\(),@!?:;_\[\]#$%^&=+<>`~]+"
 NOISE_WORDS = r"(?U)\b(store|store\s*#|atm|pos|terminal)\b"

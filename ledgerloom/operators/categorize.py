@@ -13,8 +13,6 @@ once per task and evaluated inside whole-stage codegen.  Plans apply this to
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,11 +78,3 @@ def categorize(
         return df.withColumn(out_col, cat.cast("string")).drop("map_category")
     return df.withColumn(out_col, by_rules.cast("string"))
 
-
-def rule_pattern(body: str) -> str:
-    """The full pattern of one rule body (for SQL oracles and docs)."""
-    return r"\b(" + body + r")\b"
-
-
-def escape_literal(s: str) -> str:
-    return re.escape(s)

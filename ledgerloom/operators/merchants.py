@@ -39,7 +39,6 @@ from ledgerloom.sources import dims
 
 DEFAULT_THRESHOLD = 85
 SUBSTRING_SCORE = 75
-RESOLVED_SCHEMA = "key string, merchant_canonical string, merchant_score int, issue string, match_stage string"
 
 
 # --------------------------------------------------------------------------- cleaning
@@ -260,7 +259,8 @@ def resolve_keys(
     vector_cutoff: float = 0.72,
 ) -> DataFrame:
     """Resolve distinct cleaned strings ``keys(key)`` (already materialised).
-    Returns one row per key with ``RESOLVED_SCHEMA``."""
+    Returns one row per key: ``key, merchant_canonical, merchant_score, issue,
+    match_stage``."""
     keys = keys.select("key").distinct()
     if index.empty():
         return _out(keys, None, F.lit(0), "no_merchant_map", "no_map")

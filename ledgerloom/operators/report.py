@@ -57,9 +57,6 @@ def top_group(grouped: DataFrame, key: str) -> DataFrame:
     return grouped.orderBy(F.col("amount").desc(), F.coalesce(F.col(key), F.lit("")).asc()).limit(1)
 
 
-def listing_order(grouped: DataFrame, key: str) -> DataFrame:
-    return grouped.orderBy(F.col("amount_raw").desc(), F.col(key).asc_nulls_last())
-
 
 def report_row(
     grouped: DataFrame, key: str, round_digits: int | None = 2, check_size: bool = True, formatted: bool = True

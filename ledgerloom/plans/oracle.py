@@ -564,6 +564,21 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT category AS top_category, CAST(amount AS {MONEY}) AS top_amount FROM bycat "
         "ORDER BY amount DESC, coalesce(category, '') ASC LIMIT 1",
     )
+    q["transactions_cleaned"] = _q(
+        dates_ctes() + amounts_ctes("dated"),
+        "SELECT tx_id, date, amount, merchant, strftime(date_iso, '%Y-%m-%d') AS date_iso, amount_decimal, currency, "
+        "array_to_string(issues, ',') AS issues FROM amt",
+    )
+    q["merchant_issue_counts"] = _q(
+        [
+            "cnt AS (SELECT merchant, count(*) AS n FROM tx GROUP BY merchant)",
+            *choices_ctes(),
+            *merchant_keys_ctes("cnt"),
+            *resolve_ctes(),
+        ],
+        "SELECT r.issue, r.match_stage, sum(c.n) AS n_tx, count(*) AS n_merchants FROM cnt c "
+        "JOIN merchant_resolved r ON r.merchant IS NOT DISTINCT FROM c.merchant GROUP BY r.issue, r.match_stage",
+    )
     q["sample_first_n"] = _q([], f"SELECT tx_id, date, amount, merchant FROM tx ORDER BY tx_id LIMIT {SAMPLE_ROWS}")
     q["row_count"] = _q([], "SELECT count(*) AS n_rows FROM tx")
     return q

@@ -21,7 +21,7 @@ from ledgerloom.operators.categorize import categorize, category_map_table, rule
 from ledgerloom.operators.fx import convert_to_usd
 from ledgerloom.operators.report import report_json, report_row, top_group, with_share
 from ledgerloom.operators.vectors import nearest
-from ledgerloom.plans.pipeline import categorized_merchant_totals, spend_report_plan, usd_rows
+from ledgerloom.plans.pipeline import categorized_merchant_totals, clean_transactions, spend_report_plan, usd_rows
 from ledgerloom.sources.driver_tables import messy_transactions, table
 
 MONEY = "decimal(38,2)"
@@ -341,6 +341,29 @@ def spend_report_json(spark, sf):
     return report_json(report_row(spend_report_plan(_tx(spark, sf), resolve=True), "category"))
 
 
+def transactions_cleaned(spark, sf):
+    """Entry B rows: raw columns + date_iso, amount_decimal, currency, issues
+    (what the cleaned-CSV sink writes)."""
+    df = clean_transactions(_tx(spark, sf))
+    return df.select(
+        "tx_id", "date", "amount", "merchant", _date_text("date_iso").alias("date_iso"),
+        "amount_decimal", "currency", _issues_text("issues").alias("issues"),
+    )
+
+
+def merchant_issue_counts(spark, sf):
+    """Quality counts of the resolution: transactions per merchant tag and
+    stage (per-merchant counts first, so the tags are joined to distinct
+    merchants only)."""
+    tx = _tx(spark, sf)
+    counts = tx.groupBy("merchant").agg(F.count(F.lit(1)).alias("n"))
+    res = M.resolve_distinct(counts, "merchant")
+    j = counts.join(res, counts["merchant"].eqNullSafe(res["merchant"]))
+    return j.groupBy(_issues_text("merchant_issues").alias("issue"), "match_stage").agg(
+        F.sum("n").alias("n_tx"), F.count(F.lit(1)).alias("n_merchants")
+    )
+
+
 # --------------------------------------------------------------- ingest (J1)
 def sample_first_n(spark, sf):
     return _tx(spark, sf).orderBy("tx_id").limit(SAMPLE_ROWS).select("tx_id", "date", "amount", "merchant")
@@ -390,6 +413,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spend_share": spend_share,
     "top_category": top_category,
     "spend_report_json": spend_report_json,
+    "transactions_cleaned": transactions_cleaned,
+    "merchant_issue_counts": merchant_issue_counts,
     "sample_first_n": sample_first_n,
     "row_count": row_count,
 }

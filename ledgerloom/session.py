@@ -46,9 +46,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
     as is.  Only when it is unset (tests, local runs) do we set a scratch one.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    sc.setCheckpointDir(d)
     return d

@@ -205,10 +205,6 @@ def alias_rows(aliases: dict[str, list[str] | str] | None = None) -> list[tuple[
     return rows
 
 
-def alias_map_df(spark: SparkSession, aliases: dict[str, list[str] | str] | None = None) -> DataFrame:
-    schema = "canon_pos int, alias_pos int, canonical string, alias string"
-    return spark.createDataFrame(alias_rows(aliases), schema)
-
 
 def category_map_df(spark: SparkSession, entries: list[tuple[str, str]] | None = None) -> DataFrame:
     """Canonical -> category with the position of the key (first occurrence
@@ -223,11 +219,6 @@ def category_map_df(spark: SparkSession, entries: list[tuple[str, str]] | None =
     return spark.createDataFrame(rows, "key_pos int, merchant_canonical string, map_category string")
 
 
-def rules_df(spark: SparkSession, rules: list[tuple[str, str]] | None = None) -> DataFrame:
-    rules = CATEGORY_RULES if rules is None else rules
-    rows = [(i + 1, body, cat) for i, (body, cat) in enumerate(rules)]
-    return spark.createDataFrame(rows, "priority int, pattern string, category string")
-
 
 def rates_df(spark: SparkSession, rates: dict[str, object] | None = None) -> DataFrame:
     """Rates table: caller's rates (keys upper-cased, unparseable values
