@@ -34,7 +34,7 @@ from ledgerloom.functions import fuzzy
 from ledgerloom.functions.common import strip_ws
 from ledgerloom.functions.text import aggressive_clean_expr, clean_merchant_expr, is_ascii, nfkc
 from ledgerloom.operators.chunks import BROADCAST_CHUNK_ROWS, DEFAULT_CHUNK, ChunkedDimension
-from ledgerloom.session import checkpoint_dir
+from ledgerloom.session import materialize
 from ledgerloom.sources import dims
 
 DEFAULT_THRESHOLD = 85
@@ -235,8 +235,7 @@ class ChoiceIndex:
 def _checkpoint(df: DataFrame) -> DataFrame:
     """Materialise a small intermediate that several stages read, cutting
     its lineage (the shared ``spark.checkpoint.dir``; see ``session``)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df)
 
 
 def _out(df: DataFrame, canonical, score, issue: str, stage: str) -> DataFrame:

@@ -19,7 +19,7 @@ from ledgerloom.operators.categorize import categorize
 from ledgerloom.operators.fx import convert_to_usd
 from ledgerloom.operators.merchants import resolve_distinct
 from ledgerloom.operators.report import group_totals
-from ledgerloom.session import checkpoint_dir
+from ledgerloom.session import materialize
 
 
 def clean_transactions(df: DataFrame, *, default_currency: str | None = None) -> DataFrame:
@@ -61,8 +61,7 @@ def categorized_merchant_totals(
     if resolve:
         # read twice (resolution input and join back): materialise once so
         # the big table is scanned once
-        checkpoint_dir(per_merchant.sparkSession)
-        per_merchant = per_merchant.checkpoint(eager=True)
+        per_merchant = materialize(per_merchant)
         res = resolve_distinct(per_merchant, "merchant", aliases=aliases, threshold=threshold)
         per_merchant = per_merchant.join(
             res.select("merchant", "merchant_canonical"), per_merchant["merchant"].eqNullSafe(res["merchant"]), "left"

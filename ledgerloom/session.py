@@ -9,7 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at cluster scale as much as on one machine: AQE re-plans
 # joins at runtime (broadcast only when the *measured* side is small, split
@@ -55,3 +56,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
     sc.setCheckpointDir(d)
     return d
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` into the shared checkpoint folder, computing it once.
+
+    A reliable checkpoint writes the data in a second job; persisting first
+    lets that job read the blocks the first job produced instead of running
+    the plan again.  The returned DataFrame reads the checkpoint files, so
+    its lineage is cut and it survives the loss of executors."""
+    checkpoint_dir(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
