@@ -47,14 +47,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
     as is.  Only when it is unset (tests, local runs) do we set a scratch one.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
-    sc.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - static in some deployments
+            pass
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
 
 
