@@ -386,7 +386,7 @@ def _report_ctes(resolve: bool) -> list[str]:
     else:
         ctes.append(f"pmcat AS (SELECT pm.*, {rules_case('merchant')} AS category FROM pm)")
     ctes.append(
-        "bycat AS (SELECT category, coalesce(sum(amount_usd), 0) AS amount_raw, sum(n_tx) AS n_tx, "
+        "bycat AS (SELECT category, coalesce(sum(amount_usd), 0) AS amount_raw, CAST(sum(n_tx) AS BIGINT) AS n_tx, "
         "round(coalesce(sum(amount_usd), 0), 2) AS amount FROM pmcat GROUP BY category)"
     )
     return ctes
@@ -399,7 +399,7 @@ def oracle_sql() -> dict[str, str]:
     q["dates_quality"] = _q(
         dates_ctes(),
         "SELECT regexp_replace(regexp_replace(date, '[0-9]', '9', 'g'), '[A-Za-z]', 'a', 'g') AS shape, count(*) AS n_rows, "
-        "count(date_iso) AS n_parsed, sum(CASE WHEN date_iso IS NULL THEN 1 ELSE 0 END) AS n_unparsed, "
+        "count(date_iso) AS n_parsed, CAST(sum(CASE WHEN date_iso IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_unparsed, "
         "strftime(min(date_iso), '%Y-%m-%d') AS min_date, strftime(max(date_iso), '%Y-%m-%d') AS max_date FROM dated GROUP BY 1",
     )
     q["dates_two_digit_pivot"] = _q(
@@ -516,7 +516,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["merchants_review_queue"] = _q(
         full,
-        "SELECT r.merchant_cleaned, max(r.merchant_score) AS merchant_score, sum(n) AS n_tx, count(*) AS n_variants "
+        "SELECT r.merchant_cleaned, max(r.merchant_score) AS merchant_score, CAST(sum(n) AS BIGINT) AS n_tx, count(*) AS n_variants "
         "FROM merchant_resolved r JOIN (SELECT merchant, count(*) AS n FROM tx GROUP BY merchant) t ON t.merchant = r.merchant "
         "WHERE r.match_stage = 'unresolved' GROUP BY r.merchant_cleaned",
     )
@@ -545,7 +545,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["spend_by_canonical"] = _q(
         _report_ctes(True),
-        f"SELECT merchant_canonical, CAST(round(coalesce(sum(amount_usd), 0), 2) AS {MONEY}) AS total_usd, sum(n_tx) AS n_tx "
+        f"SELECT merchant_canonical, CAST(round(coalesce(sum(amount_usd), 0), 2) AS {MONEY}) AS total_usd, CAST(sum(n_tx) AS BIGINT) AS n_tx "
         "FROM pmcat GROUP BY merchant_canonical",
     )
     q["spend_by_column"] = _q(
@@ -576,7 +576,7 @@ def oracle_sql() -> dict[str, str]:
             *merchant_keys_ctes("cnt"),
             *resolve_ctes(),
         ],
-        "SELECT r.issue, r.match_stage, sum(c.n) AS n_tx, count(*) AS n_merchants FROM cnt c "
+        "SELECT r.issue, r.match_stage, CAST(sum(c.n) AS BIGINT) AS n_tx, count(*) AS n_merchants FROM cnt c "
         "JOIN merchant_resolved r ON r.merchant IS NOT DISTINCT FROM c.merchant GROUP BY r.issue, r.match_stage",
     )
     q["sample_first_n"] = _q([], f"SELECT tx_id, date, amount, merchant FROM tx ORDER BY tx_id LIMIT {SAMPLE_ROWS}")
