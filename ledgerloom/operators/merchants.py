@@ -349,15 +349,23 @@ def resolve_distinct(
     fallback: str = "fuzzy",
     chunk_size: int = DEFAULT_CHUNK,
     vectors=None,
+    materialized_input: bool = False,
 ) -> DataFrame:
     """One row per distinct raw merchant: ``merchant_col, merchant_cleaned,
-    merchant_canonical, merchant_score, merchant_issues, match_stage``."""
+    merchant_canonical, merchant_score, merchant_issues, match_stage``.
+
+    ``materialized_input=True`` says ``df`` is already a checkpointed table
+    with one row per merchant, so its cleaned form need not be checkpointed
+    again."""
     spark = df.sparkSession
     if aliases is None and chunk_size == DEFAULT_CHUNK:
         index = default_index(spark)
     else:
         index = ChoiceIndex(prepare_choices(spark, aliases), chunk_size)
-    cleaned = cleaned_distinct(df, merchant_col, "merchant_cleaned")
+    if materialized_input:
+        cleaned = clean_distinct(df, merchant_col, "merchant_cleaned")
+    else:
+        cleaned = cleaned_distinct(df, merchant_col, "merchant_cleaned")
     raw = F.col(merchant_col)
     is_empty = raw.isNull() | (strip_ws(raw) == "")
     nonempty = cleaned.where(~is_empty)

@@ -62,7 +62,7 @@ def categorized_merchant_totals(
         # read twice (resolution input and join back): materialise once so
         # the big table is scanned once
         per_merchant = materialize(per_merchant)
-        res = resolve_distinct(per_merchant, "merchant", aliases=aliases, threshold=threshold)
+        res = resolve_distinct(per_merchant, "merchant", aliases=aliases, threshold=threshold, materialized_input=True)
         per_merchant = per_merchant.join(
             res.select("merchant", "merchant_canonical"), per_merchant["merchant"].eqNullSafe(res["merchant"]), "left"
         ).drop(res["merchant"])
