@@ -86,12 +86,12 @@ def prepare_choices(spark: SparkSession, aliases=None) -> DataFrame:
     return out.where(F.col("alias_clean") != "")
 
 
-_DEFAULT_INDEX: dict[int, "ChoiceIndex"] = {}
+_DEFAULT_INDEX: dict[tuple, "ChoiceIndex"] = {}
 
 
 def default_index(spark: SparkSession) -> "ChoiceIndex":
     """The built-in alias map, prepared once per session (cached: 96 rows)."""
-    key = id(spark)
+    key = (id(spark), spark.sparkContext.applicationId)
     if key not in _DEFAULT_INDEX:
         _DEFAULT_INDEX[key] = ChoiceIndex(prepare_choices(spark).cache())
     return _DEFAULT_INDEX[key]
