@@ -147,3 +147,15 @@ def test_alias_rows_order():
     rows = dims.alias_rows()
     assert rows[0] == (0, 0, "Uber", "Uber") and rows[1] == (0, 1, "Uber", "UBER *TRIP")
     assert len(rows) == 24 * 4
+
+
+def test_stages_cover_every_distinct_merchant_once(spark):
+    from ledgerloom.sources.driver_tables import messy_transactions
+
+    tx = messy_transactions(spark, "/root/testdata/sf0.001")
+    res = resolve_distinct(tx, "merchant")
+    n_distinct = tx.select("merchant").distinct().count()
+    assert res.count() == n_distinct
+    assert res.select("merchant").distinct().count() == n_distinct
+    stages = {r.match_stage for r in res.select("match_stage").distinct().collect()}
+    assert stages <= {"exact", "fuzzy", "aggressive", "unresolved", "empty"}

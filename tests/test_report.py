@@ -78,3 +78,15 @@ def test_unknown_group_falls_back_to_category(spark):
 def test_raw_summary_is_numeric(sample_df):
     rep = report_dict(report_row(spend_report_plan(sample_df, resolve=True), "category", formatted=False))
     assert rep["amount"] == 223417.04 and rep["total_usd"] == 225191.91
+
+
+def test_by_category_sums_to_total(spark):
+    from decimal import Decimal
+
+    from ledgerloom.sources.driver_tables import messy_transactions
+
+    tx = messy_transactions(spark, "/root/testdata/sf0.001")
+    rep = report_dict(report_row(spend_report_plan(tx, resolve=True), "category", formatted=False))
+    assert math.isclose(sum(b["amount"] for b in rep["by_category"]), rep["total_usd"], rel_tol=1e-12)
+    assert math.isclose(sum(b["pct"] for b in rep["by_category"]), 1.0, rel_tol=1e-9)
+    assert Decimal(1) == 1
