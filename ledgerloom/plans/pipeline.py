@@ -91,3 +91,41 @@ def spend_report_plan(
         return g.select(key, "amount_raw", amount.alias("amount"), "n_tx")
     rows = usd_rows(df, rates=rates)
     return group_totals(rows, group_by, round_digits=round_digits)
+
+
+def report_from_csv(
+    spark,
+    paths,
+    out_path: str | None = None,
+    *,
+    resolve: bool = True,
+    group_by: str = "category",
+    rates=None,
+    aliases=None,
+    threshold: int = 85,
+    round_digits: int | None = 2,
+    sample: int | None = None,
+) -> dict:
+    """Entry A as a library call: CSV file(s) -> formatted report dict
+    (written as one pretty JSON file when ``out_path`` is given)."""
+    from ledgerloom.operators.report import report_row
+    from ledgerloom.sources.csv_ingest import read_transactions
+    from ledgerloom.sources.sinks import report_dict, write_report_json
+
+    df = read_transactions(spark, paths, sample=sample)
+    grouped = spend_report_plan(
+        df, group_by=group_by, resolve=resolve, rates=rates, aliases=aliases, threshold=threshold, round_digits=round_digits
+    )
+    key = grouped.columns[0]
+    rep = report_row(grouped, key, round_digits)
+    return write_report_json(rep, out_path) if out_path else report_dict(rep)
+
+
+def clean_csv(spark, paths, out_dir: str, *, default_currency: str | None = None, sample: int | None = None) -> None:
+    """Entry B as a library call: CSV file(s) -> cleaned CSV directory (raw
+    columns + date_iso, amount_decimal, currency, issues)."""
+    from ledgerloom.sources.csv_ingest import read_transactions
+    from ledgerloom.sources.sinks import write_cleaned_csv
+
+    df = read_transactions(spark, paths, sample=sample)
+    write_cleaned_csv(clean_transactions(df, default_currency=default_currency), out_dir)

@@ -90,3 +90,16 @@ def test_by_category_sums_to_total(spark):
     assert math.isclose(sum(b["amount"] for b in rep["by_category"]), rep["total_usd"], rel_tol=1e-12)
     assert math.isclose(sum(b["pct"] for b in rep["by_category"]), 1.0, rel_tol=1e-9)
     assert Decimal(1) == 1
+
+
+def test_report_from_csv_end_to_end(spark, tmp_path):
+    from conftest import SAMPLE_CSV
+    from ledgerloom.plans.pipeline import clean_csv, report_from_csv
+
+    out = tmp_path / "report" / "top_spending.json"
+    rep = report_from_csv(spark, SAMPLE_CSV, str(out))
+    data = json.loads(out.read_text())
+    assert data["top_category"] == "Shopping" and data["total_usd"] == "$225,191.91" and rep == data
+    clean_csv(spark, SAMPLE_CSV, str(tmp_path / "clean"), default_currency="USD")
+    back = spark.read.option("header", True).csv(str(tmp_path / "clean"))
+    assert back.count() == 36 and back.where("currency IS NULL").count() == 0
