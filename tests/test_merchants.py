@@ -159,3 +159,17 @@ def test_stages_cover_every_distinct_merchant_once(spark):
     assert res.select("merchant").distinct().count() == n_distinct
     stages = {r.match_stage for r in res.select("match_stage").distinct().collect()}
     assert stages <= {"exact", "fuzzy", "aggressive", "unresolved", "empty"}
+
+
+def test_alias_table_from_json(spark, tmp_path):
+    import json
+
+    from ledgerloom.sources.alias_json import read_alias_json
+
+    p = tmp_path / "merchants.json"
+    p.write_text(json.dumps({"Café Uno": ["CAFE UNO #1", "Ｃａｆｅ Ｕｎｏ"], "Uber": "UBER *TRIP"}), encoding="utf-8")
+    aliases = read_alias_json(spark, str(p))
+    got = _resolve(spark, ["ｃａｆｅ ｕｎｏ", "UBER *TRIP", "Cafe Uno Downtown"], aliases=aliases)
+    assert got["ｃａｆｅ ｕｎｏ"].merchant_canonical == "Café Uno" and got["ｃａｆｅ ｕｎｏ"].merchant_score == 100
+    assert got["UBER *TRIP"].merchant_canonical == "Uber"
+    assert got["Cafe Uno Downtown"].merchant_canonical == "Café Uno"  # token subset of an alias
