@@ -2,7 +2,8 @@
 
 Native expressions only.  Steps:
   D1 trim Unicode whitespace; empty -> NULL
-  D2 strip ordinal suffixes after a digit (1st, 2nd, 3rd, 4th ...)
+  D2 strip ordinal suffixes after a digit (1st, 2nd, 3rd, 4th ...), a leading
+     weekday name and a trailing time of day after a space or comma
   D3 numeric ``m/d/yy`` (``/`` or ``-``) gets a four-digit year: yy <= pivot
      -> 20yy, else 19yy; the parts are re-joined with ``/``
   D4 ISO date or ISO timestamp (``T``/space, optional ``Z`` or offset) -> the
@@ -23,6 +24,10 @@ from ledgerloom.functions.common import strip_ws
 
 DEFAULT_PIVOT = 25  # two-digit years 00..25 -> 2000s, 26..99 -> 1900s
 
+# a leading weekday name and a trailing time of day carry no date information
+WEEKDAY = r"(?i)^(monday|tuesday|wednesday|thursday|friday|saturday|sunday|mon|tues|tue|wed|thurs|thur|thu|fri|sat|sun)\b[.,]?\s*"
+TIME_OF_DAY = r"(?i)(?:\s*,\s*|\s+)\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:am|pm)?(?:\s*(?:z|utc|gmt|[+-]\d{2}:?\d{2}))?$"
+
 _ISO = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?$"
 _YMD = r"^\d{4}[./-]\d{1,2}[./-]\d{1,2}$"
 _MDY = r"^\d{1,2}[./-]\d{1,2}[./-]\d{4}$"
@@ -62,6 +67,7 @@ def _steps(raw: Column, pivot: int) -> list[tuple[str, Column]]:
     return [
         ("_d_s1", F.nullif(strip_ws(raw), F.lit(""))),
         ("_d_s2", F.regexp_replace(F.col("_d_s1"), r"(?i)(\d)(st|nd|rd|th)", "$1")),
+        ("_d_s2", F.regexp_replace(F.regexp_replace(F.col("_d_s2"), WEEKDAY, ""), TIME_OF_DAY, "")),
         ("_d_s3", _two_digit_years(F.col("_d_s2"), pivot)),
         ("_d_words", F.when(s3.rlike("[A-Za-z]"), words)),
         ("_d_mdy", F.when(s3.rlike(_MDY), F.translate(s3, ".-", "//"))),

@@ -27,7 +27,7 @@ from ledgerloom.functions.amounts import (
     unicode_digit_table,
 )
 from ledgerloom.functions.common import WHITESPACE
-from ledgerloom.functions.dates import DEFAULT_PIVOT
+from ledgerloom.functions.dates import DEFAULT_PIVOT, TIME_OF_DAY, WEEKDAY
 from ledgerloom.operators.categorize import _dedup_map
 from ledgerloom.operators.merchants import DEFAULT_THRESHOLD, SUBSTRING_SCORE
 from ledgerloom.plans.queries import CUSTOM_RATES, DEFAULT_CURRENCY, SAMPLE_ROWS, TWO_DIGIT
@@ -90,7 +90,8 @@ def dates_ctes(src: str = "tx") -> list[str]:
     mdy = r"^\d{1,2}[./-]\d{1,2}[./-]\d{4}$"
     return [
         f"d1 AS (SELECT *, nullif({strip('date')}, '') AS s1 FROM {src})",
-        rf"d2 AS (SELECT *, regexp_replace(s1, '(?i)(\d)(st|nd|rd|th)', '\1', 'g') AS s2 FROM d1)",
+        rf"d2a AS (SELECT *, regexp_replace(s1, '(?i)(\d)(st|nd|rd|th)', '\1', 'g') AS s2a FROM d1)",
+        f"d2 AS (SELECT *, regexp_replace(regexp_replace(s2a, {lit(WEEKDAY)}, ''), {lit(TIME_OF_DAY)}, '') AS s2 FROM d2a)",
         f"d3 AS (SELECT *, regexp_replace(regexp_replace(s2, {lit(head + '(' + lo + r')\b')}, '\\1/\\2/20\\3', 'g'), "
         f"{lit(head + '(' + hi + r')\b')}, '\\1/\\2/19\\3', 'g') AS s3 FROM d2)",
         f"d4 AS (SELECT *, trim(regexp_replace(regexp_replace(s3, {lit('[,.’‘' + chr(39) + '-]')}, ' ', 'g'), '\\s+', ' ', 'g')) AS w0 FROM d3)",
