@@ -580,6 +580,20 @@ def oracle_sql() -> dict[str, str]:
         "SELECT r.issue, r.match_stage, CAST(sum(c.n) AS BIGINT) AS n_tx, count(*) AS n_merchants FROM cnt c "
         "JOIN merchant_resolved r ON r.merchant IS NOT DISTINCT FROM c.merchant GROUP BY r.issue, r.match_stage",
     )
+    money_text = lambda x: f"'$' || format('{{:,.2f}}', CAST({x} AS {MONEY}))"
+    q["spend_report_rows"] = _q(
+        _report_ctes(True)
+        + [
+            "tot AS (SELECT coalesce(sum(amount), 0) AS total FROM bycat)",
+            "top AS (SELECT category AS top_category, amount AS top_amount FROM bycat "
+            "ORDER BY amount DESC, coalesce(category, '') ASC LIMIT 1)",
+            "ranked AS (SELECT *, row_number() OVER (ORDER BY amount_raw DESC, category ASC NULLS LAST) AS rank FROM bycat)",
+        ],
+        f"SELECT CAST(r.rank AS INTEGER) AS rank, r.category, {money_text('r.amount')} AS amount, "
+        "round(CASE WHEN t.total <> 0 THEN CAST(r.amount AS DOUBLE) / CAST(t.total AS DOUBLE) ELSE 0.0 END, 6) AS pct, "
+        f"p.top_category, CAST(p.top_amount AS {MONEY}) AS top_amount, {money_text('t.total')} AS total_usd "
+        "FROM ranked r CROSS JOIN tot t CROSS JOIN top p",
+    )
     q["sample_first_n"] = _q([], f"SELECT tx_id, date, amount, merchant FROM tx ORDER BY tx_id LIMIT {SAMPLE_ROWS}")
     q["row_count"] = _q([], "SELECT count(*) AS n_rows FROM tx")
     return q

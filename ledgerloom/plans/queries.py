@@ -337,6 +337,24 @@ def top_category(spark, sf):
     return t.select(F.col("category").alias("top_category"), F.col("amount").cast(MONEY).alias("top_amount"))
 
 
+def spend_report_rows(spark, sf):
+    """The report object (resolution on) one row per listed category, with
+    the top category and total: the JSON report in a checkable shape."""
+    rep = report_row(spend_report_plan(_tx(spark, sf), resolve=True), "category")
+    items = rep.select(
+        "top_category", "top_amount", "total_usd", F.posexplode("by_category").alias("pos", "item")
+    )
+    return items.select(
+        (F.col("pos") + 1).alias("rank"),
+        F.col("item.category").alias("category"),
+        F.col("item.amount").alias("amount"),
+        F.round("item.pct", 6).alias("pct"),
+        "top_category",
+        F.col("top_amount").cast(MONEY).alias("top_amount"),
+        "total_usd",
+    )
+
+
 def spend_report_json(spark, sf):
     return report_json(report_row(spend_report_plan(_tx(spark, sf), resolve=True), "category"))
 
@@ -412,6 +430,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spend_by_column": spend_by_column,
     "spend_share": spend_share,
     "top_category": top_category,
+    "spend_report_rows": spend_report_rows,
     "spend_report_json": spend_report_json,
     "transactions_cleaned": transactions_cleaned,
     "merchant_issue_counts": merchant_issue_counts,
