@@ -1,0 +1 @@
+"""Column expressions: dates, amounts, merchant text cleaning, fuzzy scorers, money text."""

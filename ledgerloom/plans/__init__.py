@@ -1,0 +1 @@
+"""End-to-end plans, the registered query set and its SQL oracles."""
