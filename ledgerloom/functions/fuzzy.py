@@ -61,7 +61,11 @@ def token_sort_ratio(a: str, b: str) -> float:
 
 
 def token_set_ratio(a: str, b: str) -> float:
-    ta, tb = set(a.split()), set(b.split())
+    return token_set_ratio_sets(set(a.split()), set(b.split()))
+
+
+def token_set_ratio_sets(ta: set, tb: set) -> float:
+    """``token_set_ratio`` on token sets already split."""
     if not ta or not tb:
         return 0.0
     inter = ta & tb
@@ -109,12 +113,15 @@ def partial_ratio(a: str, b: str) -> float:
     return res
 
 
-def best_choice(query: str, choices: list[str]) -> tuple[int, float]:
+def best_choice(query: str, choices: list[str], choice_sets: list[set] | None = None) -> tuple[int, float]:
     """Index and token_set score of the best choice; first one on ties,
-    search stops at the first perfect score."""
+    search stops at the first perfect score.  ``choice_sets`` are the
+    choices' token sets, when the caller has split them once already."""
+    sets = choice_sets if choice_sets is not None else [set(c.split()) for c in choices]
+    qa = set(query.split())
     best_i, best_s = -1, -1.0
-    for i, ch in enumerate(choices):
-        s = token_set_ratio(query, ch)
+    for i, tb in enumerate(sets):
+        s = token_set_ratio_sets(qa, tb)
         if s > best_s:
             best_i, best_s = i, s
             if s == 100.0:

@@ -111,10 +111,11 @@ _SCORE_TYPE = T.StructType(
 )
 
 
-def _score_rows(keys, idx_lists, choice_lists) -> pd.DataFrame:
+def _score_rows(keys, idx_lists, choice_lists, set_lists=None) -> pd.DataFrame:
     rows = []
-    for key, ix, ch in zip(keys, idx_lists, choice_lists):
-        i, s = fuzzy.best_choice(key, ch)
+    set_lists = set_lists if set_lists is not None else [None] * len(keys)
+    for key, ix, ch, sets in zip(keys, idx_lists, choice_lists, set_lists):
+        i, s = fuzzy.best_choice(key, ch, sets)
         rows.append((int(ix[i]), s, fuzzy.combined_score(key, ch[i], s)))
     return pd.DataFrame(rows, columns=["best_idx", "set_score", "score"])
 
@@ -129,10 +130,12 @@ def _score_chunk(keys: pd.Series, idxs: pd.Series, choices: pd.Series) -> pd.Dat
 def _local_scorer(idxs: list[int], choices: list[str]):
     """Scoring function with the (size-checked) choice list as a constant."""
 
+    sets = [set(c.split()) for c in choices]  # split once, not once per key
+
     @F.pandas_udf(_SCORE_TYPE)
     def score_local(keys: pd.Series) -> pd.DataFrame:
         n = len(keys)
-        return _score_rows(keys, [idxs] * n, [choices] * n)
+        return _score_rows(keys, [idxs] * n, [choices] * n, [sets] * n)
 
     return score_local
 
