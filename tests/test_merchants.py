@@ -173,3 +173,9 @@ def test_alias_table_from_json(spark, tmp_path):
     assert got["ｃａｆｅ ｕｎｏ"].merchant_canonical == "Café Uno" and got["ｃａｆｅ ｕｎｏ"].merchant_score == 100
     assert got["UBER *TRIP"].merchant_canonical == "Uber"
     assert got["Cafe Uno Downtown"].merchant_canonical == "Café Uno"  # token subset of an alias
+
+
+def test_substring_mode_never_matches_an_empty_cleaned_string(spark):
+    got = _resolve(spark, ["#1234", "Walmart Supercenter"], fallback="substring")
+    assert got["#1234"].merchant_canonical is None and got["#1234"].merchant_issues == ["no_match"]
+    assert got["Walmart Supercenter"].merchant_canonical == "Walmart"

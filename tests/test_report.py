@@ -103,3 +103,15 @@ def test_report_from_csv_end_to_end(spark, tmp_path):
     clean_csv(spark, SAMPLE_CSV, str(tmp_path / "clean"), default_currency="USD")
     back = spark.read.option("header", True).csv(str(tmp_path / "clean"))
     assert back.count() == 36 and back.where("currency IS NULL").count() == 0
+
+
+def test_money_text_and_unrounded_report(spark):
+    from ledgerloom.functions.money import format_usd
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("1234.565",), ("-23.4",)], "x string")
+    got = [r.t for r in df.select(format_usd(F.col("x").cast("decimal(20,3)"), 2, use_symbol=False).alias("t")).collect()]
+    assert got == ["1,234.57 USD", "-23.40 USD"]
+    rows = spark.createDataFrame([("UBER", "$1.005"), ("UBER", "$1.005")], "merchant string, amount string")
+    rep = report_dict(report_row(spend_report_plan(rows, round_digits=None), "category", round_digits=None, formatted=False))
+    assert rep["top_amount"] == 2.01 and rep["top_category"] == "Transport"
