@@ -42,27 +42,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """The shared folder for intermediate data.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (tests, local runs) do we set a scratch one.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
-        return sc.getCheckpointDir()
+    ``spark.checkpoint.dir`` of the session is used as is.  Where it is unset,
+    a single-machine session (``local[...]``, as in tests) gets a scratch
+    folder; any other session raises, because a folder of one machine cannot
+    be read by the others."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d and sc is not None:
-        d = sc.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = d or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - static in some deployments
-            pass
-    if sc is not None:
+        spark.conf.set("spark.checkpoint.dir", d)
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
