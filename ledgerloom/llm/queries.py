@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import best_fit_packing, exact_dedup, token_blocks
+from ledgerloom.llm import best_fit_packing, embedding_dedup, exact_dedup, sharding, token_blocks, url_filters
 from ledgerloom.llm.common import read_table
 from ledgerloom.session import checkpoint_dir
 
@@ -18,6 +19,10 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_digests(spark, path)
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -26,13 +31,50 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+URL_RULES = [
+    url_filters.parse_rule(rule)
+    for rule in ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
+]
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+SHARDS = 16
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    return sharding.place(docs, F.col("doc_id"), [f"shard-{i}" for i in range(SHARDS)])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_blocks": op1_token_blocks,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op8_url_filters": op8_url_filters,
+    "op10_sharding": op10_sharding,
 }
 
 
+def _url_oracle() -> str:
+    fits = "(host = {host!r} OR suffix(host, {dot!r})) AND prefix(path, {path!r})"
+    rules = " UNION ALL ".join(
+        f"SELECT page, {r.name!r} AS rule, {r.verdict!r} AS verdict FROM urls WHERE " + fits.format(host=r.host, dot="." + r.host, path=r.path) for r in URL_RULES
+    )
+    return f"""
+        WITH rest AS (SELECT row_number() OVER () AS page, page_id,
+                             CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        urls AS (SELECT page, page_id,
+                        translate(regexp_extract(rest, '^[^/?#]*'), '{url_filters.UPPER}', '{url_filters.LOWER}') AS host,
+                        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+        fitting AS ({rules}),
+        best AS (SELECT page, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM fitting GROUP BY page)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN best USING (page)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_exact_dedup": """
@@ -42,4 +84,6 @@ def oracle_sql() -> dict[str, str]:
                    doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
                    sha256(coalesce(text, '')) AS text_sha256
             FROM documents""",
+        "op8_url_filters": _url_oracle(),
+        "op10_sharding": sharding.oracle("documents", "doc_id", SHARDS, "shard-", sharding.next_prime(sharding.SLOTS_PER_SHARD * SHARDS)),
     }
