@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import best_fit_packing, embedding_dedup, exact_dedup, sharding, token_blocks, url_filters
+from ledgerloom.llm import best_fit_packing, byte_bpe, embedding_dedup, exact_dedup, sharding, token_blocks, toxicity, url_filters
 from ledgerloom.llm.common import read_table
 from ledgerloom.session import checkpoint_dir
 
@@ -31,6 +31,14 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_and_decode(read_table(spark, sf_dir, "documents"))
+
+
 URL_RULES = [
     url_filters.parse_rule(rule)
     for rule in ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
@@ -54,6 +62,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_toxicity": op5_toxicity,
+    "op6_byte_bpe": op6_byte_bpe,
     "op8_url_filters": op8_url_filters,
     "op10_sharding": op10_sharding,
 }
