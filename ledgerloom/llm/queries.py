@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import best_fit_packing, byte_bpe, embedding_dedup, exact_dedup, sharding, token_blocks, toxicity, url_filters
+from ledgerloom.llm import best_fit_packing, byte_bpe, embedding_dedup, exact_dedup, near_dedup, sharding, token_blocks, toxicity, url_filters
 from ledgerloom.llm.common import read_table
 from ledgerloom.session import checkpoint_dir
 
@@ -39,6 +39,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_and_decode(read_table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(read_table(spark, sf_dir, "documents"), percent=85)
+
+
 URL_RULES = [
     url_filters.parse_rule(rule)
     for rule in ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_near_dedup": op7_near_dedup,
     "op8_url_filters": op8_url_filters,
     "op10_sharding": op10_sharding,
 }
