@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import best_fit_packing, byte_bpe, embedding_dedup, exact_dedup, near_dedup, sharding, token_blocks, toxicity, url_filters
+from ledgerloom.llm import best_fit_packing, byte_bpe, embedding_dedup, exact_dedup, near_dedup, sharding, substring_dedup, token_blocks, toxicity, url_filters
 from ledgerloom.llm.common import read_table
 from ledgerloom.session import checkpoint_dir
 
@@ -53,6 +53,10 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeat_report(read_table(spark, sf_dir, "documents"))
+
+
 SHARDS = 16
 
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_near_dedup": op7_near_dedup,
     "op8_url_filters": op8_url_filters,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
 }
 
