@@ -16,8 +16,11 @@ Steps, in order:
   A8  spaces removed; apostrophe grouping removed, tagged
   A9  both ``,`` and ``.``: the later one is the decimal separator
   A10 only ``,``: last group of <= 2 digits is decimals (``comma_as_decimal``)
-  A11 keep digits, dot, minus; empty -> NULL
-  A12 to decimal; several dots and no ``..`` -> keep the last dot, tagged
+  A11 minus signs of any kind become ``-``; keep digits, dot, minus; empty -> NULL
+  A12 to decimal(38,18); several dots and no ``..`` -> keep the last dot,
+      tagged.  More than 20 digits before the point: NULL amount, tagged
+      ``amount_out_of_range`` (the currency stays); more than 18 after it:
+      rounded HALF_UP, tagged ``amount_rounded``
   A13 apply the sign
   A14 currency: code, else symbol, else a currency word in the raw text
 """
@@ -35,8 +38,10 @@ from pyspark.sql import types as T
 from ledgerloom.functions.common import WHITESPACE
 from ledgerloom.sources.dims import CURRENCY_WORDS, SYMBOL_CURRENCY, SYMBOL_SEARCH_ORDER
 
-AMOUNT_TYPE = T.DecimalType(24, 8)
-AMOUNT_SQL_TYPE = "decimal(24,8)"
+# 20 digits before and 18 after the point (18 is the scale of the smallest
+# common currency unit, the wei); what does not fit is tagged, never dropped.
+AMOUNT_TYPE = T.DecimalType(38, 18)
+AMOUNT_SQL_TYPE = "decimal(38,18)"
 
 # FIXED VALUES — special spaces, in the order they are tested.
 SPECIAL_SPACES = ["\u00a0", "\u2009", "\u202f", "\u200a"]  # no-break, thin, narrow no-break, hair
@@ -46,6 +51,9 @@ DECIMAL_SEPARATORS_TO_DOT = "\uff0e\u066b"  # fullwidth full stop, Arabic decima
 THOUSANDS_SEPARATORS_DROPPED = "\u066c"  # Arabic thousands separator
 SIGN_CHARS = ["-", "\u2013", "\u2212"]  # hyphen-minus, en dash, minus sign
 APOSTROPHES = "'\u2019"  # apostrophe, right single quotation mark
+# A plain number, and one with a digit other than 0 beyond the 18th decimal.
+NUMBER = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"
+TOO_FINE = r"^-?[0-9]*\.[0-9]{18}[0-9]*[1-9]"
 
 
 @lru_cache(maxsize=1)
@@ -113,7 +121,7 @@ def _case(pairs: list[tuple[str, str]]) -> str:
 
 def parse_amount_chain(raw: str) -> _Chain:
     """The parse steps; the final body is
-    struct<amount_decimal decimal(24,8), currency string, issues array<string>>."""
+    struct<amount_decimal decimal(38,18), currency string, issues array<string>>."""
     digits_src, digits_dst = unicode_digit_table()
     seps = DECIMAL_SEPARATORS_TO_DOT + THOUSANDS_SEPARATORS_DROPPED
     trail = sql_lit(r"(?U)\b([A-Za-z]{3})\b\s*$")
@@ -167,11 +175,17 @@ def parse_amount_chain(raw: str) -> _Chain:
         "WHEN s.has_c THEN replace(s.n2, ',', '') ELSE s.n2 END"
     )
     # A11, A12
-    ch.step(n4=f"regexp_replace(s.n3, {sql_lit(r'[^0-9.\-]')}, '')")
+    minus = f"translate(s.n3, {sql_lit(''.join(SIGN_CHARS))}, {sql_lit('-' * len(SIGN_CHARS))})"
+    ch.step(n4=f"regexp_replace({minus}, {sql_lit(r'[^0-9.\-]')}, '')")
     ch.step(v1=f"try_cast(s.n4 AS {AMOUNT_SQL_TYPE})", ld=_last_index("s.n4", "."))
     ch.step(
-        v2="CASE WHEN s.v1 IS NULL AND length(s.n4) - length(replace(s.n4, '.', '')) > 1 AND instr(s.n4, '..') = 0 "
-        f"THEN try_cast(concat(replace(substring(s.n4, 1, s.ld), '.', ''), substring(s.n4, s.ld + 1)) AS {AMOUNT_SQL_TYPE}) END"
+        fix="CASE WHEN s.v1 IS NULL AND length(s.n4) - length(replace(s.n4, '.', '')) > 1 AND instr(s.n4, '..') = 0 "
+        "THEN concat(replace(substring(s.n4, 1, s.ld), '.', ''), substring(s.n4, s.ld + 1)) END"
+    )
+    ch.step(v2=f"try_cast(s.fix AS {AMOUNT_SQL_TYPE})", num="coalesce(s.fix, s.n4)")
+    ch.step(
+        big=f"(s.v1 IS NULL AND s.v2 IS NULL AND s.num RLIKE {sql_lit(NUMBER)})",
+        fine=f"(s.num RLIKE {sql_lit(TOO_FINE)})",
     )
     # A13, A14
     tag_pairs = [(f"s.sp[{i}]", "normalized_space") for i in range(len(SPECIAL_SPACES))] + [
@@ -179,14 +193,16 @@ def parse_amount_chain(raw: str) -> _Chain:
         ("s.dec", "normalized_decimal_separators"),
         ("s.apos", "removed_apostrophe_grouping"),
         ("s.comma_dec", "comma_as_decimal"),
-        ("(s.v1 IS NULL AND s.v2 IS NOT NULL)", "repaired_multiple_dots"),
+        ("(s.fix IS NOT NULL)", "repaired_multiple_dots"),
+        ("s.big", "amount_out_of_range"),
+        ("(s.fine AND NOT s.big)", "amount_rounded"),
     ]
     issues = "filter(array(" + ", ".join(f"CASE WHEN {c} THEN '{t}' END" for c, t in tag_pairs) + "), x -> x IS NOT NULL)"
     sym_map = "map(" + ", ".join(f"{sql_lit(a)}, {sql_lit(b)}" for a, b in SYMBOL_CURRENCY) + ")"
     words = _case([
         (f"(lower({raw}) RLIKE {sql_lit(r'(?U)\b' + re.escape(w) + r'\b')})", sql_lit(cur)) for w, cur in CURRENCY_WORDS
     ])
-    ok = "(NOT s.blank AND s.n4 != '' AND (s.v1 IS NOT NULL OR s.v2 IS NOT NULL))"
+    ok = "(NOT s.blank AND s.n4 != '' AND (s.v1 IS NOT NULL OR s.v2 IS NOT NULL OR s.big))"
     body = (
         "named_struct("
         f"'amount_decimal', CAST(CASE WHEN {ok} THEN (CASE WHEN s.neg THEN -coalesce(s.v1, s.v2) ELSE coalesce(s.v1, s.v2) END) END AS {AMOUNT_SQL_TYPE}), "
@@ -201,7 +217,7 @@ OUTPUTS = ["amount_decimal", "currency", "issues"]
 
 
 def clean_amounts(df: DataFrame, amount_col: str = "amount", *, prefix: str = "_amt_") -> DataFrame:
-    """Add ``amount_decimal decimal(24,8)``, ``currency string`` and
+    """Add ``amount_decimal decimal(38,18)``, ``currency string`` and
     ``issues array<string>`` computed from ``amount_col`` (existing columns
     of those names are replaced)."""
     keep = [c for c in df.columns if c not in OUTPUTS]

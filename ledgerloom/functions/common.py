@@ -18,9 +18,3 @@ def strip_ws(c: Column) -> Column:
     """Trim Unicode whitespace at both ends (plain ``trim`` only removes
     spaces): a character-set trim, no regex."""
     return F.btrim(c, F.lit(WHITESPACE))
-
-
-def contains(c: Column, s: str) -> Column:
-    return F.instr(c, s) > 0
-
-

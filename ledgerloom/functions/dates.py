@@ -26,10 +26,13 @@ DEFAULT_PIVOT = 25  # two-digit years 00..25 -> 2000s, 26..99 -> 1900s
 
 # a leading weekday name and a trailing time of day carry no date information
 WEEKDAY = r"(?i)^(monday|tuesday|wednesday|thursday|friday|saturday|sunday|mon|tues|tue|wed|thurs|thur|thu|fri|sat|sun)\b[.,]?\s*"
-TIME_OF_DAY = r"(?i)(?:\s*,\s*|\s+)\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:am|pm)?(?:\s*(?:z|utc|gmt|[+-]\d{2}:?\d{2}))?$"
+TIME_OF_DAY = r"(?i)(?:\s*,\s*|\s+)\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:am|pm)?(?:\s*(?:z|utc|gmt|[+-]\d{2}(?::?\d{2})?))?$"
 
-_ISO = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?$"
+WORD_FORMATS = ("MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy", "yyyy MMM d", "yyyy MMMM d")
+
+_ISO = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 _YMD = r"^\d{4}[./-]\d{1,2}[./-]\d{1,2}$"
+_COMPACT = r"^\d{8}$"
 _MDY = r"^\d{1,2}[./-]\d{1,2}[./-]\d{4}$"
 
 
@@ -62,7 +65,7 @@ def _trailing_year(c: Column, pivot: int) -> Column:
 def _steps(raw: Column, pivot: int) -> list[tuple[str, Column]]:
     """(name, expression) steps; each may read the names before it."""
     s3 = F.col("_d_s3")
-    words = F.regexp_replace(s3, r"[,.’‘'\-]", " ")
+    words = F.regexp_replace(F.regexp_replace(s3, r"[,.’‘'/\-]", " "), r"(?i)\bsept\b", "Sep")
     words = _trailing_year(F.trim(F.regexp_replace(words, r"(?U)\s+", " ")), pivot)
     return [
         ("_d_s1", F.nullif(strip_ws(raw), F.lit(""))),
@@ -77,12 +80,13 @@ def _steps(raw: Column, pivot: int) -> list[tuple[str, Column]]:
 def _final() -> Column:
     s3 = F.col("_d_s3")
     iso = F.when(s3.rlike(_ISO), F.try_to_date(F.regexp_extract(s3, _ISO, 1), "yyyy-M-d"))
+    compact = F.when(s3.rlike(_COMPACT), F.try_to_date(s3, "yyyyMMdd"))
     ymd = F.when(s3.rlike(_YMD), F.try_to_date(F.translate(s3, "/.", "--"), "yyyy-M-d"))
     mdy = F.coalesce(F.try_to_date(F.col("_d_mdy"), "M/d/yyyy"), F.try_to_date(F.col("_d_mdy"), "d/M/yyyy"))
     named = F.coalesce(
-        *[F.try_to_date(F.col("_d_words"), fmt) for fmt in ("MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy")]
+        *[F.try_to_date(F.col("_d_words"), fmt) for fmt in WORD_FORMATS]
     )
-    return F.coalesce(iso, ymd, mdy, named)
+    return F.coalesce(iso, compact, ymd, mdy, named)
 
 
 

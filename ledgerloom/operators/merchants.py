@@ -68,22 +68,24 @@ def prepare_choices(spark: SparkSession, aliases=None) -> DataFrame:
     """Alias dimension -> ``(choice_idx, alias_clean, canonical)``.
 
     ``aliases`` is a dict ``{canonical: [aliases]}`` (default: built-in map)
-    or a DataFrame ``(choice_idx, canonical, alias)``.  Choices whose cleaned
-    form is empty are dropped.  A dict is a literal table built on the
-    driver, so its NFKC step is applied to the literals themselves; a
-    DataFrame goes through the Arrow function.
+    or a DataFrame ``(choice_idx, canonical, alias)``; an empty one means "no
+    map".  Choices whose cleaned form is empty are dropped.  A dict is a
+    literal table built on the driver, so its NFKC step is applied to the
+    literals themselves; a DataFrame goes through the Arrow function.
+
+    ``canonical`` is the one that wrote the cleaned text last, in list order:
+    a text that two canonicals share means the later one in every stage.
     """
     if aliases is None or isinstance(aliases, dict):
-        rows = [
-            (ci * 1_000_000 + ai, canon, unicodedata.normalize("NFKC", alias))
-            for ci, ai, canon, alias in dims.alias_rows(aliases)
-        ]
+        rows = [(idx, canon, unicodedata.normalize("NFKC", alias)) for idx, canon, alias in dims.alias_rows(aliases)]
         raw = spark.createDataFrame(rows, "choice_idx long, canonical string, _norm string")
     else:
         raw = aliases.select(F.col("choice_idx").cast("long"), "canonical", "alias")
         raw = nfkc_normalize(raw, "alias", "_norm")
     out = raw.select("choice_idx", clean_merchant_expr(F.col("_norm")).alias("alias_clean"), "canonical")
-    return out.where(F.col("alias_clean") != "")
+    out = out.where(F.col("alias_clean") != "")
+    last = out.groupBy("alias_clean").agg(F.max_by("canonical", "choice_idx").alias("canonical"))
+    return out.drop("canonical").join(last, "alias_clean").select("choice_idx", "alias_clean", "canonical")
 
 
 _DEFAULT_INDEX: dict[tuple, "ChoiceIndex"] = {}
@@ -149,7 +151,7 @@ class ChoiceIndex:
         self.dim = ChunkedDimension(choices, "choice_idx", ["alias_clean"], chunk_size)
         self.n = self.dim.n
         self.small = self.dim.k <= BROADCAST_CHUNK_ROWS
-        self.exact = choices.groupBy("alias_clean").agg(F.max_by("canonical", "choice_idx").alias("canonical"))
+        self.exact = choices.select("alias_clean", "canonical").distinct()
         ct = choices.select("choice_idx", _tokens(F.col("alias_clean")).alias("_t"))
         self.tokens = ct.select("choice_idx", F.explode("_t").alias("tok"), F.size("_t").alias("nc"))
         if self.dim.k == 1:

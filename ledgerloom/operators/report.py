@@ -9,7 +9,9 @@
 * ``top_group``     greatest rounded amount; ties go to the alphabetically
   first key, NULL counting as "" (so NULL wins a tie).  A distributed top-1.
 * ``report_row``    the one-row report ``top_category, amount, top_amount,
-  by_category[], total_usd`` with money text like ``$1,234.56``.
+  by_category[], total_usd`` with money text like ``$1,234.56`` (always two
+  decimals).  Its list is one array: meant for categories.
+* ``report_rows``   the same listing as rows, for groupings of any size.
 """
 
 from __future__ import annotations
@@ -19,8 +21,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import format_usd
 
-MAX_REPORT_GROUPS = 100_000
-
 
 def group_totals(
     df: DataFrame,
@@ -58,18 +58,16 @@ def top_group(grouped: DataFrame, key: str) -> DataFrame:
 
 
 
-def report_row(
-    grouped: DataFrame, key: str, round_digits: int | None = 2, check_size: bool = True, formatted: bool = True
-) -> DataFrame:
-    """One-row report DataFrame.  The by-group list is one array, so the
-    number of groups is checked first (categories are a bounded set).
-    ``formatted=False`` keeps every amount numeric (the raw summary)."""
-    if check_size and key != "category":
-        n = grouped.count()
-        if n > MAX_REPORT_GROUPS:
-            raise ValueError(f"{n} groups: too many for a one-row report; use group_totals()")
-    d = 2 if round_digits is None else round_digits
-    money = (lambda c: format_usd(c, d)) if formatted else (lambda c: c.cast("double"))
+def report_rows(grouped: DataFrame, key: str) -> DataFrame:
+    """``key, amount`` (text), ``pct``: one row per group, nothing gathered."""
+    shared = with_share(grouped)
+    return shared.select(key, format_usd(F.col("amount")).alias("amount"), "pct")
+
+
+def report_row(grouped: DataFrame, key: str, formatted: bool = True) -> DataFrame:
+    """One-row report DataFrame.  ``formatted=False`` keeps every amount
+    numeric (the raw summary)."""
+    money = format_usd if formatted else (lambda c: c.cast("double"))
     item = F.struct(
         (-F.col("amount_raw")).alias("neg_raw"),
         F.col(key).isNull().alias("key_null"),
@@ -105,6 +103,11 @@ def report_row(
 
 
 def report_json(report: DataFrame) -> DataFrame:
-    """``report_row`` -> one JSON string column ``report``."""
+    """``report_row`` -> one JSON string column ``report``.  Numbers are written
+    as decimals (amounts with 2 places, shares with 6), never in exponents."""
+    by_category = F.transform(
+        "by_category", lambda x: F.struct(x["category"].alias("category"), x["amount"].alias("amount"), x["pct"].cast("decimal(12,6)").alias("pct"))
+    )
+    out = report.withColumn("by_category", by_category).withColumn("top_amount", F.col("top_amount").cast("decimal(38,2)"))
     cols = [F.col(c) for c in report.columns]
-    return report.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("report"))
+    return out.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("report"))

@@ -30,7 +30,7 @@ from ledgerloom.functions.common import WHITESPACE
 from ledgerloom.functions.dates import DEFAULT_PIVOT, TIME_OF_DAY, WEEKDAY
 from ledgerloom.operators.categorize import _dedup_map
 from ledgerloom.operators.merchants import DEFAULT_THRESHOLD, SUBSTRING_SCORE
-from ledgerloom.plans.queries import CUSTOM_RATES, DEFAULT_CURRENCY, SAMPLE_ROWS, TWO_DIGIT
+from ledgerloom.plans.queries import CARRIED, CUSTOM_RATES, DEFAULT_CURRENCY, LARGE_RATES, SAMPLE_ROWS, SHARED_ALIASES, TABLE_CODES, TWO_DIGIT
 from ledgerloom.sources import dims
 from ledgerloom.sources.driver_tables import TX_MERCHANTS
 
@@ -85,7 +85,7 @@ def with_ctes(*ctes: str) -> str:
 def dates_ctes(src: str = "tx") -> list[str]:
     lo, hi = _years(0, DEFAULT_PIVOT), _years(DEFAULT_PIVOT + 1, 99)
     head = r"\b(\d{1,2})[/-](\d{1,2})[/-]"
-    iso = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?$"
+    iso = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
     ymd = r"^\d{4}[./-]\d{1,2}[./-]\d{1,2}$"
     mdy = r"^\d{1,2}[./-]\d{1,2}[./-]\d{4}$"
     return [
@@ -94,15 +94,17 @@ def dates_ctes(src: str = "tx") -> list[str]:
         f"d2 AS (SELECT *, regexp_replace(regexp_replace(s2a, {lit(WEEKDAY)}, ''), {lit(TIME_OF_DAY)}, '') AS s2 FROM d2a)",
         f"d3 AS (SELECT *, regexp_replace(regexp_replace(s2, {lit(head + '(' + lo + r')\b')}, '\\1/\\2/20\\3', 'g'), "
         f"{lit(head + '(' + hi + r')\b')}, '\\1/\\2/19\\3', 'g') AS s3 FROM d2)",
-        f"d4 AS (SELECT *, trim(regexp_replace(regexp_replace(s3, {lit('[,.’‘' + chr(39) + '-]')}, ' ', 'g'), '\\s+', ' ', 'g')) AS w0 FROM d3)",
+        f"d4 AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(s3, {lit('[,.’‘' + chr(39) + '/-]')}, ' ', 'g'), "
+        r"'(?i)\bsept\b', 'Sep', 'g'), '\s+', ' ', 'g')) AS w0 FROM d3)",
         f"d5 AS (SELECT *, regexp_replace(regexp_replace(w0, {lit(r'(\s)(' + lo + ')$')}, '\\120\\2'), "
         f"{lit(r'(\s)(' + hi + ')$')}, '\\119\\2') AS words FROM d4)",
         f"""dated AS (SELECT *, CAST(coalesce(
       CASE WHEN regexp_matches(s3, {lit(iso)}) THEN try_strptime(regexp_extract(s3, {lit(iso)}, 1), '%Y-%m-%d') END,
+      CASE WHEN regexp_matches(s3, '^[0-9]{{8}}$') THEN try_strptime(s3, '%Y%m%d') END,
       CASE WHEN regexp_matches(s3, {lit(ymd)}) THEN try_strptime(translate(s3, '/.', '--'), '%Y-%m-%d') END,
       CASE WHEN regexp_matches(s3, {lit(mdy)}) THEN coalesce(try_strptime(translate(s3, '.-', '//'), '%m/%d/%Y'),
                                                           try_strptime(translate(s3, '.-', '//'), '%d/%m/%Y')) END,
-      CASE WHEN regexp_matches(s3, '[A-Za-z]') THEN try_strptime(words, ['%b %d %Y', '%B %d %Y', '%d %b %Y', '%d %B %Y']) END
+      CASE WHEN regexp_matches(s3, '[A-Za-z]') THEN try_strptime(words, ['%b %d %Y', '%B %d %Y', '%d %b %Y', '%d %B %Y', '%Y %b %d', '%Y %B %d']) END
     ) AS DATE) AS date_iso FROM d5)""",
     ]
 
@@ -130,10 +132,12 @@ def amounts_ctes(src: str = "tx") -> list[str]:
         ("dec", "normalized_decimal_separators"),
         ("apos", "removed_apostrophe_grouping"),
         ("comma_dec", "comma_as_decimal"),
-        ("(v1 IS NULL AND v2 IS NOT NULL)", "repaired_multiple_dots"),
+        ("fix IS NOT NULL", "repaired_multiple_dots"),
+        ("big", "amount_out_of_range"),
+        ("fine AND NOT big", "amount_rounded"),
     ]
     issues = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN {lit(t)} END" for c, t in tags) + "], lambda x: x IS NOT NULL)"
-    ok = "(NOT blank AND n4 <> '' AND (v1 IS NOT NULL OR v2 IS NOT NULL))"
+    ok = "(NOT blank AND n4 <> '' AND (v1 IS NOT NULL OR v2 IS NOT NULL OR big))"
     trail_removed = f"regexp_replace(t5, {trail}, '')"
     return [
         f"a1 AS (SELECT *, {strip('amount')} AS t1 FROM {src})",
@@ -162,12 +166,15 @@ def amounts_ctes(src: str = "tx") -> list[str]:
       WHEN comma_dec THEN array_to_string(parts[1:len(parts) - 1], '') || '.' || parts[-1]
       WHEN has_c THEN replace(n2, ',', '')
       ELSE n2 END AS n3 FROM a16)""",
-        r"a18 AS (SELECT *, regexp_replace(n3, '[^0-9.\-]', '', 'g') AS n4 FROM a17)",
-        f"a19 AS (SELECT *, TRY_CAST(n4 AS DECIMAL(24,8)) AS v1, {_last_index('n4', '.')} AS ld FROM a18)",
-        """a20 AS (SELECT *, CASE WHEN v1 IS NULL AND length(n4) - length(replace(n4, '.', '')) > 1 AND instr(n4, '..') = 0
-      THEN TRY_CAST(replace(substring(n4, 1, ld), '.', '') || substring(n4, ld + 1) AS DECIMAL(24,8)) END AS v2 FROM a19)""",
+        r"a18 AS (SELECT *, regexp_replace(replace(replace(n3, '–', '-'), '−', '-'), '[^0-9.\-]', '', 'g') AS n4 FROM a17)",
+        f"a19 AS (SELECT *, TRY_CAST(n4 AS DECIMAL(38,18)) AS v1, {_last_index('n4', '.')} AS ld FROM a18)",
+        """a19b AS (SELECT *, CASE WHEN v1 IS NULL AND length(n4) - length(replace(n4, '.', '')) > 1 AND instr(n4, '..') = 0
+      THEN replace(substring(n4, 1, ld), '.', '') || substring(n4, ld + 1) END AS fix FROM a19)""",
+        r"""a20 AS (SELECT *, TRY_CAST(fix AS DECIMAL(38,18)) AS v2,
+      v1 IS NULL AND TRY_CAST(fix AS DECIMAL(38,18)) IS NULL AND regexp_matches(coalesce(fix, n4), '^-?([0-9]+\.?[0-9]*|\.[0-9]+)$') AS big,
+      regexp_matches(coalesce(fix, n4), '^-?[0-9]*\.[0-9]{18}[0-9]*[1-9]') AS fine FROM a19b)""",
         f"""amt AS (SELECT *,
-      CASE WHEN {ok} THEN CAST(CASE WHEN neg THEN -coalesce(v1, v2) ELSE coalesce(v1, v2) END AS DECIMAL(24,8)) END AS amount_decimal,
+      CASE WHEN {ok} THEN CAST(CASE WHEN neg THEN -coalesce(v1, v2) ELSE coalesce(v1, v2) END AS DECIMAL(38,18)) END AS amount_decimal,
       CASE WHEN {ok} THEN coalesce(code, {sym_map}, {words}) END AS currency,
       CASE WHEN {ok} THEN {issues} ELSE []::VARCHAR[] END AS issues
     FROM a20)""",
@@ -186,10 +193,17 @@ def rates_values(rates: dict | None = None) -> str:
             except InvalidOperation:
                 continue
             table[k.upper()] = str(v)
-    rows = ", ".join(f"({lit(c)}, CAST({lit(r)} AS DECIMAL(13,8)))" for c, r in table.items())
+    rows = ", ".join(f"({lit(c)}, CAST({lit(r)} AS DECIMAL(17,10)))" for c, r in table.items())
     return f"(VALUES {rows})"
 
 
+def usd_sql(amount: str, rate: str) -> str:
+    """Whole and fractional part times the rate: each product fits a decimal."""
+    whole = f"CAST(trunc({amount}) AS DECIMAL(20,0))"
+    part = f"CAST({amount} - trunc({amount}) AS DECIMAL(18,18))"
+    return f"TRY_CAST({whole} * {rate} AS DECIMAL(38,16)) + CAST({part} * {rate} AS DECIMAL(38,16))"
+
+
 def fx_ctes(src: str = "amt", rates: dict | None = None, name: str = "fx") -> list[str]:
     code_map = "CASE upper(currency) " + " ".join(f"WHEN {lit(a)} THEN {lit(b)}" for a, b in dims.CODE_ALIASES) + " END"
     return [
@@ -197,7 +211,7 @@ def fx_ctes(src: str = "amt", rates: dict | None = None, name: str = "fx") -> li
         f"""{name} AS (SELECT a.*, CASE
         WHEN a.amount_decimal IS NULL THEN NULL
         WHEN a.currency IS NULL OR a.currency = '' THEN CAST(a.amount_decimal AS DECIMAL(38,16))
-        ELSE CAST(a.amount_decimal * r.rate AS DECIMAL(38,16)) END AS amount_usd
+        ELSE CAST({usd_sql('a.amount_decimal', 'r.rate')} AS DECIMAL(38,16)) END AS amount_usd
       FROM {src} a LEFT JOIN rates_{name} r ON r.currency = coalesce({code_map.replace('currency', 'a.currency')}, upper(a.currency)))""",
     ]
 
@@ -227,19 +241,20 @@ def aggressive_sql(x: str) -> str:
     return strip(f"regexp_replace({s}, '\\s+', ' ', 'g')")
 
 
-def alias_values() -> str:
+def alias_values(aliases: dict | None = None) -> str:
     rows = ", ".join(
-        f"({ci * 1_000_000 + ai}, {lit(canon)}, {lit(unicodedata.normalize('NFKC', alias))})"
-        for ci, ai, canon, alias in dims.alias_rows()
+        f"({idx}, {lit(canon)}, {lit(unicodedata.normalize('NFKC', alias))})" for idx, canon, alias in dims.alias_rows(aliases)
     )
     return f"(VALUES {rows})"
 
 
-def choices_ctes() -> list[str]:
+def choices_ctes(aliases: dict | None = None) -> list[str]:
     return [
-        f"alias_raw(choice_idx, canonical, alias) AS {alias_values()}",
-        f"choices AS (SELECT choice_idx, canonical, alias_clean FROM (SELECT *, {clean_sql('alias')} AS alias_clean FROM alias_raw) WHERE alias_clean <> '')",
-        "exact_map AS (SELECT alias_clean, arg_max(canonical, choice_idx) AS canonical FROM choices GROUP BY alias_clean)",
+        f"alias_raw(choice_idx, canonical, alias) AS {alias_values(aliases)}",
+        f"written AS (SELECT choice_idx, canonical, alias_clean FROM (SELECT *, {clean_sql('alias')} AS alias_clean FROM alias_raw) WHERE alias_clean <> '')",
+        "exact_map AS (SELECT alias_clean, arg_max(canonical, choice_idx) AS canonical FROM written GROUP BY alias_clean)",
+        # a matched text means the canonical that wrote it last
+        "choices AS (SELECT w.choice_idx, e.canonical, w.alias_clean FROM written w JOIN exact_map e USING (alias_clean))",
     ]
 
 
@@ -370,7 +385,7 @@ def _q(ctes: list[str], body: str) -> str:
     return with_ctes(tx_cte(), *ctes) + body
 
 
-def _report_ctes(resolve: bool) -> list[str]:
+def _report_ctes(resolve: bool, digits: int = 2) -> list[str]:
     """Per-merchant USD totals with their category, as the report uses."""
     ctes = amounts_ctes() + fx_ctes()
     ctes.append("pm AS (SELECT merchant, sum(amount_usd) AS amount_usd, count(*) AS n_tx FROM fx GROUP BY merchant)")
@@ -388,7 +403,7 @@ def _report_ctes(resolve: bool) -> list[str]:
         ctes.append(f"pmcat AS (SELECT pm.*, {rules_case('merchant')} AS category FROM pm)")
     ctes.append(
         "bycat AS (SELECT category, coalesce(sum(amount_usd), 0) AS amount_raw, CAST(sum(n_tx) AS BIGINT) AS n_tx, "
-        "round(coalesce(sum(amount_usd), 0), 2) AS amount FROM pmcat GROUP BY category)"
+        f"round(coalesce(sum(amount_usd), 0), {digits}) AS amount FROM pmcat GROUP BY category)"
     )
     return ctes
 
@@ -535,7 +550,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["merchant_totals_by_category"] = _q(
         amounts_ctes() + fx_ctes(),
-        f"SELECT merchant, {rules_case('merchant')} AS category, CAST(round(sum(amount_usd), 2) AS {MONEY}) AS total_usd, "
+        f"SELECT merchant, {rules_case('merchant')} AS category, CAST(round(coalesce(sum(amount_usd), 0), 2) AS {MONEY}) AS total_usd, "
         "count(*) AS n_tx FROM fx GROUP BY merchant",
     )
     q["spend_by_category"] = _q(
@@ -594,6 +609,98 @@ def oracle_sql() -> dict[str, str]:
         f"p.top_category, CAST(p.top_amount AS {MONEY}) AS top_amount, {money_text('t.total')} AS total_usd "
         "FROM ranked r CROSS JOIN tot t CROSS JOIN top p",
     )
+    totals = "(SELECT coalesce(sum(amount), 0) FROM bycat)"
+    top = "(SELECT {} FROM bycat ORDER BY amount DESC, coalesce(category, '') ASC LIMIT 1)"
+    q["report_round_digits"] = _q(
+        _report_ctes(False, 0),
+        f"SELECT {top.format('category')} AS top_category, {money_text(top.format('amount'))} AS amount, {money_text(totals)} AS total_usd, "
+        "CAST(count(*) AS INTEGER) AS n_groups FROM bycat",
+    )
+    share = f"format('{{:.6f}}', round(CASE WHEN {totals} <> 0 THEN CAST(amount AS DOUBLE) / CAST({totals} AS DOUBLE) ELSE 0 END, 6))"
+    text_of = lambda x: f"coalesce(CAST(to_json({x}) AS VARCHAR), 'null')"
+    item = f"""'{{"category":' || {text_of('category')} || ',"amount":"' || {money_text('amount')} || '","pct":' || {share} || '}}'"""
+    q["spend_report_json"] = _q(
+        _report_ctes(True),
+        f"""SELECT '{{"top_category":' || {text_of(top.format('category'))} || ',"amount":"' || {money_text(top.format('amount'))}
+          || '","top_amount":' || CAST(CAST({top.format('amount')} AS {MONEY}) AS VARCHAR)
+          || ',"by_category":[' || string_agg({item}, ',' ORDER BY amount_raw DESC, category ASC NULLS LAST)
+          || '],"total_usd":"' || {money_text(totals)} || '"}}' AS report FROM bycat""",
+    )
+    text = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"
+    q["amounts_precision"] = with_ctes(
+        f"""tx AS (SELECT o_orderkey AS tx_id, CASE o_orderkey % 9
+          WHEN 0 THEN 'Ξ0.' || lpad(o_orderkey::VARCHAR, 18, '0')
+          WHEN 1 THEN '£−' || t
+          WHEN 2 THEN '€–' || replace(t, '.', ',')
+          WHEN 3 THEN lpad(o_orderkey::VARCHAR, 17, '9') || '.25 JPY'
+          WHEN 4 THEN lpad(o_orderkey::VARCHAR, 21, '9') || ' JPY'
+          WHEN 5 THEN '0.' || lpad(o_orderkey::VARCHAR, 19, '0') || '5 ETH'
+          WHEN 6 THEN translate(t, '0123456789.', '٠١٢٣٤٥٦٧٨٩٫')
+          WHEN 7 THEN '7’000' || chr(8201) || t || ' CHF'
+          ELSE '1.' || t || ' INR' END AS amount FROM (SELECT *, {text} AS t FROM orders))""",
+        *amounts_ctes(),
+    ) + "SELECT tx_id, amount, amount_decimal, currency, array_to_string(issues, ',') AS issues FROM amt"
+    codes = {"BTC": "105000", "SHB": "0.0000123456"}
+    assert {k.upper(): v for k, v in LARGE_RATES.items()} == codes
+    q["fx_large_rates"] = (
+        "WITH big AS (SELECT o_orderkey AS tx_id, "
+        "CAST(CAST(o_orderkey AS HUGEINT) AS DECIMAL(18,0)) AS k, "
+        "CASE o_orderkey % 3 WHEN 0 THEN 'BTC' WHEN 1 THEN 'SHB' END AS currency FROM orders) "
+        "SELECT tx_id, currency, CAST(CAST(k AS DECIMAL(22,0)) * CAST(CASE currency WHEN 'BTC' THEN '105' WHEN 'SHB' THEN '0.0000000123456' ELSE '0.001' END "
+        "AS DECIMAL(16,13)) AS DECIMAL(38,16)) AS amount_usd FROM big"
+    )
+    rates = ", ".join(lit(c) for c in TABLE_CODES)
+    q["fx_rates_table"] = _q(
+        amounts_ctes(),
+        f"""SELECT coalesce(currency, '(none)') AS currency, count(*) AS n_rows, CAST(round(sum(usd), 2) AS {MONEY}) AS amount_usd FROM (
+          SELECT a.currency, {usd_sql('a.amount_decimal', 'r.rate')} AS usd FROM amt a LEFT JOIN (
+            SELECT code, arg_max(rate, pos) AS rate FROM (
+              SELECT upper([{rates}][n_nationkey % {len(TABLE_CODES)} + 1]) AS code,
+                     CAST((n_nationkey + 5) / 10.0 AS DECIMAL(17,10)) AS rate, n_nationkey AS pos FROM nation
+              UNION ALL SELECT currency, rate, -1 FROM {rates_values()} AS d(currency, rate)) GROUP BY code) r
+          ON r.code = coalesce(a.currency, 'USD')) GROUP BY 1""",
+    )
+    shared = choices_ctes(SHARED_ALIASES) + merchant_keys_ctes() + resolve_ctes()
+    q["merchants_alias_collision"] = _q(
+        shared, "SELECT merchant, merchant_canonical, merchant_score, match_stage FROM merchant_resolved"
+    )
+    q["merchants_no_map"] = _q(
+        [],
+        "SELECT tx_id, merchant, CAST(NULL AS VARCHAR) AS merchant_canonical, "
+        f"CASE WHEN merchant IS NULL OR {strip('merchant')} = '' THEN 'empty_merchant' ELSE 'no_merchant_map' END AS issue FROM tx",
+    )
+    bases = "[" + ", ".join(lit(m) for m in TX_MERCHANTS) + "]"
+    varied = (
+        f"vtx AS (SELECT trim({bases}[account_id % 12 + 1] || ' ' || translate(account_id::VARCHAR, '0123456789', 'bdfglmnprt') "
+        "|| CASE WHEN account_id % 3 = 0 THEN 'é' ELSE '' END) AS merchant FROM tx)"
+    )
+    q["merchants_varied"] = _q(
+        [varied, *choices_ctes(), *merchant_keys_ctes("vtx"), *resolve_ctes()],
+        "SELECT merchant, merchant_cleaned, merchant_canonical, merchant_score, match_stage FROM merchant_resolved",
+    )
+    carried = "[" + ", ".join("NULL" if c is None else lit(c) for c in CARRIED) + f"][account_id % {len(CARRIED)} + 1]"
+    q["report_existing_canonical"] = _q(
+        amounts_ctes() + fx_ctes() + [f"catmap(canonical, map_category) AS {category_map_values()}"],
+        f"""SELECT category, CAST(round(coalesce(sum(amount_usd), 0), 2) AS {MONEY}) AS total_usd, count(*) AS n_tx FROM (
+          SELECT coalesce(c.map_category, {rules_case('f.merchant')}) AS category, f.amount_usd
+          FROM (SELECT *, {carried} AS own FROM fx) f LEFT JOIN catmap c ON c.canonical = f.own) GROUP BY category""",
+    )
+    q["spend_by_currency"] = _q(
+        amounts_ctes() + fx_ctes(),
+        f"SELECT currency, CAST(round(coalesce(sum(amount_usd), 0), 2) AS {MONEY}) AS total_usd, count(*) AS n_tx FROM fx GROUP BY currency",
+    )
+    q["spend_no_merchant"] = _q(
+        amounts_ctes() + fx_ctes(),
+        f"SELECT CAST(NULL AS VARCHAR) AS category, CAST(round(coalesce(sum(amount_usd), 0), 2) AS {MONEY}) AS total_usd, count(*) AS n_tx "
+        "FROM fx HAVING count(*) > 0",
+    )
+    q["transactions_enriched"] = _q(
+        dates_ctes() + amounts_ctes("dated") + fx_ctes() + full + [f"catmap(merchant_canonical, map_category) AS {category_map_values()}"],
+        f"""SELECT f.tx_id, strftime(f.date_iso, '%Y-%m-%d') AS date_iso, f.amount_decimal, f.currency, f.amount_usd, r.merchant_canonical,
+              coalesce(c.map_category, {rules_case('f.merchant')}) AS category
+            FROM fx f LEFT JOIN merchant_resolved r ON r.merchant IS NOT DISTINCT FROM f.merchant
+            LEFT JOIN catmap c ON c.merchant_canonical = r.merchant_canonical""",
+    )
     q["sample_first_n"] = _q([], f"SELECT tx_id, date, amount, merchant FROM tx ORDER BY tx_id LIMIT {SAMPLE_ROWS}")
     q["row_count"] = _q([], "SELECT count(*) AS n_rows FROM tx")
     return q

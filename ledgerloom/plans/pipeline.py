@@ -40,10 +40,14 @@ def usd_rows(df: DataFrame, *, rates=None, assume_missing_usd: bool = True) -> D
 
 
 def merchant_totals(df: DataFrame, merchant_col: str = "merchant") -> DataFrame:
-    """USD total and row count per raw merchant (partial + final hash agg)."""
-    return df.groupBy(merchant_col).agg(
-        F.sum("amount_usd").alias("amount_usd"), F.count(F.lit(1)).alias("n_tx")
-    )
+    """USD total and row count per raw merchant, and per canonical merchant
+    where the rows carry one (partial + final hash agg).  Rows without a
+    merchant column count as a NULL merchant; an all-NULL group sums to 0."""
+    if merchant_col not in df.columns:
+        df = df.withColumn(merchant_col, F.lit(None).cast("string"))
+    keys = [c for c in (merchant_col, "merchant_canonical") if c in df.columns]
+    total = F.coalesce(F.sum("amount_usd"), F.lit(0)).cast("decimal(38,16)")
+    return df.groupBy(*keys).agg(total.alias("amount_usd"), F.count(F.lit(1)).alias("n_tx"))
 
 
 def categorized_merchant_totals(
@@ -56,7 +60,10 @@ def categorized_merchant_totals(
     category_map=None,
     rules=None,
 ) -> DataFrame:
-    """Per distinct raw merchant: USD total, count, canonical and category."""
+    """Per distinct raw merchant: USD total, count, canonical and category.  A
+    canonical that the rows carry is used, unless ``resolve`` finds it anew."""
+    if resolve:
+        df = df.drop("merchant_canonical")
     per_merchant = merchant_totals(usd_rows(df, rates=rates))
     if resolve:
         # read twice (resolution input and join back): materialise once so
@@ -69,6 +76,19 @@ def categorized_merchant_totals(
     return categorize(per_merchant, category_map=category_map, rules=rules)
 
 
+def transactions_enriched(df: DataFrame, *, rates=None, aliases=None, threshold: int = 85, default_currency: str | None = None) -> DataFrame:
+    """Every transaction with ``date_iso``, amount columns, ``merchant_canonical``,
+    ``category`` and ``amount_usd``.  Merchants are resolved and categorised
+    once per distinct string and joined back."""
+    rows = convert_to_usd(clean_transactions(df, default_currency=default_currency), rates=rates)
+    if "merchant" not in rows.columns:
+        return rows.withColumns({c: F.lit(None).cast("string") for c in ("merchant_canonical", "category")})
+    found = categorize(resolve_distinct(df, "merchant", aliases=aliases, threshold=threshold))
+    found = found.select(F.col("merchant").alias("_raw"), "merchant_canonical", "merchant_score", "merchant_issues", "category")
+    kept = [c for c in rows.columns if c not in found.columns]
+    return rows.select(*kept).join(found, F.col("merchant").eqNullSafe(F.col("_raw")), "left").drop("_raw")
+
+
 def spend_report_plan(
     df: DataFrame,
     *,
@@ -79,18 +99,22 @@ def spend_report_plan(
     threshold: int = 85,
     round_digits: int | None = 2,
 ) -> DataFrame:
-    """Group totals ``(key, amount_raw, amount, n_tx)`` for the report."""
-    merchant_level = group_by == "category" or (resolve and group_by == "merchant_canonical")
-    if merchant_level or group_by not in df.columns:
-        key = group_by if merchant_level else "category"
-        per_merchant = categorized_merchant_totals(df, resolve=resolve, rates=rates, aliases=aliases, threshold=threshold)
-        g = per_merchant.groupBy(key).agg(
-            F.coalesce(F.sum("amount_usd"), F.lit(0)).alias("amount_raw"), F.sum("n_tx").alias("n_tx")
-        )
-        amount = F.round("amount_raw", round_digits) if round_digits is not None else F.col("amount_raw")
-        return g.select(key, "amount_raw", amount.alias("amount"), "n_tx")
+    """Group totals ``(key, amount_raw, amount, n_tx)`` for the report.
+
+    ``group_by`` may name an input column or a derived one (``currency``,
+    ``amount_decimal``, ``amount_usd``, ``merchant_canonical``, ``category``);
+    any other name falls back to ``category``."""
     rows = usd_rows(df, rates=rates)
-    return group_totals(rows, group_by, round_digits=round_digits)
+    by_merchant = ["category"] + ["merchant_canonical"] * (resolve or "merchant_canonical" in df.columns)
+    if group_by in rows.columns and group_by not in by_merchant:
+        return group_totals(rows, group_by, round_digits=round_digits)
+    key = group_by if group_by in by_merchant else "category"
+    per_merchant = categorized_merchant_totals(df, resolve=resolve, rates=rates, aliases=aliases, threshold=threshold)
+    g = per_merchant.groupBy(key).agg(
+        F.coalesce(F.sum("amount_usd"), F.lit(0)).alias("amount_raw"), F.sum("n_tx").alias("n_tx")
+    )
+    amount = F.round("amount_raw", round_digits) if round_digits is not None else F.col("amount_raw")
+    return g.select(key, "amount_raw", amount.alias("amount"), "n_tx")
 
 
 def report_from_csv(
@@ -117,7 +141,7 @@ def report_from_csv(
         df, group_by=group_by, resolve=resolve, rates=rates, aliases=aliases, threshold=threshold, round_digits=round_digits
     )
     key = grouped.columns[0]
-    rep = report_row(grouped, key, round_digits)
+    rep = report_row(grouped, key)
     return write_report_json(rep, out_path) if out_path else report_dict(rep)
 
 

@@ -21,8 +21,9 @@ from ledgerloom.operators.categorize import categorize, category_map_table, rule
 from ledgerloom.operators.fx import convert_to_usd
 from ledgerloom.operators.report import report_json, report_row, top_group, with_share
 from ledgerloom.operators.vectors import nearest
+from ledgerloom.plans import pipeline
 from ledgerloom.plans.pipeline import categorized_merchant_totals, clean_transactions, spend_report_plan, usd_rows
-from ledgerloom.sources.driver_tables import messy_transactions, table
+from ledgerloom.sources.driver_tables import messy_transactions, precise_amounts, table, varied_merchants
 
 MONEY = "decimal(38,2)"
 USD_EXACT = "decimal(38,16)"
@@ -31,6 +32,17 @@ TWO_DIGIT = r"\b\d{1,2}[/-]\d{1,2}[/-]\d{2}\b"
 # FIXED VALUES — caller rates used by the custom-rates query (keys are
 # upper-cased, values that do not parse are ignored).
 CUSTOM_RATES = {"eur": "1.1", "GBP": "1.3", "jpy": "0.0065", "XXX": "n/a"}
+# FIXED VALUES — rates far from 1, for the large-rates query.
+LARGE_RATES = {"BTC": "105000", "shb": "0.0000123456"}
+# FIXED VALUES — currency codes of the rates table made from ``nation``.
+TABLE_CODES = ["eur", "EUR", "Gbp", "JPY", "zzz"]
+# FIXED VALUES — alias map in which canonicals share texts.
+SHARED_ALIASES = {
+    "Rides": ["uber trip", "starbucks"], "Coffee": ["Starbucks"], "Rental": ["monthly rent landlord"],
+    "Housing": ["Monthly Rent - Landlord"], "Films": ["netflix.com"], "Video": ["NETFLIX COM"],
+}
+# FIXED VALUES — canonicals that rows already carry, by account_id % 4.
+CARRIED = ["Uber", "Walmart", None, "Nobody"]
 DEFAULT_CURRENCY = "USD"
 SAMPLE_ROWS = 100
 
@@ -397,6 +409,77 @@ def merchant_totals_by_category(spark, sf):
     return m.select("merchant", "category", F.round("amount_usd", 2).cast(MONEY).alias("total_usd"), "n_tx")
 
 
+# ------------------------------------------------- precision, rates, aliases
+def amounts_precision(spark, sf):
+    df = clean_amounts(precise_amounts(spark, sf))
+    return df.select("tx_id", "amount", "amount_decimal", "currency", _issues_text("issues").alias("issues"))
+
+
+def fx_large_rates(spark, sf):
+    code = F.element_at(F.array(F.lit(" BTC"), F.lit(" SHB"), F.lit("")), (F.col("tx_id") % 3 + 1).cast("int"))
+    tx = _tx(spark, sf).select("tx_id", F.concat((F.col("tx_id") / 1000).cast("decimal(18,3)").cast("string"), code).alias("amount"))
+    return usd_rows(tx, rates=LARGE_RATES).select("tx_id", "currency", F.col("amount_usd").cast(USD_EXACT).alias("amount_usd"))
+
+
+def fx_rates_table(spark, sf):
+    codes = F.array(*[F.lit(c) for c in TABLE_CODES])
+    rates = table(spark, sf, "nation").select(
+        F.element_at(codes, (F.col("n_nationkey") % len(TABLE_CODES) + 1).cast("int")).alias("currency"),
+        ((F.col("n_nationkey") + 5) / 10).cast("decimal(9,1)").cast("string").alias("rate"),
+        F.col("n_nationkey").alias("pos"),
+    )
+    df = usd_rows(_tx(spark, sf), rates=rates)
+    return df.groupBy(F.coalesce("currency", F.lit("(none)")).alias("currency")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("amount_usd"), 2).cast(MONEY).alias("amount_usd")
+    )
+
+
+def merchants_alias_collision(spark, sf):
+    res = M.resolve_distinct(_tx(spark, sf), "merchant", aliases=SHARED_ALIASES)
+    return res.select("merchant", "merchant_canonical", "merchant_score", "match_stage")
+
+
+def merchants_no_map(spark, sf):
+    res = M.resolve_merchants(_tx(spark, sf), "merchant", aliases={})
+    return res.select("tx_id", "merchant", "merchant_canonical", _issues_text("merchant_issues").alias("issue"))
+
+
+def merchants_varied(spark, sf):
+    res = M.resolve_distinct(varied_merchants(spark, sf), "merchant")
+    return res.select("merchant", "merchant_cleaned", "merchant_canonical", "merchant_score", "match_stage")
+
+
+# ------------------------------------------------------- report, other inputs
+def report_existing_canonical(spark, sf):
+    own = F.element_at(F.array(*[F.lit(c) for c in CARRIED]), (F.col("account_id") % len(CARRIED) + 1).cast("int"))
+    g = spend_report_plan(_tx(spark, sf).withColumn("merchant_canonical", own))
+    return g.select("category", F.col("amount").cast(MONEY).alias("total_usd"), "n_tx")
+
+
+def spend_by_currency(spark, sf):
+    g = spend_report_plan(_tx(spark, sf), group_by="currency")
+    return g.select("currency", F.col("amount").cast(MONEY).alias("total_usd"), "n_tx")
+
+
+def spend_no_merchant(spark, sf):
+    g = spend_report_plan(_tx(spark, sf).drop("merchant"))
+    return g.select("category", F.col("amount").cast(MONEY).alias("total_usd"), "n_tx")
+
+
+def report_round_digits(spark, sf):
+    rep = report_row(spend_report_plan(_tx(spark, sf), round_digits=0), "category")
+    return rep.select("top_category", "amount", "total_usd", F.size("by_category").alias("n_groups"))
+
+
+def transactions_enriched(spark, sf):
+    """The row-level result: what a report is made of, one row per transaction."""
+    df = pipeline.transactions_enriched(_tx(spark, sf))
+    return df.select(
+        "tx_id", _date_text("date_iso").alias("date_iso"), "amount_decimal", "currency",
+        F.col("amount_usd").cast(USD_EXACT).alias("amount_usd"), "merchant_canonical", "category",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dates_clean": dates_clean,
     "dates_quality": dates_quality,
@@ -434,6 +517,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spend_report_json": spend_report_json,
     "transactions_cleaned": transactions_cleaned,
     "merchant_issue_counts": merchant_issue_counts,
+    "amounts_precision": amounts_precision,
+    "fx_large_rates": fx_large_rates,
+    "fx_rates_table": fx_rates_table,
+    "merchants_alias_collision": merchants_alias_collision,
+    "merchants_no_map": merchants_no_map,
+    "merchants_varied": merchants_varied,
+    "report_existing_canonical": report_existing_canonical,
+    "spend_by_currency": spend_by_currency,
+    "spend_no_merchant": spend_no_merchant,
+    "report_round_digits": report_round_digits,
+    "transactions_enriched": transactions_enriched,
     "sample_first_n": sample_first_n,
     "row_count": row_count,
 }

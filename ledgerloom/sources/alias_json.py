@@ -1,46 +1,41 @@
 """S9 alias dimension source: JSON ``{canonical: [aliases] | alias}``.
 
 Parsed on the cluster (``wholetext`` read + ``from_json``), not on the
-driver.  Values may be a list or a single string.  A missing or unreadable
-file means "no map" (``None``), as the reference treats it.
+driver.  A value may be a list or a single string; anything else (a number,
+an object, null) adds no alias.  A missing file, or one that is no JSON
+object, means "no map": an empty table, with which no merchant resolves.
+Other failures (permissions, storage) are raised.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SCHEMA = "choice_idx long, canonical string, alias string"
 
-def read_alias_json(spark: SparkSession, path: str) -> DataFrame | None:
-    """``(choice_idx, canonical, alias)``: the canonical name itself is
-    choice ``canon_pos * 1e6``, its aliases follow in list order."""
+
+def read_alias_json(spark: SparkSession, path: str) -> DataFrame:
+    """``(choice_idx, canonical, alias)`` in file order: each canonical name
+    itself, then its aliases."""
     try:
         raw = spark.read.text(path, wholetext=True)
-        parsed = raw.select(F.from_json("value", "map<string,string>").alias("m")).where(F.col("m").isNotNull())
-        if not parsed.take(1):  # nothing parses: no map
-            return None
-        entries = parsed.select(F.posexplode(F.map_entries("m")).alias("canon_pos", "e"))
-        vals = entries.select(
-            "canon_pos",
-            F.col("e.key").alias("canonical"),
-            F.when(
-                F.col("e.value").startswith("["),
-                F.from_json(F.col("e.value"), "array<string>"),
-            )
-            .when(F.col("e.value").isNotNull(), F.array(F.col("e.value")))
-            .otherwise(F.array().cast("array<string>"))
-            .alias("aliases"),
-        )
-        choices = vals.select(
-            "canon_pos",
-            "canonical",
-            F.posexplode(F.concat(F.array(F.col("canonical")), F.col("aliases"))).alias("alias_pos", "alias"),
-        )
-        out = choices.select(
-            (F.col("canon_pos").cast("long") * 1_000_000 + F.col("alias_pos")).alias("choice_idx"),
-            "canonical",
-            "alias",
-        ).where(F.col("alias").isNotNull())
-        return out
-    except Exception:  # noqa: BLE001 - missing or broken file: no map
-        return None
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], SCHEMA)
+    # variant values tell a string from a list, which text values would not
+    parsed = raw.select(F.from_json("value", "map<string,variant>").alias("m")).where(F.col("m").isNotNull())
+    entries = parsed.select(F.posexplode(F.map_entries("m")).alias("canon_pos", "e"))
+    kind = F.coalesce(F.schema_of_variant("e.value"), F.lit(""))
+    one = F.array(F.try_variant_get("e.value", "$", "string"))
+    many = F.filter(F.try_variant_get("e.value", "$", "array<variant>"), lambda x: F.schema_of_variant(x) == "STRING")
+    listed = F.transform(many, lambda x: F.try_variant_get(x, "$", "string"))
+    own = F.when(kind == "STRING", one).when(kind.startswith("ARRAY"), listed).otherwise(F.array().cast("array<string>"))
+    choices = entries.select(
+        "canon_pos", F.col("e.key").alias("canonical"), F.posexplode(F.concat(F.array("e.key"), own)).alias("alias_pos", "alias")
+    )
+    # an array has fewer than 2^31 elements, so positions never run into each other
+    idx = F.shiftleft(F.col("canon_pos").cast("long"), 31) + F.col("alias_pos")
+    return choices.select(idx.alias("choice_idx"), "canonical", "alias")

@@ -8,6 +8,8 @@ order.  Every job also accepts a caller-supplied table in their place.
 
 from __future__ import annotations
 
+from decimal import Decimal, InvalidOperation
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -184,61 +186,59 @@ SYMBOL_SEARCH_ORDER: list[str] = sorted(
     [s for s, _ in SYMBOL_CURRENCY], key=lambda s: -len(s)
 )
 
-RATE_TYPE = T.DecimalType(13, 8)
-
+# 7 digits before and 10 after the point: 20 + 7 integer digits of a product
+# with an amount stay exact.
+RATE_TYPE = T.DecimalType(17, 10)
+RATE_SQL_TYPE = "decimal(17,10)"
 
-def alias_rows(aliases: dict[str, list[str] | str] | None = None) -> list[tuple[int, int, str, str]]:
-    """Alias dimension as rows ``(canon_pos, alias_pos, canonical, alias)``.
 
-    ``alias_pos`` 0 is the canonical name itself, 1.. are its aliases, so
-    ``(canon_pos, alias_pos)`` is the list order of the choices.  Aliases may
-    be a list or a single string.
-    """
+def alias_rows(aliases: dict[str, list[str] | str] | None = None) -> list[tuple[int, str, str]]:
+    """Alias dimension as rows ``(choice_idx, canonical, alias)`` in list
+    order: each canonical name, then its aliases (a list or a single string)."""
     aliases = MERCHANT_ALIASES if aliases is None else aliases
     rows = []
-    for ci, (canon, al) in enumerate(aliases.items()):
-        rows.append((ci, 0, canon, canon))
-        if isinstance(al, str):
-            al = [al]
-        for ai, a in enumerate(al or []):
-            rows.append((ci, ai + 1, canon, a))
-    return rows
-
+    for canon, al in aliases.items():
+        own = [al] if isinstance(al, str) else al if isinstance(al, (list, tuple)) else []
+        rows += [(canon, a) for a in (canon, *own) if isinstance(a, str)]
+    return [(i, canon, a) for i, (canon, a) in enumerate(rows)]
 
 
-def category_map_df(spark: SparkSession, entries: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Canonical -> category with the position of the key (first occurrence
-    keeps its position, the last value wins, as with a dict)."""
-    entries = CATEGORY_MAP if entries is None else entries
-    pos: dict[str, int] = {}
-    val: dict[str, str] = {}
-    for k, v in entries:
-        pos.setdefault(k, len(pos))
-        val[k] = v
-    rows = [(pos[k], k, val[k]) for k in pos]
-    return spark.createDataFrame(rows, "key_pos int, merchant_canonical string, map_category string")
 
+def default_rates(spark: SparkSession) -> DataFrame:
+    rows = spark.createDataFrame(DEFAULT_RATES, "currency string, rate_text string")
+    return rows.select("currency", F.col("rate_text").cast(RATE_TYPE).alias("rate"))
 
 
 def rates_df(spark: SparkSession, rates: dict[str, object] | None = None) -> DataFrame:
-    """Rates table: caller's rates (keys upper-cased, unparseable values
-    dropped) override the defaults, defaults fill the gaps.  Built with
-    DataFrame ops so a caller can also pass a rates DataFrame."""
-    defaults = spark.createDataFrame(DEFAULT_RATES, "currency string, rate_text string").select(
-        "currency", F.col("rate_text").cast(RATE_TYPE).alias("rate")
-    )
+    """Rates table: the caller's rates override the defaults, which fill the
+    gaps.  Keys are upper-cased; of keys that then agree the last one counts;
+    values that are no number are ignored.  A number that the rate type cannot
+    hold raises ``ValueError``: it must not fall back to a default unseen."""
     if not rates:
-        return defaults
-    user = spark.createDataFrame([(str(k), str(v)) for k, v in rates.items()], "currency string, rate_text string")
-    return merge_rates(defaults, user)
+        return default_rates(spark)
+    user: dict[str, str] = {}
+    for key, value in rates.items():
+        try:
+            number = Decimal(str(value))
+        except InvalidOperation:
+            continue
+        if not number.is_finite():
+            continue
+        if abs(number) >= 10**7 or number != number.quantize(Decimal(1).scaleb(-10)):
+            raise ValueError(f"rate {key}={value} does not fit {RATE_SQL_TYPE}")
+        user[str(key).upper()] = str(number)
+    table = [(c, r) for c, r in user.items()]
+    return merge_rates(default_rates(spark), spark.createDataFrame(table, "currency string, rate string"))
 
 
 def merge_rates(defaults: DataFrame, user: DataFrame) -> DataFrame:
-    """``user(currency, rate_text)`` overrides ``defaults(currency, rate)``."""
-    user = (
-        user.select(F.upper("currency").alias("currency"), F.expr("try_cast(rate_text as decimal(13,8))").alias("rate"))
-        .where(F.col("rate").isNotNull())
-        .dropDuplicates(["currency"])
-    )
-    keep = defaults.join(user.select("currency"), "currency", "left_anti")
-    return user.unionByName(keep)
+    """``user(currency, rate)`` (rate a number or its text) over
+    ``defaults(currency, rate)``, one row per currency.  Codes are upper-cased
+    and unreadable rates ignored.  A table has no last row, so of several rates
+    of a currency the one of the greatest ``pos`` counts where the table has
+    such a column, else the greatest rate."""
+    order = F.col("pos") if "pos" in user.columns else F.lit(0)
+    read = user.select(F.upper("currency").alias("currency"), F.expr(f"try_cast(rate AS {RATE_SQL_TYPE})").alias("rate"), order.alias("pos"))
+    read = read.where(F.col("rate").isNotNull() & F.col("currency").isNotNull())
+    one = read.groupBy("currency").agg(F.max_by("rate", F.struct("pos", "rate")).alias("rate"))
+    return one.unionByName(defaults.join(one.select("currency"), "currency", "left_anti"))

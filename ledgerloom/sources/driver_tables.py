@@ -95,3 +95,36 @@ def messy_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         amount.alias("amount"),
         merchant.alias("merchant"),
     )
+
+
+def precise_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tx_id, amount``: amount texts from ``orders`` that test precision,
+    signs after symbols, other digits and separators, and the limits of the
+    amount type; the shape follows ``o_orderkey % 9``."""
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"))
+    t = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    key = F.col("o_orderkey").cast("string")
+    shapes = [
+        F.concat(F.lit("Ξ0."), F.lpad(key, 18, "0")),
+        F.concat(F.lit("£−"), t),
+        F.concat(F.lit("€–"), F.replace(t, F.lit("."), F.lit(","))),
+        F.concat(F.lpad(key, 17, "9"), F.lit(".25 JPY")),
+        F.concat(F.lpad(key, 21, "9"), F.lit(" JPY")),
+        F.concat(F.lit("0."), F.lpad(key, 19, "0"), F.lit("5 ETH")),
+        F.translate(t, "0123456789.", "٠١٢٣٤٥٦٧٨٩٫"),
+        F.concat(F.lit("7’000"), F.lit("\u2009"), t, F.lit(" CHF")),
+        F.concat(F.lit("1."), t, F.lit(" INR")),
+    ]
+    amount = F.element_at(F.array(*shapes), (F.col("o_orderkey") % 9 + 1).cast("int"))
+    return o.select(F.col("o_orderkey").alias("tx_id"), amount.alias("amount"))
+
+
+def varied_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tx`` whose merchants grow in number with the customers: a word spelled
+    from the customer number follows the merchant of ``tx``, on every third
+    customer with an accented letter."""
+    tx = messy_transactions(spark, sf_dir).drop("merchant")
+    base = F.element_at(F.array(*[F.lit(m) for m in TX_MERCHANTS]), (F.col("account_id") % 12 + 1).cast("int"))
+    word = F.translate(F.col("account_id").cast("string"), "0123456789", "bdfglmnprt")
+    accent = F.when(F.col("account_id") % 3 == 0, "é").otherwise("")
+    return tx.withColumn("merchant", F.trim(F.concat(base, F.lit(" "), word, accent)))

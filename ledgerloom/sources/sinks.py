@@ -1,15 +1,15 @@
 """Sinks: cleaned CSV (S11), formatted report JSON (S12), raw summary (S13).
 
 The CSV sink is a distributed write (one part file per task).  The report is
-a single row by construction (see ``operators.report.report_row``); it is
-written either as a Spark JSON dataset or, for the reference's single
-pretty-printed file, by taking that one row.
+a single row by construction (see ``operators.report.report_row``) and is
+written as one pretty-printed file through the Hadoop file system, so any
+path that Spark can write works.  Listings of any size go through
+``write_report_rows``, a distributed JSON dataset.
 """
 
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,9 +44,9 @@ def write_cleaned_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None
     )
 
 
-def write_report_dataset(report: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The one-row report as a Spark JSON dataset (directory)."""
-    report.coalesce(1).write.mode(mode).json(path)
+def write_report_rows(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """``operators.report.report_rows`` as a JSON dataset (directory), one line per group."""
+    rows.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def report_dict(report: DataFrame) -> dict:
@@ -69,8 +69,11 @@ def write_report_json(report: DataFrame, path: str) -> dict:
     """Single pretty-printed JSON file (parents created), like the reference
     report; returns the dict."""
     d = report_dict(report)
-    parent = os.path.dirname(os.path.abspath(path))
-    os.makedirs(parent, exist_ok=True)
-    with open(path, "w", encoding="utf-8") as fh:
-        json.dump(d, fh, indent=2)
+    spark = report.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(target, True)
+    try:
+        out.write(json.dumps(d, indent=2).encode("utf-8"))
+    finally:
+        out.close()
     return d

@@ -1,5 +1,7 @@
 from decimal import Decimal
 
+import pytest
+
 from ledgerloom.operators.fx import convert_to_usd
 from ledgerloom.sources import dims
 
@@ -37,3 +39,35 @@ def test_rates_join_is_broadcast(spark):
     df = spark.createDataFrame([(0, Decimal("1"), "EUR")], "i int, amount_decimal decimal(24,8), currency string")
     plan = convert_to_usd(df)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan or "AdaptiveSparkPlan" in plan
+
+
+def test_large_and_small_rates(spark):
+    rows = [(0, Decimal("0.5"), "BTC"), (1, Decimal("1000000"), "SHIB"), (2, Decimal("-0.000000000000000001"), "BTC")]
+    df = spark.createDataFrame(rows, "i int, amount_decimal decimal(38,18), currency string")
+    got = {r.i: r.amount_usd for r in convert_to_usd(df, rates={"BTC": 105000, "shib": "0.0000123456"}).collect()}
+    assert got == {0: Decimal("52500"), 1: Decimal("12.3456"), 2: Decimal("-0.0000000000001050")}
+
+
+def test_rates_that_do_not_fit_are_an_error(spark):
+    for bad in ("10000000", "0.00000000001"):
+        with pytest.raises(ValueError):
+            dims.rates_df(spark, {"XXX": bad})
+
+
+def test_last_key_wins(spark):
+    r = {row.currency: row.rate for row in dims.rates_df(spark, {"eur": 1.1, "EUR": 2}).collect()}
+    assert r["EUR"] == Decimal("2")
+
+
+def test_rates_table_by_the_same_rules(spark):
+    table = spark.createDataFrame([("eur", "1.5", 1), ("EUR", "1.2", 2), ("chf", "n/a", 1), (None, "3", 1)], "currency string, rate string, pos int")
+    rows = [(0, Decimal("10"), "EUR"), (1, Decimal("10"), "GBP"), (2, Decimal("10"), "CHF")]
+    got = _conv(spark, rows, rates=table)
+    assert got == {0: Decimal("12"), 1: Decimal("12.5"), 2: None}  # one row each, defaults fill the gaps
+    assert _conv(spark, rows[:1], rates=table.drop("pos"))[0] == Decimal("15")
+
+
+def test_product_beyond_the_type_is_null(spark):
+    rows = [(0, Decimal("99999999999999999999"), "AAA")]
+    df = spark.createDataFrame(rows, "i int, amount_decimal decimal(38,18), currency string")
+    assert convert_to_usd(df, rates={"AAA": "1000"}).first().amount_usd is None

@@ -1,7 +1,6 @@
 import pytest
 
 from conftest import SAMPLE_CSV
-from ledgerloom.functions.dates import clean_dates
 from ledgerloom.sources.alias_json import read_alias_json
 from ledgerloom.sources.csv_ingest import preview, read_transactions
 from ledgerloom.sources.sinks import write_cleaned_csv
@@ -89,7 +88,6 @@ def test_cleaned_csv_sink(spark, sample_df, tmp_path):
     assert back.columns[-4:] == ["date_iso", "amount_decimal", "currency", "issues"]
     row = [r for r in back.collect() if r.merchant == "TGT 445"][0]
     assert row.date_iso == "1987-01-07" and row.issues == '["comma_as_decimal"]'
-    assert clean_dates is not None
 
 
 def test_alias_json(spark, tmp_path):
@@ -99,7 +97,13 @@ def test_alias_json(spark, tmp_path):
     assert [(r.canonical, r.alias) for r in rows] == [
         ("Uber", "Uber"), ("Uber", "UBER *TRIP"), ("Uber", "UBER EATS"), ("Solo", "Solo"), ("Solo", "ONLY ONE")
     ]
-    assert read_alias_json(spark, str(tmp_path / "missing.json")) is None
+    assert read_alias_json(spark, str(tmp_path / "missing.json")).collect() == []
     bad = tmp_path / "bad.json"
     bad.write_text("{not json", encoding="utf-8")
-    assert read_alias_json(spark, str(bad)) is None
+    assert read_alias_json(spark, str(bad)).collect() == []
+    odd = tmp_path / "odd.json"
+    odd.write_text('{"Foo": "[Foo] Shop", "Num": 5, "Mix": ["a", 7, null, "b"], "Nil": null}', encoding="utf-8")
+    rows = read_alias_json(spark, str(odd)).orderBy("choice_idx").collect()
+    assert [(r.canonical, r.alias) for r in rows] == [
+        ("Foo", "Foo"), ("Foo", "[Foo] Shop"), ("Num", "Num"), ("Mix", "Mix"), ("Mix", "a"), ("Mix", "b"), ("Nil", "Nil")
+    ]

@@ -11,6 +11,7 @@ from ledgerloom.functions.fuzzy import (
 from ledgerloom.operators.merchants import resolve_distinct, resolve_merchants
 from ledgerloom.sources import dims
 
+# FIXED VALUES - canonicals that the sample must resolve to.
 GOLDEN_70 = {
     "UBER *TRIP": "Uber", "Uber Technologies": "Uber", "UBER EATS": "Uber", "Uber*Eats": "Uber",
     "UBER TRIP ": "Uber", "Uber Eats": "Uber", "TARGET #112": "Target", "TGT 445": "Target",
@@ -145,7 +146,7 @@ def test_lcs_matches_dynamic_programming():
 
 def test_alias_rows_order():
     rows = dims.alias_rows()
-    assert rows[0] == (0, 0, "Uber", "Uber") and rows[1] == (0, 1, "Uber", "UBER *TRIP")
+    assert rows[0] == (0, "Uber", "Uber") and rows[1] == (1, "Uber", "UBER *TRIP")
     assert len(rows) == 24 * 4
 
 
@@ -175,6 +176,24 @@ def test_alias_table_from_json(spark, tmp_path):
     assert got["Cafe Uno Downtown"].merchant_canonical == "Café Uno"  # token subset of an alias
 
 
+def test_shared_alias_means_the_later_canonical(spark):
+    aliases = {"Alpha": ["foo bar"], "Beta": ["foo bar"]}
+    for text, score in (("foo bar", 100), ("foo bar baz", 100)):
+        got = _resolve(spark, [text], aliases=aliases)[text]
+        assert (got.merchant_canonical, got.merchant_score) == ("Beta", score)
+    got = _resolve(spark, ["foo bar baz"], aliases=aliases, fallback="substring")["foo bar baz"]
+    assert (got.merchant_canonical, got.merchant_score) == ("Beta", 75)
+
+
+def test_no_map_resolves_nothing(spark, tmp_path):
+    from ledgerloom.sources.alias_json import read_alias_json
+
+    for aliases in ({}, read_alias_json(spark, str(tmp_path / "missing.json"))):
+        got = _resolve(spark, ["UBER *TRIP", ""], aliases=aliases)
+        assert got["UBER *TRIP"].merchant_canonical is None and got["UBER *TRIP"].merchant_issues == ["no_merchant_map"]
+        assert got[""].merchant_issues == ["empty_merchant"]
+
+
 def test_substring_mode_never_matches_an_empty_cleaned_string(spark):
     got = _resolve(spark, ["#1234", "Walmart Supercenter"], fallback="substring")
     assert got["#1234"].merchant_canonical is None and got["#1234"].merchant_issues == ["no_match"]

@@ -27,7 +27,7 @@ def _sample(col):
 
 
 def test_dates_oracle_matches_spark(spark):
-    values = [d for d, _ in TD.UNIT] + _sample("date")
+    values = [d for _, d, _ in TD.STEPS] + _sample("date")
     df = spark.createDataFrame(list(enumerate(values)), "i int, date string")
     got = {r.i: (r.date_iso.isoformat() if r.date_iso else None) for r in clean_dates(df).collect()}
     ref = _duck(O.dates_ctes("src"), "date", values, "strftime(date_iso, '%Y-%m-%d')")
@@ -35,7 +35,7 @@ def test_dates_oracle_matches_spark(spark):
 
 
 def test_amounts_oracle_matches_spark(spark):
-    values = [a for a, *_ in TA.UNIT] + [a for a, *_ in TA.EXTRA] + _sample("amount")
+    values = [a for _, a, *_ in TA.STEPS] + _sample("amount")
     df = spark.createDataFrame(list(enumerate(values)), "i int, amount string")
     got = {r.i: (r.amount_decimal, r.currency, ",".join(r.issues)) for r in clean_amounts(df).collect()}
     raw = _duck(O.amounts_ctes("src"), "amount", values,

@@ -81,15 +81,12 @@ def test_raw_summary_is_numeric(sample_df):
 
 
 def test_by_category_sums_to_total(spark):
-    from decimal import Decimal
-
     from ledgerloom.sources.driver_tables import messy_transactions
 
     tx = messy_transactions(spark, "/root/testdata/sf0.001")
     rep = report_dict(report_row(spend_report_plan(tx, resolve=True), "category", formatted=False))
     assert math.isclose(sum(b["amount"] for b in rep["by_category"]), rep["total_usd"], rel_tol=1e-12)
     assert math.isclose(sum(b["pct"] for b in rep["by_category"]), 1.0, rel_tol=1e-9)
-    assert Decimal(1) == 1
 
 
 def test_report_from_csv_end_to_end(spark, tmp_path):
@@ -113,5 +110,38 @@ def test_money_text_and_unrounded_report(spark):
     got = [r.t for r in df.select(format_usd(F.col("x").cast("decimal(20,3)"), 2, use_symbol=False).alias("t")).collect()]
     assert got == ["1,234.57 USD", "-23.40 USD"]
     rows = spark.createDataFrame([("UBER", "$1.005"), ("UBER", "$1.005")], "merchant string, amount string")
-    rep = report_dict(report_row(spend_report_plan(rows, round_digits=None), "category", round_digits=None, formatted=False))
+    rep = report_dict(report_row(spend_report_plan(rows, round_digits=None), "category", formatted=False))
     assert rep["top_amount"] == 2.01 and rep["top_category"] == "Transport"
+
+
+def test_existing_canonical_comes_first(spark):
+    df = spark.createDataFrame([("Starbucks #1", "$1", "Uber")], "merchant string, amount string, merchant_canonical string")
+    assert [r.category for r in spend_report_plan(df).collect()] == ["Transport"]
+    assert [r.category for r in spend_report_plan(df, resolve=True).collect()] == ["Food"]
+    assert [r.merchant_canonical for r in spend_report_plan(df, group_by="merchant_canonical").collect()] == ["Uber"]
+
+
+def test_group_by_a_derived_column(spark):
+    df = spark.createDataFrame([("a", "$1"), ("b", "€2"), ("c", "x")], "merchant string, amount string")
+    got = {r.currency: (str(r.amount), r.n_tx) for r in spend_report_plan(df, group_by="currency").collect()}
+    assert got == {"USD": ("1.00", 1), "EUR": ("2.16", 1), None: ("0.00", 1)}
+
+
+def test_no_merchant_column(spark):
+    df = spark.createDataFrame([("$1",), ("$2",)], "amount string")
+    for resolve in (False, True):
+        assert [(r.category, str(r.amount)) for r in spend_report_plan(df, resolve=resolve).collect()] == [(None, "3.00")]
+    assert spend_report_plan(df.limit(0)).collect() == []
+
+
+def test_money_text_has_two_decimals_whatever_the_rounding(spark):
+    df = spark.createDataFrame([("UBER", "$1234.6")], "merchant string, amount string")
+    assert report_row(spend_report_plan(df, round_digits=0), "category").first().total_usd == "$1,235.00"
+
+
+def test_rows_listing_equals_the_array(sample_df):
+    from ledgerloom.operators.report import report_rows
+
+    grouped = spend_report_plan(sample_df)
+    listed = {b["category"]: b["amount"] for b in report_dict(report_row(grouped, "category"))["by_category"]}
+    assert {r.category: r.amount for r in report_rows(grouped, "category").collect()} == listed

@@ -42,4 +42,3 @@ def test_foreach_batch_resolution(spark):
     rows = spark.read.parquet(out).collect()
     cats = {r.merchant: r.category for r in rows}
     assert cats["UBER *TRIP"] == "Transport" and cats["Starbucks #4421"] == "Food"
-    assert F is not None
