@@ -66,7 +66,8 @@ def _steps(raw: Column, pivot: int) -> list[tuple[str, Column]]:
     """(name, expression) steps; each may read the names before it."""
     s3 = F.col("_d_s3")
     words = F.regexp_replace(F.regexp_replace(s3, r"[,.’‘'/\-]", " "), r"(?i)\bsept\b", "Sep")
-    words = _trailing_year(F.trim(F.regexp_replace(words, r"(?U)\s+", " ")), pivot)
+    words = F.trim(F.regexp_replace(words, r"(?U)\s+", " "))
+    words = F.when(words.rlike(r"^\d{4} "), words).otherwise(_trailing_year(words, pivot))
     return [
         ("_d_s1", F.nullif(strip_ws(raw), F.lit(""))),
         ("_d_s2", F.regexp_replace(F.col("_d_s1"), r"(?i)(\d)(st|nd|rd|th)", "$1")),

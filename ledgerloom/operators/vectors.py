@@ -38,14 +38,15 @@ def nearest(queries: DataFrame, refs: DataFrame, key_col: str, chunk_size: int =
         F.arrays_zip(F.col("ref_ids").alias("i"), F.col("vecs").alias("v"), F.col("vec_norms").alias("n")),
         lambda z: F.struct(
             z["i"].alias("i"),
-            (_dot(F.col("vec"), z["v"]) / (F.col("vec_norm") * z["n"])).alias("c"),
+            F.try_divide(_dot(F.col("vec"), z["v"]), F.col("vec_norm") * z["n"]).alias("c"),
         ),
     )
     init = F.struct(F.lit(None).cast("long").alias("i"), F.lit(None).cast("double").alias("c"))
     best = F.aggregate(
         scored,
         init,
-        lambda acc, x: F.when(acc["c"].isNull() | (x["c"] > acc["c"]), x).otherwise(acc),
+        lambda acc, x: F.when(x["c"].isNotNull() & (acc["c"].isNull() | (x["c"] > acc["c"])), x).otherwise(acc),
     )
     local = paired.select(key_col, best["i"].alias("ref_id"), best["c"].alias("cos"))
+    local = local.where("cos IS NOT NULL")  # a zero vector is near nothing
     return dim.reduce_best(local, [key_col], F.struct(F.col("cos"), -F.col("ref_id")), ["ref_id", "cos"])

@@ -96,8 +96,8 @@ def dates_ctes(src: str = "tx") -> list[str]:
         f"{lit(head + '(' + hi + r')\b')}, '\\1/\\2/19\\3', 'g') AS s3 FROM d2)",
         f"d4 AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(s3, {lit('[,.’‘' + chr(39) + '/-]')}, ' ', 'g'), "
         r"'(?i)\bsept\b', 'Sep', 'g'), '\s+', ' ', 'g')) AS w0 FROM d3)",
-        f"d5 AS (SELECT *, regexp_replace(regexp_replace(w0, {lit(r'(\s)(' + lo + ')$')}, '\\120\\2'), "
-        f"{lit(r'(\s)(' + hi + ')$')}, '\\119\\2') AS words FROM d4)",
+        f"d5 AS (SELECT *, CASE WHEN regexp_matches(w0, '^[0-9]{{4}} ') THEN w0 ELSE regexp_replace(regexp_replace(w0, "
+        f"{lit(r'(\s)(' + lo + ')$')}, '\\120\\2'), {lit(r'(\s)(' + hi + ')$')}, '\\119\\2') END AS words FROM d4)",
         f"""dated AS (SELECT *, CAST(coalesce(
       CASE WHEN regexp_matches(s3, {lit(iso)}) THEN try_strptime(regexp_extract(s3, {lit(iso)}, 1), '%Y-%m-%d') END,
       CASE WHEN regexp_matches(s3, '^[0-9]{{8}}$') THEN try_strptime(s3, '%Y%m%d') END,

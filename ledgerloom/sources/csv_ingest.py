@@ -4,26 +4,38 @@
   Spark reads an empty field as NULL, so ``keep_empty=True`` (default) turns
   NULL text back into ``''`` (a short row's missing fields too); every
   cleaning stage treats NULL and ``''`` alike anyway
-* quoted fields may hold newlines and doubled quotes
+* one distributed pass over the lines finds, per file, its header, whether it
+  is valid UTF-8 (else it is read as Latin-1) and whether quoted fields hold
+  newlines.  Files without such fields are read splittable, so a large file
+  makes many tasks; only the others are read whole (``multiLine``).  The driver
+  gets the few kinds of files that there are, and the names of the files that
+  are not of the commonest kind.  ``encoding`` and ``multi_line``, where given,
+  hold for every file
+* every file is read by its own header; files are put together by column name,
+  a column that a file lacks is NULL there (``''`` with ``keep_empty``)
 * a BOM is stripped from the column names
-* encoding: each file is tested for valid UTF-8 (one distributed pass over
-  ``spark.read.text``); files that are not valid UTF-8 are read as Latin-1,
-  the two readers are unioned by name
-* rows with more fields than the header: one spare column catches them;
-  ``on_long_rows="error"`` raises (the reference fails the whole read),
-  ``"drop"`` removes them, ``"keep"`` keeps them with a ``_long_row`` flag
-* ``sample=n`` keeps the first n rows (file order); 0, negative or None
-  means all rows
+* a row with more fields than its header has, however empty they are, is
+  long.  ``on_long_rows="error"`` (default) makes the job fail when it meets
+  one, ``"drop"`` leaves them out (``quarantined_rows`` returns them),
+  ``"keep"`` adds ``_long_row`` and ``_raw_row``, the line as it was
+* ``sample=n`` is the first n rows in order of file name and place; 0,
+  negative or None means all rows
 * a missing path raises ``ValueError``; a header-only file gives 0 rows
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import re
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SPARE = "_spare_field"
+RAW = "_raw_row"
+FIRST, PLACE = "_first_of_file", "_place_in_file"
 
 
 def _paths(paths) -> list[str]:
@@ -40,39 +52,98 @@ def _check_exists(spark: SparkSession, paths: list[str]) -> None:
             raise ValueError(f"Input file not found: {p}")
 
 
-def _header(spark: SparkSession, paths: list[str], encoding: str) -> list[str]:
-    cols = spark.read.option("header", True).option("encoding", encoding).csv(paths[:1]).columns
-    return [c.strip("\ufeff") for c in cols]
+def _plain_path(uri: str) -> str:
+    """A file's URI as a path for readers, which take patterns: nothing in it is one."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
 
 
-def utf8_split(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
-    """(valid UTF-8 files, other files): one distributed aggregation."""
-    per_file = (
-        spark.read.text(paths)
-        .select(F.col("_metadata.file_path").alias("f"), F.is_valid_utf8("value").alias("ok"))
-        .groupBy("f")
-        .agg(F.min(F.col("ok").cast("int")).alias("ok"))
+def _kinds(spark: SparkSession, paths: list[str], encoding: str | None, multi_line: bool | None) -> list[tuple[str, str, bool, list[str] | None]]:
+    """(header line, encoding, multi_line, files): the kinds of files.  The
+    commonest kind comes first, with None for "all files but the others"."""
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id")
     )
-    rows = per_file.collect()  # one row per input file
-    good = [r.f for r in rows if r.ok is None or r.ok == 1]
-    bad = [r.f for r in rows if r.ok == 0]
-    return good, bad
-
-
-def _read(spark: SparkSession, paths: list[str], cols: list[str], encoding: str) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols] + [T.StructField(SPARE, T.StringType())])
-    return (
+    odd_quotes = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
+    per_file = lines.groupBy("file").agg(
+        F.min_by("value", F.when(F.col("start") == 0, F.col("id"))).alias("head"),
+        F.min(F.is_valid_utf8("value").cast("int")).alias("utf8"),
+        F.max(odd_quotes.cast("int")).alias("quoted"),
+    )
+    if encoding is not None:
+        per_file = per_file.withColumn("utf8", F.lit(1))
+    if multi_line is not None:
+        per_file = per_file.withColumn("quoted", F.lit(int(multi_line)))
+    per_file = per_file.where("head IS NOT NULL").cache()
+    kind = ["head", "utf8", "quoted"]
+    common = per_file.groupBy(*kind).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), *kind).limit(1).collect()
+    if not common:
+        per_file.unpersist()
+        return []
+    same = reduce(lambda x, y: x & y, (F.col(c) == F.lit(common[0][c]) for c in kind))
+    rest: dict[tuple, list[str]] = {}
+    for r in per_file.where(~same).select("file", *kind).collect():  # the exceptional files
+        rest.setdefault(tuple(r[c] for c in kind), []).append(r["file"])
+    per_file.unpersist()
+    found = [(tuple(common[0][c] for c in kind), None), *rest.items()]
+    return [(head, encoding or ("utf-8" if utf8 else "ISO-8859-1"), bool(quoted), files) for (head, utf8, quoted), files in found]
+
+
+def _columns(head: str) -> list[str]:
+    """Column names of a header line; an unnamed column is called by its place."""
+    names = next(csv.reader([head.strip("\ufeff")]), [])
+    return [name or f"_c{i}" for i, name in enumerate(names)]
+
+
+def _read(spark: SparkSession, paths: list[str], cols: list[str], encoding: str, multi_line: bool) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*cols, RAW]])
+    df = (
         spark.read.schema(schema)
         .option("header", True)
         .option("encoding", encoding)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", RAW)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("enforceSchema", True)
+        .option("columnPruning", False)  # a pruned read would not notice long rows
         .csv(paths)
     )
+    return df.withColumn(FIRST, F.col("_metadata.file_path")).withColumn(PLACE, F.col("_metadata.file_block_start"))
+
+
+def _is_long(n_columns: int) -> Column:
+    """A malformed row with at least as many separators outside quotes as the header has columns."""
+    bare = F.regexp_replace(RAW, '"([^"]|"")*"', "")
+    return F.coalesce(F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= n_columns, F.lit(False))
+
+
+def _rows(spark: SparkSession, paths, encoding: str | None, multi_line: bool | None) -> DataFrame:
+    """All rows of all files, with ``_long_row`` and the place of each row."""
+    paths = _paths(paths)
+    _check_exists(spark, paths)
+    parts = []
+    kinds = _kinds(spark, paths, encoding, multi_line)
+    others = [f for *_, files in kinds[1:] for f in files]
+    for head, enc, quoted, files in kinds:
+        cols = _columns(_decoded(spark, head, enc, paths, files))
+        df = _read(spark, paths if files is None else [_plain_path(f) for f in files], cols, enc, quoted)
+        if files is None and others:
+            df = df.where(~F.col(FIRST).isin(others))
+        parts.append(df.withColumn("_long_row", _is_long(len(cols))))
+    if not parts:
+        return spark.createDataFrame([], f"{RAW} string, {FIRST} string, {PLACE} long, _long_row boolean")
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+def _decoded(spark: SparkSession, head: str, encoding: str, paths: list[str], files: list[str] | None) -> str:
+    """The header line in its encoding: the line pass reads every file as UTF-8."""
+    if encoding.lower() == "utf-8" or "\ufffd" not in head:
+        return head
+    where = paths if files is None else [_plain_path(files[0])]
+    first = spark.read.option("encoding", encoding).option("header", False).option("quote", "").option("sep", "\u0001").csv(where[:1])
+    return first.first()[0]
 
 
 def read_transactions(
@@ -81,43 +152,36 @@ def read_transactions(
     *,
     sample: int | None = None,
     encoding: str | None = None,
+    multi_line: bool | None = None,
     on_long_rows: str = "error",
     keep_empty: bool = True,
 ) -> DataFrame:
-    """Read transaction CSV file(s).  ``encoding=None`` detects UTF-8 per
-    file and falls back to Latin-1; a fixed encoding skips the test pass."""
-    paths = _paths(paths)
-    _check_exists(spark, paths)
-    if encoding is None:
-        good, bad = utf8_split(spark, paths)
-        if not good and not bad:  # empty files only
-            good = paths
-        first_enc = "utf-8" if good else "ISO-8859-1"
-        cols = _header(spark, (good or bad)[:1], first_enc)
-        parts = []
-        if good:
-            parts.append(_read(spark, good, cols, "utf-8"))
-        if bad:
-            parts.append(_read(spark, bad, cols, "ISO-8859-1"))
-        df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    else:
-        cols = _header(spark, paths, encoding)
-        df = _read(spark, paths, cols, encoding)
-    long_row = F.col(SPARE).isNotNull()
-    if on_long_rows == "error":
-        n = df.where(long_row).count()
-        if n:
-            raise ValueError(f"{n} row(s) have more fields than the header")
-        df = df.drop(SPARE)
-    elif on_long_rows == "drop":
-        df = df.where(~long_row).drop(SPARE)
-    else:
-        df = df.withColumn("_long_row", long_row).drop(SPARE)
+    """Read transaction CSV file(s); see the module for the rules."""
+    df = _rows(spark, paths, encoding, multi_line)
+    cols = [c for c in df.columns if c not in (RAW, FIRST, PLACE, "_long_row")]
+    if on_long_rows == "drop":
+        df = df.where("NOT _long_row")
+    if sample is not None and sample > 0:
+        # only the first rows of each split can be among the first of all
+        df = df.withColumn("_id", F.monotonically_increasing_id()).where(F.expr(f"(_id & {(1 << 33) - 1}L) < {int(sample)}L"))
+        df = df.orderBy(FIRST, PLACE, "_id").limit(sample).drop("_id")
     if keep_empty:
         df = df.na.fill("", subset=cols)
-    if sample is not None and sample > 0:
-        df = df.limit(sample)
-    return df
+    if on_long_rows == "keep":
+        return df.select(*cols, "_long_row", F.when(F.col("_long_row"), F.col(RAW)).alias(RAW))
+    if on_long_rows == "error" and cols:
+        failed = F.raise_error(F.concat(F.lit("row has more fields than its header: "), F.col(RAW)))
+        df = df.withColumn(cols[0], F.when(F.col("_long_row"), failed.cast("string")).otherwise(F.col(cols[0])))
+    return df.select(*cols)
+
+
+def quarantined_rows(spark: SparkSession, paths, *, encoding: str | None = None, multi_line: bool | None = None) -> DataFrame:
+    """``file, raw, fields``: the long rows that ``on_long_rows="drop"`` leaves
+    out, with the fields that have a column."""
+    df = _rows(spark, paths, encoding, multi_line)
+    cols = [F.col(c) for c in df.columns if c not in (RAW, FIRST, PLACE, "_long_row")]
+    fields = F.array(*cols).cast("array<string>")
+    return df.where("_long_row").select(F.col(FIRST).alias("file"), F.col(RAW).alias("raw"), fields.alias("fields"))
 
 
 def preview(df: DataFrame, n: int = 3, clean: bool = False) -> DataFrame:
