@@ -1,6 +1,7 @@
-"""String similarity on the Indel (LCS) distance, 0-100 floats.
+"""String similarity on the Indel (LCS) distance, 0-100 floats, and the exact
+search for the best of many choices.
 
-Published definitions of the scorers the matching stage needs:
+Published definitions of the scores:
 
 * ``ratio(a, b)``       = 100 * (1 - (|a| + |b| - 2 LCS) / (|a| + |b|))
 * ``token_sort_ratio``  = ratio of the whitespace tokens sorted and re-joined
@@ -9,127 +10,145 @@ Published definitions of the scorers the matching stage needs:
   non-empty and x or y is empty; else the best of ratio("s x", "s y"),
   ratio(s, "s x") and ratio(s, "s y") (ratio(x, y) when s is empty)
 * ``partial_ratio``     = best ratio of the shorter string against every
-  window of the longer one (cut-off windows at both ends included), both
-  ways round when the lengths are equal
-
-LCS uses the bit-parallel recurrence (one machine word step per character).
-These are per-row helpers called from an Arrow function over *distinct*
-strings; they hold no data.
+  window of that length that overlaps the longer one, both ways round when
+  the lengths are equal
+
+``ChoiceTable`` searches all choices without scoring them all: choices that
+share a token with the query come from a token index; for the others the score
+is one ratio, bounded from above by the letters the two have in common, for
+all choices at once.  They are scored from the best bound down until no bound
+can win.  The helpers are called from Arrow functions over *distinct* strings.
 """
 
 from __future__ import annotations
 
+import numpy as np
+
 
 def lcs_len(a: str, b: str) -> int:
+    """Bit-parallel: one machine word step per character of ``b``."""
     if not a or not b:
         return 0
     masks: dict[str, int] = {}
     for i, ch in enumerate(a):
         masks[ch] = masks.get(ch, 0) | (1 << i)
     full = (1 << len(a)) - 1
-    v = full
-    for ch in b:
-        m = masks.get(ch)
-        if m is None:
-            continue
-        u = v & m
-        v = ((v + u) | (v - u)) & full
-    return len(a) - bin(v).count("1")
+    open_ = full
+    for hit in map(masks.get, b):
+        if hit:
+            both = open_ & hit
+            open_ = ((open_ + both) | (open_ - both)) & full
+    return len(a) - open_.bit_count()
 
 
-def indel_distance(a: str, b: str) -> int:
-    return len(a) + len(b) - 2 * lcs_len(a, b)
+def _share(distance: int, total: int) -> float:
+    return 100.0 - 100.0 * distance / total if total else 100.0
 
 
 def ratio(a: str, b: str) -> float:
-    lensum = len(a) + len(b)
-    if lensum == 0:
-        return 100.0
-    return (1.0 - indel_distance(a, b) / lensum) * 100
-
-
-def _norm_distance(dist: int, lensum: int) -> float:
-    return 100.0 - 100.0 * dist / lensum if lensum > 0 else 100.0
+    total = len(a) + len(b)
+    return (1.0 - (total - 2 * lcs_len(a, b)) / total) * 100 if total else 100.0
 
 
-def _sorted_join(tokens) -> str:
+def _joined(tokens) -> str:
     return " ".join(sorted(tokens))
 
 
 def token_sort_ratio(a: str, b: str) -> float:
-    return ratio(_sorted_join(a.split()), _sorted_join(b.split()))
+    return ratio(_joined(a.split()), _joined(b.split()))
+
+
+def _token_sets(p: set[str], q: set[str]) -> float:
+    if not p or not q:
+        return 0.0
+    s = len(_joined(p & q))
+    x, y = _joined(p - q), _joined(q - p)
+    if s and not (x and y):
+        return 100.0
+    gap = 1 if s else 0  # the space between s and what follows it
+    sx, sy = s + gap + len(x), s + gap + len(y)
+    scores = [_share(len(x) + len(y) - 2 * lcs_len(x, y), sx + sy)]
+    if s:
+        scores += [_share(gap + len(x), s + sx), _share(gap + len(y), s + sy)]
+    return max(scores)
 
 
 def token_set_ratio(a: str, b: str) -> float:
-    return token_set_ratio_sets(set(a.split()), set(b.split()))
+    return _token_sets(set(a.split()), set(b.split()))
 
 
-def token_set_ratio_sets(ta: set, tb: set) -> float:
-    """``token_set_ratio`` on token sets already split."""
-    if not ta or not tb:
-        return 0.0
-    inter = ta & tb
-    dab, dba = ta - tb, tb - ta
-    if inter and (not dab or not dba):
-        return 100.0
-    x, y = _sorted_join(dab), _sorted_join(dba)
-    s_len = len(_sorted_join(inter))
-    sep = 1 if s_len else 0
-    sx_len = s_len + sep + len(x)
-    sy_len = s_len + sep + len(y)
-    result = _norm_distance(indel_distance(x, y), sx_len + sy_len)
-    if not s_len:
-        return result
-    sx_ratio = _norm_distance(sep + len(x), s_len + sx_len)
-    sy_ratio = _norm_distance(sep + len(y), s_len + sy_len)
-    return max(result, sx_ratio, sy_ratio)
-
-
-def _partial_one_way(short: str, long: str) -> float:
-    m, n = len(short), len(long)
-    best = 0.0
-    chars = set(short)
-    for i in range(1, m):
-        if long[i - 1] in chars:
-            best = max(best, ratio(short, long[:i]))
-    for i in range(n - m + 1):
-        if long[i + m - 1] in chars:
-            best = max(best, ratio(short, long[i : i + m]))
-    for i in range(n - m + 1, n):
-        if long[i] in chars:
-            best = max(best, ratio(short, long[i:]))
-    return best
+def _best_window(inner: str, outer: str) -> float:
+    m = len(inner)
+    windows = {outer[max(0, at) : at + m] for at in range(1 - m, len(outer))}
+    return max(ratio(inner, w) for w in windows)
 
 
 def partial_ratio(a: str, b: str) -> float:
-    if not a and not b:
-        return 100.0
-    if not a or not b:
-        return 0.0
-    short, long = (a, b) if len(a) <= len(b) else (b, a)
-    res = _partial_one_way(short, long)
-    if res != 100.0 and len(a) == len(b):
-        res = max(res, _partial_one_way(long, short))
-    return res
-
-
-def best_choice(query: str, choices: list[str], choice_sets: list[set] | None = None) -> tuple[int, float]:
-    """Index and token_set score of the best choice; first one on ties,
-    search stops at the first perfect score.  ``choice_sets`` are the
-    choices' token sets, when the caller has split them once already."""
-    sets = choice_sets if choice_sets is not None else [set(c.split()) for c in choices]
-    qa = set(query.split())
-    best_i, best_s = -1, -1.0
-    for i, tb in enumerate(sets):
-        s = token_set_ratio_sets(qa, tb)
-        if s > best_s:
-            best_i, best_s = i, s
-            if s == 100.0:
-                break
-    return best_i, best_s
+    if not (a and b):
+        return 0.0 if a or b else 100.0
+    inner, outer = sorted((a, b), key=len)
+    best = _best_window(inner, outer)
+    return max(best, _best_window(outer, inner)) if len(a) == len(b) else best
 
 
 def combined_score(query: str, choice: str, set_score: float) -> int:
     """Integer score of the chosen alias: the best of token-set, partial and
     token-sort, rounded half to even (before any threshold test)."""
+    if set_score == 100.0:
+        return 100
     return int(round(max(set_score, partial_ratio(query, choice), token_sort_ratio(query, choice))))
+
+
+class ChoiceTable:
+    """The choices in list order, prepared for exact best-choice searches."""
+
+    def __init__(self, choices: list[str]):
+        self.choices = choices
+        self.tokens = [set(c.split()) for c in choices]
+        self.texts = [_joined(t) for t in self.tokens]
+        self.lengths = np.array([len(t) for t in self.texts], np.float64)
+        self.holders: dict[str, list[int]] = {}
+        for i, own in enumerate(self.tokens):
+            for token in own:
+                self.holders.setdefault(token, []).append(i)
+        self.letter = {ch: k for k, ch in enumerate(sorted(set().union(*self.texts)))}
+        self.counts = np.zeros((len(self.letter), len(choices)), np.uint16)
+        for i, text in enumerate(self.texts):
+            for ch in text:
+                self.counts[self.letter[ch], i] += 1
+
+    def _bounds(self, text: str) -> np.ndarray:
+        """No choice without a common token can score higher: LCS <= common letters."""
+        common = np.zeros(len(self.choices))
+        for ch in set(text):
+            if ch in self.letter:
+                common += np.minimum(self.counts[self.letter[ch]], text.count(ch))
+        return 200.0 * common / (len(text) + self.lengths) + 1e-9
+
+    def best(self, query: str) -> tuple[int, float]:
+        """Position and token-set score of the best choice, the first one on ties."""
+        own = set(query.split())
+        if not own:
+            return 0, 0.0
+        place, top = len(self.choices), -1.0
+        sharing = sorted({i for t in own for i in self.holders.get(t, ())})
+        for i in sharing:
+            score = _token_sets(own, self.tokens[i])
+            if score > top:
+                place, top = i, score
+                if top == 100.0:
+                    return place, top
+        text = _joined(own)
+        bounds = self._bounds(text)
+        bounds[sharing] = -1.0
+        for i in np.argsort(-bounds, kind="stable").tolist():
+            if bounds[i] < top or (bounds[i] - 2e-9 <= top and i > place):
+                break
+            score = _share(len(text) + len(self.texts[i]) - 2 * lcs_len(text, self.texts[i]), len(text) + len(self.texts[i]))
+            if score > top or (score == top and i < place):
+                place, top = i, score
+        return place, top
+
+    def first_containing(self, query: str) -> int | None:
+        """First choice that contains the query or is contained in it; none for an empty query."""
+        return next((i for i, c in enumerate(self.choices) if c in query or query in c), None) if query else None

@@ -1,21 +1,27 @@
 """J4 resolve_merchants: raw merchant text -> canonical merchant.
 
-Staged joins over the *distinct* merchant strings, then one join back:
+One lazy plan over the *distinct* merchant strings, then one join back:
 
-  clean      NFKC (Arrow, non-ASCII strings only) + native regex chain
+  clean      NFKC (Arrow, sees non-ASCII strings only) + native regex chain
   exact      equi-join with the alias table (last writer wins on duplicates)
-  subset     token equi-join: a choice whose token set contains, or is
-             contained in, the string's scores 100; first choice in list order
-  fuzzy      the rest against every choice (chunked, see ``chunks``): best
+  fuzzy      the rest against all choices in one Arrow function: best
              token-set score, first choice on ties, final score the best of
              token-set / partial / token-sort for that choice, rounded
-  aggressive strings below the threshold are re-cleaned and searched again
+  aggressive in the same function: a string below the threshold is searched
+             again in its aggressively cleaned form
   vector     optional: caller-supplied vectors, cosine top-1 over a cutoff
   rest       ``low_confidence`` with the best score seen
 
 ``fallback="substring"`` replaces the scored stages by the first choice that
 contains or is contained in the string (fixed score 75).
 
+The alias table is a dimension that people keep: it is read to the driver once
+per index (a hundred bytes an alias) and goes to the Arrow functions as
+broadcast slices of SLICE choices, each searched exactly
+(``functions.fuzzy.ChoiceTable``); the best of the slices' best is the answer.
+The same plan serves a hundred and a million aliases, without a join of
+strings and choices.  An empty alias table is "no map".
+
 Result tags: ``empty_merchant``, ``no_merchant_map``, ``fuzzy_matched``,
 ``aggressive_fuzzy_matched``, ``embedding_matched``, ``low_confidence``,
 ``substring_matched``, ``no_match``; exact matches carry none.
@@ -26,29 +32,28 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerloom.functions import fuzzy
+from ledgerloom.functions.fuzzy import ChoiceTable, combined_score
 from ledgerloom.functions.common import strip_ws
 from ledgerloom.functions.text import aggressive_clean_expr, clean_merchant_expr, is_ascii, nfkc
-from ledgerloom.operators.chunks import BROADCAST_CHUNK_ROWS, DEFAULT_CHUNK, ChunkedDimension
-from ledgerloom.session import materialize
 from ledgerloom.sources import dims
 
 DEFAULT_THRESHOLD = 85
 SUBSTRING_SCORE = 75
+#: Choices that one Arrow function searches.
+SLICE = 100_000
+#: Alias tables of up to so many rows are broadcast in joins; for larger ones Spark chooses.
+BROADCAST_ALIASES = 200_000
 
 
 # --------------------------------------------------------------------------- cleaning
 def nfkc_normalize(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Add ``out`` = NFKC(col).  ASCII (and NULL) rows stay native; only the
-    non-ASCII rows pass through the Arrow function."""
+    """Add ``out`` = NFKC(col).  ASCII is NFKC-normal, so the Arrow function
+    sees only the other strings (NULL in place of ASCII ones)."""
     c = F.col(col)
-    plain = df.where(c.isNull() | is_ascii(c)).withColumn(out, c)
-    other = df.where(c.isNotNull() & ~is_ascii(c)).withColumn(out, nfkc(c))
-    return plain.unionByName(other)
+    return df.withColumn(out, F.coalesce(nfkc(F.when(~is_ascii(c), c)), c))
 
 
 def clean_distinct(df: DataFrame, col: str, out: str = "cleaned") -> DataFrame:
@@ -58,12 +63,6 @@ def clean_distinct(df: DataFrame, col: str, out: str = "cleaned") -> DataFrame:
     return d.select(F.col("_raw").alias(col), clean_merchant_expr(F.col("_norm")).alias(out))
 
 
-def cleaned_distinct(df: DataFrame, col: str, out: str = "cleaned") -> DataFrame:
-    """``clean_distinct`` materialised: every later stage reads this small
-    table instead of re-scanning (and re-cleaning) the source."""
-    return _checkpoint(clean_distinct(df, col, out))
-
-
 def prepare_choices(spark: SparkSession, aliases=None) -> DataFrame:
     """Alias dimension -> ``(choice_idx, alias_clean, canonical)``.
 
@@ -92,10 +91,10 @@ _DEFAULT_INDEX: dict[tuple, "ChoiceIndex"] = {}
 
 
 def default_index(spark: SparkSession) -> "ChoiceIndex":
-    """The built-in alias map, prepared once per session (cached: 96 rows)."""
+    """The built-in alias map, prepared once per session (96 rows)."""
     key = (id(spark), spark.sparkContext.applicationId)
     if key not in _DEFAULT_INDEX:
-        _DEFAULT_INDEX[key] = ChoiceIndex(prepare_choices(spark).cache())
+        _DEFAULT_INDEX[key] = ChoiceIndex(prepare_choices(spark))
     return _DEFAULT_INDEX[key]
 
 
@@ -104,145 +103,91 @@ def _tokens(c):
 
 
 # --------------------------------------------------------------------------- scoring
-_SCORE_TYPE = T.StructType(
-    [
-        T.StructField("best_idx", T.LongType()),
-        T.StructField("set_score", T.DoubleType()),
-        T.StructField("score", T.IntegerType()),
-    ]
-)
+# ordered so that the greatest struct is the best: score, then the first in list order
+_BEST = "set_score double, neg_idx long, choice string, canonical string, score int"
+_NOTHING = (None, None, None, None, None)
 
 
-def _score_rows(keys, idx_lists, choice_lists, set_lists=None) -> pd.DataFrame:
-    rows = []
-    set_lists = set_lists if set_lists is not None else [None] * len(keys)
-    for key, ix, ch, sets in zip(keys, idx_lists, choice_lists, set_lists):
-        i, s = fuzzy.best_choice(key, ch, sets)
-        rows.append((int(ix[i]), s, fuzzy.combined_score(key, ch[i], s)))
-    return pd.DataFrame(rows, columns=["best_idx", "set_score", "score"])
+def _scorer(spark: SparkSession, rows: list[tuple[int, str, str]]):
+    """Arrow function: text -> best choice of a slice."""
+    shared = spark.sparkContext.broadcast(rows)
 
+    @F.pandas_udf(_BEST)
+    def best(texts: pd.Series) -> pd.DataFrame:
+        rows = shared.value
+        table = ChoiceTable([choice for _, choice, _ in rows])
 
-@F.pandas_udf(_SCORE_TYPE)
-def _score_chunk(keys: pd.Series, idxs: pd.Series, choices: pd.Series) -> pd.DataFrame:
-    """Per (string, chunk): first best choice by token-set score and the
-    combined integer score for it.  Chunks arrive sorted by choice_idx."""
-    return _score_rows(keys, [list(x) for x in idxs], [list(x) for x in choices])
+        def search(text: str | None) -> tuple:
+            if text is None:
+                return _NOTHING
+            i, set_score = table.best(text)
+            idx, choice, canonical = rows[i]
+            return set_score, -idx, choice, canonical, combined_score(text, choice, set_score)
 
+        return pd.DataFrame([search(t) for t in texts], columns=["set_score", "neg_idx", "choice", "canonical", "score"])
 
-def _local_scorer(idxs: list[int], choices: list[str]):
-    """Scoring function with the (size-checked) choice list as a constant."""
+    return best
 
-    sets = [set(c.split()) for c in choices]  # split once, not once per key
 
-    @F.pandas_udf(_SCORE_TYPE)
-    def score_local(keys: pd.Series) -> pd.DataFrame:
-        n = len(keys)
-        return _score_rows(keys, [idxs] * n, [choices] * n, [sets] * n)
+def _container(spark: SparkSession, rows: list[tuple[int, str, str]]):
+    """Arrow function: text -> first choice of a slice that contains or is contained in it."""
+    shared = spark.sparkContext.broadcast(rows)
 
-    return score_local
+    @F.pandas_udf("neg_idx long, canonical string")
+    def first(texts: pd.Series) -> pd.DataFrame:
+        rows = shared.value
+        table = ChoiceTable([choice for _, choice, _ in rows])
+        found = [None if t is None else table.first_containing(t) for t in texts]
+        return pd.DataFrame([(None, None) if i is None else (-rows[i][0], rows[i][2]) for i in found], columns=["neg_idx", "canonical"])
+
+    return first
 
 
 class ChoiceIndex:
-    """The alias choices, prepared once per job: exact map, token table for
-    the subset equi-join, chunked dimension for the scored search."""
-
-    def __init__(self, choices: DataFrame, chunk_size: int = DEFAULT_CHUNK):
-        self.choices = choices
-        self.dim = ChunkedDimension(choices, "choice_idx", ["alias_clean"], chunk_size)
-        self.n = self.dim.n
-        self.small = self.dim.k <= BROADCAST_CHUNK_ROWS
-        self.exact = choices.select("alias_clean", "canonical").distinct()
-        ct = choices.select("choice_idx", _tokens(F.col("alias_clean")).alias("_t"))
-        self.tokens = ct.select("choice_idx", F.explode("_t").alias("tok"), F.size("_t").alias("nc"))
-        if self.dim.k == 1:
-            self._scorer = _local_scorer(self.dim.local["choice_idx"], self.dim.local["alias_clean"])
+    """The alias choices, prepared once per job."""
+
+    def __init__(self, choices: DataFrame, slice_size: int = SLICE):
+        spark = choices.sparkSession
+        rows = [tuple(r) for r in choices.select("choice_idx", "alias_clean", "canonical").orderBy("choice_idx").collect()]
+        self.n = len(rows)
+        self.choices = spark.createDataFrame(rows, "choice_idx long, alias_clean string, canonical string")
+        self.exact = self._sized(self.choices.select("alias_clean", "canonical").distinct())
+        slices = [rows[i : i + slice_size] for i in range(0, len(rows), slice_size)]
+        self._scorers = [_scorer(spark, part) for part in slices]
+        self._containers = [_container(spark, part) for part in slices]
+        own = self.choices.select("choice_idx", "alias_clean", "canonical", _tokens(F.col("alias_clean")).alias("_t"))
+        self.tokens = self._sized(own.select("choice_idx", F.explode("_t").alias("tok"), F.size("_t").alias("nc")))
 
     def empty(self) -> bool:
         return self.n == 0
 
-    def _b(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.small else df
-
-    def canonical_of(self, df: DataFrame, idx_col: str) -> DataFrame:
-        lookup = self.choices.select(F.col("choice_idx").alias(idx_col), "canonical")
-        return df.join(self._b(lookup), idx_col, "left")
+    def _sized(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.n <= BROADCAST_ALIASES else df
 
-    def _subset_expr(self):
-        """Native test against the literal choice list (single chunk): the
-        first choice whose token set contains or is contained in the key's."""
-        idxs = self.dim.local["choice_idx"]
-        toks = [list(dict.fromkeys(t for t in a.split(" ") if t)) for a in self.dim.local["alias_clean"]]
-        choice_toks = F.array(*[F.array(*[F.lit(t) for t in ts]).cast("array<string>") for ts in toks])
-        zipped = F.arrays_zip(F.array(*[F.lit(i) for i in idxs]).alias("i"), choice_toks.alias("t"))
-        kt = _tokens(F.col("key"))
+    def best(self, text: Column) -> Column:
+        """Struct of the best choice of all (``_BEST``); NULL fields for NULL."""
+        return _greatest([search(text) for search in self._scorers])
 
-        def hit(z):
-            n = F.size(F.array_intersect(kt, z["t"]))
-            return (n > 0) & ((n == F.size(kt)) | (n == F.size(z["t"])))
-
-        return F.try_element_at(F.filter(zipped, hit), F.lit(1))["i"]
+    def first_containing(self, text: Column) -> Column:
+        return _greatest([search(text) for search in self._containers])
 
     def subset_hits(self, keys: DataFrame) -> DataFrame:
-        """``(key, best_idx)`` for strings with a token-subset choice (score 100)."""
-        if self.dim.k == 1:
-            hits = keys.select("key", self._subset_expr().alias("best_idx"))
-            return hits.where(F.col("best_idx").isNotNull())
+        """``(key, best_idx)``: the first choice whose token set contains or is
+        contained in the string's (score 100), by a token equi-join."""
         kt = keys.select("key", _tokens(F.col("key")).alias("_t"))
         kt = kt.select("key", F.explode("_t").alias("tok"), F.size("_t").alias("nk"))
-        pairs = kt.join(self._b(self.tokens), "tok").groupBy("key", "choice_idx").agg(
+        pairs = kt.join(self.tokens, "tok").groupBy("key", "choice_idx").agg(
             F.count(F.lit(1)).alias("shared"), F.first("nk").alias("nk"), F.first("nc").alias("nc")
         )
         hits = pairs.where((F.col("shared") == F.col("nk")) | (F.col("shared") == F.col("nc")))
         return hits.groupBy("key").agg(F.min("choice_idx").alias("best_idx"))
 
-    def score(self, keys: DataFrame) -> DataFrame:
-        """``(key, best_idx, score)`` for every distinct key: exact search
-        over all choices; token-subset hits via the equi-join, the rest by
-        the Arrow scorer."""
-        keys = keys.select("key")  # callers pass distinct keys
-        if self.dim.k == 1:
-            # one pass, no shuffle: native subset test, Arrow scorer for the rest
-            tagged = keys.select("key", self._subset_expr().alias("hit_idx"))
-            hit_rows = tagged.where(F.col("hit_idx").isNotNull()).select(
-                "key", F.col("hit_idx").alias("best_idx"), F.lit(100).alias("score")
-            )
-            rest = tagged.where(F.col("hit_idx").isNull()).select("key")
-            best = rest.select("key", self._scorer("key").alias("_s")).select("key", "_s.best_idx", "_s.score")
-            return hit_rows.unionByName(best)
-        hits = self.subset_hits(keys)
-        hit_rows = hits.select("key", "best_idx", F.lit(100).alias("score"))
-        rest = keys.join(hits.select("key"), "key", "left_anti")
-        paired = self.dim.attach(rest)
-        scored = paired.select("key", _score_chunk("key", "choice_idxs", "alias_cleans").alias("_s")).select(
-            "key", "_s.*"
-        )
-        best = self.dim.reduce_best(
-            scored, ["key"], F.struct(F.col("set_score"), -F.col("best_idx")), ["best_idx", "score"]
-        )
-        return hit_rows.unionByName(best.select("key", "best_idx", "score"))
-
-    def substring_first(self, keys: DataFrame) -> DataFrame:
-        """``(key, best_idx)``: first choice (list order) that contains or is
-        contained in the string; empty strings never match."""
-        paired = self.dim.attach(keys.where(F.col("key") != ""))
-        first = F.try_element_at(
-            F.filter(
-                F.arrays_zip(F.col("choice_idxs").alias("i"), F.col("alias_cleans").alias("c")),
-                lambda z: (F.instr(F.col("key"), z["c"]) > 0) | (F.instr(z["c"], F.col("key")) > 0),
-            ),
-            F.lit(1),
-        )
-        found = paired.select("key", first["i"].alias("best_idx")).where(F.col("best_idx").isNotNull())
-        return self.dim.reduce_best(found, ["key"], -F.col("best_idx"), ["best_idx"])
 
-
-# --------------------------------------------------------------------------- stages
-def _checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise a small intermediate that several stages read, cutting
-    its lineage (the shared ``spark.checkpoint.dir``; see ``session``)."""
-    return materialize(df)
+def _greatest(found: list[Column]) -> Column:
+    return found[0] if len(found) == 1 else F.array_max(F.array(*found))
 
 
+# --------------------------------------------------------------------------- stages
 def _out(df: DataFrame, canonical, score, issue: str, stage: str) -> DataFrame:
     return df.select(
         "key",
@@ -262,60 +207,44 @@ def resolve_keys(
     vectors: tuple[DataFrame, DataFrame] | None = None,
     vector_cutoff: float = 0.72,
 ) -> DataFrame:
-    """Resolve distinct cleaned strings ``keys(key)`` (already materialised).
-    Returns one row per key: ``key, merchant_canonical, merchant_score, issue,
-    match_stage``."""
+    """Resolve distinct cleaned strings ``keys(key)``.  Returns one row per
+    key: ``key, merchant_canonical, merchant_score, issue, match_stage``."""
     keys = keys.select("key").distinct()
     if index.empty():
         return _out(keys, None, F.lit(0), "no_merchant_map", "no_map")
-    exact_map = index._b(index.exact.select(F.col("alias_clean").alias("key"), "canonical"))
-    exact = keys.join(exact_map, "key")
-    rest = keys.join(exact_map.select("key"), "key", "left_anti")
-    exact_out = _out(exact, F.col("canonical"), F.lit(100), None, "exact")
+    exact = index.exact.select(F.col("alias_clean").alias("_alias"), F.col("canonical").alias("can0"))
+    r = keys.join(exact, F.col("key") == F.col("_alias"), "left").drop("_alias")
+    is_exact = F.col("can0").isNotNull()
+    rest = F.when(~is_exact, F.col("key"))
 
     if fallback == "substring":
-        sub = index.canonical_of(index.substring_first(rest), "best_idx")
-        r = rest.join(sub, "key", "left")
-        found = F.col("best_idx").isNotNull()
-        out = r.select(
+        r = r.withColumn("hit", index.first_containing(rest))
+        found = F.col("hit.canonical").isNotNull()
+        return r.select(
             "key",
-            F.col("canonical").alias("merchant_canonical"),
-            F.when(found, SUBSTRING_SCORE).otherwise(0).alias("merchant_score"),
-            F.when(found, "substring_matched").otherwise("no_match").alias("issue"),
-            F.when(found, "substring").otherwise("none").alias("match_stage"),
+            F.coalesce("can0", "hit.canonical").alias("merchant_canonical"),
+            F.when(is_exact, 100).when(found, SUBSTRING_SCORE).otherwise(0).alias("merchant_score"),
+            F.when(is_exact, None).when(found, "substring_matched").otherwise("no_match").alias("issue"),
+            F.when(is_exact, "exact").when(found, "substring").otherwise("none").alias("match_stage"),
         )
-        return exact_out.unionByName(out)
 
-    # first pass, materialised: both the accepted rows and the retry read it
-    first = _checkpoint(
-        index.canonical_of(index.score(rest), "best_idx").select(
-            "key", F.col("canonical").alias("can1"), F.col("score").alias("score1")
-        )
-    )
-    first = first.withColumn("aggr", aggressive_clean_expr(F.col("key")))
-    retry = first.where(
-        (F.col("score1") < threshold) & (F.col("aggr") != "") & (F.col("aggr") != F.col("key"))
-    ).select(F.col("aggr").alias("key")).distinct()
-    second = index.canonical_of(index.score(retry), "best_idx").select(
-        F.col("key").alias("aggr"), F.col("canonical").alias("can2"), F.col("score").alias("score2")
-    )
-    r = first.join(second, "aggr", "left")
-    retried = (F.col("aggr") != "") & (F.col("aggr") != F.col("key"))
-    r = r.withColumn("score2", F.when(retried, F.col("score2"))).withColumn("can2", F.when(retried, F.col("can2")))
-    ok1 = F.col("score1") >= threshold
-    ok2 = ~ok1 & (F.col("score2") >= threshold)
-    low_score = F.greatest(F.col("score1"), F.coalesce(F.col("score2"), F.col("score1")))
+    r = r.withColumn("aggr", aggressive_clean_expr(F.col("key"))).withColumn("one", index.best(rest))
+    weak = F.col("one.score") < threshold
+    r = r.withColumn("two", index.best(F.when(weak & (F.col("aggr") != "") & (F.col("aggr") != F.col("key")), F.col("aggr"))))
+    ok1 = F.col("one.score") >= threshold
+    ok2 = F.coalesce(F.col("two.score") >= threshold, F.lit(False))
+    low_score = F.greatest("one.score", "two.score")
     r = r.select(
         "key",
         "aggr",
-        F.when(ok1, F.col("can1")).when(ok2, F.col("can2")).alias("merchant_canonical"),
-        F.when(ok1, F.col("score1")).when(ok2, F.col("score2")).otherwise(low_score).alias("merchant_score"),
-        F.when(ok1, "fuzzy_matched").when(ok2, "aggressive_fuzzy_matched").otherwise("low_confidence").alias("issue"),
-        F.when(ok1, "fuzzy").when(ok2, "aggressive").otherwise("unresolved").alias("match_stage"),
+        F.when(is_exact, F.col("can0")).when(ok1, F.col("one.canonical")).when(ok2, F.col("two.canonical")).alias("merchant_canonical"),
+        F.when(is_exact, 100).when(ok1, F.col("one.score")).when(ok2, F.col("two.score")).otherwise(low_score).alias("merchant_score"),
+        F.when(is_exact, None).when(ok1, "fuzzy_matched").when(ok2, "aggressive_fuzzy_matched").otherwise("low_confidence").alias("issue"),
+        F.when(is_exact, "exact").when(ok1, "fuzzy").when(ok2, "aggressive").otherwise("unresolved").alias("match_stage"),
     )
     if vectors is not None:
         r = _vector_stage(r, index, vectors, vector_cutoff)
-    return exact_out.unionByName(r.drop("aggr"))
+    return r.drop("aggr")
 
 
 def _vector_stage(r: DataFrame, index: ChoiceIndex, vectors, cutoff: float) -> DataFrame:
@@ -329,7 +258,8 @@ def _vector_stage(r: DataFrame, index: ChoiceIndex, vectors, cutoff: float) -> D
     q = un.select("key", F.when(F.col("aggr") != "", F.col("aggr")).otherwise(F.col("key")).alias("text"))
     q = q.join(text_vecs.select("text", "vec"), "text")
     best = nearest(q.select("key", "vec"), choice_vecs.select(F.col("choice_idx").alias("ref_id"), "vec"), "key")
-    best = index.canonical_of(best.withColumnRenamed("ref_id", "hit_idx"), "hit_idx")
+    names = index._sized(index.choices.select(F.col("choice_idx").alias("ref_id"), "canonical"))
+    best = best.join(names, "ref_id", "left")
     hit = best.where(F.col("cos") >= cutoff).select(
         "key", F.col("canonical").alias("vcan"), F.bround(F.col("cos") * 100, 0).cast("int").alias("vscore")
     )
@@ -352,25 +282,17 @@ def resolve_distinct(
     aliases=None,
     threshold: int = DEFAULT_THRESHOLD,
     fallback: str = "fuzzy",
-    chunk_size: int = DEFAULT_CHUNK,
+    slice_size: int = SLICE,
     vectors=None,
-    materialized_input: bool = False,
 ) -> DataFrame:
     """One row per distinct raw merchant: ``merchant_col, merchant_cleaned,
-    merchant_canonical, merchant_score, merchant_issues, match_stage``.
-
-    ``materialized_input=True`` says ``df`` is already a checkpointed table
-    with one row per merchant, so its cleaned form need not be checkpointed
-    again."""
+    merchant_canonical, merchant_score, merchant_issues, match_stage``."""
     spark = df.sparkSession
-    if aliases is None and chunk_size == DEFAULT_CHUNK:
+    if aliases is None and slice_size == SLICE:
         index = default_index(spark)
     else:
-        index = ChoiceIndex(prepare_choices(spark, aliases), chunk_size)
-    if materialized_input:
-        cleaned = clean_distinct(df, merchant_col, "merchant_cleaned")
-    else:
-        cleaned = cleaned_distinct(df, merchant_col, "merchant_cleaned")
+        index = ChoiceIndex(prepare_choices(spark, aliases), slice_size)
+    cleaned = clean_distinct(df, merchant_col, "merchant_cleaned")
     raw = F.col(merchant_col)
     is_empty = raw.isNull() | (strip_ws(raw) == "")
     nonempty = cleaned.where(~is_empty)

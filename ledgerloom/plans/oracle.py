@@ -460,14 +460,14 @@ def oracle_sql() -> dict[str, str]:
     )
     spaced = "trim(regexp_replace(merchant, '(.)', '\\1 ', 'g'))"
     q["merchants_clean_spaced"] = _q(
-        [f"sp AS (SELECT DISTINCT {spaced} AS merchant_spaced FROM tx WHERE merchant <> '')"],
+        [f"sp AS (SELECT DISTINCT {spaced} AS merchant_spaced FROM tx)"],
         f"SELECT merchant_spaced, {clean_sql('merchant_spaced')} AS merchant_cleaned FROM sp",
     )
     mk = choices_ctes() + merchant_keys_ctes()
     q["merchants_exact"] = _q(
         mk,
         "SELECT m.merchant, m.merchant_cleaned, e.canonical AS merchant_canonical FROM mclean m "
-        f"LEFT JOIN exact_map e ON e.alias_clean = m.merchant_cleaned WHERE m.merchant IS NOT NULL AND {strip('m.merchant')} <> ''",
+        "LEFT JOIN exact_map e ON e.alias_clean = m.merchant_cleaned",
     )
     subset = [
         f"kt AS (SELECT key, unnest(t) AS tok, len(t) AS nk FROM (SELECT key, list_distinct({_toks('key')}) AS t FROM mrest))",
@@ -526,7 +526,7 @@ def oracle_sql() -> dict[str, str]:
         full, "SELECT merchant, merchant_cleaned, merchant_canonical, merchant_score, issue, match_stage FROM merchant_resolved"
     )
     q["merchants_resolve_spaced"] = _q(
-        [f"sptx AS (SELECT {spaced} AS merchant FROM tx WHERE merchant <> '')"]
+        [f"sptx AS (SELECT {spaced} AS merchant FROM tx)"]
         + choices_ctes() + merchant_keys_ctes("sptx") + resolve_ctes(),
         "SELECT merchant, merchant_cleaned, merchant_canonical, merchant_score, match_stage FROM merchant_resolved",
     )
@@ -539,8 +539,7 @@ def oracle_sql() -> dict[str, str]:
     q["categories_lookup"] = _q(
         mk + [f"catmap(merchant_canonical, map_category) AS {category_map_values()}"],
         "SELECT m.merchant, e.canonical AS merchant_canonical, c.map_category AS category FROM mclean m "
-        "LEFT JOIN exact_map e ON e.alias_clean = m.merchant_cleaned LEFT JOIN catmap c ON c.merchant_canonical = e.canonical "
-        f"WHERE m.merchant IS NOT NULL AND {strip('m.merchant')} <> ''",
+        "LEFT JOIN exact_map e ON e.alias_clean = m.merchant_cleaned LEFT JOIN catmap c ON c.merchant_canonical = e.canonical",
     )
     q["categories_rules"] = _q([], f"SELECT merchant, {rules_case('merchant')} AS category FROM (SELECT DISTINCT merchant FROM tx)")
     q["categories_full"] = _q(

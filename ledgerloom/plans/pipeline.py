@@ -19,7 +19,6 @@ from ledgerloom.operators.categorize import categorize
 from ledgerloom.operators.fx import convert_to_usd
 from ledgerloom.operators.merchants import resolve_distinct
 from ledgerloom.operators.report import group_totals
-from ledgerloom.session import materialize
 
 
 def clean_transactions(df: DataFrame, *, default_currency: str | None = None) -> DataFrame:
@@ -66,10 +65,8 @@ def categorized_merchant_totals(
         df = df.drop("merchant_canonical")
     per_merchant = merchant_totals(usd_rows(df, rates=rates))
     if resolve:
-        # read twice (resolution input and join back): materialise once so
-        # the big table is scanned once
-        per_merchant = materialize(per_merchant)
-        res = resolve_distinct(per_merchant, "merchant", aliases=aliases, threshold=threshold, materialized_input=True)
+        # the second read of the source sees its merchant column only
+        res = resolve_distinct(per_merchant, "merchant", aliases=aliases, threshold=threshold)
         per_merchant = per_merchant.join(
             res.select("merchant", "merchant_canonical"), per_merchant["merchant"].eqNullSafe(res["merchant"]), "left"
         ).drop(res["merchant"])

@@ -164,72 +164,56 @@ def merchants_clean(spark, sf):
 
 
 def merchants_clean_spaced(spark, sf):
-    tx = _tx(spark, sf).where(F.col("merchant") != "")
-    sp = tx.select(_spaced(F.col("merchant")).alias("merchant_spaced"))
+    sp = _tx(spark, sf).select(_spaced(F.col("merchant")).alias("merchant_spaced"))
     return M.clean_distinct(sp, "merchant_spaced", "merchant_cleaned")
 
 
-def _cleaned_keys(spark, sf):
-    d = M.cleaned_distinct(_tx(spark, sf), "merchant", "merchant_cleaned")
-    return d.where(F.col("merchant").isNotNull() & (F.trim("merchant") != ""))
-
-
 def _index(spark):
     return M.default_index(spark)
 
 
 def merchants_exact(spark, sf):
-    idx = _index(spark)
-    d = _cleaned_keys(spark, sf)
-    ex = idx.exact.select(F.col("alias_clean").alias("merchant_cleaned"), F.col("canonical").alias("merchant_canonical"))
-    return d.join(F.broadcast(ex), "merchant_cleaned", "left").select("merchant", "merchant_cleaned", "merchant_canonical")
+    d = M.clean_distinct(_tx(spark, sf), "merchant", "merchant_cleaned")
+    ex = _index(spark).exact.select(F.col("alias_clean").alias("merchant_cleaned"), F.col("canonical").alias("merchant_canonical"))
+    return d.join(ex, "merchant_cleaned", "left").select("merchant", "merchant_cleaned", "merchant_canonical")
 
 
 def _not_exact(spark, sf, idx):
-    keys = _cleaned_keys(spark, sf).select(F.col("merchant_cleaned").alias("key")).distinct()
-    return keys.join(F.broadcast(idx.exact.select(F.col("alias_clean").alias("key"))), "key", "left_anti")
-
-
-def _with_choice(idx, df):
-    ch = idx.choices.select(F.col("choice_idx").alias("best_idx"), F.col("alias_clean").alias("best_choice"), "canonical")
-    return df.join(F.broadcast(ch), "best_idx", "left")
+    d = M.clean_distinct(_tx(spark, sf), "merchant", "merchant_cleaned").where(F.trim("merchant") != "")
+    keys = d.select(F.col("merchant_cleaned").alias("key")).distinct()
+    return keys.join(idx.exact.select(F.col("alias_clean").alias("key")), "key", "left_anti")
 
 
 def merchants_token_subset(spark, sf):
     idx = _index(spark)
-    hits = _with_choice(idx, idx.subset_hits(_not_exact(spark, sf, idx)))
+    hits = idx.subset_hits(_not_exact(spark, sf, idx))
+    hits = hits.join(idx.choices, hits["best_idx"] == idx.choices["choice_idx"])
     return hits.select(
-        F.col("key").alias("merchant_cleaned"), "best_choice", F.col("canonical").alias("merchant_canonical")
+        F.col("key").alias("merchant_cleaned"), F.col("alias_clean").alias("best_choice"), F.col("canonical").alias("merchant_canonical")
     )
 
 
+def _best_columns():
+    return [
+        F.col("best.choice").alias("best_choice"),
+        F.col("best.canonical").alias("merchant_canonical"),
+        F.col("best.score").alias("merchant_score"),
+        (F.col("best.score") >= M.DEFAULT_THRESHOLD).alias("accepted"),
+    ]
+
+
 def merchants_fuzzy(spark, sf):
     idx = _index(spark)
-    scored = _with_choice(idx, idx.score(_not_exact(spark, sf, idx)))
-    return scored.select(
-        F.col("key").alias("merchant_cleaned"),
-        "best_choice",
-        F.col("canonical").alias("merchant_canonical"),
-        F.col("score").alias("merchant_score"),
-        (F.col("score") >= M.DEFAULT_THRESHOLD).alias("accepted"),
-    )
+    scored = _not_exact(spark, sf, idx).withColumn("best", idx.best(F.col("key")))
+    return scored.select(F.col("key").alias("merchant_cleaned"), *_best_columns())
 
 
 def merchants_aggressive(spark, sf):
     idx = _index(spark)
-    first = idx.score(_not_exact(spark, sf, idx)).where(F.col("score") < M.DEFAULT_THRESHOLD)
-    low = first.select(F.col("key").alias("merchant_cleaned"), aggressive_clean_expr(F.col("key")).alias("key"))
-    low = low.where((F.col("key") != "") & (F.col("key") != F.col("merchant_cleaned")))
-    second = _with_choice(idx, idx.score(low.select("key").distinct()))
-    out = low.join(second, "key", "left")
-    return out.select(
-        "merchant_cleaned",
-        F.col("key").alias("merchant_aggressive"),
-        "best_choice",
-        F.col("canonical").alias("merchant_canonical"),
-        F.col("score").alias("merchant_score"),
-        (F.col("score") >= M.DEFAULT_THRESHOLD).alias("accepted"),
-    )
+    low = _not_exact(spark, sf, idx).withColumn("first", idx.best(F.col("key"))).where(F.col("first.score") < M.DEFAULT_THRESHOLD)
+    low = low.select(F.col("key").alias("merchant_cleaned"), aggressive_clean_expr(F.col("key")).alias("merchant_aggressive"))
+    low = low.where((F.col("merchant_aggressive") != "") & (F.col("merchant_aggressive") != F.col("merchant_cleaned")))
+    return low.withColumn("best", idx.best(F.col("merchant_aggressive"))).select("merchant_cleaned", "merchant_aggressive", *_best_columns())
 
 
 def merchants_substring(spark, sf):
@@ -254,8 +238,7 @@ def merchants_resolve(spark, sf):
 
 
 def merchants_resolve_spaced(spark, sf):
-    tx = _tx(spark, sf).where(F.col("merchant") != "")
-    sp = tx.select(_spaced(F.col("merchant")).alias("merchant"))
+    sp = _tx(spark, sf).select(_spaced(F.col("merchant")).alias("merchant"))
     res = M.resolve_distinct(sp, "merchant")
     return res.select("merchant", "merchant_cleaned", "merchant_canonical", "merchant_score", "match_stage")
 

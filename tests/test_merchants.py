@@ -101,7 +101,7 @@ def test_substring_fallback(spark):
 
 def test_chunked_path_matches_single_chunk(spark, sample_df):
     a = {r.merchant: (r.merchant_canonical, r.merchant_score) for r in resolve_distinct(sample_df, "merchant").collect()}
-    b = {r.merchant: (r.merchant_canonical, r.merchant_score) for r in resolve_distinct(sample_df, "merchant", chunk_size=7).collect()}
+    b = {r.merchant: (r.merchant_canonical, r.merchant_score) for r in resolve_distinct(sample_df, "merchant", slice_size=7).collect()}
     assert a == b
 
 
@@ -130,6 +130,43 @@ def test_scorers():
     assert combined_score("wal-mart", "walmart", token_set_ratio("wal-mart", "walmart")) == 93
 
 
+def test_best_choice_like_scoring_every_choice():
+    import random
+
+    from ledgerloom.functions.fuzzy import ChoiceTable
+
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 6)))
+    choices = [" ".join(word() for _ in range(rnd.randint(1, 3))) for _ in range(400)]
+    table = ChoiceTable(choices)
+    for _ in range(300):
+        query = " ".join(word() for _ in range(rnd.randint(0, 3))) if rnd.random() < 0.9 else "zzz qq"
+        scores = [token_set_ratio(query, c) for c in choices]
+        assert table.best(query) == (scores.index(max(scores)), max(scores)), query
+
+
+def test_plan_is_lazy_and_has_no_pairs_of_strings_and_choices(spark):
+    df = spark.createDataFrame([("x%d" % i,) for i in range(5)], "merchant string")
+    resolve_distinct(df.limit(0), "merchant").collect()  # prepares the built-in index once
+    group, tracker = "lazy-plan", spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        out = resolve_distinct(df, "merchant")
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Generate" not in plan
+
+
+def test_large_alias_table(spark):
+    aliases = {f"Canon {i}": [f"shop{i:05d} alpha", f"store{i:05d}x beta"] for i in range(17_000)}  # 51,000 choices
+    got = _resolve(spark, ["SHOP00017 alpha", "shop16999 alpha west", "unlike anything"], aliases=aliases, slice_size=20_000)
+    assert got["SHOP00017 alpha"].merchant_canonical == "Canon 17"
+    assert got["shop16999 alpha west"].merchant_canonical == "Canon 16999"
+    assert got["unlike anything"].merchant_canonical is None
+
+
 def test_lcs_matches_dynamic_programming():
     import random
 
