@@ -31,6 +31,8 @@ HEADLINE = [
     "dates_clean",
     "fx_convert",
     "merchants_resolve",
+    "merchants_varied",
+    "transactions_enriched",
     "categories_full",
     "merchants_vector",
 ]

@@ -317,7 +317,7 @@ def spend_by_column(spark, sf):
     )
     cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("account_id"), "c_nationkey")
     nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    j = per_account.join(cust, "account_id", "left").join(F.broadcast(nation), "c_nationkey", "left")
+    j = per_account.join(cust, "account_id", "left").join(nation, "c_nationkey", "left")
     g = j.groupBy("n_name").agg(F.coalesce(F.sum("amount_usd"), F.lit(0)).alias("amount_raw"), F.sum("n_tx").alias("n_tx"))
     return g.select("n_name", F.round("amount_raw", 2).cast(MONEY).alias("total_usd"), "n_tx")
 

@@ -48,3 +48,12 @@ def test_overwrites_input_category(spark):
     df = spark.createDataFrame([("UBER *TRIP", "Travel")], "merchant string, category string")
     out = categorize(df)
     assert out.columns.count("category") == 1 and out.first().category == "Transport"
+
+
+def test_long_rule_tables_give_the_same(spark, monkeypatch):
+    from ledgerloom.operators import categorize as C
+
+    df = spark.createDataFrame([("UBER *TRIP",), ("Some Market",), ("Netflix.com",), ("",), (None,), ("zzz",)], "merchant string")
+    short = [r.category for r in C.categorize(df).collect()]
+    monkeypatch.setattr(C, "CASE_RULES", 0)
+    assert [r.category for r in C.categorize(df).collect()] == short
