@@ -41,6 +41,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -253,17 +254,17 @@ def repeat_report(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 
 def _cutter(window: int) -> Callable[[Column, Column], Column]:
     @F.pandas_udf("string")
-    def cut(texts, spans):
-        out = []
-        for text, own in zip(texts, spans):
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        def one(text: str | None, own) -> str | None:
+            if text is None:
+                return None
             data = text.encode()
             pieces = _TOKENS.findall(data)
-            covered = _covered(len(pieces), [{"first": s["first"], "bits": s["bits"]} for s in own], window)
+            covered = _covered(len(pieces), own, window)
             head = data[: len(data) - sum(map(len, pieces))]  # white space before the first word
-            out.append((head + b"".join([p for p, c in zip(pieces, covered.tolist()) if not c])).decode())
-        import pandas as pd
+            return (head + b"".join([p for p, c in zip(pieces, covered.tolist()) if not c])).decode()
 
-        return pd.Series(out)
+        return pd.Series([one(t, s) for t, s in zip(texts, spans)], dtype=object)
 
     return cut
 
@@ -272,6 +273,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text_col: str = "text"
     """``docs`` without the words that repeated windows cover; all rows and columns stay."""
     name = unused(docs, "spans")
     found = _with_spans(docs, text_col, window, name)
-    # a Python function sees all rows of its input, so the untouched texts go round it
-    cut = found.where(F.col(name).isNotNull()).withColumn(text_col, _cutter(window)(F.col(text_col), F.col(name)))
-    return found.where(F.col(name).isNull()).select(*docs.columns).unionByName(cut.select(*docs.columns))
+    touched, text = F.col(name).isNotNull(), F.col(text_col)
+    # the texts that stay do not go through Python
+    new = _cutter(window)(F.when(touched, text), F.col(name))
+    return found.withColumn(text_col, F.when(touched, new).otherwise(text)).select(*docs.columns)
