@@ -9,16 +9,22 @@ MAX_ERRORS // CHUNKS errors, and every chunk is indexed once for each allowed
 set of erroneous slots, which are left out of its key.  Signatures that share
 no key are farther apart than MAX_ERRORS.
 
-Texts with equal shingle sets form a class; copies are never paired.  Within a bucket (an index key) links are confirmed
-on full shingle sets in two steps, so that a large group of near copies does
-not give all its pairs:
-
-1. every member is compared with the bucket's first member; components of the
-   confirmed links are found;
-2. members of different components that share a bucket and whose signatures
-   are within MAX_ERRORS are compared as well, each pair once.
-
-Members already in one component need no comparison, so no component is lost.
+Texts with equal shingle sets form a class; copies are never paired.  A
+bucket (an index key) may hold a large group of near copies, so its members
+are not all paired up; links are confirmed on full shingle sets in steps:
+
+1. every member is compared with the bucket's first member, and the components
+   of the confirmed links are found;
+2. where a bucket still holds several components, its members are compared with
+   one of them chosen by hash, in one bucket out of KEYS_PER_ROUND;
+3. what is still apart is compared exactly: classes that buckets join form a
+   cluster, clusters are cut into blocks (large components into blocks of their
+   own, which need not be compared with one another), and each pair of blocks
+   is a task that compares signatures and then sets of pairs from different
+   components and returns no more than a spanning forest of its links.
+
+Members of one component need no comparison, so no component is lost, and no
+step emits the pairs of a group.
 
 Defined results: null texts are empty; a text without words has no shingles
 and links with nothing; with fewer than WORDS words the whole sequence is its
@@ -40,11 +46,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import by_size, staged, text_or_empty, unused, worker_object
-from ledgerloom.llm.components import connected_components
+from ledgerloom.llm.components import connected_components, star_forest
 
 WORDS = 5
 SLOTS, CHUNKS, MAX_ERRORS = 32, 8, 15
 SEED = 77
+#: Of the buckets, one in so many gives its members a second comparison.
+KEYS_PER_ROUND = 8
+#: Classes, and shingles of classes, in a block of the exact last step.
+BLOCK, BLOCK_SHINGLES = 512, 500_000
 TEXT_RUN = 2_000_000
 #: Words whose hashes one worker remembers.
 CACHED_WORDS = 1_000_000
@@ -201,9 +211,91 @@ def _similar_size(percent: int, a: str, b: str) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _distance(a: str, b: str) -> Column:
-    """Differing slots of two signatures."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x != y).cast("int")), F.lit(0), lambda n, x: n + x)
+def _shared_counts(x: list[np.ndarray], y: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Common elements of the pairs (x[i], y[j]) of sorted sets."""
+    rows, cols = np.unique(i), np.unique(j)
+    values = np.concatenate([*(x[k] for k in rows), *(y[k] for k in cols)])
+    vocabulary, code = np.unique(values, return_inverse=True)
+    if len(i) * 3e-5 < 1e-10 * len(rows) * len(cols) * len(vocabulary):  # few pairs: one by one
+        return np.array([len(np.intersect1d(x[a], y[b], assume_unique=True)) for a, b in zip(i.tolist(), j.tolist())])
+    owner = np.repeat(np.arange(len(rows) + len(cols)), [*(len(x[k]) for k in rows), *(len(y[k]) for k in cols)])
+    order = np.argsort(code, kind="stable")
+    code, owner, common = code[order], owner[order], np.zeros((len(rows), len(cols)), np.float32)
+    for low in range(0, len(vocabulary), 4096):  # products of 0/1 matrices, a few thousand columns at a time
+        a, b = np.searchsorted(code, [low, low + 4096])
+        table = np.zeros((len(rows) + len(cols), 4096), np.float32)
+        table[owner[a:b], code[a:b] - low] = 1
+        common += table[: len(rows)] @ table[len(rows) :].T
+    return common[np.searchsorted(rows, i), np.searchsorted(cols, j)].astype(np.int64)
+
+
+def _compare_blocks(table: pa.Table, percent: int) -> pa.RecordBatch:
+    """A spanning forest of the links between components, within a block or between two."""
+    side, cls, root = (table.column(c).to_numpy() for c in ("side", "cls", "root"))
+    sets = [np.frombuffer(x, "<u8") for x in table.column("shingles").to_pylist()]
+    sizes, sig = np.array(list(map(len, sets))), np.array(table.column("signature").to_pylist(), np.int16)
+    inner = table.column("two")[0] == table.column("one")[0]
+    x = np.flatnonzero(side == 0)
+    y = x if inner else np.flatnonzero(side == 1)
+    errors = np.zeros((len(x), len(y)), np.uint8)
+    for k in range(SLOTS):
+        errors += sig[x, k, None] != sig[None, y, k]
+    a, b = sizes[x][:, None], sizes[y][None, :]
+    open_ = (errors <= MAX_ERRORS) & (root[x][:, None] != root[y][None, :]) & (np.minimum(a, b) * 100 >= np.maximum(a, b) * percent)
+    i, j = np.nonzero(np.triu(open_, 1) if inner else open_)
+    if len(i):
+        both = _shared_counts([sets[k] for k in x], [sets[k] for k in y], i, j)
+        linked = 100 * both >= percent * (sizes[x[i]] + sizes[y[j]] - both)
+        i, j = i[linked], j[linked]
+    node, low = star_forest(cls[x[i]], cls[y[j]])
+    return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(low, pa.int64())], names=["a", "b"])
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Walks a partition sorted by pair of blocks; holds one pair at a time."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("cluster", "one", "two"))))
+        cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)] if keys else []
+        for low, high in zip(cuts, cuts[1:]):
+            if keys[low] != key:
+                if held:
+                    yield _compare_blocks(pa.Table.from_batches(held), percent)
+                held, key = [], keys[low]
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield _compare_blocks(pa.Table.from_batches(held), percent)
+
+
+def _cluster_links(apart: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) links between components.  ``apart``: key, cls, root of the members of mixed buckets."""
+    first = apart.groupBy("key").agg(F.min("cls").alias("a"))
+    joined = apart.join(first, "key").select("a", F.col("cls").alias("b")).where("a <> b").distinct()
+    named = connected_components(joined).select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
+    docs = apart.select("cls", "root").distinct().join(named, "cls", "left").withColumn("cluster", F.coalesce("cluster", "cls"))
+    docs = staged(docs.join(classes.select("cls", "n_shingles", "signature"), "cls"), "apart-classes")
+
+    own = docs.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
+    large = (F.col("n") * 2 >= BLOCK) | (F.col("shingles") * 2 >= BLOCK_SHINGLES)
+    own = own.withColumn("group", F.when(large, F.col("root")).otherwise(-1))
+    groups = own.groupBy("cluster", "group").agg(F.sum("n").alias("n"), F.sum("shingles").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    groups = staged(groups.select("cluster", "group", blocks.alias("blocks")), "groups")
+    placed = docs.join(own.select("cluster", "root", "group"), ["cluster", "root"]).join(groups, ["cluster", "group"])
+    placed = placed.withColumn("block", F.struct("group", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("i")))
+    placed = placed.select("cluster", "block", "cls", "root", "signature").join(sets, "cls")
+
+    numbered = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.col("group").alias("group"), i.alias("i")))
+    each = groups.select("cluster", F.explode(numbered).alias("block"))
+    left, right = each.withColumnRenamed("block", "one"), each.withColumnRenamed("block", "two")
+    pairs = left.join(right, "cluster").where("one <= two AND (one.group <> two.group OR one.group = -1)")
+    sides = pairs.select("cluster", F.col("one").alias("block"), "one", "two", F.lit(0).alias("side")).unionByName(
+        pairs.where("one <> two").select("cluster", F.col("two").alias("block"), "one", "two", F.lit(1).alias("side"))
+    )
+    rows = placed.join(sides, ["cluster", "block"]).select("cluster", F.to_json("one").alias("one"), F.to_json("two").alias("two"), "side", "cls", "root", "signature", "shingles")
+    dealt = rows.repartition("cluster", "one", "two").sortWithinPartitions("cluster", "one", "two")
+    return dealt.mapInArrow(lambda it: _block_pairs(it, percent), "a long, b long")
 
 
 def _links(classes: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
@@ -220,19 +312,23 @@ def _links(classes: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
 
     stars = members.where((F.col("cls") != F.col("first")) & _similar_size(percent, "n_shingles", "first_n"))
     stars = staged(stars.select(F.col("first").alias("a"), F.col("cls").alias("b")).distinct(), "stars")
-    tested = staged(_compare(stars, sets, percent), "star-links")
-    roots = connected_components(tested.where("linked").select("a", "b"))
-
-    # what the stars left apart: pairs over components, unless already tested
-    own = members.join(roots, members["cls"] == roots["node"], "left").select("key", "cls", "n_shingles", F.coalesce("root", "cls").alias("root"))
-    mixed = own.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    apart = staged(own.join(mixed, "key").join(classes.select("cls", "signature"), "cls"), "apart")
-    other = apart.select("key", *(F.col(c).alias(f"other_{c}") for c in ("cls", "n_shingles", "root", "signature")))
-    open_pair = (F.col("cls") < F.col("other_cls")) & (F.col("root") != F.col("other_root")) & _similar_size(percent, "n_shingles", "other_n_shingles")
-    pairs = apart.join(other, "key").where(open_pair & (_distance("signature", "other_signature") <= MAX_ERRORS))
-    pairs = pairs.select(F.col("cls").alias("a"), F.col("other_cls").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = staged(_compare(pairs, sets, percent).where("linked"), "other-links")
-    return connected_components(tested.where("linked").select("a", "b").unionByName(more.select("a", "b")))
+    links = staged(_compare(stars, sets, percent).where("linked").select("a", "b"), "star-links")
+
+    def apart(links: DataFrame) -> DataFrame:
+        """key, cls, n_shingles, root of the members of buckets that hold several components."""
+        roots = connected_components(links)
+        own = members.join(roots, members["cls"] == roots["node"], "left").select("key", "cls", "n_shingles", F.coalesce("root", "cls").alias("root"))
+        mixed = own.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+        return staged(own.join(mixed, "key"), "apart")
+
+    left = apart(links).where(F.pmod("key", F.lit(KEYS_PER_ROUND)) == 0)
+    pick = F.min_by(F.struct("cls", "n_shingles", "root"), F.xxhash64("cls", "key")).alias("lead")
+    again = left.join(left.groupBy("key").agg(pick), "key").where((F.col("root") != F.col("lead.root")) & _similar_size(percent, "n_shingles", "lead.n_shingles"))
+    again = again.select(F.least("cls", "lead.cls").alias("a"), F.greatest("cls", "lead.cls").alias("b")).distinct()
+    again = staged(again.join(stars, ["a", "b"], "left_anti"), "more-stars")
+    links = links.unionByName(staged(_compare(again, sets, percent).where("linked").select("a", "b"), "more-links"))
+    rest = staged(_cluster_links(apart(links).select("key", "cls", "root"), classes, sets, percent), "cluster-links")
+    return connected_components(links.unionByName(rest))
 
 
 def _judged(docs: DataFrame, percent: int, words: int, id_col: str, text_col: str) -> DataFrame:

@@ -62,7 +62,9 @@ def test_op7_query(spark):
     assert sum(not r["kept"] for r in got) > 50
 
 
-def test_groups_of_near_copies_with_a_chain(spark):
+@pytest.mark.parametrize("block, percent", [(512, 85), (9, 80)])
+def test_groups_of_near_copies_with_a_chain(spark, monkeypatch, block, percent):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     rng = random.Random(9)
     base = [f"w{rng.randint(0, 5000)}" for _ in range(300)]
     rows, text = [], list(base)
@@ -77,8 +79,7 @@ def test_groups_of_near_copies_with_a_chain(spark):
             t[rng.randrange(300)] = f"y{rng.random()}"
         rows.append((2000 + i, " ".join(t).upper() if i % 2 else "\t".join(t)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    for percent in (80, 85):
-        same(near_dedup.near_groups(df, percent).collect(), rows, percent)
+    same(near_dedup.near_groups(df, percent).collect(), rows, percent)
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
@@ -109,3 +110,12 @@ def test_words_split_at_six_characters_only():
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 6])
 def test_shingle_counts(n):
     assert len(near_dedup.shingle_sets([" ".join(f"a{i}" for i in range(n))])[0]) == len(shingles(" ".join(f"a{i}" for i in range(n))))
+
+
+def test_shared_counts_either_way():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(40)]
+    i, j = map(np.ravel, np.meshgrid(np.arange(40), np.arange(40)))
+    want = [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)]
+    assert near_dedup._shared_counts(sets, sets, i, j).tolist() == want  # by products
+    assert near_dedup._shared_counts(sets, sets, i[5:6], j[5:6]).tolist() == want[5:6]  # one by one
