@@ -40,15 +40,20 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def worker_object(key: tuple, make: Callable[[], object]) -> object:
+def worker_object(key: tuple, make: Callable[[], object], large: bool = False) -> object:
     """One object per Python worker process, made at first use.  The library
     is pickled by value, so its module globals do not outlive a task; this
-    registry lives in ``sys.modules`` and does."""
+    registry lives in ``sys.modules`` and does.  Of the ``large`` objects
+    (caches that fill up) only the latest is kept: a worker serves one stage
+    after another and must not hold the caches of all of them."""
     registry = sys.modules.setdefault("_ledgerloom_worker_objects", types.ModuleType("_ledgerloom_worker_objects"))
     objects = registry.__dict__.setdefault("objects", {})
     if key not in objects:
-        objects[key] = make()
-    return objects[key]
+        if large:
+            for other in [k for k, (_, is_large) in objects.items() if is_large]:
+                del objects[other]
+        objects[key] = make(), large
+    return objects[key][0]
 
 
 def by_size(rows: list, weight: Callable[[object], int], limit: int) -> Iterator[list]:

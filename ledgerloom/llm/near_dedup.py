@@ -57,7 +57,7 @@ KEYS_PER_ROUND = 8
 BLOCK, BLOCK_SHINGLES = 512, 500_000
 TEXT_RUN = 2_000_000
 #: Words whose hashes one worker remembers.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
 def _mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: a bijection that spreads every input bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -93,7 +93,7 @@ class WordHashes:
 
 
 def word_hashes() -> WordHashes:
-    return worker_object(("word hashes",), WordHashes)
+    return worker_object(("word hashes",), WordHashes, large=True)
 
 
 def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:

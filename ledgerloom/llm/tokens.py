@@ -23,7 +23,7 @@ from ledgerloom.llm.common import worker_object
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Pieces that one worker remembers (about 250 bytes each), and the longest that it remembers.
-CACHED_PIECES, CACHED_LENGTH = 1_000_000, 64
+CACHED_PIECES, CACHED_LENGTH = 400_000, 64
 #: New pieces that go to the tokenizer as one text.
 JOINED = 400
 _UNEVEN = re.compile(r" (?:\s|\Z)")
@@ -96,4 +96,4 @@ class PieceEncoder:
 
 
 def encoder(path: str) -> PieceEncoder:
-    return worker_object(("tokenizers", path), lambda: PieceEncoder(path))
+    return worker_object(("tokenizers", path), lambda: PieceEncoder(path), large=True)
