@@ -163,11 +163,18 @@ def _fit_curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
     x, bad, good = (np.array(c, float) for c in zip(*bins))
     design, n = np.stack([np.ones_like(x), x], axis=1), bad + good
     w = np.zeros(2)
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+
+    def loss(w: np.ndarray) -> float:
+        z = design @ w
+        return float((n * np.logaddexp(0, z)).sum() - bad @ z + 0.05 * w @ w)
+
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -500, 500)))
         gradient = design.T @ (bad - n * p) - 0.1 * w
         step = np.linalg.solve((design * (n * p * (1 - p))[:, None]).T @ design + 0.1 * np.eye(2), gradient)
-        w = w + np.clip(step, -2, 2)
+        while loss(w + step) > loss(w) and np.abs(step).max() > 1e-9:  # the loss is convex: a shorter step lowers it
+            step = step / 2
+        w = w + step
         if np.abs(step).max() < 1e-9:
             break
     return float(w[0]), max(0.0, float(w[1]))
