@@ -12,8 +12,10 @@ Scoring.  A linear-time scan finds all maximal scoring segments of a text
 (none can be extended or cut without losing score).  For a clean text of n
 tokens the expected number of segments that reach a score S is about
 K n exp(-lambda S): lambda solves sum p_i exp(lambda s_i) = 1 over the clean
-token frequencies p_i, K is counted on the clean training texts.  The segments
-expected less than once are the significant passages.  Their -ln(expected
+token frequencies p_i, K is counted on the clean training texts, at the scaled score
+lambda S = COUNTED_AT.  The segments that reach it and are expected less than
+once are the significant passages: below it the formula promises far fewer
+segments than clean texts have, and evidence would grow with their length.  Their -ln(expected
 number), summed, is the evidence of a text, and a logistic curve fitted on the
 training texts turns log(1 + evidence) into a score from 0 to 1.
 
@@ -24,7 +26,9 @@ of the model.  Every text is scored, whole.
 Defined results: a null or empty text has no evidence and gets the curve's
 value at 0.  Labels that are null or belong to no row are ignored; of several
 labels of a doc_id the largest counts.  Without any training row of either
-class every score is 0.  Repeated rows and null doc_ids are scored like any
+class, or with no token that speaks for toxic, every score is 0.  A curve that
+does not rise with the evidence, or was not fitted to the end, is an error: it
+would give every text the same score.  Repeated rows and null doc_ids are scored like any
 other; an empty table gives an empty result.  The score sees nothing but the
 text.
 """
@@ -49,6 +53,8 @@ STEM = 5
 PRIOR, Z, LEXICON = 0.1, 3.0, 20_000
 TRAIN_ROWS = 200_000
 REJECT = 0.3
+#: Scaled score at which the segments of clean texts are counted.
+COUNTED_AT = 1.0
 #: Bins of log(1 + evidence), each BIN wide, on which the curve is fitted.
 BIN, BINS = 0.05, 400
 _WORD = re.compile(r"[^\W\d_]+")
@@ -84,7 +90,7 @@ class Model:
         """(first token, end, -ln expected number) of the significant segments."""
         n, found = self.segments(text)
         most = self.log_k + math.log(max(1, n))
-        return [(a, b, self.scale * s - most) for a, b, s in found if self.scale * s > most]
+        return [(a, b, self.scale * s - most) for a, b, s in found if self.scale * s > max(most, COUNTED_AT)]
 
     def evidence(self, text: str) -> float:
         return sum(x for _, _, x in self.passages(text))
@@ -159,7 +165,8 @@ def _tail_rate(steps: list[tuple[float, float]]) -> float:
 
 
 def _fit_curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
-    """Logistic regression on (x, toxic, other) counts, lightly regularised: Newton steps."""
+    """Logistic regression on (x, toxic, other) counts, lightly regularised: Newton steps.
+    Raises if they do not arrive, or at a curve that does not rise."""
     x, bad, good = (np.array(c, float) for c in zip(*bins))
     design, n = np.stack([np.ones_like(x), x], axis=1), bad + good
     w = np.zeros(2)
@@ -177,7 +184,12 @@ def _fit_curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
         w = w + step
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0]), max(0.0, float(w[1]))
+    gradient = design.T @ (bad - n / (1 + np.exp(-np.clip(design @ w, -500, 500)))) - 0.1 * w
+    if not np.abs(gradient).max() <= 1e-6 * n.sum():
+        raise ValueError(f"the toxicity curve was not fitted to the end: bias {w[0]:g}, slope {w[1]:g}, gradient {gradient.tolist()}")
+    if not w[1] > 0:
+        raise ValueError(f"the toxicity curve does not rise with the evidence (slope {w[1]:g} on {bad.sum():.0f} toxic and {good.sum():.0f} other texts): the labels do not tell toxic texts apart")
+    return float(w[0]), float(w[1])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -209,14 +221,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     first = Model(weights, other, rate)
 
     def clean_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of the clean texts: tokens, and segments whose scaled score is at least 1."""
+        """Of the clean texts: tokens, and segments whose scaled score is at least COUNTED_AT."""
         for batch in batches:
             got = [first.segments(t) for t, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()) if not toxic]
-            n = sum(sum(rate * s >= 1 for _, _, s in found) for _, found in got)
+            n = sum(sum(rate * s >= COUNTED_AT for _, _, s in found) for _, found in got)
             yield pa.RecordBatch.from_arrays([pa.array([sum(k for k, _ in got)], pa.int64()), pa.array([n], pa.int64())], names=["tokens", "segments"])
 
     n_tokens, n_segments = texts.mapInArrow(clean_segments, "tokens long, segments long").agg(F.sum("tokens"), F.sum("segments")).first()
-    second = Model(weights, other, rate, math.log((n_segments + 1) / max(1, n_tokens)) + 1)
+    second = Model(weights, other, rate, math.log((n_segments + 1) / max(1, n_tokens)) + COUNTED_AT)
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -62,6 +63,37 @@ def test_finds_the_passage(spark):
         assert [(a, b) for a, b, _ in found] == ([(30, 36)] if toxic else [])
 
 
+def test_curve_converges_on_heavy_bins():
+    # condensed from the bins of 0.51 GB of documents: steps clipped to 2 ran away from the optimum and gave no score above 0.3
+    bins = [(0.0, 0, 28822), (1.0, 0, 2400), (1.4, 0, 5200), (1.8, 0, 6800), (2.2, 0, 9100), (2.5, 30, 9800), (2.8, 1100, 4300),
+            (3.0, 1150, 700), (3.3, 1600, 100), (3.6, 1200, 60), (4.0, 900, 20), (5.0, 500, 10), (6.3, 60, 1)]
+    bias, slope = toxicity._fit_curve(bins)
+    assert slope > 3 and 2.5 < (math.log(0.3 / 0.7) - bias) / slope < 3.0
+    p = [1 / (1 + math.exp(-bias - slope * x)) for x, _, _ in bins]
+    assert abs(sum((b + g) * q for q, (_, b, g) in zip(p, bins)) - sum(b for _, b, _ in bins)) < 5
+
+
+@pytest.mark.parametrize("bins", [[(0.0, 50, 10), (3.0, 5, 400)], [(0.0, 10, 90)]])
+def test_curve_that_does_not_rise_is_an_error(bins):
+    with pytest.raises(ValueError, match="does not rise"):
+        toxicity._fit_curve(bins)
+
+
+def test_weak_words_are_no_evidence():
+    model = toxicity.Model({"vile": 4.0, "weak": 0.2}, other=-0.05, scale=1.5, log_k=-7.0)
+    clean = " ".join((["weak"] + ["plain"] * 9) * 50)
+    assert model.evidence(clean) == 0
+    assert [(a, b) for a, b, _ in model.passages(clean + " vile")] == [(500, 501)]
+
+
+def test_op5_counts_agree_with_labels(spark):
+    got = {r["doc_id"]: r for r in QUERIES["op5_toxicity"](spark, SF01).collect()}
+    labels = [(got[r["doc_id"]], r["toxic"]) for r in spark.read.parquet(f"{SF01}/labels.parquet").collect() if r["doc_id"] in got]
+    for held_out in (False, True):
+        bad, good = ([r["predicted"] for r, t in labels if r["held_out"] == held_out and bool(t) == toxic] for toxic in (True, False))
+        assert sum(bad) >= 0.95 * len(bad) > 0 and sum(good) <= 0.02 * len(good)
+
+
 def test_odd_rows_and_no_labels(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(0, 1, 1), (3, 0, 0), (None, 1, 1), (5, 1, None), (0, 0, 0)], "doc_id long, quality int, toxic int")
     got = toxicity.score_documents(odd_docs, labels).collect()
