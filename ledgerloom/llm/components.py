@@ -64,7 +64,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         low = _smaller_per_node(large)
         moved = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("least").alias("b")), F.struct(F.col("b").alias("a"), F.col("least").alias("b")))).alias("e"))
         edges = staged(moved.select("e.*").where("a > b").distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1000003), F.sum("b")).first()
+        # sums of bounded hashes: ids may be of any size, and a sum of them need not fit a long
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1000003), F.sum(F.xxhash64("b", "a") % 998244353)).first()
         if now == before or now[0] == 0:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = now

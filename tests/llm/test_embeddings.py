@@ -54,6 +54,14 @@ def test_odd_vectors(spark):
     assert embedding_dedup.near_vectors(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("base", [1 << 43, (1 << 62) + 5, -(1 << 63)])
+def test_components_of_large_ids(spark, base):
+    pairs = [(4, 3), (3, 9), (9, 12), (20, 21), (21, 25), (25, 22), (30, 31)]
+    edges = [(base + a, base + b) for a, b in pairs]
+    got = {r["node"] - base: r["root"] - base for r in connected_components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()}
+    assert got == {4: 3, 9: 3, 12: 3, 21: 20, 25: 20, 22: 20, 31: 30}
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1400)] + [(5000, 4999), (7, 7)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
