@@ -6,8 +6,9 @@ word of the corpus many times over, so edges are compacted first, the way
 large De Bruijn graphs are built:
 
 * Among the ANCHOR-word k-mers of an edge the one of smallest hash is its
-  anchor.  Consecutive edges of a text with the same anchor form a *path*,
-  about 13 edges long.  Equal edges have equal anchors.
+  anchor (the whole edge where a window is shorter than ANCHOR).  Consecutive
+  edges of a text with the same anchor form a *path*, about 13 edges long and
+  cut after PATH_EDGES.  Equal edges have equal anchors.
 * Only paths whose anchor occurs twice can hold repeated edges.  Anchors are
   counted over the whole corpus; the repeated ones go into a Bloom filter, and
   only paths that pass it leave their task, with the source coordinates (text
@@ -52,6 +53,8 @@ from ledgerloom.llm.near_dedup import _mix, word_hashes, words_of
 WINDOW, ANCHOR = 35, 11
 SLOTS_PER_ANCHOR, HASHES = 16, 3
 MIN_FILTER_BITS, MAX_FILTER_BITS, SLICE_BITS = 1 << 16, 1 << 28, 1 << 16
+#: A path's edges are bits of one long, whose sign bit stays free.
+PATH_EDGES = 62
 TEXT_RUN = 4_000_000
 BASE = 0x9E3779B97F4A7C15
 _TOKENS = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
@@ -94,6 +97,8 @@ class Paths:
             return
         at = least[inside]
         new = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
+        pieces = -(-np.diff(np.append(new, len(inside))) // PATH_EDGES)
+        new = np.repeat(new, pieces) + PATH_EDGES * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
         first = inside[new]
         self.count = np.diff(np.append(new, len(inside)))
         self.text = owner[first]
@@ -180,10 +185,12 @@ def _path_rows(batches: Iterator[pa.RecordBatch], bitmap: bytes, window: int, an
             yield pa.RecordBatch.from_arrays(columns, names=["anchor", "extent", "digest", "first", "times", "edges"])
 
 
-def repeated_spans(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+def repeated_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """``texts``: digest, text.  Returns per digest the repeated edges as
     ``spans``: (first word, bit set of the edges that start there and on)."""
-    spark = texts.sparkSession
+    if window < 1:
+        raise ValueError(f"a window has at least one word, not {window}")
+    spark, anchor = texts.sparkSession, min(ANCHOR, window)
     anchors = texts.mapInArrow(lambda it: _anchors(it, window, anchor), "anchor long, n long")
     again = staged(anchors.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "repeated-anchors")
     shared = spark.sparkContext.broadcast(_filter_of(again))

@@ -56,6 +56,22 @@ def test_planted_passages(spark, monkeypatch, bits):
     same(substring_dedup.repeat_report(spark.createDataFrame(planted(), "doc_id long, text string").repartition(4)).collect(), planted())
 
 
+@pytest.mark.parametrize("window", [3, 11, 73, 74, 200])
+def test_any_window(spark, window):
+    rng = random.Random(window)
+    fresh = lambda n: [f"v{rng.random()}" for _ in range(n)]
+    long, short = fresh(3 * window), fresh(window)
+    rows = [(i, " ".join([*fresh(20), *long[i:], *fresh(20)])) for i in range(4)] + [(10 + i, " ".join([*fresh(9), *short])) for i in range(2)]
+    rows += [(20, " ".join(long[: window - 1])), (21, " ".join(fresh(5 * window))), (22, " ".join(["same"] * (window + 1))), (23, None)]
+    got = substring_dedup.repeat_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), window).collect()
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(str(r) for r, _ in brute(rows, window))
+
+
+def test_window_without_words_is_an_error(spark, no_docs):
+    with pytest.raises(ValueError, match="at least one word"):
+        substring_dedup.repeat_report(no_docs, 0)
+
+
 def test_filter_that_passes_everything(spark, monkeypatch):
     import numpy as np
 
