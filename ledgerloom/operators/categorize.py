@@ -7,17 +7,14 @@ category = map[canonical]                          (case-sensitive lookup)
 
 The map is a broadcast equi-join against a small table; the rules become
 one generated ``CASE WHEN`` with literal patterns, so every regex is compiled
-once per task and evaluated inside whole-stage codegen.  Rule tables too long
-for one expression are walked by an Arrow function instead, with the same
-result.  Plans apply this to *distinct* merchants (or per-merchant aggregates),
+once per task and evaluated inside whole-stage codegen.  Longer rule tables
+become several such expressions, each the ELSE of the one before, so the same
+regex engine judges tables of any size.  Plans apply this to *distinct* merchants (or per-merchant aggregates),
 not to every row.
 """
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,39 +42,19 @@ def rules_expr(
     in the text.  NULL or empty raw text -> NULL."""
     rules = dims.CATEGORY_RULES if rules is None else rules
     entries = _dedup_map(dims.CATEGORY_MAP if category_map is None else category_map)
-    if len(rules) + len(entries) > CASE_RULES:
-        return _walk_rules(rules, entries)(raw)
     low = F.lower(raw)
+    branches = [(low.rlike(r"(?U)\b(" + body + r")\b"), cat) for body, cat in rules]
+    branches += [(F.instr(low, key.lower()) > 0, cat) for key, cat in entries]
+    step = max(1, CASE_RULES)
     expr = None
-    for body, cat in rules:
-        cond = low.rlike(r"(?U)\b(" + body + r")\b")
-        expr = F.when(cond, F.lit(cat)) if expr is None else expr.when(cond, F.lit(cat))
-    for key, cat in entries:
-        cond = F.instr(low, key.lower()) > 0
-        expr = F.when(cond, F.lit(cat)) if expr is None else expr.when(cond, F.lit(cat))
+    for start in reversed(range(0, len(branches), step)):
+        case = F
+        for cond, cat in branches[start : start + step]:
+            case = case.when(cond, F.lit(cat))
+        expr = case if expr is None else case.otherwise(expr)
     return F.when(raw.isNotNull() & (raw != ""), expr)
 
 
-def _walk_rules(rules: list[tuple[str, str]], entries: list[tuple[str, str]]):
-    """Arrow function: raw text -> category of the first rule, else of the first key contained in it."""
-
-    @F.pandas_udf("string")
-    def category(texts: pd.Series) -> pd.Series:
-        patterns = [(re.compile(r"\b(" + body + r")\b"), cat) for body, cat in rules]
-        keys = [(key.lower(), cat) for key, cat in entries]
-
-        def first(text: str | None) -> str | None:
-            if not text:
-                return None
-            low = text.lower()
-            found = (cat for pattern, cat in patterns if pattern.search(low))
-            return next(found, None) or next((cat for key, cat in keys if key in low), None)
-
-        return texts.map(first)
-
-    return category
-
-
 def category_map_table(spark, category_map: list[tuple[str, str]] | None = None) -> DataFrame:
     entries = _dedup_map(dims.CATEGORY_MAP if category_map is None else category_map)
     return spark.createDataFrame(entries, "merchant_canonical string, map_category string")

@@ -57,3 +57,17 @@ def test_long_rule_tables_give_the_same(spark, monkeypatch):
     short = [r.category for r in C.categorize(df).collect()]
     monkeypatch.setattr(C, "CASE_RULES", 0)
     assert [r.category for r in C.categorize(df).collect()] == short
+
+
+def test_one_regex_engine_at_every_size(spark):
+    """A combining mark is a word character of Java's (?U) and none of Python's; Python has no \\p{L}; '' is a category."""
+    from ledgerloom.operators import categorize as C
+
+    texts = ["cafe\u0301 x", "cafe x", "straße 9", "blank market", "last one", "zzq1400 shop", "nothing"]
+    df = spark.createDataFrame([(t,) for t in texts], "merchant string")
+    rules = [("cafe", "Food"), (r"\p{L}+ße", "Street"), ("blank", "")]
+    many = rules + [(f"zzq{i}", f"c{i}") for i in range(1500)] + [("last", "End")]
+    category_map = [("market", "Market")]
+    few = [r.category for r in C.categorize(df, rules=[*rules, ("last", "End"), ("zzq1400", "c1400")], category_map=category_map).collect()]
+    assert few == [None, "Food", "Street", "", "End", "c1400", None]
+    assert [r.category for r in C.categorize(df, rules=many, category_map=category_map).collect()] == few
