@@ -1,4 +1,6 @@
 import collections
+import struct
+import zlib
 
 import corpus_pipeline
 import pytest
@@ -57,3 +59,37 @@ def test_run_and_odd_rows(spark, odd_docs, no_docs):
             out = stage(spark, docs, SF0001)
             assert out.columns == docs.columns
             out.count()
+
+
+def test_toxicity_stage_against_labels(spark):
+    """A stage that rejects nothing, or clean documents, fails here."""
+    sf = SF0001.replace("0.001", "0.1")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.reject_toxic(spark, docs, sf).select("doc_id").collect()}
+    here = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    labels = [(r["doc_id"], r["toxic"]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r["doc_id"] in here]
+    toxic, clean = ([i for i, t in labels if t == k] for k in (1, 0))
+    assert sum(i not in kept for i in toxic) >= 0.95 * len(toxic) > 0
+    assert sum(i not in kept for i in clean) <= 0.02 * len(clean)
+
+
+def test_packing_rows(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    t = Tokenizer.from_file(default_tokenizer())
+    t.encode_special_tokens = True
+    ids = {r["doc_id"]: [*t.encode(r["text"], add_special_tokens=False).ids, 0] for r in docs.collect()}
+    rows = corpus_pipeline.pack(spark, docs, SF0001).collect()
+    sequences, pieces = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+        pieces[r["doc_id"]].append((r["start"], r["length"]))
+        part = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert r["ids_crc32"] == zlib.crc32(struct.pack(f"<{len(part)}I", *part))
+    for spans, total in [*((s, None) for s in sequences.values()), *((p, len(ids[i])) for i, p in pieces.items())]:
+        end = 0
+        for start, length in sorted(spans):
+            assert start == end and length > 0
+            end += length
+        assert end == total if total is not None else end <= 2048
+    assert pieces.keys() == ids.keys()
+    assert len(sequences) <= 1.05 * sum(map(len, ids.values())) / 2048 + 1
