@@ -10,7 +10,7 @@ from ledgerloom.llm.queries import QUERIES, oracle_sql
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
     rel = con.execute(oracle_sql()[name])
     names = [d[0] for d in rel.description]
