@@ -189,7 +189,7 @@ def test_collision_rate_is_generalised_jaccard(spark):
     rng = np.random.default_rng(5)
     rows = []
     for i in range(40):  # bags of single-word-pair terms with many weights above 1
-        a, b = (" ".join(f"w{i}-{j} x{j} ." * int(n) for j, n in enumerate(rng.integers(0, 6, 12)) if n) for _ in range(2))
+        a, b = ("".join(f"w{i}-{j} x{i}-{j} .{i} " * int(n) for j, n in enumerate(rng.integers(0, 6, 12)) if n) for _ in range(2))
         rows.append((i, a, b))
     got = fingerprints.pair_fingerprints(spark.createDataFrame(rows, "id long, one string, two string"), ["id"], "one", "two", samples=256).collect()
     gap = []
