@@ -186,9 +186,10 @@ def edited_texts(docs: DataFrame) -> DataFrame:
     """``docs`` (``keyed``) -> one row per document: absent, id, mark, copies, n_chars, text,
     edited, next_id, next_mark."""
     own = Window.partitionBy("id", "mark").orderBy("mark")
-    givers = docs.join(document_order(docs).hint("merge"), ["id", "mark"]).withColumn("nth", F.row_number().over(own)).where("nth = 1")
+    order, docs = document_order(docs), docs.select("id", "mark", "text")  # the same columns in both joins: one exchange serves both
+    givers = docs.join(order.hint("merge"), ["id", "mark"]).withColumn("nth", F.row_number().over(own)).where("nth = 1")
     given = givers.select(
-        F.col("before.id").alias("id"), F.col("before.mark").alias("mark"), F.col("before.copies").alias("copies"), F.col("before.n_chars").alias("n_chars"),
+        F.col("before.id").alias("id"), F.col("before.mark").alias("mark"), F.col("before.copies").alias("copies"), F.col("before.n_chars").alias("n_chars"), F.col("before.absent").alias("absent"),
         F.col("id").alias("next_id"), F.col("mark").alias("next_mark"), F.substring("text", F.lit(1), F.floor(F.col("before.n_chars") / 3).cast("int")).alias("given"),
     )
     takers = docs.join(given.hint("merge"), ["id", "mark"]).withColumn("nth", F.row_number().over(own)).where("nth = 1")
