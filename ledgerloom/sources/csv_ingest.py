@@ -6,36 +6,53 @@
   cleaning stage treats NULL and ``''`` alike anyway
 * one distributed pass over the lines finds, per file, its header, whether it
   is valid UTF-8 (else it is read as Latin-1) and whether quoted fields hold
-  newlines.  Files without such fields are read splittable, so a large file
-  makes many tasks; only the others are read whole (``multiLine``).  The driver
-  gets the few kinds of files that there are, and the names of the files that
-  are not of the commonest kind.  ``encoding`` and ``multi_line``, where given,
-  hold for every file
-* every file is read by its own header; files are put together by column name,
-  a column that a file lacks is NULL there (``''`` with ``keep_empty``)
-* a BOM is stripped from the column names
+  newlines.  Every file is read in splits, whatever its size: those with
+  newlines in quotes are cut at true record starts (``csv_records``).  A quote
+  inside a text (``5" pipe``) opens nothing; a file whose last quoted field
+  never closes is read line by line
+* the driver gets the distinct headers; facts about files stay in a table that
+  is joined by file name (broadcast up to FEW_FILES files).  ``encoding`` and
+  ``multi_line``, where given, hold for every file; encodings must contain ASCII
+* every file is read by its own header (its first line that is not blank);
+  files are put together by column name, a column that a file lacks is NULL
+  there (``''`` with ``keep_empty``).  Of columns whose names differ in case
+  only, the one in lower case (else the first) keeps its name; the others get
+  ``_1``, ``_2``, ...  An unnamed column is called by its place
+* a BOM is stripped from the column names; blank lines between records are skipped
 * a row with more fields than its header has, however empty they are, is
   long.  ``on_long_rows="error"`` (default) makes the job fail when it meets
   one, ``"drop"`` leaves them out (``quarantined_rows`` returns them),
-  ``"keep"`` adds ``_long_row`` and ``_raw_row``, the line as it was
+  ``"keep"`` adds ``_long_row`` and ``_raw_row``, the row as it was
 * ``sample=n`` is the first n rows in order of file name and place; 0,
-  negative or None means all rows
+  negative or None means all rows.  Files are opened in that order until n
+  rows are there, and of each only its first lines; a sample judges encoding
+  and quotes by what it reads
 * a missing path raises ``ValueError``; a header-only file gives 0 rows
 """
 
 from __future__ import annotations
 
+import codecs
 import csv
 import re
-from functools import reduce
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ledgerloom.functions.text import is_ascii
+from ledgerloom.sources import csv_records
 
 RAW = "_raw_row"
-FIRST, PLACE = "_first_of_file", "_place_in_file"
+FILE, START, PLACE = "_file", "_split_start", "_place"
+#: Files, and splits of files with newlines in quotes, whose facts are broadcast (about 200 bytes each).
+FEW_FILES = 100_000
+#: Largest sample whose lines are taken to the driver, as ``df.take`` does.
+SMALL_SAMPLE = 100_000
+#: Never a character of a Latin-1 text: lines are read as CSV of one column, which drops each file's header.
+NO_SEPARATOR = "\uffff"
+UTF8, LATIN1 = "utf-8", "iso8859-1"
 
 
 def _paths(paths) -> list[str]:
@@ -57,95 +74,215 @@ def _plain_path(uri: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
 
 
-def _kinds(spark: SparkSession, paths: list[str], encoding: str | None, multi_line: bool | None) -> list[tuple[str, str, bool, list[str] | None]]:
-    """(header line, encoding, multi_line, files): the kinds of files.  The
-    commonest kind comes first, with None for "all files but the others"."""
-    lines = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id")
-    )
-    odd_quotes = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
-    per_file = lines.groupBy("file").agg(
-        F.min_by("value", F.when(F.col("start") == 0, F.col("id"))).alias("head"),
-        F.min(F.is_valid_utf8("value").cast("int")).alias("utf8"),
-        F.max(odd_quotes.cast("int")).alias("quoted"),
-    )
-    if encoding is not None:
-        per_file = per_file.withColumn("utf8", F.lit(1))
-    if multi_line is not None:
-        per_file = per_file.withColumn("quoted", F.lit(int(multi_line)))
-    per_file = per_file.where("head IS NOT NULL").cache()
-    kind = ["head", "utf8", "quoted"]
-    common = per_file.groupBy(*kind).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), *kind).limit(1).collect()
-    if not common:
-        per_file.unpersist()
-        return []
-    same = reduce(lambda x, y: x & y, (F.col(c) == F.lit(common[0][c]) for c in kind))
-    rest: dict[tuple, list[str]] = {}
-    for r in per_file.where(~same).select("file", *kind).collect():  # the exceptional files
-        rest.setdefault(tuple(r[c] for c in kind), []).append(r["file"])
-    per_file.unpersist()
-    found = [(tuple(common[0][c] for c in kind), None), *rest.items()]
-    return [(head, encoding or ("utf-8" if utf8 else "ISO-8859-1"), bool(quoted), files) for (head, utf8, quoted), files in found]
-
-
-def _columns(head: str) -> list[str]:
-    """Column names of a header line; an unnamed column is called by its place."""
-    names = next(csv.reader([head.strip("\ufeff")]), [])
-    return [name or f"_c{i}" for i, name in enumerate(names)]
-
-
-def _read(spark: SparkSession, paths: list[str], cols: list[str], encoding: str, multi_line: bool) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*cols, RAW]])
+def _encoding(name: str | None) -> str | None:
+    """Python's name of an encoding in which ASCII stays ASCII."""
+    if name is None:
+        return None
+    found = codecs.lookup(name).name
+    if "a,\"\n".encode(found) != b'a,"\n':
+        raise ValueError(f"{name}: lines can only be found in encodings that contain ASCII")
+    return found
+
+
+def columns_of(head: str) -> list[str]:
+    """Distinct column names of a header line."""
+    names = [name or f"_c{i}" for i, name in enumerate(next(csv.reader([head.strip("\ufeff")]), []))]
+    keeper = {}
+    for i, name in enumerate(names):
+        held = keeper.setdefault(name.lower(), i)
+        if name == name.lower() != names[held]:
+            keeper[name.lower()] = i
+    taken, out = {name.lower() for name in names}, []
+    for i, name in enumerate(names):
+        n = 0
+        while keeper.get(name.lower()) != i and (n == 0 or new.lower() in taken):
+            n += 1
+            new = f"{name}_{n}"
+        out.append(new if n else name)
+        taken.add(out[-1].lower())
+    return out
+
+
+# --------------------------------------------------------------------------- facts about files
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, start, value): the lines of every split, in order."""
+    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+
+
+def _few(df: DataFrame) -> bool:
+    return df.limit(FEW_FILES + 1).count() <= FEW_FILES
+
+
+class _Files:
+    """Per file: ``kind`` (which header), ``utf8`` and ``spans`` (newlines in quotes)."""
+
+    def __init__(self, spark: SparkSession, paths: list[str], encoding: str | None, multi_line: bool | None):
+        lines = _lines(spark, paths).withColumn("id", F.monotonically_increasing_id())
+        head = F.min_by("value", F.when((F.col("start") == 0) & (F.trim("value") != ""), F.col("id")))
+        spans = F.max(csv_records.ends_open(F.col("value"))) if multi_line is None else F.lit(multi_line)
+        utf8 = F.min(F.is_valid_utf8("value")) if encoding is None else F.lit(encoding == UTF8)
+        files = lines.groupBy("file").agg(head.cast("binary").alias("head"), utf8.alias("utf8"), spans.alias("spans"))
+        self.encoding, self.paths, self.spark = encoding, paths, spark
+        self.files = files.where("head IS NOT NULL").cache()
+        found = sorted(self.files.select("head", "utf8").distinct().collect(), key=lambda r: (bytes(r["head"]), r["utf8"]))  # the distinct headers
+        self.kinds = [(bytes(r["head"]), r["utf8"], columns_of(bytes(r["head"]).decode(encoding or (UTF8 if r["utf8"] else LATIN1), "replace"))) for r in found]
+        self.any_spans = self.files.where("spans").limit(1).count() > 0
+        self.states = None
+        if self.any_spans:
+            quoted = self.tell_file(_lines(spark, paths), ["spans"]).where("spans").select("file", "start", F.col("value").cast("binary").alias("line"))
+            self.states = csv_records.split_states(quoted).cache()
+            open_end = self.states.where("NOT closed").select("file").distinct().withColumn("endless", F.lit(True))
+            self.files = self.files.join(open_end, "file", "left").withColumn("spans", F.col("spans") & F.col("endless").isNull()).drop("endless").cache()
+        self.one_kind = len(self.kinds) == 1 and not self.any_spans
+
+    def tell_file(self, df: DataFrame, facts: list[str]) -> DataFrame:
+        """``df`` (file) with facts of its file."""
+        own = self.files.select("file", *facts)
+        return df.join(F.broadcast(own) if _few(own) else own, "file")
+
+    def kind(self) -> Column:
+        out = F.when(F.lit(False), 0)
+        for k, (head, utf8, _) in enumerate(self.kinds):
+            out = out.when((F.col("head") == F.lit(head)) & (F.col("utf8") == F.lit(utf8)), k)
+        return out
+
+
+# --------------------------------------------------------------------------- records
+def _plain_records(files: _Files) -> DataFrame:
+    """(file, start, place, kind, record): the lines of files in which every line is a record."""
+    spark = files.spark
     df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", encoding)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RAW)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("enforceSchema", True)
-        .option("columnPruning", False)  # a pruned read would not notice long rows
-        .csv(paths)
-    )
-    return df.withColumn(FIRST, F.col("_metadata.file_path")).withColumn(PLACE, F.col("_metadata.file_block_start"))
+        spark.read.schema("value string")
+        .option("header", True).option("enforceSchema", True)
+        .option("encoding", "ISO-8859-1").option("sep", NO_SEPARATOR).option("quote", "")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(files.paths)
+    )
+    df = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("place"), "value")
+    if files.one_kind:
+        df = df.withColumn("kind", F.lit(0)).withColumn("utf8", F.lit(files.kinds[0][1]))
+    else:
+        df = files.tell_file(df, ["utf8", "spans", "head"]).where("NOT spans").withColumn("kind", files.kind())
+    as_bytes = F.encode("value", "ISO-8859-1")  # every byte came in as one character
+    text = F.when(is_ascii(F.col("value")), F.col("value")).when(F.col("utf8"), F.make_valid_utf8(as_bytes.cast("string"))).otherwise(F.col("value"))
+    return df.select("file", "start", "place", "kind", text.alias("record"))
+
+
+def _cut_records(files: _Files) -> DataFrame:
+    """The same for files with newlines in quotes."""
+    lines = files.tell_file(_lines(files.spark, files.paths), ["spans"]).where("spans").select("file", "start", F.col("value").cast("binary").alias("line"))
+    records = csv_records.join_pieces(csv_records.cut_records(lines, files.states, _few(files.states)))
+    records = files.tell_file(records, ["utf8", "head"]).withColumn("kind", files.kind())
+    raw = F.col("record").cast("string")
+    if files.encoding in (None, UTF8, LATIN1):
+        text = F.when(F.col("utf8"), F.make_valid_utf8(raw)).otherwise(F.decode("record", "ISO-8859-1"))
+    else:
+        text = _decoder(files.encoding)("record")
+    return records.select("file", "start", "place", "kind", text.alias("record"))
+
 
+def _decoder(encoding: str):
+    @F.pandas_udf("string")
+    def decode(s: pd.Series) -> pd.Series:
+        return s.map(lambda b: bytes(b).decode(encoding, "replace"))
 
-def _is_long(n_columns: int) -> Column:
-    """A malformed row with at least as many separators outside quotes as the header has columns."""
-    bare = F.regexp_replace(RAW, '"([^"]|"")*"', "")
-    return F.coalesce(F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= n_columns, F.lit(False))
+    return decode
+
+
+def _parsed(records: DataFrame, kinds: list[list[str]]) -> DataFrame:
+    """Records -> the columns of all kinds of files, with RAW, ``_long_row`` and the place of each row."""
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "raw", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    parsed, where = [], {}
+    for k, names in enumerate(kinds):
+        schema = ", ".join([*(f"c{i} string" for i in range(len(names))), "raw string"])
+        parsed.append(F.when(F.col("kind") == k, F.from_csv("record", schema, options)).alias(f"p{k}"))
+        for i, name in enumerate(names):
+            where.setdefault(name.lower(), (name, []))[1].append(F.col(f"p{k}.c{i}"))
+    df = records.select(*(F.col(c) for c in ("file", "start", "place", "kind", "record")), *parsed)
+    long_row = F.lit(False)
+    for k, names in enumerate(kinds):
+        more = F.col(f"p{k}.raw").isNotNull() & (csv_records.n_fields(F.col("record")) > len(names))
+        long_row = F.when(F.col("kind") == k, F.coalesce(more, F.lit(False))).otherwise(long_row)
+    columns = [F.coalesce(*found).alias(name) for name, found in where.values()]
+    return df.select(
+        *columns, F.col("record").alias(RAW), long_row.alias("_long_row"), F.col("file").alias(FILE), F.col("start").alias(START), F.col("place").alias(PLACE)
+    )
 
 
 def _rows(spark: SparkSession, paths, encoding: str | None, multi_line: bool | None) -> DataFrame:
-    """All rows of all files, with ``_long_row`` and the place of each row."""
-    paths = _paths(paths)
+    """All rows of all files, with RAW, ``_long_row`` and the place of each row."""
+    paths, encoding = _paths(paths), _encoding(encoding)
+    _check_exists(spark, paths)
+    if encoding not in (None, UTF8, LATIN1):
+        multi_line = True  # decoded where records are cut
+    files = _Files(spark, paths, encoding, multi_line)
+    if not files.kinds:
+        return spark.createDataFrame([], f"{RAW} string, _long_row boolean, {FILE} string, {START} long, {PLACE} long")
+    records = _plain_records(files)
+    if files.any_spans:
+        records = records.unionByName(_cut_records(files))
+    return _parsed(records, [names for *_, names in files.kinds])
+
+
+# --------------------------------------------------------------------------- ordered samples
+def _first_records(spark: SparkSession, file: str, n: int, encoding: str | None, multi_line: bool | None, drop_long: bool):
+    """Of one file: (header line, utf8, its first n records after the header), from as few lines as hold them."""
+    path, want = _plain_path(file), n + 2
+    while True:
+        lines = [bytes(r[0]) for r in spark.read.text(path).select(F.col("value").cast("binary")).take(want)]
+        done = len(lines) < want
+        records, still_open = csv_records.records_of(lines) if multi_line is not False else ([x for x in lines if x.strip()], False)
+        if still_open and done:  # a quote that never closes: line by line
+            records = [x for x in lines if x.strip()]
+        utf8 = encoding == UTF8
+        if encoding is None:
+            try:
+                b"\n".join(lines).decode(UTF8)
+                utf8 = True
+            except UnicodeDecodeError:
+                utf8 = False
+        how = encoding or (UTF8 if utf8 else LATIN1)
+        texts = [r.decode(how, "replace") for r in records]
+        if not texts:
+            if done:
+                return None
+            want *= 4
+            continue
+        width = len(columns_of(texts[0]))
+        rows = [t for t in texts[1:] if not (drop_long and csv_records.field_count(t) > width)]
+        if done or len(rows) >= n:
+            return texts[0], rows[:n]
+        want *= 4
+
+
+def _sample(spark: SparkSession, paths, n: int, encoding: str | None, multi_line: bool | None, drop_long: bool) -> DataFrame:
+    paths, encoding = _paths(paths), _encoding(encoding)
     _check_exists(spark, paths)
-    parts = []
-    kinds = _kinds(spark, paths, encoding, multi_line)
-    others = [f for *_, files in kinds[1:] for f in files]
-    for head, enc, quoted, files in kinds:
-        cols = _columns(_decoded(spark, head, enc, paths, files))
-        df = _read(spark, paths if files is None else [_plain_path(f) for f in files], cols, enc, quoted)
-        if files is None and others:
-            df = df.where(~F.col(FIRST).isin(others))
-        parts.append(df.withColumn("_long_row", _is_long(len(cols))))
-    if not parts:
-        return spark.createDataFrame([], f"{RAW} string, {FIRST} string, {PLACE} long, _long_row boolean")
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
-
-
-def _decoded(spark: SparkSession, head: str, encoding: str, paths: list[str], files: list[str] | None) -> str:
-    """The header line in its encoding: the line pass reads every file as UTF-8."""
-    if encoding.lower() == "utf-8" or "\ufffd" not in head:
-        return head
-    where = paths if files is None else [_plain_path(files[0])]
-    first = spark.read.option("encoding", encoding).option("header", False).option("quote", "").option("sep", "\u0001").csv(where[:1])
-    return first.first()[0]
+    names = sorted(spark.read.text(paths).inputFiles(), key=unquote)  # Spark's own listing; nothing is read
+    if n > SMALL_SAMPLE:
+        chosen, rows, take = [], 0, 1
+        while rows < n and len(chosen) < len(names):
+            more = [_plain_path(f) for f in names[len(chosen) : len(chosen) + take]]
+            counted = _rows(spark, more, encoding, multi_line)
+            rows += (counted.where("NOT _long_row") if drop_long else counted).count()
+            chosen, take = chosen + more, take * 2
+        df = _rows(spark, chosen, encoding, multi_line)
+        df = df.where("NOT _long_row") if drop_long else df
+        name = F.try_url_decode(F.replace(FILE, F.lit("+"), F.lit("%2B")))
+        return df.orderBy(name, START, PLACE).limit(n)
+    found, heads = [], {}
+    for file in names:
+        if len(found) >= n:
+            break
+        first = _first_records(spark, file, n - len(found), encoding, multi_line, drop_long)
+        if first:
+            kind = heads.setdefault(first[0], len(heads))
+            found += [(file, 0, len(found) + i, kind, record) for i, record in enumerate(first[1])]
+    records = spark.createDataFrame(found, "file string, start long, place long, kind int, record string").coalesce(1)
+    return _parsed(records, [columns_of(h) for h in heads]).orderBy(PLACE)
 
 
+# --------------------------------------------------------------------------- the job
 def read_transactions(
     spark: SparkSession,
     paths,
@@ -157,31 +294,34 @@ def read_transactions(
     keep_empty: bool = True,
 ) -> DataFrame:
     """Read transaction CSV file(s); see the module for the rules."""
-    df = _rows(spark, paths, encoding, multi_line)
-    cols = [c for c in df.columns if c not in (RAW, FIRST, PLACE, "_long_row")]
+    if sample is not None and sample > 0:
+        df = _sample(spark, paths, int(sample), encoding, multi_line, on_long_rows == "drop")
+    else:
+        df = _rows(spark, paths, encoding, multi_line)
+    cols = [c for c in df.columns if c not in (RAW, FILE, START, PLACE, "_long_row")]
     if on_long_rows == "drop":
         df = df.where("NOT _long_row")
-    if sample is not None and sample > 0:
-        # only the first rows of each split can be among the first of all
-        df = df.withColumn("_id", F.monotonically_increasing_id()).where(F.expr(f"(_id & {(1 << 33) - 1}L) < {int(sample)}L"))
-        df = df.orderBy(FIRST, PLACE, "_id").limit(sample).drop("_id")
     if keep_empty:
-        df = df.na.fill("", subset=cols)
+        df = df.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in cols else F.col(c) for c in df.columns))
+    named = [F.col(f"`{c}`") for c in cols]
     if on_long_rows == "keep":
-        return df.select(*cols, "_long_row", F.when(F.col("_long_row"), F.col(RAW)).alias(RAW))
+        return df.select(*named, "_long_row", F.when(F.col("_long_row"), F.col(RAW)).alias(RAW))
     if on_long_rows == "error" and cols:
         failed = F.raise_error(F.concat(F.lit("row has more fields than its header: "), F.col(RAW)))
-        df = df.withColumn(cols[0], F.when(F.col("_long_row"), failed.cast("string")).otherwise(F.col(cols[0])))
-    return df.select(*cols)
+        named[0] = F.when(F.col("_long_row"), failed.cast("string")).otherwise(named[0]).alias(cols[0])
+    return df.select(*named)
 
 
 def quarantined_rows(spark: SparkSession, paths, *, encoding: str | None = None, multi_line: bool | None = None) -> DataFrame:
     """``file, raw, fields``: the long rows that ``on_long_rows="drop"`` leaves
     out, with the fields that have a column."""
-    df = _rows(spark, paths, encoding, multi_line)
-    cols = [F.col(c) for c in df.columns if c not in (RAW, FIRST, PLACE, "_long_row")]
+    return _quarantine(_rows(spark, paths, encoding, multi_line).where("_long_row"))
+
+
+def _quarantine(df: DataFrame) -> DataFrame:
+    cols = [F.col(f"`{c}`") for c in df.columns if c not in (RAW, FILE, START, PLACE, "_long_row")]
     fields = F.array(*cols).cast("array<string>")
-    return df.where("_long_row").select(F.col(FIRST).alias("file"), F.col(RAW).alias("raw"), fields.alias("fields"))
+    return df.select(F.col(FILE).alias("file"), F.col(RAW).alias("raw"), fields.alias("fields"))
 
 
 def preview(df: DataFrame, n: int = 3, clean: bool = False) -> DataFrame:
