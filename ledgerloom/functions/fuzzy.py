@@ -1,5 +1,5 @@
-"""String similarity on the Indel (LCS) distance, 0-100 floats, and the exact
-search for the best of many choices.
+"""String similarity on the Indel (LCS) distance, 0-100 floats, pair by pair;
+``batch_fuzzy`` computes the same for many pairs at once.
 
 Published definitions of the scores:
 
@@ -12,16 +12,12 @@ Published definitions of the scores:
 * ``partial_ratio``     = best ratio of the shorter string against every
   window of that length that overlaps the longer one, both ways round when
   the lengths are equal
-
-``ChoiceTable`` searches all choices without scoring them all: choices that
-share a token with the query come from a token index; for the others the score
-is one ratio, bounded from above by the letters the two have in common, for
-all choices at once.  They are scored from the best bound down until no bound
-can win.  The helpers are called from Arrow functions over *distinct* strings.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 
@@ -50,31 +46,37 @@ def ratio(a: str, b: str) -> float:
     return (1.0 - (total - 2 * lcs_len(a, b)) / total) * 100 if total else 100.0
 
 
-def _joined(tokens) -> str:
+def sorted_text(tokens) -> str:
     return " ".join(sorted(tokens))
 
 
 def token_sort_ratio(a: str, b: str) -> float:
-    return ratio(_joined(a.split()), _joined(b.split()))
-
-
-def _token_sets(p: set[str], q: set[str]) -> float:
-    if not p or not q:
-        return 0.0
-    s = len(_joined(p & q))
-    x, y = _joined(p - q), _joined(q - p)
-    if s and not (x and y):
-        return 100.0
-    gap = 1 if s else 0  # the space between s and what follows it
-    sx, sy = s + gap + len(x), s + gap + len(y)
-    scores = [_share(len(x) + len(y) - 2 * lcs_len(x, y), sx + sy)]
-    if s:
-        scores += [_share(gap + len(x), s + sx), _share(gap + len(y), s + sy)]
-    return max(scores)
+    return ratio(sorted_text(a.split()), sorted_text(b.split()))
+
+
+def token_set_scores(pairs: list[tuple[frozenset[str], frozenset[str]]], lcs_lengths: Callable[[list[str], list[str]], np.ndarray]) -> list[float]:
+    """Token-set score of every pair of token sets; ``lcs_lengths`` compares lists of strings."""
+    shared = [len(sorted_text(p & q)) for p, q in pairs]
+    xs, ys = [sorted_text(p - q) for p, q in pairs], [sorted_text(q - p) for p, q in pairs]
+    out = []
+    for (p, q), s, x, y, lcs in zip(pairs, shared, xs, ys, lcs_lengths(xs, ys)):
+        if not p or not q:
+            out.append(0.0)
+        elif s and not (x and y):
+            out.append(100.0)
+        else:
+            gap = 1 if s else 0  # the space between s and what follows it
+            sx, sy = s + gap + len(x), s + gap + len(y)
+            scores = [_share(len(x) + len(y) - 2 * int(lcs), sx + sy)]
+            if s:
+                scores += [_share(gap + len(x), s + sx), _share(gap + len(y), s + sy)]
+            out.append(max(scores))
+    return out
 
 
 def token_set_ratio(a: str, b: str) -> float:
-    return _token_sets(set(a.split()), set(b.split()))
+    pair = frozenset(a.split()), frozenset(b.split())
+    return token_set_scores([pair], lambda xs, ys: np.array([lcs_len(x, y) for x, y in zip(xs, ys)]))[0]
 
 
 def _best_window(inner: str, outer: str) -> float:
@@ -97,58 +99,3 @@ def combined_score(query: str, choice: str, set_score: float) -> int:
     if set_score == 100.0:
         return 100
     return int(round(max(set_score, partial_ratio(query, choice), token_sort_ratio(query, choice))))
-
-
-class ChoiceTable:
-    """The choices in list order, prepared for exact best-choice searches."""
-
-    def __init__(self, choices: list[str]):
-        self.choices = choices
-        self.tokens = [set(c.split()) for c in choices]
-        self.texts = [_joined(t) for t in self.tokens]
-        self.lengths = np.array([len(t) for t in self.texts], np.float64)
-        self.holders: dict[str, list[int]] = {}
-        for i, own in enumerate(self.tokens):
-            for token in own:
-                self.holders.setdefault(token, []).append(i)
-        self.letter = {ch: k for k, ch in enumerate(sorted(set().union(*self.texts)))}
-        self.counts = np.zeros((len(self.letter), len(choices)), np.uint16)
-        for i, text in enumerate(self.texts):
-            for ch in text:
-                self.counts[self.letter[ch], i] += 1
-
-    def _bounds(self, text: str) -> np.ndarray:
-        """No choice without a common token can score higher: LCS <= common letters."""
-        common = np.zeros(len(self.choices))
-        for ch in set(text):
-            if ch in self.letter:
-                common += np.minimum(self.counts[self.letter[ch]], text.count(ch))
-        return 200.0 * common / (len(text) + self.lengths) + 1e-9
-
-    def best(self, query: str) -> tuple[int, float]:
-        """Position and token-set score of the best choice, the first one on ties."""
-        own = set(query.split())
-        if not own:
-            return 0, 0.0
-        place, top = len(self.choices), -1.0
-        sharing = sorted({i for t in own for i in self.holders.get(t, ())})
-        for i in sharing:
-            score = _token_sets(own, self.tokens[i])
-            if score > top:
-                place, top = i, score
-                if top == 100.0:
-                    return place, top
-        text = _joined(own)
-        bounds = self._bounds(text)
-        bounds[sharing] = -1.0
-        for i in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[i] < top or (bounds[i] - 2e-9 <= top and i > place):
-                break
-            score = _share(len(text) + len(self.texts[i]) - 2 * lcs_len(text, self.texts[i]), len(text) + len(self.texts[i]))
-            if score > top or (score == top and i < place):
-                place, top = i, score
-        return place, top
-
-    def first_containing(self, query: str) -> int | None:
-        """First choice that contains the query or is contained in it; none for an empty query."""
-        return next((i for i, c in enumerate(self.choices) if c in query or query in c), None) if query else None

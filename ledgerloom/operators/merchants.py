@@ -15,12 +15,13 @@ One lazy plan over the *distinct* merchant strings, then one join back:
 ``fallback="substring"`` replaces the scored stages by the first choice that
 contains or is contained in the string (fixed score 75).
 
-The alias table is a dimension that people keep: it is read to the driver once
-per index (a hundred bytes an alias) and goes to the Arrow functions as
-broadcast slices of SLICE choices, each searched exactly
-(``functions.fuzzy.ChoiceTable``); the best of the slices' best is the answer.
-The same plan serves a hundred and a million aliases, without a join of
-strings and choices.  An empty alias table is "no map".
+The alias table is counted first.  Up to SLICE choices (some hundred bytes
+each) go to the Arrow functions as one broadcast, and the plan is lazy.  A
+larger table never leaves Spark: choices are dealt to slices and strings to
+blocks, every (slice, block) is one bounded group that is searched exactly, and
+the greatest result per string is the answer.  Either way a search scores a
+whole batch of strings at once (``functions.batch_fuzzy``,
+``functions.containment``).  An empty alias table is "no map".
 
 Result tags: ``empty_merchant``, ``no_merchant_map``, ``fuzzy_matched``,
 ``aggressive_fuzzy_matched``, ``embedding_matched``, ``low_confidence``,
@@ -30,22 +31,25 @@ Result tags: ``empty_merchant``, ``no_merchant_map``, ``fuzzy_matched``,
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.fuzzy import ChoiceTable, combined_score
+from ledgerloom.functions.batch_fuzzy import Choices, combined_scores
 from ledgerloom.functions.common import strip_ws
+from ledgerloom.functions.containment import Patterns
 from ledgerloom.functions.text import aggressive_clean_expr, clean_merchant_expr, is_ascii, nfkc
+from ledgerloom.session import materialize
 from ledgerloom.sources import dims
 
 DEFAULT_THRESHOLD = 85
 SUBSTRING_SCORE = 75
-#: Choices that one Arrow function searches.
-SLICE = 100_000
-#: Alias tables of up to so many rows are broadcast in joins; for larger ones Spark chooses.
-BROADCAST_ALIASES = 200_000
+#: Choices that one search holds; an alias table of up to so many is broadcast.
+SLICE = 20_000
+#: Strings that one search of a larger table holds.
+BLOCK = 20_000
 
 
 # --------------------------------------------------------------------------- cleaning
@@ -98,49 +102,54 @@ def default_index(spark: SparkSession) -> "ChoiceIndex":
     return _DEFAULT_INDEX[key]
 
 
-def _tokens(c):
-    return F.array_distinct(F.filter(F.split(c, " "), lambda t: t != ""))
-
-
 # --------------------------------------------------------------------------- scoring
 # ordered so that the greatest struct is the best: score, then the first in list order
 _BEST = "set_score double, neg_idx long, choice string, canonical string, score int"
-_NOTHING = (None, None, None, None, None)
+_FIRST = "neg_idx long, canonical string"
+#: (choice_idx, alias_clean, canonical) in list order -> a function from texts to one result row each
+Search = Callable[[list[str]], list[tuple]]
 
 
-def _scorer(spark: SparkSession, rows: list[tuple[int, str, str]]):
-    """Arrow function: text -> best choice of a slice."""
-    shared = spark.sparkContext.broadcast(rows)
+def _scoring(rows: list[tuple[int, str, str]]) -> Search:
+    """Best choice by token-set score with its combined score (``_BEST``)."""
+    table = Choices([choice for _, choice, _ in rows])
+
+    def search(texts: list[str]) -> list[tuple]:
+        place, set_scores = table.best(texts)
+        found = [rows[i] for i in place.tolist()]
+        scores = combined_scores(texts, [choice for _, choice, _ in found], set_scores)
+        return [(s, -idx, choice, canonical, score) for s, (idx, choice, canonical), score in zip(set_scores.tolist(), found, scores)]
 
-    @F.pandas_udf(_BEST)
-    def best(texts: pd.Series) -> pd.DataFrame:
-        rows = shared.value
-        table = ChoiceTable([choice for _, choice, _ in rows])
+    return search
 
-        def search(text: str | None) -> tuple:
-            if text is None:
-                return _NOTHING
-            i, set_score = table.best(text)
-            idx, choice, canonical = rows[i]
-            return set_score, -idx, choice, canonical, combined_score(text, choice, set_score)
 
-        return pd.DataFrame([search(t) for t in texts], columns=["set_score", "neg_idx", "choice", "canonical", "score"])
+def _containing(rows: list[tuple[int, str, str]]) -> Search:
+    """First choice that contains the text or is contained in it (``_FIRST``)."""
+    table = Patterns([choice for _, choice, _ in rows])
 
-    return best
+    def search(texts: list[str]) -> list[tuple]:
+        return [(None, None) if i is None else (-rows[i][0], rows[i][2]) for i in map(table.first, texts)]
 
+    return search
 
-def _container(spark: SparkSession, rows: list[tuple[int, str, str]]):
-    """Arrow function: text -> first choice of a slice that contains or is contained in it."""
+
+def _column_search(spark: SparkSession, rows: list[tuple[int, str, str]], prepare: Callable[[list], Search], kind: str):
+    """Arrow function: text -> result of a search of all choices; NULL fields for NULL.
+    The choices are prepared once per task."""
     shared = spark.sparkContext.broadcast(rows)
+    names = [field.split()[0] for field in kind.split(", ")]
 
-    @F.pandas_udf("neg_idx long, canonical string")
-    def first(texts: pd.Series) -> pd.DataFrame:
-        rows = shared.value
-        table = ChoiceTable([choice for _, choice, _ in rows])
-        found = [None if t is None else table.first_containing(t) for t in texts]
-        return pd.DataFrame([(None, None) if i is None else (-rows[i][0], rows[i][2]) for i in found], columns=["neg_idx", "canonical"])
+    @F.pandas_udf(kind)
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        search = prepare(shared.value)
+        for texts in batches:
+            given = texts.notna()
+            found = pd.DataFrame([(None,) * len(names)] * len(texts), columns=names, index=texts.index, dtype=object)
+            if given.any():
+                found.loc[given] = pd.DataFrame(search(texts[given].tolist()), columns=names, index=texts.index[given], dtype=object)
+            yield found
 
-    return first
+    return find
 
 
 class ChoiceIndex:
@@ -148,43 +157,53 @@ class ChoiceIndex:
 
     def __init__(self, choices: DataFrame, slice_size: int = SLICE):
         spark = choices.sparkSession
-        rows = [tuple(r) for r in choices.select("choice_idx", "alias_clean", "canonical").orderBy("choice_idx").collect()]
-        self.n = len(rows)
-        self.choices = spark.createDataFrame(rows, "choice_idx long, alias_clean string, canonical string")
+        rows = [tuple(r) for r in choices.select("choice_idx", "alias_clean", "canonical").limit(slice_size + 1).collect()]
+        self.small, self.slice_size = len(rows) <= slice_size, slice_size
+        if self.small:
+            rows.sort()
+            self.n = len(rows)
+            self.choices = spark.createDataFrame(rows, "choice_idx long, alias_clean string, canonical string")
+            self._scorer = _column_search(spark, rows, _scoring, _BEST)
+            self._container = _column_search(spark, rows, _containing, _FIRST)
+        else:
+            self.choices = materialize(choices.select("choice_idx", "alias_clean", "canonical"))
+            self.n = self.choices.count()
         self.exact = self._sized(self.choices.select("alias_clean", "canonical").distinct())
-        slices = [rows[i : i + slice_size] for i in range(0, len(rows), slice_size)]
-        self._scorers = [_scorer(spark, part) for part in slices]
-        self._containers = [_container(spark, part) for part in slices]
-        own = self.choices.select("choice_idx", "alias_clean", "canonical", _tokens(F.col("alias_clean")).alias("_t"))
-        self.tokens = self._sized(own.select("choice_idx", F.explode("_t").alias("tok"), F.size("_t").alias("nc")))
 
     def empty(self) -> bool:
         return self.n == 0
 
     def _sized(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.n <= BROADCAST_ALIASES else df
-
-    def best(self, text: Column) -> Column:
-        """Struct of the best choice of all (``_BEST``); NULL fields for NULL."""
-        return _greatest([search(text) for search in self._scorers])
-
-    def first_containing(self, text: Column) -> Column:
-        return _greatest([search(text) for search in self._containers])
-
-    def subset_hits(self, keys: DataFrame) -> DataFrame:
-        """``(key, best_idx)``: the first choice whose token set contains or is
-        contained in the string's (score 100), by a token equi-join."""
-        kt = keys.select("key", _tokens(F.col("key")).alias("_t"))
-        kt = kt.select("key", F.explode("_t").alias("tok"), F.size("_t").alias("nk"))
-        pairs = kt.join(self.tokens, "tok").groupBy("key", "choice_idx").agg(
-            F.count(F.lit(1)).alias("shared"), F.first("nk").alias("nk"), F.first("nc").alias("nc")
-        )
-        hits = pairs.where((F.col("shared") == F.col("nk")) | (F.col("shared") == F.col("nc")))
-        return hits.groupBy("key").agg(F.min("choice_idx").alias("best_idx"))
-
-
-def _greatest(found: list[Column]) -> Column:
-    return found[0] if len(found) == 1 else F.array_max(F.array(*found))
+        return F.broadcast(df) if self.small else df
+
+    def with_best(self, df: DataFrame, text: Column, out: str) -> DataFrame:
+        """``df`` with the struct ``out`` (``_BEST``): the best choice for ``text``; NULL for NULL."""
+        return df.withColumn(out, self._scorer(text)) if self.small else self._joined(df, text, out, _scoring, _BEST)
+
+    def with_first_containing(self, df: DataFrame, text: Column, out: str) -> DataFrame:
+        return df.withColumn(out, self._container(text)) if self.small else self._joined(df, text, out, _containing, _FIRST)
+
+    def _joined(self, df: DataFrame, text: Column, out: str, prepare: Callable[[list], Search], kind: str) -> DataFrame:
+        df = df.withColumn("_text", text)
+        texts = df.select("_text").where("_text IS NOT NULL").distinct()
+        slices, blocks = -(-self.n // self.slice_size), max(1, -(-texts.count() // BLOCK))
+        dealt = texts.select("_text", F.pmod(F.xxhash64("_text"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+        own_slice = F.pmod(F.xxhash64("choice_idx"), F.lit(slices)).cast("int").alias("slice")
+        choices = self.choices.select("*", own_slice, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+
+        def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            names = ["_text", *(field.split()[0] for field in kind.split(", "))]
+            if left.empty or right.empty:
+                return pd.DataFrame(columns=names)
+            rows = sorted(zip(right["choice_idx"].tolist(), right["alias_clean"], right["canonical"]))
+            texts = left["_text"].tolist()
+            found = [(t, *r) for t, r in zip(texts, prepare(rows)(texts)) if r[-1] is not None]
+            return pd.DataFrame(found, columns=names)
+
+        found = dealt.groupBy("slice", "block").cogroup(choices.groupBy("slice", "block")).applyInPandas(search, f"_text string, {kind}")
+        fields = [field.split()[0] for field in kind.split(", ")]
+        best = found.groupBy("_text").agg(F.max(F.struct(*fields)).alias(out))
+        return df.join(best.withColumnRenamed("_text", "_found"), F.col("_text") == F.col("_found"), "left").drop("_text", "_found")
 
 
 # --------------------------------------------------------------------------- stages
@@ -218,7 +237,7 @@ def resolve_keys(
     rest = F.when(~is_exact, F.col("key"))
 
     if fallback == "substring":
-        r = r.withColumn("hit", index.first_containing(rest))
+        r = index.with_first_containing(r, rest, "hit")
         found = F.col("hit.canonical").isNotNull()
         return r.select(
             "key",
@@ -228,9 +247,9 @@ def resolve_keys(
             F.when(is_exact, "exact").when(found, "substring").otherwise("none").alias("match_stage"),
         )
 
-    r = r.withColumn("aggr", aggressive_clean_expr(F.col("key"))).withColumn("one", index.best(rest))
+    r = index.with_best(r.withColumn("aggr", aggressive_clean_expr(F.col("key"))), rest, "one")
     weak = F.col("one.score") < threshold
-    r = r.withColumn("two", index.best(F.when(weak & (F.col("aggr") != "") & (F.col("aggr") != F.col("key")), F.col("aggr"))))
+    r = index.with_best(r, F.when(weak & (F.col("aggr") != "") & (F.col("aggr") != F.col("key")), F.col("aggr")), "two")
     ok1 = F.col("one.score") >= threshold
     ok2 = F.coalesce(F.col("two.score") >= threshold, F.lit(False))
     low_score = F.greatest("one.score", "two.score")

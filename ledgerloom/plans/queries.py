@@ -184,9 +184,21 @@ def _not_exact(spark, sf, idx):
     return keys.join(idx.exact.select(F.col("alias_clean").alias("key")), "key", "left_anti")
 
 
+def _tokens(c):
+    return F.array_distinct(F.filter(F.split(c, " "), lambda t: t != ""))
+
+
 def merchants_token_subset(spark, sf):
+    """The first choice whose token set contains or is contained in the
+    string's (token-set score 100), by a token equi-join: a second way to the
+    best choices of the fuzzy search."""
     idx = _index(spark)
-    hits = idx.subset_hits(_not_exact(spark, sf, idx))
+    own = idx.choices.select("choice_idx", _tokens(F.col("alias_clean")).alias("t"))
+    own = F.broadcast(own.select("choice_idx", F.explode("t").alias("tok"), F.size("t").alias("nc")))  # the built-in map
+    keys = _not_exact(spark, sf, idx).select("key", _tokens(F.col("key")).alias("t"))
+    keys = keys.select("key", F.explode("t").alias("tok"), F.size("t").alias("nk"))
+    pairs = keys.join(own, "tok").groupBy("key", "choice_idx").agg(F.count(F.lit(1)).alias("shared"), F.first("nk").alias("nk"), F.first("nc").alias("nc"))
+    hits = pairs.where((F.col("shared") == F.col("nk")) | (F.col("shared") == F.col("nc"))).groupBy("key").agg(F.min("choice_idx").alias("best_idx"))
     hits = hits.join(idx.choices, hits["best_idx"] == idx.choices["choice_idx"])
     return hits.select(
         F.col("key").alias("merchant_cleaned"), F.col("alias_clean").alias("best_choice"), F.col("canonical").alias("merchant_canonical")
@@ -204,16 +216,16 @@ def _best_columns():
 
 def merchants_fuzzy(spark, sf):
     idx = _index(spark)
-    scored = _not_exact(spark, sf, idx).withColumn("best", idx.best(F.col("key")))
+    scored = idx.with_best(_not_exact(spark, sf, idx), F.col("key"), "best")
     return scored.select(F.col("key").alias("merchant_cleaned"), *_best_columns())
 
 
 def merchants_aggressive(spark, sf):
     idx = _index(spark)
-    low = _not_exact(spark, sf, idx).withColumn("first", idx.best(F.col("key"))).where(F.col("first.score") < M.DEFAULT_THRESHOLD)
+    low = idx.with_best(_not_exact(spark, sf, idx), F.col("key"), "first").where(F.col("first.score") < M.DEFAULT_THRESHOLD)
     low = low.select(F.col("key").alias("merchant_cleaned"), aggressive_clean_expr(F.col("key")).alias("merchant_aggressive"))
     low = low.where((F.col("merchant_aggressive") != "") & (F.col("merchant_aggressive") != F.col("merchant_cleaned")))
-    return low.withColumn("best", idx.best(F.col("merchant_aggressive"))).select("merchant_cleaned", "merchant_aggressive", *_best_columns())
+    return idx.with_best(low, F.col("merchant_aggressive"), "best").select("merchant_cleaned", "merchant_aggressive", *_best_columns())
 
 
 def merchants_substring(spark, sf):

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.fuzzy import (
@@ -133,16 +134,61 @@ def test_scorers():
 def test_best_choice_like_scoring_every_choice():
     import random
 
-    from ledgerloom.functions.fuzzy import ChoiceTable
+    from ledgerloom.functions.batch_fuzzy import Choices
 
     rnd = random.Random(11)
     word = lambda: "".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 6)))
     choices = [" ".join(word() for _ in range(rnd.randint(1, 3))) for _ in range(400)]
-    table = ChoiceTable(choices)
-    for _ in range(300):
-        query = " ".join(word() for _ in range(rnd.randint(0, 3))) if rnd.random() < 0.9 else "zzz qq"
-        scores = [token_set_ratio(query, c) for c in choices]
-        assert table.best(query) == (scores.index(max(scores)), max(scores)), query
+    choices += [choices[5] + " " + choices[9], "é" * 70 + " a", "é" * 70 + " b", "x" * 300 + "y", "x" * 299 + "zz"]
+    queries = [" ".join(word() for _ in range(rnd.randint(0, 3))) if rnd.random() < 0.9 else "zzz qq" for _ in range(300)]
+    queries += ["é" * 69 + "ü c", "x" * 290 + "q", "", " ", choices[7]]
+    for size in (30, len(choices)):
+        place, top = Choices(choices[:size]).best(queries)
+        for query, i, score in zip(queries, place.tolist(), top.tolist()):
+            scores = [token_set_ratio(query, c) for c in choices[:size]]
+            assert (i, score) == (scores.index(max(scores)), max(scores)), query
+
+
+def test_batches_equal_pair_by_pair():
+    import random
+
+    from ledgerloom.functions import batch_fuzzy
+
+    rnd = random.Random(3)
+    text = lambda: "".join(rnd.choice("abcde é") for _ in range(rnd.choice([0, 1, 5, 12, 20, 63, 64, 65, 90])))
+    left, right = [text() for _ in range(4000)], [text() for _ in range(4000)]
+    assert batch_fuzzy.lcs_lengths(left, right).tolist() == [lcs_len(a, b) for a, b in zip(left, right)]
+    assert batch_fuzzy.ratios(left, right).tolist() == [ratio(a, b) for a, b in zip(left, right)]
+    short = [(a, b) for a, b in zip(left, right) if len(a) < 30 and len(b) < 30]
+    a, b = [p[0] for p in short], [p[1] for p in short]
+    assert batch_fuzzy.partial_ratios(a, b).tolist() == [partial_ratio(x, y) for x, y in short]
+    sets = [token_set_ratio(x, y) for x, y in short]
+    assert batch_fuzzy.combined_scores(a, b, sets) == [combined_score(x, y, s) for x, y, s in zip(a, b, sets)]
+
+
+def test_first_containing_like_a_list_scan():
+    import random
+
+    from ledgerloom.functions.containment import Patterns
+
+    rnd = random.Random(4)
+    text = lambda top: "".join(rnd.choice("abc ") for _ in range(rnd.randint(1, top)))
+    patterns = [text(9) for _ in range(300)]
+    for size in (1, 20, 300):
+        table = Patterns(patterns[:size])
+        for query in [text(12) for _ in range(500)] + ["", "zz", "a"]:
+            want = next((i for i, c in enumerate(patterns[:size]) if c in query or query in c), None) if query else None
+            assert table.first(query) == want, query
+    assert Patterns([]).first("a") is None
+
+
+@pytest.mark.parametrize("fallback", ["fuzzy", "substring"])
+def test_large_tables_stay_in_spark_with_the_same_rows(spark, sample_df, monkeypatch, fallback):
+    from ledgerloom.operators import merchants
+
+    want = sorted(map(str, resolve_distinct(sample_df, "merchant", fallback=fallback).collect()))
+    monkeypatch.setattr(merchants, "BLOCK", 5)
+    assert sorted(map(str, resolve_distinct(sample_df, "merchant", fallback=fallback, slice_size=10).collect())) == want
 
 
 def test_plan_is_lazy_and_has_no_pairs_of_strings_and_choices(spark):
