@@ -5,8 +5,7 @@ numbers of toxic and of other labelled texts that hold them (so that a token
 repeated within a text counts once) give log-odds with an informative
 Dirichlet prior (the pooled counts, scaled to PRIOR of their sum) and a
 z-score each.
-Tokens with \\|z\\| >= Z form the lexicon (at most LEXICON tokens, the largest
-\\|z\\| first: the size of the model); all others are pooled as one token.
+Tokens with \\|z\\| >= Z form the lexicon; all others are pooled as one token.
 
 Scoring.  A linear-time scan finds all maximal scoring segments of a text
 (none can be extended or cut without losing score).  For a clean text of n
@@ -19,9 +18,10 @@ segments than clean texts have, and evidence would grow with their length.  Thei
 number), summed, is the evidence of a text, and a logistic curve fitted on the
 training texts turns log(1 + evidence) into a score from 0 to 1.
 
-Bounds: at most TRAIN_ROWS labelled rows (the ones of smallest hash of their
-doc_id) are read for training, and the lexicon as above; both are parameters
-of the model.  Every text is scored, whole.
+Bound: about TRAIN_ROWS labelled rows at most (those whose doc_id's hash lies
+below a cut-off that follows from their number) are read for training, a
+parameter of the model; their texts are written once.  The lexicon comes from
+them, so it is bounded with them.  Every text is scored, whole.
 
 Defined results: a null or empty text has no evidence and gets the curve's
 value at 0.  Labels that are null or belong to no row are ignored; of several
@@ -39,7 +39,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import astuple, dataclass, field
 from operator import itemgetter
 
 import numpy as np
@@ -47,10 +47,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import text_or_empty, unused
+from ledgerloom.llm.common import staged, text_or_empty, unused
 
 STEM = 5
-PRIOR, Z, LEXICON = 0.1, 3.0, 20_000
+PRIOR, Z = 0.1, 3.0
 TRAIN_ROWS = 200_000
 REJECT = 0.3
 #: Scaled score at which the segments of clean texts are counted.
@@ -135,9 +135,13 @@ def held_out(doc_id: Column) -> Column:
 def _training_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
-    bounded = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS).withColumnRenamed("doc_id", "id")
+    known = staged(known, "labels")
+    n = known.count()
+    cut = (1 << 31) if n <= TRAIN_ROWS else (1 << 31) * TRAIN_ROWS // n
+    bounded = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < cut).withColumnRenamed("doc_id", "id")
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return texts.join(F.broadcast(bounded), "id").select("text", "toxic")  # at most TRAIN_ROWS pairs of a number and a flag
+    # about TRAIN_ROWS pairs of a number and a flag are broadcast; the training reads the texts three times
+    return staged(texts.join(F.broadcast(bounded), "id").select("text", "toxic"), "training-texts")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     a, b = (F.col(c) + PRIOR * (F.col("bad") + F.col("good")) for c in ("bad", "good"))
     odds = F.log(a / (n_bad + strength - a)) - F.log(b / (n_good + strength - b))
     ranked = counts.select("*", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
-    lexicon = ranked.where(F.abs("z") >= Z).orderBy(F.abs("z").desc(), "token").limit(LEXICON).collect()
+    lexicon = ranked.where(F.abs("z") >= Z).collect()  # tokens of the bounded training texts
     counts.unpersist()
     if not any(r["odds"] > 0 for r in lexicon):
         return Model()
@@ -242,11 +246,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def toxicity_score(model: Model, spark) -> Column:
     """A column function: text -> score."""
-    shared = spark.sparkContext.broadcast(model)  # LEXICON short tokens at most
+    # Plain values: a broadcast object of this package could only be read where the package is installed.
+    shared = spark.sparkContext.broadcast(astuple(model))
 
     @F.pandas_udf("double")
     def score(texts):
-        model = shared.value
+        model = Model(*shared.value)
         return texts.map(lambda t: model.score(model.evidence(t)))
 
     return score
