@@ -43,6 +43,7 @@ def convert_to_usd(
     rates: DataFrame | dict | None = None,
     assume_missing_usd: bool = True,
     out_col: str = "amount_usd",
+    issue_col: str | None = None,
 ) -> DataFrame:
     spark = df.sparkSession
     if rates is None or isinstance(rates, dict):
@@ -50,16 +51,20 @@ def convert_to_usd(
         side = F.broadcast(dims.rates_df(spark, rates))
     else:
         side = dims.merge_rates(dims.default_rates(spark), rates)  # Spark picks the join by its size
-    side = side.select(F.col("currency").alias("_fx_cur"), F.col("rate").alias("_fx_rate"))
+    reason = F.col("rate_issue") if "rate_issue" in side.columns else F.lit(None).cast("string")
+    side = side.select(F.col("currency").alias("_fx_cur"), F.col("rate").alias("_fx_rate"), reason.alias("_fx_issue"))
     df = df.withColumn("_fx_code", normalize_code(F.col(currency_col)))
     df = df.withColumn("_fx_amount", F.col(amount_col).cast("decimal(38,18)"))
     df = df.withColumn("_fx_whole", F.expr("CAST(CASE WHEN _fx_amount < 0 THEN ceil(_fx_amount) ELSE floor(_fx_amount) END AS decimal(20,0))"))
     df = df.join(side, F.col("_fx_code") == F.col("_fx_cur"), "left")
     missing = F.col(currency_col).isNull() | (F.col(currency_col) == "")
     rate = F.when(missing, F.lit("1") if assume_missing_usd else F.lit(None)).otherwise(F.col("_fx_rate")).cast(dims.RATE_TYPE)
+    if issue_col:
+        no_rate = F.when((F.col("_fx_cur").isNull() & ~missing) | (missing & F.lit(not assume_missing_usd)), "no_rate")
+        df = df.withColumn(issue_col, F.when(missing & F.lit(assume_missing_usd), F.lit(None)).otherwise(F.coalesce("_fx_issue", no_rate)))
     df = df.withColumn("_fx_rate", rate)
     usd = F.expr(
         f"try_add(try_cast(_fx_whole * _fx_rate AS {USD_SQL_TYPE}), "
         f"CAST(CAST(_fx_amount % CAST(1 AS decimal(1,0)) AS decimal(18,18)) * _fx_rate AS {USD_SQL_TYPE}))"
     )
-    return df.withColumn(out_col, usd.cast(USD_TYPE)).drop("_fx_code", "_fx_cur", "_fx_rate", "_fx_amount", "_fx_whole")
+    return df.withColumn(out_col, usd.cast(USD_TYPE)).drop("_fx_code", "_fx_cur", "_fx_rate", "_fx_issue", "_fx_amount", "_fx_whole")

@@ -12,14 +12,18 @@
   by_category[], total_usd`` with money text like ``$1,234.56`` (always two
   decimals).  Its list is one array: meant for categories.
 * ``report_rows``   the same listing as rows, for groupings of any size.
+* ``ranked_rows``   those rows with their place in the listing: range
+  partitions by the listing order, a row number inside each, and the sizes of
+  the partitions before it (one number per partition) - no single sorted task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import format_usd
+from ledgerloom.session import materialize
 
 
 def group_totals(
@@ -64,6 +68,22 @@ def report_rows(grouped: DataFrame, key: str) -> DataFrame:
     return shared.select(key, format_usd(F.col("amount")).alias("amount"), "pct")
 
 
+def ranked_rows(grouped: DataFrame, key: str) -> DataFrame:
+    """``rank, key, amount`` (text), ``pct``: the listing with places from 1, by the unrounded
+    sum downwards, then the key upwards, NULL last.  The ranges are written to the checkpoint folder."""
+    order = [F.col("amount_raw").desc(), F.col(key).asc_nulls_last()]
+    dealt = materialize(grouped.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    sizes = sorted(tuple(r) for r in dealt.groupBy("_part").count().collect())  # one row per range partition
+    before = [(part, sum(n for _, n in sizes[:i])) for i, (part, _) in enumerate(sizes)]
+    offsets = grouped.sparkSession.createDataFrame(before, "_part int, _before long")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    total = total_of(dealt)
+    ranked = dealt.withColumn("_place", place).join(F.broadcast(offsets), "_part")
+    return ranked.select(
+        (F.col("_before") + F.col("_place")).alias("rank"), key, format_usd(F.col("amount")).alias("amount"), pct_expr(F.col("amount"), total).alias("pct")
+    )
+
+
 def report_row(grouped: DataFrame, key: str, formatted: bool = True) -> DataFrame:
     """One-row report DataFrame.  ``formatted=False`` keeps every amount
     numeric (the raw summary)."""

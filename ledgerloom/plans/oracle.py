@@ -30,7 +30,7 @@ from ledgerloom.functions.common import WHITESPACE
 from ledgerloom.functions.dates import DEFAULT_PIVOT, TIME_OF_DAY, WEEKDAY
 from ledgerloom.operators.categorize import _dedup_map
 from ledgerloom.operators.merchants import DEFAULT_THRESHOLD, SUBSTRING_SCORE
-from ledgerloom.plans.queries import CARRIED, CUSTOM_RATES, DEFAULT_CURRENCY, LARGE_RATES, SAMPLE_ROWS, SHARED_ALIASES, TABLE_CODES, TWO_DIGIT
+from ledgerloom.plans.queries import CARRIED, CUSTOM_RATES, DEFAULT_CURRENCY, LARGE_RATES, SAMPLE_ROWS, SHARED_ALIASES, TABLE_CODES, TWO_DIGIT, UNFIT_RATES
 from ledgerloom.sources import dims
 from ledgerloom.sources.driver_tables import TX_MERCHANTS
 
@@ -659,6 +659,25 @@ def oracle_sql() -> dict[str, str]:
               UNION ALL SELECT currency, rate, -1 FROM {rates_values()} AS d(currency, rate)) GROUP BY code) r
           ON r.code = coalesce(a.currency, 'USD')) GROUP BY 1""",
     )
+    unfit = ", ".join(lit(x) for x in UNFIT_RATES)
+    q["fx_unfit_rates"] = _q(
+        amounts_ctes(),
+        f"""SELECT coalesce(currency, '(none)') AS currency, rate_issue, count(*) AS n_rows, CAST(round(sum(usd), 2) AS {MONEY}) AS amount_usd FROM (
+          SELECT a.currency, CASE WHEN a.currency IS NOT NULL THEN CASE WHEN r.code IS NULL THEN 'no_rate' ELSE r.one.issue END END AS rate_issue,
+                 {usd_sql('a.amount_decimal', 'r.one.rate')} AS usd FROM amt a LEFT JOIN (
+            SELECT code, arg_max({{'rate': CASE WHEN issue IS NULL THEN CAST(x AS DECIMAL(17,10)) END, 'issue': issue}}, pos) AS one FROM (
+              SELECT *, CASE WHEN abs(x) >= 10000000 THEN 'rate_out_of_range' WHEN round(x, 10) <> x THEN 'rate_too_fine' END AS issue FROM (
+                SELECT upper([{rates}][n_nationkey % {len(TABLE_CODES)} + 1]) AS code,
+                       CAST([{unfit}][n_nationkey % {len(UNFIT_RATES)} + 1] AS DECIMAL(38,20)) AS x, n_nationkey AS pos FROM nation
+                UNION ALL SELECT currency, CAST(rate AS DECIMAL(38,20)), -1 FROM {rates_values()} AS d(currency, rate))) GROUP BY code) r
+          ON r.code = coalesce(a.currency, 'USD')) GROUP BY 1, 2""",
+    )
+    q["report_ranked_accounts"] = _q(
+        amounts_ctes() + fx_ctes(),
+        f"""SELECT row_number() OVER (ORDER BY raw DESC, account_id ASC NULLS LAST) AS rank, account_id,
+                 {money_text('round(raw, 2)')} AS amount
+            FROM (SELECT account_id, coalesce(sum(amount_usd), 0) AS raw FROM fx GROUP BY account_id)""",
+    )
     shared = choices_ctes(SHARED_ALIASES) + merchant_keys_ctes() + resolve_ctes()
     q["merchants_alias_collision"] = _q(
         shared, "SELECT merchant, merchant_canonical, merchant_score, match_stage FROM merchant_resolved"

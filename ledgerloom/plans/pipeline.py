@@ -150,3 +150,40 @@ def clean_csv(spark, paths, out_dir: str, *, default_currency: str | None = None
 
     df = read_transactions(spark, paths, sample=sample)
     write_cleaned_csv(clean_transactions(df, default_currency=default_currency), out_dir)
+
+
+def report_rows_from_csv(spark, paths, out_dir: str, *, group_by: str, resolve: bool = True, rates=None, aliases=None, round_digits: int | None = 2) -> None:
+    """The report's listing for a grouping of any size: CSV file(s) -> a JSON dataset, one ranked line per group."""
+    from ledgerloom.operators.report import ranked_rows
+    from ledgerloom.sources.csv_ingest import read_transactions
+    from ledgerloom.sources.sinks import write_report_rows
+
+    grouped = spend_report_plan(read_transactions(spark, paths), group_by=group_by, resolve=resolve, rates=rates, aliases=aliases, round_digits=round_digits)
+    write_report_rows(ranked_rows(grouped, grouped.columns[0]), out_dir)
+
+
+def clean_csv_counted(spark, paths, out_dir: str, *, default_currency: str | None = None, rates=None) -> dict[str, int]:
+    """``clean_csv`` with quarantine and counts in the same pass: rows go to
+    ``quarantined=false`` and ``quarantined=true`` (long rows, with the row as
+    it was in ``raw_row``) under ``out_dir``, and what is returned was counted
+    while they were written."""
+    from pyspark.sql import Observation
+
+    from ledgerloom.sources.csv_ingest import RAW, read_transactions
+    from ledgerloom.sources.sinks import write_cleaned_csv
+
+    rows = read_transactions(spark, paths, on_long_rows="keep").withColumnsRenamed({"_long_row": "quarantined", RAW: "raw_row"})
+    clean = clean_transactions(rows, default_currency=default_currency)
+    usd = convert_to_usd(clean, rates=rates, out_col="_usd") if "amount_decimal" in clean.columns else clean.withColumn("_usd", F.lit(None))
+    good = ~F.col("quarantined")
+    given = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) != ""
+    number = lambda cond: F.coalesce(F.sum((good & cond).cast("long")), F.lit(0))
+    counts = [F.count(F.lit(1)).alias("rows_read"), F.coalesce(F.sum(F.col("quarantined").cast("long")), F.lit(0)).alias("rows_quarantined")]
+    if "date_iso" in usd.columns and "date" in usd.columns:
+        counts.append(number(given("date") & F.col("date_iso").isNull()).alias("dates_unparseable"))
+    if "amount_decimal" in usd.columns and "amount" in usd.columns:
+        counts.append(number(given("amount") & F.col("amount_decimal").isNull()).alias("amounts_unparseable"))
+        counts.append(number(F.col("amount_decimal").isNotNull() & F.col("_usd").isNull()).alias("amounts_unconvertible"))
+    seen = Observation("clean_csv")
+    write_cleaned_csv(usd.observe(seen, *counts).drop("_usd"), out_dir, partition_by="quarantined")
+    return dict(seen.get)

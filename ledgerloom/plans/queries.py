@@ -19,7 +19,7 @@ from ledgerloom.functions.text import aggressive_clean_expr
 from ledgerloom.operators import merchants as M
 from ledgerloom.operators.categorize import categorize, category_map_table, rules_expr
 from ledgerloom.operators.fx import convert_to_usd
-from ledgerloom.operators.report import report_json, report_row, top_group, with_share
+from ledgerloom.operators.report import ranked_rows, report_json, report_row, top_group, with_share
 from ledgerloom.operators.vectors import nearest
 from ledgerloom.plans import pipeline
 from ledgerloom.plans.pipeline import categorized_merchant_totals, clean_transactions, spend_report_plan, usd_rows
@@ -429,6 +429,29 @@ def fx_rates_table(spark, sf):
     )
 
 
+# FIXED VALUES — rates of the unfit-rates query: two that the rate type cannot hold, one that it can.
+UNFIT_RATES = ["20000000", "0.00000000000123", "1.5"]
+
+
+def fx_unfit_rates(spark, sf):
+    """A rates table with rates beyond the rate type: they convert nothing, and the rows say why."""
+    codes, texts = (F.array(*[F.lit(x) for x in values]) for values in (TABLE_CODES, UNFIT_RATES))
+    rates = table(spark, sf, "nation").select(
+        F.element_at(codes, (F.col("n_nationkey") % len(TABLE_CODES) + 1).cast("int")).alias("currency"),
+        F.element_at(texts, (F.col("n_nationkey") % len(UNFIT_RATES) + 1).cast("int")).alias("rate"),
+        F.col("n_nationkey").alias("pos"),
+    )
+    df = convert_to_usd(clean_amounts(_tx(spark, sf)), rates=rates, issue_col="rate_issue")
+    return df.groupBy(F.coalesce("currency", F.lit("(none)")).alias("currency"), "rate_issue").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("amount_usd"), 2).cast(MONEY).alias("amount_usd")
+    )
+
+
+def report_ranked_accounts(spark, sf):
+    """The report's listing, one ranked row per account."""
+    return ranked_rows(spend_report_plan(_tx(spark, sf), group_by="account_id"), "account_id").select("rank", "account_id", "amount")
+
+
 def merchants_alias_collision(spark, sf):
     res = M.resolve_distinct(_tx(spark, sf), "merchant", aliases=SHARED_ALIASES)
     return res.select("merchant", "merchant_canonical", "merchant_score", "match_stage")
@@ -515,6 +538,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "amounts_precision": amounts_precision,
     "fx_large_rates": fx_large_rates,
     "fx_rates_table": fx_rates_table,
+    "fx_unfit_rates": fx_unfit_rates,
+    "report_ranked_accounts": report_ranked_accounts,
     "merchants_alias_collision": merchants_alias_collision,
     "merchants_no_map": merchants_no_map,
     "merchants_varied": merchants_varied,

@@ -17,7 +17,7 @@
   files are put together by column name, a column that a file lacks is NULL
   there (``''`` with ``keep_empty``).  Of columns whose names differ in case
   only, the one in lower case (else the first) keeps its name; the others get
-  ``_1``, ``_2``, ...  An unnamed column is called by its place
+  ``_1``, ``_2``, ... (as do columns with the names of RESERVED).  An unnamed column is called by its place
 * a BOM is stripped from the column names; blank lines between records are skipped
 * a row with more fields than its header has, however empty they are, is
   long.  ``on_long_rows="error"`` (default) makes the job fail when it meets
@@ -46,6 +46,7 @@ from ledgerloom.sources import csv_records
 
 RAW = "_raw_row"
 FILE, START, PLACE = "_file", "_split_start", "_place"
+RESERVED = {RAW, "_long_row", FILE, START, PLACE}
 #: Files, and splits of files with newlines in quotes, whose facts are broadcast (about 200 bytes each).
 FEW_FILES = 100_000
 #: Largest sample whose lines are taken to the driver, as ``df.take`` does.
@@ -95,7 +96,7 @@ def columns_of(head: str) -> list[str]:
     taken, out = {name.lower() for name in names}, []
     for i, name in enumerate(names):
         n = 0
-        while keeper.get(name.lower()) != i and (n == 0 or new.lower() in taken):
+        while (keeper.get(name.lower()) != i or name.lower() in RESERVED) and (n == 0 or new.lower() in taken):
             n += 1
             new = f"{name}_{n}"
         out.append(new if n else name)

@@ -233,12 +233,24 @@ def rates_df(spark: SparkSession, rates: dict[str, object] | None = None) -> Dat
 
 def merge_rates(defaults: DataFrame, user: DataFrame) -> DataFrame:
     """``user(currency, rate)`` (rate a number or its text) over
-    ``defaults(currency, rate)``, one row per currency.  Codes are upper-cased
-    and unreadable rates ignored.  A table has no last row, so of several rates
-    of a currency the one of the greatest ``pos`` counts where the table has
-    such a column, else the greatest rate."""
+    ``defaults(currency, rate)``: ``(currency, rate, rate_issue)``, one row per
+    currency.  Codes are upper-cased and rates that are no number ignored.  A
+    table has no last row, so of several rates of a currency the one of the
+    greatest ``pos`` counts where the table has such a column, else the greatest
+    rate.  A number that the rate type cannot hold makes the rate NULL (never
+    the default), with ``rate_out_of_range`` or, beyond 10 decimals,
+    ``rate_too_fine``."""
     order = F.col("pos") if "pos" in user.columns else F.lit(0)
-    read = user.select(F.upper("currency").alias("currency"), F.expr(f"try_cast(rate AS {RATE_SQL_TYPE})").alias("rate"), order.alias("pos"))
-    read = read.where(F.col("rate").isNotNull() & F.col("currency").isNotNull())
-    one = read.groupBy("currency").agg(F.max_by("rate", F.struct("pos", "rate")).alias("rate"))
-    return one.unionByName(defaults.join(one.select("currency"), "currency", "left_anti"))
+    text = F.btrim(F.col("rate").cast("string"))
+    read = user.select(
+        F.upper("currency").alias("currency"), order.alias("pos"), text.try_cast("double").alias("number"),
+        text.try_cast(RATE_SQL_TYPE).alias("held"), text.try_cast("decimal(38,28)").alias("exact"),
+    )
+    read = read.where(F.col("number").isNotNull() & (F.abs("number") < float("inf")) & F.col("currency").isNotNull())  # NaN is above every number
+    held = F.col("held").cast("decimal(38,28)")
+    issue = F.when((F.abs("number") >= 1e7) | F.col("held").isNull(), "rate_out_of_range").when((held != F.col("exact")) | ((held == 0) & (F.col("number") != 0)), "rate_too_fine")
+    read = read.select("currency", "pos", "number", issue.alias("rate_issue"), F.when(issue.isNull(), F.col("held")).alias("rate"))
+    one = read.groupBy("currency").agg(F.max_by(F.struct("rate", "rate_issue"), F.struct("pos", "number", "rate")).alias("one"))
+    one = one.select("currency", "one.rate", "one.rate_issue")
+    rest = defaults.join(one.select("currency"), "currency", "left_anti").select("currency", "rate", F.lit(None).cast("string").alias("rate_issue"))
+    return one.unionByName(rest)

@@ -31,10 +31,10 @@ def cleaned_for_csv(df: DataFrame) -> DataFrame:
     return out.select(*keep)
 
 
-def write_cleaned_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_cleaned_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> None:
+    writer = cleaned_for_csv(df).write.mode(mode)
     (
-        cleaned_for_csv(df)
-        .write.mode(mode)
+        (writer.partitionBy(partition_by) if partition_by else writer)
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -45,7 +45,7 @@ def write_cleaned_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None
 
 
 def write_report_rows(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """``operators.report.report_rows`` as a JSON dataset (directory), one line per group."""
+    """``operators.report.report_rows`` or ``ranked_rows`` as a JSON dataset (directory), one line per group."""
     rows.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 

@@ -130,6 +130,7 @@ def test_duplicate_and_case_variant_headers(spark, tmp_path):
     assert columns_of("date,amount,amount") == ["date", "amount", "amount_1"]
     assert columns_of("Amount,amount,,AMOUNT") == ["Amount_1", "amount", "_c2", "AMOUNT_2"]
     assert columns_of("a,a,a_1") == ["a", "a_2", "a_1"]
+    assert columns_of("_raw_row,_file,_place_1") == ["_raw_row_1", "_file_1", "_place_1"]
     for head, want in [("date,amount,amount", ("d", "1", "2")), ("Amount,amount,x.y", ("d", "1", "2"))]:
         p = tmp_path / "dup.csv"
         p.write_text(f"{head}\nd,1,2\n", encoding="utf-8")

@@ -71,3 +71,18 @@ def test_product_beyond_the_type_is_null(spark):
     rows = [(0, Decimal("99999999999999999999"), "AAA")]
     df = spark.createDataFrame(rows, "i int, amount_decimal decimal(38,18), currency string")
     assert convert_to_usd(df, rates={"AAA": "1000"}).first().amount_usd is None
+
+
+def test_rates_that_do_not_fit_convert_nothing(spark):
+    from ledgerloom.operators.fx import convert_to_usd
+
+    table = [("EUR", "20000000"), ("btc", "0.00000000000123"), ("GBP", " 1.5 "), ("JPY", "n/a"), ("CHF", "NaN"), ("SEK", "0.1234567890"), ("NOK", "0"), ("ETH", "1e-40"), (None, "2"), ("CAD", None)]
+    rates = spark.createDataFrame(table, "currency string, rate string")
+    codes = ["EUR", "BTC", "GBP", "JPY", "SEK", "NOK", "ETH", "QQQ", None, "CAD"]
+    df = spark.createDataFrame([(c, "10") for c in codes], "currency string, a string").selectExpr("currency", "CAST(a AS decimal(38,18)) AS amount_decimal")
+    got = {r.currency: (r.amount_usd and float(r.amount_usd), r.why) for r in convert_to_usd(df, rates=rates, issue_col="why").collect()}
+    default = dict(dims.DEFAULT_RATES)
+    assert got == {
+        "EUR": (None, "rate_out_of_range"), "BTC": (None, "rate_too_fine"), "GBP": (15.0, None), "JPY": (10 * float(default["JPY"]), None), "SEK": (1.23456789, None),
+        "NOK": (0, None), "ETH": (None, "rate_too_fine"), "QQQ": (None, "no_rate"), None: (10.0, None), "CAD": (10 * float(default["CAD"]), None),
+    }
