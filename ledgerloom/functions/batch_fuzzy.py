@@ -6,10 +6,10 @@ one side.  Here a step is done for all pairs together: a pair is a lane of a
 over 64 characters go pair by pair (``fuzzy.lcs_len``); the results are equal.
 
 ``Choices`` finds, for a batch of texts, each one's best choice by token-set
-score, the first on ties, as ``fuzzy.ChoiceTable.best`` does for one: choices
-that share a token are scored by their token sets; the score of any other is a
-single ratio, bounded by the letters in common, and only choices whose bound
-can still win are compared.
+score, the first on ties.  Choices that share a token come from a token index,
+and of those only the ones whose rests could still be alike enough are
+compared; the score of any other is a single ratio, bounded by the letters in
+common, and only choices whose bound can still win are compared.
 """
 
 from __future__ import annotations
