@@ -1,4 +1,5 @@
 import collections
+import functools
 import hashlib
 import math
 import re
@@ -123,6 +124,7 @@ def xx(value, seed=42):
     return xxhash.xxh64_intdigest(data, seed & (2**64 - 1))
 
 
+@functools.cache
 def brute_print(text, samples=64):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     pairs = [xx(b.encode(), xx(a.encode())) for a, b in zip(words, words[1:])] or [xx(w.encode()) for w in words]
