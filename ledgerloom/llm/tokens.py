@@ -1,7 +1,8 @@
 """Encoding of whole texts with a tokenizers-library file, inside Spark tasks.
 
-Most of a text's space-separated pieces repeat, so each Python worker keeps
-the ids of pieces it has met (bounded in entries) and sends only new ones to
+Most of a text's space-separated pieces repeat, so the distinct pieces of a
+batch are found at once (Arrow's dictionary encoding), each Python worker keeps
+the ids of pieces it has met (bounded in entries), and only new ones go to
 the tokenizer.  That gives the same ids as encoding the whole text, because
 for a byte-level pre-tokenizer with the usual pattern a space before a
 non-space always begins a new pre-token and merges never cross pre-tokens.
@@ -14,10 +15,11 @@ import json
 import os
 import re
 from array import array
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from ledgerloom.llm.common import worker_object
 
@@ -40,6 +42,29 @@ def split_pieces(text: str) -> list[str]:
     return _BOUNDARY.split(text) if _UNEVEN.search(text) else text.split(" ")
 
 
+def numbered_pieces(texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct pieces of some texts, and per text the numbers of its pieces in order.
+    Pieces come without the space in front; the last ``len(texts)`` of the list are the
+    texts' first pieces, which had none."""
+    uneven = [i for i, t in enumerate(texts) if _UNEVEN.search(t)]
+    plain = set(uneven)
+    even = pc.split_pattern(pa.array([t for i, t in enumerate(texts) if i not in plain], pa.large_string()), " ")
+    lists = [split_pieces(texts[i]) for i in uneven]
+    pieces = pa.concat_arrays([even.flatten(), pa.array([p for own in lists for p in own], pa.large_string())]).dictionary_encode()
+    distinct, flat = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+    counts = np.zeros(len(texts), np.int64)
+    order = np.array([i for i in range(len(texts)) if i not in plain] + uneven, np.int64)
+    counts[order] = [*pc.list_value_length(even).to_pylist(), *map(len, lists)]
+    ends = np.cumsum(counts[order])
+    flat, begins = flat.copy(), ends - counts[order]
+    first = pieces.dictionary.take(pa.array(flat[begins])).to_pylist()
+    flat[begins] = len(distinct) + order
+    firsts, numbers = [""] * len(texts), [flat] * len(texts)
+    for i, a, b, p in zip(order.tolist(), begins.tolist(), ends.tolist(), first):
+        firsts[i], numbers[i] = p, flat[a:b]
+    return distinct + firsts, numbers
+
+
 class PieceEncoder:
     """texts -> ids as little-endian unsigned 32-bit bytes, one bytes object per text."""
 
@@ -80,19 +105,21 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return self._plain(texts)
-        pieces = [split_pieces(t) for t in texts]
-        first = self._plain([p[0] for p in pieces])
-        missing = list(set(chain.from_iterable(p[1:] for p in pieces)).difference(self.known))
-        self.known.update(zip(missing, self._spaced(missing)))
-        ids = self.known.__getitem__
-        out = [b"".join([f, *map(ids, p[1:])]) for f, p in zip(first, pieces)]
-        room = CACHED_PIECES + len(missing) - len(self.known)  # pieces met early are mostly the frequent ones: they stay
-        for p in missing if room < len(missing) else [p for p in missing if len(p) > CACHED_LENGTH]:
-            if len(p) > CACHED_LENGTH or room <= 0:
-                del self.known[p]
-            else:
+        pieces, numbers = numbered_pieces(texts)
+        distinct = pieces[: len(pieces) - len(texts)]
+        known, room = self.known, CACHED_PIECES - len(self.known)
+        ids = list(map(known.get, distinct))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        for i, x in zip(missing, self._spaced([distinct[i] for i in missing])):
+            ids[i] = x
+        for i in missing:  # pieces met early are mostly the frequent ones: they stay
+            if room <= 0:
+                break
+            if len(distinct[i]) <= CACHED_LENGTH:
+                known[distinct[i]] = ids[i]
                 room -= 1
-        return out
+        ids += self._plain(pieces[len(distinct) :])
+        return [b"".join(map(ids.__getitem__, own.tolist())) for own in numbers]
 
 
 def encoder(path: str) -> PieceEncoder:
