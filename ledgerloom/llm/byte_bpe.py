@@ -1,9 +1,12 @@
 """Byte-level BPE encoding and decoding (operator 6): global distinct-word shuffle.
 
 Documents are read in blocks of a bounded text size.  A block explodes its
-texts into pre-tokens with positions; its distinct pre-tokens ("words") get
-local numbers.  Two rows of data leave it: the words, dealt to partitions by a
-hash of the word, and the positions (word numbers in text order, compressed).
+texts into pieces (cut before a space that a non-space follows, which always
+begins a pre-token) with positions, and each distinct piece into pre-tokens
+("words"), which get local numbers.  Two kinds of data leave it: the words,
+dealt to partitions by a hash of the word (a pass of its own, which builds no
+positions), and the positions (piece numbers in text order and the word numbers
+of each distinct piece, compressed).
 Each partition of words encodes every distinct word once, whichever blocks
 ask for it, and answers each block with the ids.  Positions and ids meet again
 by block, where texts are reassembled by position; decoding looks every id up
@@ -40,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import by_size, text_or_empty, worker_object
-from ledgerloom.llm.tokens import split_pieces
+from ledgerloom.llm.tokens import numbered_pieces
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Characters of text in a block.
@@ -58,51 +61,39 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-class _Words:
-    """Numbers the pre-tokens of a block in order of first appearance."""
+class _Block:
+    """A run of documents: its distinct words in order of first appearance, the
+    words of each distinct piece, and the piece numbers of each text."""
 
-    def __init__(self, pattern: str):
-        self.find = regex.compile(pattern).findall
-        self.number: dict[str, int] = {}
-        self.spaced: dict[str, tuple[int, ...]] = {}
+    def __init__(self, block: int, rows: list[tuple[int, str]], pattern: str):
+        self.block, self.crc, self.doc_ids = block, 0, [i for i, _ in rows]
+        texts = [text for _, text in rows]
+        for text in texts:
+            self.crc = zlib.crc32(text.encode(), self.crc)
+        pieces, self.positions = numbered_pieces(texts)
+        find, spaced = regex.compile(pattern).findall, len(pieces) - len(texts)
+        self.piece_words = [find(" " + p) for p in pieces[:spaced]] + [find(p) for p in pieces[spaced:]]
+        self.words = list(dict.fromkeys(chain.from_iterable(self.piece_words)))
 
-    def _numbers(self, piece: str) -> tuple[int, ...]:
-        number = self.number
-        return tuple([number.setdefault(w, len(number)) for w in self.find(piece)])
 
-    def positions(self, text: str) -> list[int]:
-        """Word numbers of a text in order.  Pieces that begin at a space before
-        a non-space hold whole pre-tokens, so each distinct piece is split once."""
-        first, *rest = split_pieces(text)
-        known = self.spaced
-        for p in rest:
-            if p not in known:
-                known[p] = self._numbers(" " + p)
-        return [*self._numbers(first), *chain.from_iterable(map(known.__getitem__, rest))]
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[tuple[int, int, list, list, list[str]]]:
-    """(block, checksum, doc_ids, positions per document, words)."""
+def _blocks(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[_Block]:
     part, seq = TaskContext.get().partitionId(), 0
     for batch in batches:
         rows = list(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()))
         for run in by_size(rows, lambda r: len(r[1]), BLOCK_TEXT):
-            words, crc, positions = _Words(pattern), 0, []
-            for _, text in run:
-                crc = zlib.crc32(text.encode(), crc)
-                positions.append(words.positions(text))
-            yield (part << 32) + seq, crc, [i for i, _ in run], positions, list(words.number)
+            yield _Block((part << 32) + seq, run, pattern)
             seq += 1
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch], pattern: str, parts: int) -> Iterator[pa.RecordBatch]:
     """Distinct words of each block: one row per part that has any."""
     squeeze = zstandard.ZstdCompressor(level=3).compress
-    for block, crc, _, _, words in _blocks(batches, pattern):
+    for b in _blocks(batches, pattern):
         own: list[list[int]] = [[] for _ in range(parts)]
-        for i, w in enumerate(words):
-            own[zlib.crc32(w.encode()) % parts].append(i)
-        rows = [(block, crc, k, squeeze(np.array(at, "<u4").tobytes()), squeeze(_join([words[i].encode() for i in at]))) for k, at in enumerate(own) if at]
+        words = [w.encode() for w in b.words]
+        for i, k in enumerate(map(zlib.crc32, words)):
+            own[k % parts].append(i)
+        rows = [(b.block, b.crc, k, squeeze(np.array(at, "<u4").tobytes()), squeeze(_join([words[i] for i in at]))) for k, at in enumerate(own) if at]
         if rows:
             types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["block", "crc", "word_part", "numbers", "words"])
@@ -139,14 +130,31 @@ def _encode_words(batches: Iterator[pa.RecordBatch], path: str, pattern: str) ->
         yield pa.RecordBatch.from_arrays(columns, names=["block", "crc", "numbers", "ids"])
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Bytes of equal weight together compress best."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=6).compress(planes.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+POSITIONS = "block long, crc long, doc_ids array<bigint>, counts array<bigint>, n_words long, piece_sizes binary, piece_words binary, positions binary"
+
+
 def _position_rows(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordBatch]:
-    squeeze = zstandard.ZstdCompressor(level=6).compress
-    schema = pa.schema([("block", pa.int64()), ("crc", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("n_words", pa.int64()), ("positions", pa.binary())])
-    for block, crc, doc_ids, positions, words in _blocks(batches, pattern):
-        flat = np.fromiter(chain.from_iterable(positions), np.uint32)
-        planes = flat.astype("<u4").view(np.uint8).reshape(-1, 4).T  # bytes of equal weight together compress best
-        data = squeeze(planes.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((block, crc, doc_ids, list(map(len, positions)), len(words), data), schema)], schema=schema)
+    longs = pa.list_(pa.int64())
+    types = (pa.int64(), pa.int64(), longs, longs, pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    names = [field.split()[0] for field in POSITIONS.split(", ")]
+    for b in _blocks(batches, pattern):
+        number = {w: i for i, w in enumerate(b.words)}
+        sizes = np.fromiter(map(len, b.piece_words), np.uint32, len(b.piece_words))
+        words = np.fromiter(map(number.__getitem__, chain.from_iterable(b.piece_words)), np.uint32)
+        own = [p[sizes[p] > 0] for p in b.positions]  # the first piece of a text may be empty
+        row = (b.block, b.crc, b.doc_ids, list(map(len, own)), len(b.words), _packed(sizes), _packed(words), _packed(np.concatenate(own)))
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=names)
 
 
 def _reassemble(key: tuple, docs: pa.Table, answers: pa.Table, table: list[bytes]) -> pa.Table:
@@ -154,23 +162,26 @@ def _reassemble(key: tuple, docs: pa.Table, answers: pa.Table, table: list[bytes
     crcs = {*docs.column("crc").to_pylist(), *answers.column("crc").to_pylist()}
     if docs.num_rows != 1 or len(crcs) != 1:
         raise ValueError("the input changed between two passes over it: stage it as a table first")
-    n_words = docs.column("n_words")[0].as_py()
-    ids: list[bytes] = [b""] * n_words
+    row = docs.to_pylist()[0]
+    ids: list[bytes] = [b""] * row["n_words"]
     for numbers, found in zip(answers.column("numbers").to_pylist(), answers.column("ids").to_pylist()):
         for i, x in zip(np.frombuffer(spread(numbers), "<u4").tolist(), _cut(spread(found))):
             ids[i] = x
-    lists = [np.frombuffer(x, "<u4").tolist() for x in ids]
-    counts, decimal = list(map(len, lists)), [" ".join(map(str, x)) for x in lists]
-    decoded = [b"".join([table[i] for i in x]) for x in lists]
-    planes = np.frombuffer(spread(docs.column("positions")[0].as_py()), np.uint8).reshape(4, -1)
-    flat = np.ascontiguousarray(planes.T).view("<u4").ravel().tolist()
-    rows, at = [], 0
-    for doc_id, n in zip(docs.column("doc_ids")[0].as_py(), docs.column("counts")[0].as_py()):
-        own = flat[at : at + n]
+    words, ends = _unpacked(row["piece_words"]).tolist(), np.cumsum(_unpacked(row["piece_sizes"]), dtype=np.int64).tolist()
+    decimal, decoded, counts = [], [], np.empty(len(ends), np.int64)
+    for k, (a, b) in enumerate(zip([0, *ends], ends)):
+        own = np.frombuffer(b"".join([ids[w] for w in words[a:b]]), "<u4").tolist()
+        counts[k] = len(own)
+        decimal.append(" ".join(map(str, own)))
+        decoded.append(b"".join([table[i] for i in own]))
+    flat, rows, at = _unpacked(row["positions"]), [], 0
+    for doc_id, n in zip(row["doc_ids"], row["counts"]):
+        places = flat[at : at + n]
         at += n
+        own = places.tolist()
         text_ids = " ".join([decimal[i] for i in own]).encode()
         text = b"".join([decoded[i] for i in own])
-        rows.append((doc_id, sum([counts[i] for i in own]), hashlib.sha256(text_ids).hexdigest(), hashlib.sha256(text).hexdigest()))
+        rows.append((doc_id, int(counts[places].sum()), hashlib.sha256(text_ids).hexdigest(), hashlib.sha256(text).hexdigest()))
     types = (pa.int64(), pa.int64(), pa.string(), pa.string())
     return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
@@ -184,9 +195,7 @@ def encode_and_decode(docs: DataFrame, ranks: str | None = None, pattern: str =
     words = rows.mapInArrow(lambda it: _word_rows(it, pattern, parts), "block long, crc long, word_part int, numbers binary, words binary")
     # the word decides the part, the part the partition: all blocks' copies of a word meet in one task
     answers = words.repartition("word_part").mapInArrow(lambda it: _encode_words(it, path, pattern), "block long, crc long, numbers binary, ids binary")
-    positions = rows.mapInArrow(
-        lambda it: _position_rows(it, pattern), "block long, crc long, doc_ids array<bigint>, counts array<bigint>, n_words long, positions binary"
-    )
+    positions = rows.mapInArrow(lambda it: _position_rows(it, pattern), POSITIONS)
 
     def reassemble(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         return _reassemble(key, left, right, _token_bytes(path))
