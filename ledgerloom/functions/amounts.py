@@ -23,6 +23,10 @@ Steps, in order:
       rounded HALF_UP, tagged ``amount_rounded``
   A13 apply the sign
   A14 currency: code, else symbol, else a currency word in the raw text
+
+Symbols and words are tables (built in, or the caller's ``symbols`` and
+``words``): one regular expression per table, made of all its entries, finds
+the entries in a text, and one map look-up gives the place in the search order.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.common import WHITESPACE
-from ledgerloom.sources.dims import CURRENCY_WORDS, SYMBOL_CURRENCY, SYMBOL_SEARCH_ORDER
+from ledgerloom.sources.dims import CURRENCY_WORDS, SYMBOL_CURRENCY
 
 # 20 digits before and 18 after the point (18 is the scale of the smallest
 # common currency unit, the wei); what does not fit is tagged, never dropped.
@@ -119,9 +123,44 @@ def _case(pairs: list[tuple[str, str]]) -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in pairs) + " END"
 
 
-def parse_amount_chain(raw: str) -> _Chain:
+def _map(pairs: list[tuple[str, str]]) -> str:
+    return "map(" + ", ".join(f"{sql_lit(a)}, {b}" for a, b in pairs) + ")"
+
+
+def _least_rank(text: str, ranks: dict[str, int], word: bool = False) -> str:
+    """Least rank of the entries that occur anywhere in ``text`` (as whole words
+    if ``word``), NULL if none does.  The look-ahead tries every position, so
+    entries may overlap; at one position the first alternative is the least."""
+    if not ranks:
+        return "CAST(NULL AS int)"
+    entries = sorted(ranks, key=ranks.get)
+    starts = "[" + "".join(sorted({re.escape(e[0]) if e[0].isascii() else e[0] for e in entries})) + "]"
+    body = "|".join(map(re.escape, entries))
+    pattern = rf"(?U)\b(?=({body})\b)" if word else f"(?={starts})(?=({body}))"
+    ordered = _map([(e, str(ranks[e])) for e in entries])
+    return f"array_min(transform(regexp_extract_all({text}, {sql_lit(pattern)}, 1), m -> element_at({ordered}, m)))"
+
+
+def _ranks(entries: list[tuple[int, str]]) -> dict[str, int]:
+    """Entry -> its first rank."""
+    out: dict[str, int] = {}
+    for rank, entry in entries:
+        out.setdefault(entry, rank)
+    return out
+
+
+Table = dict[str, str] | list[tuple[str, str]]
+
+
+def _pairs(table: Table | None, default: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    return [(k, v) for k, v in dict(default if table is None else table).items() if k]
+
+
+def parse_amount_chain(raw: str, symbols: Table | None = None, words: Table | None = None) -> _Chain:
     """The parse steps; the final body is
     struct<amount_decimal decimal(38,18), currency string, issues array<string>>."""
+    codes = sorted(_pairs(symbols, SYMBOL_CURRENCY), key=lambda pair: -len(pair[0]))  # the search order: longest first
+    named = _pairs(words, CURRENCY_WORDS)
     digits_src, digits_dst = unicode_digit_table()
     seps = DECIMAL_SEPARATORS_TO_DOT + THOUSANDS_SEPARATORS_DROPPED
     trail = sql_lit(r"(?U)\b([A-Za-z]{3})\b\s*$")
@@ -155,11 +194,10 @@ def parse_amount_chain(raw: str) -> _Chain:
         f"WHEN s.lead_code != '' THEN {_strip('substring(s.t5, 4)')} ELSE s.t5 END",
     )
     # A7: currency symbol, longest first; ASCII symbols case-insensitive
-    sym_pairs = []
-    for sym in SYMBOL_SEARCH_ORDER:
-        cond = _instr("lower(s.t6)", sym.lower()) if any(c.isascii() for c in sym) else _instr("s.t6", sym)
-        sym_pairs.append((cond, sql_lit(sym)))
-    ch.step(sym=_case(sym_pairs))
+    folded = [(i, sym.lower()) for i, (sym, _) in enumerate(codes) if any(c.isascii() for c in sym)]
+    exact = [(i, sym) for i, (sym, _) in enumerate(codes) if not any(c.isascii() for c in sym)]
+    ch.step(sym_at=f"least({_least_rank('lower(s.t6)', _ranks(folded))}, {_least_rank('s.t6', _ranks(exact))})")
+    ch.step(sym=f"get(array({', '.join(sql_lit(sym) for sym, _ in codes)}), s.sym_at)" if codes else "CAST(NULL AS string)")
     ch.step(t7=f"CASE WHEN s.sym IS NOT NULL THEN {_strip('replace(s.t6, s.sym, ' + sql_lit('') + ')')} ELSE s.t6 END")
     # A8
     ch.step(n1="replace(s.t7, ' ', '')")
@@ -198,15 +236,14 @@ def parse_amount_chain(raw: str) -> _Chain:
         ("(s.fine AND NOT s.big)", "amount_rounded"),
     ]
     issues = "filter(array(" + ", ".join(f"CASE WHEN {c} THEN '{t}' END" for c, t in tag_pairs) + "), x -> x IS NOT NULL)"
-    sym_map = "map(" + ", ".join(f"{sql_lit(a)}, {sql_lit(b)}" for a, b in SYMBOL_CURRENCY) + ")"
-    words = _case([
-        (f"(lower({raw}) RLIKE {sql_lit(r'(?U)\b' + re.escape(w) + r'\b')})", sql_lit(cur)) for w, cur in CURRENCY_WORDS
-    ])
+    sym_code = f"element_at({_map([(sym, sql_lit(cur)) for sym, cur in codes])}, s.sym)" if codes else "CAST(NULL AS string)"
+    word_at = _least_rank(f"lower({raw})", _ranks([(i, w.lower()) for i, (w, _) in enumerate(named)]), word=True)
+    word_code = f"get(array({', '.join(sql_lit(cur) for _, cur in named)}), {word_at})" if named else "CAST(NULL AS string)"
     ok = "(NOT s.blank AND s.n4 != '' AND (s.v1 IS NOT NULL OR s.v2 IS NOT NULL OR s.big))"
     body = (
         "named_struct("
         f"'amount_decimal', CAST(CASE WHEN {ok} THEN (CASE WHEN s.neg THEN -coalesce(s.v1, s.v2) ELSE coalesce(s.v1, s.v2) END) END AS {AMOUNT_SQL_TYPE}), "
-        f"'currency', CASE WHEN {ok} THEN coalesce(s.code, element_at({sym_map}, s.sym), {words}) END, "
+        f"'currency', CASE WHEN {ok} THEN coalesce(s.code, {sym_code}, {word_code}) END, "
         f"'issues', CASE WHEN {ok} THEN {issues} ELSE CAST(array() AS array<string>) END)"
     )
     ch.finish(body)
@@ -216,12 +253,20 @@ def parse_amount_chain(raw: str) -> _Chain:
 OUTPUTS = ["amount_decimal", "currency", "issues"]
 
 
-def clean_amounts(df: DataFrame, amount_col: str = "amount", *, prefix: str = "_amt_") -> DataFrame:
+def clean_amounts(
+    df: DataFrame, amount_col: str = "amount", *, symbols: Table | None = None, words: Table | None = None, prefix: str = "_amt_"
+) -> DataFrame:
     """Add ``amount_decimal decimal(38,18)``, ``currency string`` and
     ``issues array<string>`` computed from ``amount_col`` (existing columns
-    of those names are replaced)."""
+    of those names are replaced).
+
+    ``symbols`` (symbol -> code) and ``words`` (word -> code) replace the
+    built-in tables.  The longest symbol in a text wins, then the first in the
+    table; symbols with an ASCII character are found in any case (but removed
+    only as spelled in the table).  The first word in the table wins.  An empty
+    table finds nothing; blank entries are ignored."""
     keep = [c for c in df.columns if c not in OUTPUTS]
-    steps, body = parse_amount_chain(f"`{amount_col}`").projections(prefix)
+    steps, body = parse_amount_chain(f"`{amount_col}`", symbols, words).projections(prefix)
     for exprs in steps:
         df = df.selectExpr("*", *exprs)
     df = df.select(*[F.col(f"`{c}`") for c in keep], F.inline(F.array(F.expr(body))))

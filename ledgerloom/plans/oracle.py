@@ -30,7 +30,7 @@ from ledgerloom.functions.common import WHITESPACE
 from ledgerloom.functions.dates import DEFAULT_PIVOT, TIME_OF_DAY, WEEKDAY
 from ledgerloom.operators.categorize import _dedup_map
 from ledgerloom.operators.merchants import DEFAULT_THRESHOLD, SUBSTRING_SCORE
-from ledgerloom.plans.queries import CARRIED, CUSTOM_RATES, DEFAULT_CURRENCY, LARGE_RATES, SAMPLE_ROWS, SHARED_ALIASES, TABLE_CODES, TWO_DIGIT, UNFIT_RATES
+from ledgerloom.plans.queries import CALLER_SYMBOLS, CALLER_WORDS, CARRIED, CUSTOM_RATES, DEFAULT_CURRENCY, LARGE_RATES, SAMPLE_ROWS, SHARED_ALIASES, TABLE_CODES, TWO_DIGIT, UNFIT_RATES
 from ledgerloom.sources import dims
 from ledgerloom.sources.driver_tables import TX_MERCHANTS
 
@@ -114,18 +114,19 @@ def _last_index(x: str, ch: str) -> str:
     return f"(CASE WHEN instr({x}, {lit(ch)}) > 0 THEN length({x}) - instr(reverse({x}), {lit(ch)}) ELSE -1 END)"
 
 
-def amounts_ctes(src: str = "tx") -> list[str]:
+def amounts_ctes(src: str = "tx", symbols: list | None = None, words: list | None = None) -> list[str]:
+    symbols = dims.SYMBOL_CURRENCY if symbols is None else symbols
     dsrc, ddst = unicode_digit_table()
     seps = DECIMAL_SEPARATORS_TO_DOT + THOUSANDS_SEPARATORS_DROPPED
     trail = lit(r"\b([A-Za-z]{3})\b\s*$")
     sp_flags = ", ".join(f"instr(t1, {lit(c)}) > 0" for c in SPECIAL_SPACES)
     sym_case = "CASE " + " ".join(
         f"WHEN instr({'lower(t6)' if any(c.isascii() for c in s) else 't6'}, {lit(s.lower() if any(c.isascii() for c in s) else s)}) > 0 THEN {lit(s)}"
-        for s in dims.SYMBOL_SEARCH_ORDER
+        for s in sorted([s for s, _ in symbols], key=len, reverse=True)
     ) + " END"
-    sym_map = "CASE sym " + " ".join(f"WHEN {lit(a)} THEN {lit(b)}" for a, b in dims.SYMBOL_CURRENCY) + " END"
+    sym_map = "CASE sym " + " ".join(f"WHEN {lit(a)} THEN {lit(b)}" for a, b in symbols) + " END"
     words = "CASE " + " ".join(
-        f"WHEN regexp_matches(lower(amount), {lit(r'\b' + re.escape(w) + r'\b')}) THEN {lit(c)}" for w, c in dims.CURRENCY_WORDS
+        f"WHEN regexp_matches(lower(amount), {lit(r'\b' + re.escape(w) + r'\b')}) THEN {lit(c)}" for w, c in (dims.CURRENCY_WORDS if words is None else words)
     ) + " END"
     tags = [(f"sp[{i + 1}]", "normalized_space") for i in range(len(SPECIAL_SPACES))] + [
         ("conv", "unicode_digits_converted"),
@@ -626,6 +627,28 @@ def oracle_sql() -> dict[str, str]:
           || '],"total_usd":"' || {money_text(totals)} || '"}}' AS report FROM bycat""",
     )
     text = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"
+    worded_dates = """wd AS (SELECT o_orderkey AS tx_id, CASE o_orderkey % 6
+      WHEN 0 THEN strftime(o_orderdate, '%B ') || nth || strftime(o_orderdate, ', %Y')
+      WHEN 1 THEN nth || strftime(o_orderdate, ' %b %Y')
+      WHEN 2 THEN strftime(o_orderdate, '%A, %-d %B %Y')
+      WHEN 3 THEN strftime(o_orderdate, '%-d.%-m.%Y')
+      WHEN 4 THEN strftime(o_orderdate, '%Y%m%d')
+      ELSE strftime(o_orderdate, '%b ') || nth || strftime(o_orderdate, ' %y') END AS date
+    FROM (SELECT *, CAST(day(o_orderdate) AS VARCHAR) || CASE WHEN day(o_orderdate) IN (11, 12, 13) THEN 'th'
+            WHEN day(o_orderdate) % 10 = 1 THEN 'st' WHEN day(o_orderdate) % 10 = 2 THEN 'nd'
+            WHEN day(o_orderdate) % 10 = 3 THEN 'rd' ELSE 'th' END AS nth FROM orders))"""
+    q["dates_worded"] = with_ctes(worded_dates, *dates_ctes("wd")) + " SELECT tx_id, date, strftime(date_iso, '%Y-%m-%d') AS date_iso FROM dated"
+    worded = """wa AS (SELECT o_orderkey AS tx_id, CASE o_orderkey % 12
+      WHEN 0 THEN '€1.' || three || ',25' WHEN 1 THEN '1,' || three || '.25 dollars' WHEN 2 THEN '(2 ' || three || ' Euros)'
+      WHEN 3 THEN t || ' pounds sterling' WHEN 4 THEN t || ' yen' WHEN 5 THEN 'kr ' || t WHEN 6 THEN 'CA$' || t
+      WHEN 7 THEN t || ' zł' WHEN 8 THEN 'us$ ' || t || ' $' WHEN 9 THEN '₿' || t WHEN 10 THEN t || ' star credits'
+      ELSE 'poundstore ' || t END AS amount
+    FROM (SELECT *, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS t, lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0') AS three FROM orders))"""
+    amount_columns = " SELECT tx_id, amount, amount_decimal, currency, array_to_string(issues, ',') AS issues FROM amt"
+    own_tables = list(CALLER_SYMBOLS.items()), CALLER_WORDS
+    q["amounts_worded"] = with_ctes(worded, *amounts_ctes("wa")) + amount_columns
+    q["amounts_caller_tables"] = with_ctes(worded, *amounts_ctes("wa", *own_tables)) + amount_columns
+    q["fx_worded"] = with_ctes(worded, *amounts_ctes("wa"), *fx_ctes()) + " SELECT tx_id, currency, amount_usd FROM fx"
     q["amounts_precision"] = with_ctes(
         f"""tx AS (SELECT o_orderkey AS tx_id, CASE o_orderkey % 9
           WHEN 0 THEN 'Ξ0.' || lpad(o_orderkey::VARCHAR, 18, '0')

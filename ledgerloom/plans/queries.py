@@ -23,7 +23,7 @@ from ledgerloom.operators.report import ranked_rows, report_json, report_row, to
 from ledgerloom.operators.vectors import nearest
 from ledgerloom.plans import pipeline
 from ledgerloom.plans.pipeline import categorized_merchant_totals, clean_transactions, spend_report_plan, usd_rows
-from ledgerloom.sources.driver_tables import messy_transactions, precise_amounts, table, varied_merchants
+from ledgerloom.sources.driver_tables import messy_transactions, precise_amounts, table, varied_merchants, worded_amounts, worded_dates
 
 MONEY = "decimal(38,2)"
 USD_EXACT = "decimal(38,16)"
@@ -410,6 +410,30 @@ def amounts_precision(spark, sf):
     return df.select("tx_id", "amount", "amount_decimal", "currency", _issues_text("issues").alias("issues"))
 
 
+#: A caller's tables: symbols and words that the built-in ones lack or read otherwise.
+CALLER_SYMBOLS = {"₿": "BTC", "zł": "PLN", "kr": "DKK", "$": "USD", "US$": "USX", "A$": "AUD"}
+CALLER_WORDS = [("credits", "CRD"), ("pounds sterling", "GBX"), ("pounds", "GBP"), ("pound", "LBS")]
+
+
+def amounts_worded(spark, sf):
+    df = clean_amounts(worded_amounts(spark, sf))
+    return df.select("tx_id", "amount", "amount_decimal", "currency", _issues_text("issues").alias("issues"))
+
+
+def amounts_caller_tables(spark, sf):
+    df = clean_amounts(worded_amounts(spark, sf), symbols=CALLER_SYMBOLS, words=CALLER_WORDS)
+    return df.select("tx_id", "amount", "amount_decimal", "currency", _issues_text("issues").alias("issues"))
+
+
+def fx_worded(spark, sf):
+    df = convert_to_usd(clean_amounts(worded_amounts(spark, sf)))
+    return df.select("tx_id", "currency", F.col("amount_usd").cast(USD_EXACT).alias("amount_usd"))
+
+
+def dates_worded(spark, sf):
+    return clean_dates(worded_dates(spark, sf)).select("tx_id", "date", _date_text("date_iso").alias("date_iso"))
+
+
 def fx_large_rates(spark, sf):
     code = F.element_at(F.array(F.lit(" BTC"), F.lit(" SHB"), F.lit("")), (F.col("tx_id") % 3 + 1).cast("int"))
     tx = _tx(spark, sf).select("tx_id", F.concat((F.col("tx_id") / 1000).cast("decimal(18,3)").cast("string"), code).alias("amount"))
@@ -536,6 +560,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transactions_cleaned": transactions_cleaned,
     "merchant_issue_counts": merchant_issue_counts,
     "amounts_precision": amounts_precision,
+    "amounts_worded": amounts_worded,
+    "amounts_caller_tables": amounts_caller_tables,
+    "fx_worded": fx_worded,
+    "dates_worded": dates_worded,
     "fx_large_rates": fx_large_rates,
     "fx_rates_table": fx_rates_table,
     "fx_unfit_rates": fx_unfit_rates,

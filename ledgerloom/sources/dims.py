@@ -181,11 +181,6 @@ CURRENCY_WORDS: list[tuple[str, str]] = [
     ("yuan", "CNY"),
 ]
 
-# Symbol search order: longest first, ties in list order.
-SYMBOL_SEARCH_ORDER: list[str] = sorted(
-    [s for s, _ in SYMBOL_CURRENCY], key=lambda s: -len(s)
-)
-
 # 7 digits before and 10 after the point: 20 + 7 integer digits of a product
 # with an amount stay exact.
 RATE_TYPE = T.DecimalType(17, 10)

@@ -128,3 +128,48 @@ def varied_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     word = F.translate(F.col("account_id").cast("string"), "0123456789", "bdfglmnprt")
     accent = F.when(F.col("account_id") % 3 == 0, "é").otherwise("")
     return tx.withColumn("merchant", F.trim(F.concat(base, F.lit(" "), word, accent)))
+
+
+def worded_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tx_id, amount``: amount texts from ``orders`` with both separators,
+    currency words, symbols of several letters and symbols that no built-in
+    table has; the shape follows ``o_orderkey % 12``."""
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"))
+    t = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    three = F.lpad((F.col("o_orderkey") % 1000).cast("string"), 3, "0")
+    shapes = [
+        F.concat(F.lit("€1."), three, F.lit(",25")),
+        F.concat(F.lit("1,"), three, F.lit(".25 dollars")),
+        F.concat(F.lit("(2 "), three, F.lit(" Euros)")),
+        F.concat(t, F.lit(" pounds sterling")),
+        F.concat(t, F.lit(" yen")),
+        F.concat(F.lit("kr "), t),
+        F.concat(F.lit("CA$"), t),
+        F.concat(t, F.lit(" zł")),
+        F.concat(F.lit("us$ "), t, F.lit(" $")),
+        F.concat(F.lit("₿"), t),
+        F.concat(t, F.lit(" star credits")),
+        F.concat(F.lit("poundstore "), t),
+    ]
+    amount = F.element_at(F.array(*shapes), (F.col("o_orderkey") % 12 + 1).cast("int"))
+    return o.select(F.col("o_orderkey").alias("tx_id"), amount.alias("amount"))
+
+
+def worded_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tx_id, date``: the order date with ordinals, weekdays, month names, day
+    first, compact and with a two-digit year after a name, by ``o_orderkey % 6``."""
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    day = F.dayofmonth("o_orderdate")
+    suffix = F.when(day.isin(11, 12, 13), "th").when(day % 10 == 1, "st").when(day % 10 == 2, "nd").when(day % 10 == 3, "rd").otherwise("th")
+    nth = F.concat(day.cast("string"), suffix)
+    text = lambda pattern: F.date_format("o_orderdate", pattern)
+    shapes = [
+        F.concat(text("MMMM "), nth, text(", yyyy")),
+        F.concat(nth, text(" MMM yyyy")),
+        text("EEEE, d MMMM yyyy"),
+        text("d.M.yyyy"),
+        text("yyyyMMdd"),
+        F.concat(text("MMM "), nth, text(" yy")),
+    ]
+    date = F.element_at(F.array(*shapes), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    return o.select(F.col("o_orderkey").alias("tx_id"), date.alias("date"))
