@@ -59,18 +59,26 @@ def _pack_bits(low: np.ndarray, width: int) -> list[bytes]:
     """Rows of ``low`` at ``width`` bits a value, least significant bit first."""
     if width == 0:
         return [b""] * len(low)
-    bits = np.unpackbits(low.astype("<u4").view(np.uint8).reshape(*low.shape, 4), axis=2, bitorder="little")[:, :, :width]
+    held = low.astype("<u4").view(np.uint8).reshape(*low.shape, 4)[:, :, : (width + 7) // 8]
+    bits = np.unpackbits(np.ascontiguousarray(held), axis=2, bitorder="little")[:, :, :width]
     packed = np.packbits(bits.reshape(len(low), -1), axis=1, bitorder="little")
     return [row.tobytes() for row in packed]
 
 
-def _unpack_bits(packed: bytes, n: int, width: int) -> np.ndarray:
-    if width == 0:
-        return np.zeros(n, np.uint32)
-    bits = np.unpackbits(np.frombuffer(packed, np.uint8), bitorder="little", count=n * width).reshape(n, width)
-    full = np.zeros((n, 32), np.uint8)
-    full[:, :width] = bits
-    return np.packbits(full, axis=1, bitorder="little").view("<u4").ravel()
+def _unpack_bits(packed: np.ndarray, n: int, width: int) -> np.ndarray:
+    """The ``n`` values of each row of bytes."""
+    if width > 25:  # a value and its shift do not fit 32 bits
+        bits = np.unpackbits(packed, axis=1, bitorder="little", count=n * width).reshape(len(packed), n, width)
+        full = np.zeros((len(packed), n, 32), np.uint8)
+        full[:, :, :width] = bits
+        return np.packbits(full, axis=2, bitorder="little").view("<u4")[:, :, 0]
+    at = np.arange(n) * width
+    room = np.zeros((len(packed), packed.shape[1] + 4), np.uint8)
+    room[:, : packed.shape[1]] = packed
+    values = np.zeros((len(packed), n), np.uint32)
+    for i in range((width + 14) // 8):  # the bytes that a value touches
+        values |= room[:, (at >> 3) + i].astype(np.uint32) << np.uint32(8 * i)
+    return (values >> (at & 7).astype(np.uint32)) & np.uint32((1 << width) - 1)
 
 
 def _encode_rows(rows: np.ndarray) -> list[bytes]:
@@ -78,11 +86,9 @@ def _encode_rows(rows: np.ndarray) -> list[bytes]:
     n = rows.shape[1]
     least = rows.min(axis=1)
     rest = rows - least[:, None]
-    need = np.zeros(rest.shape, np.uint8)
-    for bit in range(int(rest.max()).bit_length()):
-        need += rest >= np.uint32(1 << bit)
-    holds = np.stack([(need <= w).sum(axis=1) for w in range(33)])
-    width = (holds >= np.ceil(PERCENTILE * n)).argmax(axis=0)
+    need = np.frexp(rest.astype(np.float64))[1]  # bits of each value
+    holds = np.bincount((np.arange(len(rows))[:, None] * 33 + need).ravel(), minlength=33 * len(rows)).reshape(-1, 33).cumsum(axis=1)
+    width = (holds >= np.ceil(PERCENTILE * n)).argmax(axis=1)
     out: list[bytes] = [b""] * len(rows)
     for w in np.unique(width).tolist():
         at = np.flatnonzero(width == w)
@@ -116,19 +122,26 @@ class Segment:
         self.starts = np.frombuffer(payload, "<u4", n_blocks + 1, 16 + 4 * n_docs)
         self.body = 16 + 4 * n_docs + 4 * (n_blocks + 1)
 
-    def block(self, i: int) -> np.ndarray:
-        at, n = self.body + int(self.starts[i]), min(BLOCK, self.n_ids - i * BLOCK)
-        least, width, _, odd = struct.unpack_from("<IBBH", self.payload, at)
-        size = (n * width + 7) // 8
-        values = _unpack_bits(self.payload[at + 8 : at + 8 + size], n, width)
-        if odd:
-            places = np.frombuffer(self.payload, "<u2", odd, at + 8 + size)
-            values[places] |= np.frombuffer(self.payload, "<u4", odd, at + 8 + size + 2 * odd) << np.uint32(width)
-        return values + np.uint32(least)
+    def blocks(self, first: int, last: int) -> list[np.ndarray]:
+        """Values of the blocks ``first`` to ``last``; equally long and wide ones are unpacked together."""
+        alike: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
+        for i, start in enumerate(self.starts[first : last + 1].tolist(), first):
+            at, n = self.body + start, min(BLOCK, self.n_ids - i * BLOCK)
+            least, width, _, odd = struct.unpack_from("<IBBH", self.payload, at)
+            alike.setdefault((n, width), []).append((i - first, at + 8, least, odd))
+        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * (last + 1 - first)
+        for (n, width), own in alike.items():
+            size = (n * width + 7) // 8
+            packed = np.stack([np.frombuffer(self.payload, np.uint8, size, at) for _, at, _, _ in own])
+            for (i, at, least, odd), values in zip(own, _unpack_bits(packed, n, width)):
+                if odd:
+                    places = np.frombuffer(self.payload, "<u2", odd, at + size)
+                    values[places] |= np.frombuffer(self.payload, "<u4", odd, at + size + 2 * odd) << np.uint32(width)
+                out[i] = values + np.uint32(least)
+        return out
 
     def ids(self) -> np.ndarray:
-        blocks = [self.block(i) for i in range(len(self.starts) - 1)]
-        return np.concatenate(blocks) if blocks else np.zeros(0, np.uint32)
+        return np.concatenate([np.zeros(0, np.uint32), *self.blocks(0, len(self.starts) - 2)])
 
     def document_ids(self, k: int) -> np.ndarray:
         """Ids of the ``k``-th document, from the blocks that it touches only."""
@@ -137,7 +150,7 @@ class Segment:
         if a == b:
             return np.zeros(0, np.uint32)
         first, last = a // BLOCK, (b - 1) // BLOCK
-        return np.concatenate([self.block(i) for i in range(first, last + 1)])[a - first * BLOCK : b - first * BLOCK]
+        return np.concatenate(self.blocks(first, last))[a - first * BLOCK : b - first * BLOCK]
 
 
 def _segments(batches: Iterator[pa.RecordBatch], path: str, end: bytes) -> Iterator[pa.RecordBatch]:
