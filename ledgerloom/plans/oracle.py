@@ -719,6 +719,18 @@ def oracle_sql() -> dict[str, str]:
         [varied, *choices_ctes(), *merchant_keys_ctes("vtx"), *resolve_ctes()],
         "SELECT merchant, merchant_cleaned, merchant_canonical, merchant_score, match_stage FROM merchant_resolved",
     )
+    q["categories_rule_table"] = _q(
+        [
+            varied,
+            """own AS (SELECT v.merchant, arg_min(c.c_mktsegment, c.c_custkey) AS category
+          FROM (SELECT DISTINCT merchant FROM vtx) v
+          JOIN (SELECT *, translate(c_custkey::VARCHAR, '0123456789', 'bdfglmnprt') AS word FROM customer WHERE c_nationkey % 2 = 0) c
+            ON contains(lower(v.merchant), c.word) AND regexp_matches(lower(v.merchant), '(^|[^a-z0-9_é])' || c.word || 'é?($|[^a-z0-9_é])')
+          GROUP BY v.merchant)""",
+        ],
+        f"""SELECT v.merchant, CASE WHEN own.merchant IS NOT NULL THEN own.category ELSE {rules_case('v.merchant')} END AS category
+            FROM (SELECT DISTINCT merchant FROM vtx) v LEFT JOIN own ON own.merchant = v.merchant""",
+    )
     carried = "[" + ", ".join("NULL" if c is None else lit(c) for c in CARRIED) + f"][account_id % {len(CARRIED)} + 1]"
     q["report_existing_canonical"] = _q(
         amounts_ctes() + fx_ctes() + [f"catmap(canonical, map_category) AS {category_map_values()}"],

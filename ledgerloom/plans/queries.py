@@ -23,6 +23,7 @@ from ledgerloom.operators.report import ranked_rows, report_json, report_row, to
 from ledgerloom.operators.vectors import nearest
 from ledgerloom.plans import pipeline
 from ledgerloom.plans.pipeline import categorized_merchant_totals, clean_transactions, spend_report_plan, usd_rows
+from ledgerloom.sources import dims
 from ledgerloom.sources.driver_tables import messy_transactions, precise_amounts, table, varied_merchants, worded_amounts, worded_dates
 
 MONEY = "decimal(38,2)"
@@ -45,6 +46,8 @@ SHARED_ALIASES = {
 CARRIED = ["Uber", "Walmart", None, "Nobody"]
 DEFAULT_CURRENCY = "USD"
 SAMPLE_ROWS = 100
+#: Position of the first built-in rule in a table that begins with a rule per customer.
+BUILT_IN_PLACE = 1 << 50
 
 
 def _tx(spark: SparkSession, sf: str) -> DataFrame:
@@ -305,6 +308,18 @@ def categories_full(spark, sf):
     return categorize(res, "merchant", "merchant_canonical").select("merchant", "merchant_canonical", "category")
 
 
+def categories_rule_table(spark, sf):
+    """A rule per customer of every second nation (the word of ``varied_merchants``), then the built-in rules."""
+    word = F.translate(F.col("c_custkey").cast("string"), "0123456789", "bdfglmnprt")
+    own = table(spark, sf, "customer").where("c_nationkey % 2 = 0").select(
+        F.col("c_custkey").alias("position"), F.concat(word, F.lit("é?")).alias("pattern"), F.col("c_mktsegment").alias("category")
+    )
+    rows = [(BUILT_IN_PLACE + i, *rule) for i, rule in enumerate(dims.CATEGORY_RULES)]
+    rules = own.unionByName(spark.createDataFrame(rows, "position long, pattern string, category string"))
+    texts = varied_merchants(spark, sf).select("merchant").distinct()
+    return categorize(texts, rules=rules).select("merchant", "category")
+
+
 # ----------------------------------------------------------------- report (J7)
 def spend_by_category(spark, sf):
     g = spend_report_plan(_tx(spark, sf), resolve=False)
@@ -548,6 +563,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "categories_lookup": categories_lookup,
     "categories_rules": categories_rules,
     "categories_full": categories_full,
+    "categories_rule_table": categories_rule_table,
     "merchant_totals_by_category": merchant_totals_by_category,
     "spend_by_category": spend_by_category,
     "spend_by_category_resolved": spend_by_category_resolved,

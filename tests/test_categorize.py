@@ -1,3 +1,8 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
 from ledgerloom.operators.categorize import categorize
 
 
@@ -71,3 +76,60 @@ def test_one_regex_engine_at_every_size(spark):
     few = [r.category for r in C.categorize(df, rules=[*rules, ("last", "End"), ("zzq1400", "c1400")], category_map=category_map).collect()]
     assert few == [None, "Food", "Street", "", "End", "c1400", None]
     assert [r.category for r in C.categorize(df, rules=many, category_map=category_map).collect()] == few
+
+
+def test_required_literals():
+    from ledgerloom.functions.literals import required_literals as lits
+
+    assert lits("rent|landlord") == ["landlord", "rent"]
+    assert lits("whole ?foods|gr[ao]cer") == ["cer", "whole"] or lits("whole ?foods|gr[ao]cer") == ["cer", "foods"]
+    assert lits(r"a(?:bcd|efg)+x*\.y?") == ["bcd", "efg"]
+    assert lits(r"ab+c") == ["ab"] and lits(r"abc{0,2}d") == ["ab"] and lits("x{2}yz") == ["yz"]
+    for none in ["", ".*", r"\d+", "(?i)abc", r"\Qabc\E", "abc|", "(abc)?", r"a(?=b)", "[[a]b]cde", r"\x41bc", "(abc", "abc|x?"]:
+        assert lits(none) is None, none
+
+
+def _rule_table(spark, rules):
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rules)], "position long, pattern string, category string")
+
+
+def test_rule_tables_give_what_lists_give(spark):
+    from ledgerloom.sources import dims
+
+    texts = ["UBER *TRIP", "Some Market", "Netflix.com", "", None, "zzz", "cafe\u0301 x", "cafe x", "wal mart 12", "ATM 3", "a.b", "q7 shop", "Spotify", "prime"]
+    pairs = [(i, None if i % 3 else "Uber", t) for i, t in enumerate(texts + texts)]
+    df = spark.createDataFrame(pairs, "i int, merchant_canonical string, merchant string")
+    own = [("prime|(x|yz)?", "P?"), (r"q\d", "Digit"), (r"a\.b", None), ("cafe", ""), *dims.CATEGORY_RULES, ("(?i)ZZZ", "Flag"), ("zzz", "Late")]
+    keys = [("Spotify", "Old"), ("shop", "Shop"), ("Spotify", "Music"), ("Uber", "Ride")]
+    want = {r.i: r.category for r in categorize(df, rules=own, category_map=keys).collect()}
+    as_map = spark.createDataFrame([(i, *k) for i, k in enumerate(keys)], "position long, merchant_canonical string, category string")
+    for rules, category_map in [(_rule_table(spark, own), as_map), (own, as_map), (_rule_table(spark, own).repartition(5), keys)]:
+        got = categorize(df.withColumn("category", F.lit("old")), rules=rules, category_map=category_map)
+        assert got.columns == ["i", "merchant_canonical", "merchant", "category"]
+        assert {r.i: r.category for r in got.collect()} == want
+
+
+def test_rule_table_empty_and_repeated(spark):
+    df = spark.createDataFrame([("one two",), ("two",), (None,)], "merchant string")
+    none = _rule_table(spark, []), []
+    assert [r.category for r in categorize(df, rules=none[0], category_map=none[1]).collect()] == [None] * 3
+    assert categorize(df.where("false"), rules=_rule_table(spark, [("two", "T")])).collect() == []
+    rules = spark.createDataFrame([(5, "two", "B"), (5, "one", "A"), (5, "one", "A"), (9, "two", "C"), (1, None, "N")], "position long, pattern string, category string")
+    assert {r.merchant: r.category for r in categorize(df, rules=rules).collect()} == {"one two": "A", "two": "B", None: None}
+
+
+@pytest.mark.parametrize("keys", [200_000, 10])
+def test_many_rules_with_and_without_literals(spark, monkeypatch, keys):
+    from ledgerloom.operators import rule_tables
+
+    monkeypatch.setattr(rule_tables, "BROADCAST_KEYS", keys)
+    monkeypatch.setattr(rule_tables, "SLICE", 7)
+    rules = [(f"shop{i}|store{i}x", f"c{i}") for i in range(20_000)] + [(rf"[uv]\d{{2}}{'' if i else '0'}[{i}]", f"k{i}") for i in range(10)]
+    texts = [f"The Shop{i} ltd" for i in range(0, 20_000, 501)] + [f"store{i}x" for i in range(0, 20_000, 997)] + [f"u12{i}" for i in range(10)] + ["v1200"]
+    df = spark.createDataFrame([(t,) for t in texts], "merchant string")
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rules)], "position long, pattern string, category string")
+    got = {r.merchant: r.category for r in categorize(df, rules=table, category_map=[]).collect()}
+    low = {t: t.lower() for t in texts}
+    assert got == {t: next((c for p, c in rules if re.search(rf"\b({p})\b", low[t])), None) for t in texts if t[0] in "uv"} | {
+        t: "c" + re.search(r"\d+", t)[0] for t in texts if t[0] not in "uv"
+    }
