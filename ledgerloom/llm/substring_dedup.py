@@ -13,13 +13,22 @@ large De Bruijn graphs are built:
   counted over the whole corpus; the repeated ones go into a Bloom filter, and
   only paths that pass it leave their task, with the source coordinates (text
   digest, first word) and the hashes of their edges.
-* Equal paths (same anchor, same words) merge by aggregation: one row, however
-  often they occur.  A path that occurs twice is repeated throughout: its
-  edges do not branch.  The edges of the remaining paths are counted on
-  merged paths, weighted with their occurrences, which settles the places
-  where the graph branches.
-* Spark joins carry the repeated edges back to paths, paths to source
-  coordinates and coordinates to the texts, whose covered words go.
+* Equal paths (same anchor, same edges) merge by aggregation: one row, however
+  often they occur.  A path that occurs twice is repeated throughout.  The
+  edges of the remaining paths are counted on merged paths, weighted with their
+  occurrences, which settles the places where the graph branches.
+* Repeated paths are compacted further through Spark joins: where every
+  occurrence of a path is followed by the same path, and that one is always
+  preceded by it, the two do not branch and become one.  Joins that double the
+  distance (each path's predecessor's predecessor) turn such links into chains
+  in a number of rounds that grows with the logarithm of their length.
+* Equality so far is one of 64-bit hashes.  The words at the source coordinates
+  decide: a chain is a long span of its texts, and the spans of all its
+  occurrences are cut from the texts and compared by SHA-256; so are the
+  single windows at branches, with one occurrence of every chain that holds the
+  same edge.  Where spans or windows of one hash differ in their words, every
+  window of every occurrence of these chains is compared by itself, so a
+  collision of hashes removes no word and saves none.
 
 The Bloom filter has at most MAX_FILTER_BITS (32 MB).  With more repeated
 anchors than fit it, more unique paths pass and shuffle, and no result
@@ -44,7 +53,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import by_size, staged, text_or_empty, unused
@@ -53,7 +62,7 @@ from ledgerloom.llm.near_dedup import _mix, word_hashes, words_of
 WINDOW, ANCHOR = 35, 11
 SLOTS_PER_ANCHOR, HASHES = 16, 3
 MIN_FILTER_BITS, MAX_FILTER_BITS, SLICE_BITS = 1 << 16, 1 << 28, 1 << 16
-#: A path's edges are bits of one long, whose sign bit stays free.
+#: A path and the place of an edge in it share one long.
 PATH_EDGES = 62
 TEXT_RUN = 4_000_000
 BASE = 0x9E3779B97F4A7C15
@@ -187,7 +196,7 @@ def _path_rows(batches: Iterator[pa.RecordBatch], bitmap: bytes, window: int, an
 
 def repeated_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """``texts``: digest, text.  Returns per digest the repeated edges as
-    ``spans``: (first word, bit set of the edges that start there and on)."""
+    ``spans``: (first word, edges that start there and on)."""
     if window < 1:
         raise ValueError(f"a window has at least one word, not {window}")
     spark, anchor = texts.sparkSession, min(ANCHOR, window)
@@ -197,29 +206,133 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     path = "anchor long, extent long, digest binary, first long, times long, edges array<bigint>"
     paths = staged(texts.mapInArrow(lambda it: _path_rows(it, shared.value, window, anchor), path), "paths")
 
-    merged = paths.groupBy("anchor", "extent").agg(F.sum("times").alias("times"), F.first("edges").alias("edges"))
-    merged = staged(merged.withColumn("path", F.monotonically_increasing_id()), "merged-paths")
+    # equal hashes of all edges: a collision of ``extent`` alone merges nothing
+    same = ["anchor", "extent", "sign"]
+    paths = paths.withColumn("sign", F.xxhash64("edges"))
+    merged = paths.groupBy(*same, "edges").agg(F.sum("times").alias("times"))
+    merged = staged(merged.withColumn("path", F.monotonically_increasing_id()).withColumn("n", F.size("edges").cast("long")), "merged-paths")
     edges = merged.select("path", "times", F.posexplode("edges").alias("i", "edge"))
-    branching = edges.groupBy("edge").agg(F.sum("times").alias("times")).where("times > 1").select("edge")
-    # paths that occur once: which of their edges occur elsewhere
-    once = edges.where("times = 1").select("path", "i", "edge").join(branching, "edge", "left_semi")
-    some = once.groupBy("path").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("bits"))
-    whole = merged.where("times > 1").select("path", F.expr("shiftleft(1L, size(edges)) - 1").alias("bits"))
-    repeated = merged.select("anchor", "extent", "path").join(whole.unionByName(some), "path").select("anchor", "extent", "bits")
-    found = paths.select("anchor", "extent", "digest", "first").join(repeated, ["anchor", "extent"]).select("digest", "first", "bits").distinct()
-    return found.groupBy("digest").agg(F.collect_list(F.struct("first", "bits")).alias("spans"))
+    # edges of paths that occur once, if they occur elsewhere too; ``whole``: a place in a repeated path
+    place = F.when(F.col("times") > 1, F.col("path") * (PATH_EDGES + 2) + F.col("i"))
+    branching = edges.groupBy("edge").agg(F.sum("times").alias("t"), F.min("times").alias("least"), F.min(place).alias("whole"))
+    branching = staged(branching.where("t > 1 AND least = 1").select("edge", "whole"), "branching-edges")
+    once = edges.where("times = 1").select("path", "i", "edge").join(branching.select("edge"), "edge")
+    some = once.groupBy("path").agg(F.collect_list(F.struct("i", "edge")).alias("marks"))  # at most PATH_EDGES
+    none = F.lit(None).cast("array<struct<i:int,edge:bigint>>")
+    repeated = merged.where("times > 1").select(*same, "path", "n", F.col("times").alias("t"), none.alias("marks"))
+    repeated = repeated.unionByName(merged.where("times = 1").join(some, "path").select(*same, "path", "n", F.col("times").alias("t"), "marks"))
+    found = paths.select(*same, "digest", "first", "times").join(repeated, same)
+    # equal texts of several runs come together before anything is dealt by text
+    found = staged(found.groupBy("digest", "first", "path", "n", "t", "marks").agg(F.sum("times").alias("times")), "occurrences")
+
+    whole = found.where("marks IS NULL").select("digest", "first", "path", "n", "t", "times")
+    chains = _chains(whole)
+    spans = _chain_spans(whole, chains)
+    windows = found.where("marks IS NOT NULL").select("digest", "first", F.explode("marks").alias("mark"))
+    windows = windows.select("digest", (F.col("first") + F.col("mark.i")).alias("first"), F.col("mark.edge").alias("edge"))
+    # one occurrence of a repeated path that holds the edge of such a window
+    step = F.lit(PATH_EDGES + 2).cast("long")
+    held = branching.where("whole IS NOT NULL").select("edge", F.floor(F.col("whole") / step).alias("path"), (F.col("whole") % step).alias("i"))
+    one = spans.groupBy("chain").agg(F.min(F.struct("digest", "first")).alias("at"))
+    members = _members(whole, chains)
+    stand = held.join(members, "path").join(one, "chain").select("at.digest", (F.col("at.first") + F.col("off") + F.col("i")).alias("first"), "edge")
+    return _verified(texts, spans, windows.unionByName(stand), members, edges, window)
+
+
+def _chains(whole: DataFrame) -> DataFrame:
+    """``path, chain, off`` of the paths that follow another one in a chain: its first path, and the edges before.
+
+    ``whole``: occurrences of the repeated paths; ``t``: how often a path occurs."""
+    order = Window.partitionBy("digest").orderBy("first")
+    follows = F.lead("first").over(order) == F.col("first") + F.col("n")
+    steps = whole.select("path", "n", "t", "times", F.when(follows, F.struct(F.lead("path").over(order).alias("path"), F.lead("t").over(order).alias("t"))).alias("next"))
+    links = steps.where("next IS NOT NULL").groupBy("path", "n", "t", F.col("next.path").alias("next"), F.col("next.t").alias("next_t"))
+    # every occurrence of the one is followed by the other, and there are no others of that one
+    links = links.agg(F.sum("times").alias("w")).where("w = t AND w = next_t")
+    chains = staged(links.select(F.col("next").alias("path"), F.col("path").alias("chain"), F.col("n").alias("off")), "links")
+    while True:
+        before = chains.select(F.col("path").alias("chain"), F.col("chain").alias("earlier"), F.col("off").alias("more"))
+        joined = chains.join(before, "chain", "left")
+        chains = joined.select("path", F.coalesce("earlier", "chain").alias("chain"), (F.col("off") + F.coalesce("more", F.lit(0))).alias("off"), F.col("earlier").isNotNull().alias("moved"))
+        chains = staged(chains, "chains")
+        if not chains.where("moved").head(1):
+            return chains.select("path", "chain", "off")
+        chains = chains.select("path", "chain", "off")
+
+
+def _members(whole: DataFrame, chains: DataFrame) -> DataFrame:
+    """``path, n, chain, off`` of all repeated paths; one outside any chain is its own."""
+    paths = whole.select("path", "n").distinct()
+    return paths.join(chains, "path", "left").select("path", "n", F.coalesce("chain", "path").alias("chain"), F.coalesce("off", F.lit(0)).alias("off"))
+
+
+def _chain_spans(whole: DataFrame, chains: DataFrame) -> DataFrame:
+    """``digest, first, n, chain, times``: occurrences of the chains, ``n`` edges long."""
+    sizes = _members(whole, chains).groupBy("chain").agg(F.max(F.col("off") + F.col("n")).alias("n"))
+    starts = whole.select("digest", "first", F.col("path").alias("chain"), "times")
+    return staged(starts.join(sizes, "chain").select("digest", "first", "n", "chain", "times"), "chain-spans")
+
+
+_CUT = "digest binary, first long, n long, chain long, edge long, times long, sha binary"
+
+
+def _cuts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of the words of each span, once per text of a batch."""
+    schema = pa.schema([(n, pa.binary() if t == "binary" else pa.int64()) for n, t in (f.split() for f in _CUT.split(", "))])
+    for batch in batches:
+        seen = dict(zip(batch.column("digest").to_pylist(), range(batch.num_rows)))
+        for digest, row in seen.items():
+            words = words_of(batch.column("text")[row].as_py(), lower=False)
+            data, ends = b" ".join(words), np.cumsum(np.array([len(w) + 1 for w in words], np.int64))
+            rows = [tuple(s.values()) for s in batch.column("spans")[row].as_py()]
+            out = []
+            for first, n, chain, edge, times in rows:
+                a, b = int(ends[first - 1]) if first else 0, int(ends[first + n + window - 2]) - 1
+                out.append((digest, first, n, chain, edge, times, hashlib.sha256(data[a:b]).digest()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+
+def _hashed(texts: DataFrame, spans: DataFrame, window: int, name: str) -> DataFrame:
+    """``spans`` (digest, first, n, chain, edge, times) with ``sha``, the hash of the words at their coordinates."""
+    lists = spans.groupBy("digest").agg(F.collect_list(F.struct("first", "n", "chain", "edge", "times")).alias("spans"))
+    cut = texts.join(lists, "digest").select("digest", "text", "spans").mapInArrow(lambda it: _cuts(it, window), _CUT)
+    return staged(cut.distinct(), name)
+
+
+def _verified(texts: DataFrame, spans: DataFrame, windows: DataFrame, members: DataFrame, edges: DataFrame, window: int) -> DataFrame:
+    """Per digest the ``spans`` (first word, edges) whose words occur twice."""
+    empty = F.lit(None).cast("long")
+    asked = spans.select("digest", "first", "n", "chain", empty.alias("edge"), "times")
+    # a window may stand for several edges of one hash; what counts is the place
+    asked = asked.unionByName(windows.distinct().select("digest", "first", F.lit(1).cast("long").alias("n"), empty.alias("chain"), "edge", F.lit(1).cast("long").alias("times")))
+    cut = _hashed(texts, asked, window, "cuts")
+    by_chain, by_window = cut.where("chain IS NOT NULL"), cut.where("edge IS NOT NULL")
+    differ = F.min("sha") != F.max("sha")
+    odd_chains = by_chain.groupBy("chain").agg(differ.alias("odd")).where("odd").select("chain")
+    odd_edges = by_window.groupBy("edge").agg(differ.alias("odd")).where("odd").select("edge")
+    holders = edges.where("times > 1").join(odd_edges, "edge", "left_semi").select("path").distinct()
+    odd = staged(odd_chains.union(members.join(holders, "path", "left_semi").select("chain")).distinct(), "differing-chains")
+
+    equal = by_chain.groupBy("chain", "sha").agg(F.sum("times").alias("m")).where("m > 1").select("chain", "sha")
+    good = by_chain.join(equal, ["chain", "sha"], "left_semi").select("digest", "first", "n")
+    single = by_window.select("digest", "first", "sha", "times")
+    if odd.head(1):
+        each = spans.join(odd, "chain", "left_semi").select("digest", F.explode(F.expr("sequence(first, first + n - 1)")).alias("first"), "times")
+        each = each.select("digest", "first", F.lit(1).cast("long").alias("n"), empty.alias("chain"), empty.alias("edge"), "times")
+        single = single.unionByName(_hashed(texts, each, window, "single-cuts").select("digest", "first", "sha", "times"))
+    # of a place that was asked for twice, once for all copies of its text, the greater count
+    single = single.groupBy("digest", "first", "sha").agg(F.max("times").alias("times"))
+    twice = single.groupBy("sha").agg(F.sum("times").alias("m")).where("m > 1").select("sha")
+    good = good.unionByName(single.join(twice, "sha", "left_semi").select("digest", "first", F.lit(1).cast("long").alias("n")))
+    return good.groupBy("digest").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
 
 
 def _covered(n: int, spans: list[dict], window: int) -> np.ndarray:
     """Words of a text of ``n`` words that lie in a repeated window."""
     change = np.zeros(n + 1, np.int64)
     for s in spans:
-        bits, i = s["bits"], s["first"]
-        while bits:
-            if bits & 1:
-                change[i] += 1
-                change[i + window] -= 1
-            bits, i = bits >> 1, i + 1
+        change[s["first"]] += 1
+        change[s["first"] + s["n"] + window - 1] -= 1
     return np.cumsum(change[:n]) > 0
 
 

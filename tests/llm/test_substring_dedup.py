@@ -96,3 +96,44 @@ def test_white_space_of_kept_words_stays(spark):
     twice = " ".join(f"r{i}" for i in range(35))
     df = spark.createDataFrame([(1, f"\n a\tb \n{twice}  c\n\nd"), (2, twice)], "doc_id long, text string")
     assert {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(df).collect()} == {1: "\n a\tb \nc\n\nd", 2: ""}
+
+
+def _colliding(all_equal):
+    """Word hashes that do not see what follows a tilde; with ``all_equal``, hashes that see nothing."""
+
+    class Hashes:
+        def of(self, texts):
+            from ledgerloom.llm.near_dedup import word_hashes
+
+            return word_hashes().of([[b"x" if all_equal else w.split(b"~")[0] for w in t] for t in texts])
+
+    return Hashes
+
+
+@pytest.mark.parametrize("all_equal", [False, True])
+def test_colliding_hashes_remove_nothing_unique(spark, monkeypatch, all_equal):
+    monkeypatch.setattr(substring_dedup, "word_hashes", _colliding(all_equal))
+    rng = random.Random(5)
+    fresh = lambda n: [f"v{rng.random()}" for _ in range(n)]
+    disguised = lambda words, k, every=1: [w if i % every else f"{w}~{k}" for i, w in enumerate(words)]
+    a, b, c, d = fresh(120), fresh(90), fresh(80), fresh(70)
+    rows = [(1, a), (2, disguised(a, 1)), (3, disguised(a, 2)), (4, a[:60] + disguised(a, 3)[60:])]
+    rows += [(10, fresh(9) + b + fresh(4)), (11, fresh(3) + disguised(b, 1, 50) + fresh(8)), (12, b[10:60])]
+    rows += [(20 + i, fresh(5) + c) for i in range(3)] + [(23, disguised(c, 1)), (24, disguised(c, 1)[20:70] + fresh(3)), (25, c[30:70])]
+    rows += [(30, d), (31, disguised(d, 1)), (32, fresh(5) + disguised(d, 1)[5:60] + fresh(5)), (33, d), (33, d), (34, fresh(50))]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    same(substring_dedup.repeat_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect(), rows)
+
+
+def test_long_chain_with_branches(spark, monkeypatch):
+    """Whole copies of a long text are one chain; a copy with an insertion cuts it in two; repeated rows count."""
+    rng = random.Random(6)
+    fresh = lambda n: [f"v{rng.random()}" for _ in range(n)]
+    long, round_ = fresh(4000), fresh(50)
+    rows = [(1, long), (2, fresh(7) + long), (3, long[:1500] + fresh(2) + long[1500:]), (4, long[100:3000]), (5, round_ * 6), (6, fresh(3) + round_ * 2), (7, fresh(100))]
+    rows = [(i, " ".join(w)) for i, w in rows] + [(8, " ".join(long))] * 3
+    seen = []
+    spans = substring_dedup._chain_spans
+    monkeypatch.setattr(substring_dedup, "_chain_spans", lambda *a: seen.append(spans(*a)) or seen[-1])
+    same(substring_dedup.repeat_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect(), rows)
+    assert max(r["n"] for r in seen[0].collect()) > 900
