@@ -196,7 +196,7 @@ def _path_rows(batches: Iterator[pa.RecordBatch], bitmap: bytes, window: int, an
 
 def repeated_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """``texts``: digest, text.  Returns per digest the repeated edges as
-    ``spans``: (first word, edges that start there and on)."""
+    ``spans``: (first word, edges that start there and on; or a bit set of them)."""
     if window < 1:
         raise ValueError(f"a window has at least one word, not {window}")
     spark, anchor = texts.sparkSession, min(ANCHOR, window)
@@ -213,30 +213,29 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     merged = staged(merged.withColumn("path", F.monotonically_increasing_id()).withColumn("n", F.size("edges").cast("long")), "merged-paths")
     edges = merged.select("path", "times", F.posexplode("edges").alias("i", "edge"))
     # edges of paths that occur once, if they occur elsewhere too; ``whole``: a place in a repeated path
-    place = F.when(F.col("times") > 1, F.col("path") * (PATH_EDGES + 2) + F.col("i"))
-    branching = edges.groupBy("edge").agg(F.sum("times").alias("t"), F.min("times").alias("least"), F.min(place).alias("whole"))
-    branching = staged(branching.where("t > 1 AND least = 1").select("edge", "whole"), "branching-edges")
+    place = F.col("path") * (PATH_EDGES + 2) + F.col("i")
+    code = F.when(F.col("times") > 1, place).otherwise(-1 - place)
+    branching = edges.select("edge", code.alias("code")).groupBy("edge").agg(F.min("code").alias("low"), F.max("code").alias("whole"))
+    branching = staged(branching.where("low < 0 AND low < whole").select("edge", F.expr("CASE WHEN whole >= 0 THEN whole END").alias("whole")), "branching-edges")
     once = edges.where("times = 1").select("path", "i", "edge").join(branching.select("edge"), "edge")
-    some = once.groupBy("path").agg(F.collect_list(F.struct("i", "edge")).alias("marks"))  # at most PATH_EDGES
-    none = F.lit(None).cast("array<struct<i:int,edge:bigint>>")
-    repeated = merged.where("times > 1").select(*same, "path", "n", F.col("times").alias("t"), none.alias("marks"))
-    repeated = repeated.unionByName(merged.where("times = 1").join(some, "path").select(*same, "path", "n", F.col("times").alias("t"), "marks"))
-    found = paths.select(*same, "digest", "first", "times").join(repeated, same)
+    some = once.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("i", "edge"))).alias("m"))  # at most PATH_EDGES
+    some = some.select("path", F.col("m.i").cast("array<tinyint>").alias("at"), F.col("m.edge").alias("own"))
+    places = paths.select(*same, "digest", "first", "times")
+    whole = places.join(merged.where("times > 1").select(*same, "path", "n", F.col("times").alias("t")), same)
     # equal texts of several runs come together before anything is dealt by text
-    found = staged(found.groupBy("digest", "first", "path", "n", "t", "marks").agg(F.sum("times").alias("times")), "occurrences")
+    whole = staged(whole.groupBy("digest", "first", "path", "n", "t").agg(F.sum("times").alias("times")), "occurrences")
+    single = places.join(merged.where("times = 1").join(some, "path").select(*same, "at", "own"), same)
+    single = staged(single.select("digest", "first", "at", "own"), "single-occurrences")
 
-    whole = found.where("marks IS NULL").select("digest", "first", "path", "n", "t", "times")
     chains = _chains(whole)
     spans = _chain_spans(whole, chains)
-    windows = found.where("marks IS NOT NULL").select("digest", "first", F.explode("marks").alias("mark"))
-    windows = windows.select("digest", (F.col("first") + F.col("mark.i")).alias("first"), F.col("mark.edge").alias("edge"))
-    # one occurrence of a repeated path that holds the edge of such a window
+    # one occurrence of a repeated path that holds the edge of a single window
     step = F.lit(PATH_EDGES + 2).cast("long")
-    held = branching.where("whole IS NOT NULL").select("edge", F.floor(F.col("whole") / step).alias("path"), (F.col("whole") % step).alias("i"))
+    held = branching.where("whole IS NOT NULL").select("edge", F.expr(f"whole div {PATH_EDGES + 2}").alias("path"), (F.col("whole") % step).alias("i"))
     one = spans.groupBy("chain").agg(F.min(F.struct("digest", "first")).alias("at"))
     members = _members(whole, chains)
     stand = held.join(members, "path").join(one, "chain").select("at.digest", (F.col("at.first") + F.col("off") + F.col("i")).alias("first"), "edge")
-    return _verified(texts, spans, windows.unionByName(stand), members, edges, window)
+    return _verified(texts, spans, single, stand, members, edges, window)
 
 
 def _chains(whole: DataFrame) -> DataFrame:
@@ -273,66 +272,84 @@ def _chain_spans(whole: DataFrame, chains: DataFrame) -> DataFrame:
     return staged(starts.join(sizes, "chain").select("digest", "first", "n", "chain", "times"), "chain-spans")
 
 
-_CUT = "digest binary, first long, n long, chain long, edge long, times long, sha binary"
+_CUT = "digest binary, first long, chain long, edge long, times long, s1 long, s2 long"
 
 
 def _cuts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """SHA-256 of the words of each span, once per text of a batch."""
-    schema = pa.schema([(n, pa.binary() if t == "binary" else pa.int64()) for n, t in (f.split() for f in _CUT.split(", "))])
+    """128 bits of SHA-256 of the words of each span, once per text of a batch."""
     for batch in batches:
-        seen = dict(zip(batch.column("digest").to_pylist(), range(batch.num_rows)))
-        for digest, row in seen.items():
-            words = words_of(batch.column("text")[row].as_py(), lower=False)
-            data, ends = b" ".join(words), np.cumsum(np.array([len(w) + 1 for w in words], np.int64))
-            rows = [tuple(s.values()) for s in batch.column("spans")[row].as_py()]
-            out = []
-            for first, n, chain, edge, times in rows:
-                a, b = int(ends[first - 1]) if first else 0, int(ends[first + n + window - 2]) - 1
-                out.append((digest, first, n, chain, edge, times, hashlib.sha256(data[a:b]).digest()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+        lists, digests, texts = batch.column("spans"), batch.column("digest").to_pylist(), batch.column("text")
+        starts, rows = lists.offsets.to_numpy(), lists.values
+        first_all, n_all = rows.field("first").to_numpy(), rows.field("n").to_numpy()
+        for digest, row in dict(zip(digests, range(batch.num_rows))).items():
+            words = words_of(texts[row].as_py(), lower=False)
+            data, ends = b" ".join(words), np.cumsum(np.array([0, *[len(w) + 1 for w in words]], np.int64))
+            a, b = int(starts[row]), int(starts[row + 1])
+            first = first_all[a:b]
+            spans = zip(ends[first].tolist(), (ends[first + n_all[a:b] + window - 1] - 1).tolist())
+            hashes = np.frombuffer(b"".join([hashlib.sha256(data[x:y]).digest()[:16] for x, y in spans]), np.int64)
+            own = rows.slice(a, b - a)
+            columns = [pa.array([digest] * (b - a), pa.binary()), *(own.field(c) for c in ("first", "chain", "edge", "times")), pa.array(hashes[0::2]), pa.array(hashes[1::2])]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _CUT.split(", ")])
 
 
 def _hashed(texts: DataFrame, spans: DataFrame, window: int, name: str) -> DataFrame:
-    """``spans`` (digest, first, n, chain, edge, times) with ``sha``, the hash of the words at their coordinates."""
+    """``spans`` (digest, first, n, chain, edge, times) with the hash of the words at their coordinates, for every
+    batch that holds a copy of the text."""
     lists = spans.groupBy("digest").agg(F.collect_list(F.struct("first", "n", "chain", "edge", "times")).alias("spans"))
-    cut = texts.join(lists, "digest").select("digest", "text", "spans").mapInArrow(lambda it: _cuts(it, window), _CUT)
-    return staged(cut.distinct(), name)
+    cut = texts.join(lists, "digest").select("digest", "text", "spans")
+    return staged(cut.mapInArrow(lambda it: _cuts(it, window), _CUT), name)
 
 
-def _verified(texts: DataFrame, spans: DataFrame, windows: DataFrame, members: DataFrame, edges: DataFrame, window: int) -> DataFrame:
-    """Per digest the ``spans`` (first word, edges) whose words occur twice."""
-    empty = F.lit(None).cast("long")
+def _verified(texts: DataFrame, spans: DataFrame, single: DataFrame, stand: DataFrame, members: DataFrame, edges: DataFrame, window: int) -> DataFrame:
+    """Per digest the ``spans`` (first word, edges or a bit set of edges) whose words occur twice."""
+    empty, one = F.lit(None).cast("long"), F.lit(1).cast("long")
+    mark = F.explode(F.arrays_zip("at", "own"))
+    windows = single.select("digest", "first", mark.alias("m")).select("digest", (F.col("first") + F.col("m.at")).alias("first"), F.col("m.own").alias("edge"))
     asked = spans.select("digest", "first", "n", "chain", empty.alias("edge"), "times")
-    # a window may stand for several edges of one hash; what counts is the place
-    asked = asked.unionByName(windows.distinct().select("digest", "first", F.lit(1).cast("long").alias("n"), empty.alias("chain"), "edge", F.lit(1).cast("long").alias("times")))
+    asked = asked.unionByName(windows.unionByName(stand).select("digest", "first", one.alias("n"), empty.alias("chain"), "edge", one.alias("times")))
     cut = _hashed(texts, asked, window, "cuts")
-    by_chain, by_window = cut.where("chain IS NOT NULL"), cut.where("edge IS NOT NULL")
-    differ = F.min("sha") != F.max("sha")
+    by_chain, by_window = cut.where("chain IS NOT NULL").drop("edge"), cut.where("edge IS NOT NULL")
+    differ = (F.min("s1") != F.max("s1")) | (F.min("s2") != F.max("s2"))
+    odd_edges = staged(by_window.groupBy("edge").agg(differ.alias("odd")).where("odd").select("edge"), "differing-edges")
     odd_chains = by_chain.groupBy("chain").agg(differ.alias("odd")).where("odd").select("chain")
-    odd_edges = by_window.groupBy("edge").agg(differ.alias("odd")).where("odd").select("edge")
-    holders = edges.where("times > 1").join(odd_edges, "edge", "left_semi").select("path").distinct()
-    odd = staged(odd_chains.union(members.join(holders, "path", "left_semi").select("chain")).distinct(), "differing-chains")
-
-    equal = by_chain.groupBy("chain", "sha").agg(F.sum("times").alias("m")).where("m > 1").select("chain", "sha")
-    good = by_chain.join(equal, ["chain", "sha"], "left_semi").select("digest", "first", "n")
-    single = by_window.select("digest", "first", "sha", "times")
-    if odd.head(1):
-        each = spans.join(odd, "chain", "left_semi").select("digest", F.explode(F.expr("sequence(first, first + n - 1)")).alias("first"), "times")
-        each = each.select("digest", "first", F.lit(1).cast("long").alias("n"), empty.alias("chain"), empty.alias("edge"), "times")
-        single = single.unionByName(_hashed(texts, each, window, "single-cuts").select("digest", "first", "sha", "times"))
-    # of a place that was asked for twice, once for all copies of its text, the greater count
-    single = single.groupBy("digest", "first", "sha").agg(F.max("times").alias("times"))
-    twice = single.groupBy("sha").agg(F.sum("times").alias("m")).where("m > 1").select("sha")
-    good = good.unionByName(single.join(twice, "sha", "left_semi").select("digest", "first", F.lit(1).cast("long").alias("n")))
-    return good.groupBy("digest").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
+    holders = edges.where("times > 1").join(odd_edges, "edge", "left_semi").select("path").distinct() if odd_edges.head(1) else None
+    if holders is not None:
+        odd_chains = odd_chains.union(members.join(holders, "path", "left_semi").select("chain"))
+    odd_chains = staged(odd_chains.distinct(), "differing-chains")
+
+    # equal words wherever the hashes are equal: all of it occurs twice
+    bits = F.aggregate("at", F.lit(0).cast("long"), lambda x, i: x.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i.cast("int"))))
+    if holders is None and not odd_chains.head(1):
+        good = spans.select("digest", "first", "n", empty.alias("bits")).unionByName(single.select("digest", "first", empty.alias("n"), bits.alias("bits")))
+        return good.groupBy("digest").agg(F.collect_list(F.struct("first", "n", "bits")).alias("spans"))
+
+    good = spans.join(odd_chains, "chain", "left_anti").select("digest", "first", "n")
+    good = good.unionByName(windows.join(odd_edges, "edge", "left_anti").select("digest", "first", one.alias("n")))
+    each = spans.join(odd_chains, "chain", "left_semi").select("digest", F.explode(F.expr("sequence(first, first + n - 1)")).alias("first"), "times")
+    each = each.select("digest", "first", one.alias("n"), empty.alias("chain"), empty.alias("edge"), "times")
+    # windows of one place agree in their words; the greater count knows the copies of the text
+    doubtful = by_window.select("digest", "first", "s1", "s2", "times")
+    doubtful = doubtful.unionByName(_hashed(texts, each, window, "single-cuts").select("digest", "first", "s1", "s2", "times"))
+    doubtful = doubtful.groupBy("digest", "first", "s1", "s2").agg(F.max("times").alias("times"))
+    twice = doubtful.groupBy("s1", "s2").agg(F.sum("times").alias("m")).where("m > 1").select("s1", "s2")
+    good = good.unionByName(doubtful.join(twice, ["s1", "s2"], "left_semi").select("digest", "first", one.alias("n")))
+    return good.select("*", empty.alias("bits")).groupBy("digest").agg(F.collect_list(F.struct("first", "n", "bits")).alias("spans"))
 
 
 def _covered(n: int, spans: list[dict], window: int) -> np.ndarray:
     """Words of a text of ``n`` words that lie in a repeated window."""
     change = np.zeros(n + 1, np.int64)
     for s in spans:
-        change[s["first"]] += 1
-        change[s["first"] + s["n"] + window - 1] -= 1
+        first, bits = s["first"], s["bits"]
+        if bits is None:
+            change[first] += 1
+            change[first + s["n"] + window - 1] -= 1
+        while bits:
+            if bits & 1:
+                change[first] += 1
+                change[first + window] -= 1
+            bits, first = bits >> 1, first + 1
     return np.cumsum(change[:n]) > 0
 
 
