@@ -51,7 +51,6 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -390,8 +389,9 @@ def repeat_report(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 
 
 def _cutter(window: int) -> Callable[[Column, Column], Column]:
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    # Arrow: pandas would turn the longs of a struct to doubles where one of a batch is null
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         def one(text: str | None, own) -> str | None:
             if text is None:
                 return None
@@ -401,7 +401,7 @@ def _cutter(window: int) -> Callable[[Column, Column], Column]:
             head = data[: len(data) - sum(map(len, pieces))]  # white space before the first word
             return (head + b"".join([p for p, c in zip(pieces, covered.tolist()) if not c])).decode()
 
-        return pd.Series([one(t, s) for t, s in zip(texts, spans)], dtype=object)
+        return pa.array([one(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist())], pa.string())
 
     return cut
 
