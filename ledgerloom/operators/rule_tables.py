@@ -4,9 +4,11 @@
 without trying all rules on all texts:
 
 * A rule is entered under literals that its matches must contain (one for each
-  branch of an alternation), a literal under the letter triple that the fewest
-  texts hold.  The triples of a text fetch its candidate rules, and only those
-  run their regular expression (Java's, as in the list form).
+  branch of an alternation), a literal under one of its grams: of the largest of
+  SIZES that fits it, the gram that the fewest texts hold.  So a gram fetches few
+  rules however many there are.  Grams are kept as hashes; a text's grams fetch
+  its candidate rules, and only those whose literal it contains run their regular
+  expression (Java's, as in the list form).
 * Rules without a known literal are dealt to slices of about SLICE rules; a
   text meets each slice once and keeps its first match there.
 * The least (phase, position) per text wins by aggregation, so neither a list
@@ -14,7 +16,9 @@ without trying all rules on all texts:
 
 Rules and texts stay in Spark.  An index of up to BROADCAST_KEYS entries (some
 60 bytes each) is broadcast after it was counted; a larger one is joined, and
-AQE splits a triple that many texts hold.
+AQE splits a gram that many texts hold.  Grams that no rule asks for are dropped
+before any join, where up to GRAM_KEYS (some 30 bytes each) are asked for without
+a shuffle.
 
 Defined results: NULL and empty texts have no category; an empty table has no
 rules; of rules with one position the one with the smaller pattern is first;
@@ -35,10 +39,12 @@ from pyspark.sql.types import ArrayType, StringType
 from ledgerloom.functions.literals import required_literals
 from ledgerloom.session import materialize
 
-GRAM = 3
+#: Letters of a gram.
+SIZES = (1, 2, 3, 4, 6, 8, 12, 16)
 #: Rules without a literal that a text meets at once.
 SLICE = 1_000
 BROADCAST_KEYS = 200_000
+GRAM_KEYS = 1_000_000
 
 
 @F.pandas_udf(ArrayType(StringType()))
@@ -48,9 +54,9 @@ def _literals(patterns: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def _grams(text: Column, sizes: Column) -> Column:
-    """Distinct grams of ``text`` of the sizes in an array column; none where the text is shorter."""
+    """Hashes of the distinct grams of ``text`` of the sizes in an array column; none where the text is shorter."""
     starts = lambda n: F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.flatten(F.transform(sizes, lambda n: F.transform(starts(n), lambda i: F.substring(text, i, n)))))
+    return F.array_distinct(F.flatten(F.transform(sizes, lambda n: F.transform(starts(n), lambda i: F.xxhash64(F.substring(text, i, n))))))
 
 
 def unique_keys(category_map: DataFrame) -> DataFrame:
@@ -84,21 +90,29 @@ def _matches(text: Column, pattern: Column, key: Column) -> Column:
     return F.when(pattern.isNotNull(), F.rlike(text, pattern)).otherwise(F.instr(text, key) > 0)
 
 
-def _sized(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_KEYS else df
+def _sized(df: DataFrame, rows: int, limit: int | None = None) -> DataFrame:
+    return F.broadcast(df) if rows <= (BROADCAST_KEYS if limit is None else limit) else df
 
 
 def _by_literal(texts: DataFrame, rules: DataFrame) -> DataFrame:
-    every_size = F.array(*[F.lit(n) for n in range(1, GRAM + 1)])
-    literal = rules.select("rule", F.explode("literals").alias("literal"))
-    own = literal.select("rule", "literal", F.explode(_grams(F.col("literal"), F.array(F.least(F.lit(GRAM), F.length("literal"))))).alias("gram"))
-    held = texts.select("text", F.explode(_grams(F.col("text"), every_size)).alias("gram")).join(own.select("gram").distinct(), "gram", "left_semi")
-    seen = held.groupBy("gram").agg(F.count("*").alias("n"))
+    size = F.greatest(*[F.when(F.length("literal") >= n, n) for n in SIZES])
+    literal = rules.select("rule", F.explode("literals").alias("literal")).withColumn("size", size)
+    own = literal.withColumn("grams", _grams(F.col("literal"), F.array("size")))
+    sizes = sorted(r["size"] for r in own.select("size").distinct().collect())
+    if not sizes:
+        return texts.where("false").select("text", F.lit(None).cast("struct<place:struct<phase:int,position:bigint,text:string>,category:string>").alias("hit"))
+    asked = materialize(own.select("rule", "literal", F.size("grams").alias("choice"), F.explode("grams").alias("gram")))
+    grams = asked.select("gram").distinct()
+    held = texts.select("text", F.explode(_grams(F.col("text"), F.array(*map(F.lit, sizes)))).alias("gram"))
+    held = held.join(_sized(grams, grams.count(), GRAM_KEYS), "gram", "left_semi")
     # a gram that no text holds is the rarest of all and fetches the rule for nobody
+    several = asked.where("choice > 1")
+    several_grams = several.select("gram").distinct()
+    seen = held.join(_sized(several_grams, several_grams.count(), GRAM_KEYS), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))["gram"]
-    index = materialize(own.join(seen, "gram", "left").groupBy("rule", "literal").agg(rarest.alias("gram")))
-    index = _sized(index.select("rule", "gram").distinct(), index.count())
-    candidates = held.join(index, "gram").select("text", "rule").distinct()
+    chosen = several.join(seen, "gram", "left").groupBy("rule", "literal").agg(rarest.alias("gram"))
+    index = materialize(asked.where("choice = 1").select("rule", "literal", "gram").unionByName(chosen))
+    candidates = held.join(_sized(index, index.count()), "gram").where(F.instr("text", F.col("literal")) > 0).select("text", "rule").distinct()
     tried = candidates.join(rules.drop("literals"), "rule").where(_matches(F.col("text"), F.col("pattern"), F.col("key")))
     return tried.select("text", F.struct("place", "category").alias("hit"))
 

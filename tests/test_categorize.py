@@ -133,3 +133,33 @@ def test_many_rules_with_and_without_literals(spark, monkeypatch, keys):
     assert got == {t: next((c for p, c in rules if re.search(rf"\b({p})\b", low[t])), None) for t in texts if t[0] in "uv"} | {
         t: "c" + re.search(r"\d+", t)[0] for t in texts if t[0] not in "uv"
     }
+
+
+@pytest.mark.parametrize("keys", [1_000_000, 0])
+def test_each_text_tries_few_rules_of_many(spark, monkeypatch, keys):
+    """Words of few letters share their letter triples with most rules."""
+    from ledgerloom.operators import rule_tables
+
+    monkeypatch.setattr(rule_tables, "GRAM_KEYS", keys)
+    words = ["".join("bdfglmnprt"[int(c)] for c in str(n)) for n in range(10_000, 100_000, 37)]
+    rules = spark.createDataFrame([(i, f"{w}é?", w.upper()) for i, w in enumerate(words)], "position long, pattern string, category string")
+    texts = spark.createDataFrame([(f"shop {w}{'é' * (i % 2)}",) for i, w in enumerate(words)], "text string")
+    none = spark.createDataFrame([], "merchant_canonical string, category string, position long")
+    got = {r["text"]: r["category"] for r in rule_tables.first_rule(texts, rules, none).collect()}
+    assert got == {f"shop {w}{'é' * (i % 2)}": w.upper() for i, w in enumerate(words)}
+    table = rule_tables._rule_rows(rules, none)
+    monkeypatch.setattr(rule_tables, "_matches", lambda *_: F.lit(True))
+    assert rule_tables._by_literal(texts, table).count() <= 2 * len(words)
+
+
+def test_literals_of_any_length_and_none(spark):
+    from ledgerloom.operators import rule_tables
+
+    long = "abcdefghijklmnopqrstuvwxyz"
+    patterns = [long[:n] for n in range(26, 0, -1)] + ["\\d"]
+    rules = spark.createDataFrame([(i, p, p) for i, p in enumerate(patterns)], "position long, pattern string, category string")
+    texts = spark.createDataFrame([(f"x {p} y",) for p in patterns[:-1]] + [("7",), ("",), (None,)], "text string")
+    none = spark.createDataFrame([], "merchant_canonical string, category string, position long")
+    want = {f"x {p} y": p for p in patterns[:-1]}
+    assert {r["text"]: r["category"] for r in rule_tables.first_rule(texts, rules, none).collect()} == want | {"7": "\\d"}
+    assert {r["text"]: r["category"] for r in rule_tables.first_rule(texts, rules.where("position = 26"), none).collect()} == {"7": "\\d"}
