@@ -28,6 +28,10 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
 
+# the optimizer would move a deterministic function below the distinct that feeds it, where it meets every row, and repeat it
+nfkc = nfkc.asNondeterministic()
+
+
 def is_ascii(c: Column) -> Column:
     return ~c.rlike(r"[^\x00-\x7F]")
 

@@ -281,3 +281,17 @@ def test_substring_mode_never_matches_an_empty_cleaned_string(spark):
     got = _resolve(spark, ["#1234", "Walmart Supercenter"], fallback="substring")
     assert got["#1234"].merchant_canonical is None and got["#1234"].merchant_issues == ["no_match"]
     assert got["Walmart Supercenter"].merchant_canonical == "Walmart"
+
+
+@pytest.mark.parametrize("name, scored", [("merchants_token_subset", 0), ("merchants_aggressive", 2)])
+def test_python_sees_distinct_texts_only(spark, capsys, name, scored):
+    """One call of each function, above the distinct texts that feed it."""
+    from ledgerloom.plans.queries import QUERIES
+
+    QUERIES[name](spark, "/root/testdata/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("ArrowEvalPython [nfkc(") == 1
+    assert plan.count("ArrowEvalPython [find(") == scored
+    scan = plan.index("FileScan parquet [o_orderkey")
+    assert "HashAggregate(keys=[_raw" in plan[plan.index("ArrowEvalPython [nfkc(") : scan]
+    assert scored == 0 or "HashAggregate(keys=[key" in plan[plan.rindex("ArrowEvalPython [find(") : scan]
