@@ -149,7 +149,7 @@ def _column_search(spark: SparkSession, rows: list[tuple[int, str, str]], prepar
                 found.loc[given] = pd.DataFrame(search(texts[given].tolist()), columns=names, index=texts.index[given], dtype=object)
             yield found
 
-    return find
+    return find.asNondeterministic()  # as ``nfkc``: stays above the distinct texts, once per text
 
 
 class ChoiceIndex:
