@@ -47,6 +47,7 @@ white space that follows them.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Callable, Iterator
 
@@ -55,8 +56,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import by_size, staged, text_or_empty, unused
-from ledgerloom.llm.near_dedup import _mix, word_hashes, words_of
+from ledgerloom.llm.common import by_size, staged, text_or_empty, unused, worker_object
+from ledgerloom.llm.near_dedup import _mix, words_of
 
 WINDOW, ANCHOR = 35, 11
 SLOTS_PER_ANCHOR, HASHES = 16, 3
@@ -64,6 +65,8 @@ MIN_FILTER_BITS, MAX_FILTER_BITS, SLICE_BITS = 1 << 16, 1 << 28, 1 << 16
 #: A path and the place of an edge in it share one long.
 PATH_EDGES = 62
 TEXT_RUN = 4_000_000
+#: Bytes of words hashed at once.
+HASH_RUN = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 _TOKENS = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 
@@ -75,10 +78,38 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+class WordHashes:
+    """64-bit hashes of words: a random number per byte value, times a power by its place, summed and mixed."""
+
+    def __init__(self):
+        self.numbers = np.random.default_rng(9).integers(1, 2**63, 256, np.uint64)
+        self.power, self.back = _powers(BASE, HASH_RUN), _powers(pow(BASE, -1, 1 << 64), HASH_RUN)
+
+    def of(self, texts: list[list[bytes]]) -> np.ndarray:
+        """Hashes of all words of all texts, one after the other."""
+        words = list(itertools.chain.from_iterable(texts))
+        if not words:
+            return np.zeros(0, np.uint64)
+        data = np.frombuffer(b" ".join([*words, b""]), np.uint8)
+        bounds = np.concatenate([[0], np.flatnonzero(data == 32) + 1])  # no word holds a space; a word's own counts too
+        out, at = [], 0
+        while at < len(words):
+            upto = max(at + 1, int(np.searchsorted(bounds, bounds[at] + HASH_RUN, "right")) - 1)
+            part, own = data[bounds[at] : bounds[upto]], bounds[at:upto] - bounds[at]
+            power = self.power[: len(part)] if len(part) <= HASH_RUN else _powers(BASE, len(part))
+            out.append(_mix(np.add.reduceat(self.numbers[part] * power, own) * self.back[own]))
+            at = upto
+        return np.concatenate(out)
+
+
+def word_hashes() -> WordHashes:
+    return worker_object(("word numbers",), WordHashes)
+
+
 class Paths:
-    """The paths of some texts (lists of words), as arrays over paths."""
+    """The paths of some texts (lists of words), as arrays over paths; without ``edges`` only texts and anchors."""
 
-    def __init__(self, texts: list[list[bytes]], window: int, anchor: int):
+    def __init__(self, texts: list[list[bytes]], window: int, anchor: int, edges: bool = True):
         h, sizes = word_hashes().of(texts), np.array([len(t) for t in texts], np.int64)
         self.text = self.first = self.count = np.zeros(0, np.int64)
         self.anchor = self.extent = self.edges = np.zeros(0, np.uint64)
@@ -112,6 +143,8 @@ class Paths:
         self.text = owner[first]
         self.first = first - (ends - sizes)[self.text]
         self.anchor = small[at[new]]
+        if not edges:
+            return
         self.extent = _mix((prefix[first + self.count + window - 1] - prefix[first]) * back[first] + self.count.astype(np.uint64))
         self.edges, self.edge_at = grams(window)[inside], new
 
@@ -132,7 +165,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, anchor: int) -> Ite
     """Distinct anchors of a run with their occurrences (2 stands for any larger number)."""
     for batch in batches:
         for _, times, words in _runs(batch):
-            p = Paths(words, window, anchor)
+            p = Paths(words, window, anchor, edges=False)
             values, place = np.unique(p.anchor, return_inverse=True)
             n = np.minimum(2, np.bincount(place, weights=times[p.text], minlength=len(values))).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=["anchor", "n"])

@@ -106,6 +106,16 @@ def test_white_space_of_kept_words_stays(spark):
     assert {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(df).collect()} == {1: "\n a\tb \nc\n\nd", 2: ""}
 
 
+def test_word_hashes_are_of_the_word_alone(monkeypatch):
+    rng = random.Random(8)
+    words = [bytes(rng.choices(b"ab\x00\xc3\xa9~", k=rng.randint(1, 9))) for _ in range(3000)] + [b"a" * 500, b"a" * 501, b"a", b"a\0"]
+    whole = substring_dedup.WordHashes().of([words[:10], [], words[10:]])
+    monkeypatch.setattr(substring_dedup, "HASH_RUN", 64)
+    parts = substring_dedup.WordHashes().of([words])
+    assert parts.tolist() == whole.tolist() and len({*zip(words, whole.tolist())}) == len(set(words)) == len(set(whole.tolist()))
+    assert substring_dedup.WordHashes().of([[], []]).tolist() == []
+
+
 def _colliding(all_equal):
     """Word hashes that do not see what follows a tilde; with ``all_equal``, hashes that see nothing."""
 
