@@ -27,7 +27,7 @@ BYTE_BPE = "byte_bpe_50k.json"
 #: Pieces that one worker remembers (about 250 bytes each), and the longest that it remembers.
 CACHED_PIECES, CACHED_LENGTH = 400_000, 64
 #: New pieces that go to the tokenizer as one text.
-JOINED = 400
+JOINED = 100
 _UNEVEN = re.compile(r" (?:\s|\Z)")
 _BOUNDARY = re.compile(r" (?=\S)")
 
