@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 from llm_cases import SF0001, no_docs, odd_docs  # noqa: F401
 from ledgerloom.llm import best_fit_packing, token_blocks
 from ledgerloom.llm.queries import QUERIES
-from ledgerloom.llm.tokens import PieceEncoder, default_tokenizer
+from ledgerloom.llm.tokens import PieceEncoder, default_tokenizer, pre_tokens
 
 ODD = ["", " ", "  ", "a  b", " a", "a ", "a\n b", "a\n\n  b\t c  \n", "it's 'so' 12 a<|endoftext|>b", "x\x1c y \x1cz", "é ü  b 　c", "日本 語", "  a \u0085 b"]
 
@@ -35,6 +35,31 @@ def test_pieces_encode_like_whole_texts(plain, docs, monkeypatch):
         assert [list(struct.unpack(f"<{len(b) // 4}I", b)) for b in e.encode(run)] == [plain(t) for t in run]
 
 
+PIECES = [
+    "word", "word,", "wörd...", "end.\nNext", "a1b22", "$5.00", "a\n", "a\n\n", "a\n\n\nb", "x\r\n\ty!?", "###", "ÉVIAUX!!", "ƻɏɿ", "_a_",
+    "it's", "", "\na", "a b", "×", "3÷4", "ʀ", "µ", "a\u0300", "я", "日本", "a\x00b", "a\x0bb", "x\x1cy", "a\u0085", "a\xa0b", "\x7f",
+]
+
+
+def test_plain_pieces_are_cut_like_the_pattern():
+    t = Tokenizer.from_file(default_tokenizer())
+    for pieces in (PIECES, PIECES[:14], PIECES[14:], [], ["a"] * 250):
+        plain, texts, ends = pre_tokens(pieces)
+        some = [p for p, is_plain in zip(pieces, plain) if is_plain]
+        assert some == [p for p in pieces if p in (*PIECES[:14], "a")]
+        assert "\n".join(texts) == "\n".join(w for p in some for w, _ in t.pre_tokenizer.pre_tokenize_str(" " + p))
+        assert ends.tolist() == np.cumsum([1 + len(p.encode()) for p in some]).tolist()
+
+
+def test_plain_pieces_pass_the_pattern_by(plain, monkeypatch):
+    e, sent = PieceEncoder(default_tokenizer()), []
+    before = e._plain
+    monkeypatch.setattr(e, "_plain", lambda texts, t: sent.extend(texts if t is e.tokenizer else []) or before(texts, t))
+    text = "the first of many, wörds.\nNext 12 it's 日本"
+    assert list(np.frombuffer(e.encode([text])[0], "<u4")) == plain(text)
+    assert sorted(sent) == [" it's 日本", "the"]
+
+
 def test_other_tokenizers_take_whole_texts():
     path = default_tokenizer().replace("byte_bpe_50k", "word_bpe_49k")
     t = Tokenizer.from_file(path)
