@@ -3,7 +3,7 @@
 Most of a text's space-separated pieces repeat, so the distinct pieces of a
 batch are found at once (Arrow's dictionary encoding), each Python worker keeps
 the ids of pieces it has met (bounded in entries), and only new ones go to
-the tokenizer.  That gives the same ids as encoding the whole text, because
+the tokenizer, plain ones cut to pre-tokens already (``pre_tokens``).  That gives the same ids as encoding the whole text, because
 for a byte-level pre-tokenizer with the usual pattern a space before a
 non-space always begins a new pre-token and merges never cross pre-tokens.
 Any other tokenizer file is applied to whole texts.
@@ -75,7 +75,7 @@ def numbered_pieces(texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
 
 def _byte_classes() -> np.ndarray:
     """Class of each UTF-8 byte of a piece that ``pre_tokens`` can cut: letters
-    (ASCII, and U+00C0 to U+024F as two bytes), ASCII digits, other printable
+    (ASCII, and U+00C0 to U+027F as two bytes), ASCII digits, other printable
     ASCII but the apostrophe, white space; _OTHER for all other bytes."""
     classes = np.full(256, _OTHER, np.uint8)
     for i in range(33, 127):
