@@ -27,12 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import by_size, text_or_empty
+from ledgerloom.llm.common import text_or_empty, text_runs
 from ledgerloom.llm.tokens import default_tokenizer, encoder
 
 SEQUENCE = 2048
 END_ID = 0
-TEXT_RUN = 4_000_000
+#: Bytes of texts that are encoded at once.
+TEXT_RUN = 2_000_000
 #: Documents for one packing group on average.
 GROUP_PIECES = 50_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -49,15 +50,13 @@ def _cuts(n: int, room: int) -> list[tuple[int, int]]:
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, end: bytes, room: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
     encode = encoder(path).encode
-    for batch in batches:
-        rows = list(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()))
-        for run in by_size(rows, lambda r: len(r[1]), TEXT_RUN):
-            out = []
-            for (doc_id, _), ids in zip(run, encode([text for _, text in run])):
-                ids += end
-                for k, (a, n) in enumerate(_cuts(len(ids) // 4, room)):
-                    out.append((doc_id, k, a, n, zlib.crc32(ids[4 * a : 4 * (a + n)])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+    for run in text_runs(batches, TEXT_RUN):
+        out = []
+        for doc_id, ids in zip(run.column("doc_id").to_pylist(), encode(run.column("text").to_pylist())):
+            ids += end
+            for k, (a, n) in enumerate(_cuts(len(ids) // 4, room)):
+                out.append((doc_id, k, a, n, zlib.crc32(ids[4 * a : 4 * (a + n)])))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, room: int = SEQUENCE) -> DataFrame:

@@ -7,7 +7,9 @@ import types
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,5 +71,20 @@ def by_size(rows: list, weight: Callable[[object], int], limit: int) -> Iterator
         yield part
 
 
+def text_runs(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Cut batches into runs of at least one row whose texts sum to about ``limit`` bytes: only the texts of
+    one run become Python objects at a time.  At the end Arrow's unused memory goes back, as an idle worker
+    would keep it for the stages that follow."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            upto = min(batch.num_rows, int(np.searchsorted(ends, before + limit)) + 1)
+            yield batch.slice(at, upto - at)
+            at = upto
+    pa.default_memory_pool().release_unused()
+
+
 def batch_of(schema: pa.Schema, columns: dict[str, object]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)

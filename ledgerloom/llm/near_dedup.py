@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import by_size, staged, text_or_empty, unused, worker_object
+from ledgerloom.llm.common import staged, text_or_empty, text_runs, unused, worker_object
 from ledgerloom.llm.components import connected_components, star_forest
 
 WORDS = 5
@@ -55,7 +55,8 @@ SEED = 77
 KEYS_PER_ROUND = 8
 #: Classes, and shingles of classes, in a block of the exact last step.
 BLOCK, BLOCK_SHINGLES = 512, 500_000
-TEXT_RUN = 2_000_000
+#: Bytes of texts whose words one worker holds at once.
+TEXT_RUN = 1_000_000
 #: Words whose hashes one worker remembers.
 CACHED_WORDS = 400_000
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -136,20 +137,17 @@ def _digest(s: np.ndarray) -> bytes:
 
 def _features(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "row", "tie", "n_shingles", "digest", "signature"]
-    for batch in batches:
-        at, texts = 0, batch.column("text").to_pylist()
-        for run in by_size(texts, len, TEXT_RUN):
-            sets = shingle_sets(run, words)
-            full = [s for s in sets if len(s)]
-            found = iter(signatures(full).view(np.int16).tolist()) if full else iter(())
-            columns = [
-                *(batch.column(c).slice(at, len(run)) for c in ("doc_id", "row", "tie")),
-                pa.array(list(map(len, sets)), pa.int64()),
-                pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
-                pa.array([next(found) if len(s) else None for s in sets], pa.list_(pa.int16())),
-            ]
-            at += len(run)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+    for run in text_runs(batches, TEXT_RUN):
+        sets = shingle_sets(run.column("text").to_pylist(), words)
+        full = [s for s in sets if len(s)]
+        found = iter(signatures(full).view(np.int16).tolist()) if full else iter(())
+        columns = [
+            *(run.column(c) for c in ("doc_id", "row", "tie")),
+            pa.array(list(map(len, sets)), pa.int64()),
+            pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
+            pa.array([next(found) if len(s) else None for s in sets], pa.list_(pa.int16())),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def index_keys(sig: np.ndarray) -> np.ndarray:
@@ -181,12 +179,11 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """The shingle set of each class, from the text of a row that has it."""
-    for batch in batches:
-        rows = list(zip(*(batch.column(c).to_pylist() for c in ("cls", "digest", "text"))))
-        for run in by_size(rows, lambda r: len(r[2]), TEXT_RUN):
-            sets = shingle_sets([text for _, _, text in run], words)
-            found = [(cls, s.astype("<u8").tobytes()) for (cls, digest, _), s in zip(run, sets) if len(s) and _digest(s) == digest]
-            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())], names=["cls", "shingles"])
+    for run in text_runs(batches, TEXT_RUN):
+        sets = shingle_sets(run.column("text").to_pylist(), words)
+        rows = zip(run.column("cls").to_pylist(), run.column("digest").to_pylist(), sets)
+        found = [(cls, s.astype("<u8").tobytes()) for cls, digest, s in rows if len(s) and _digest(s) == digest]
+        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int64()), pa.array([s for _, s in found], pa.binary())], names=["cls", "shingles"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:

@@ -56,7 +56,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import by_size, staged, text_or_empty, unused, worker_object
+from ledgerloom.llm.common import staged, text_or_empty, text_runs, unused, worker_object
 from ledgerloom.llm.near_dedup import _mix, words_of
 
 WINDOW, ANCHOR = 35, 11
@@ -64,7 +64,8 @@ SLOTS_PER_ANCHOR, HASHES = 16, 3
 MIN_FILTER_BITS, MAX_FILTER_BITS, SLICE_BITS = 1 << 16, 1 << 28, 1 << 16
 #: A path and the place of an edge in it share one long.
 PATH_EDGES = 62
-TEXT_RUN = 4_000_000
+#: Bytes of texts whose words one worker holds at once.
+TEXT_RUN = 1_000_000
 #: Bytes of words hashed at once.
 HASH_RUN = 1 << 20
 BASE = 0x9E3779B97F4A7C15
@@ -149,13 +150,12 @@ class Paths:
         self.edges, self.edge_at = grams(window)[inside], new
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], np.ndarray, list[list[bytes]]]]:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, list[list[bytes]]]]:
     """(digests, occurrences, words) of the distinct texts of each run."""
-    rows = list(zip(batch.column("digest").to_pylist(), batch.column("text").to_pylist()))
-    for run in by_size(rows, lambda r: len(r[1]), TEXT_RUN):
+    for run in text_runs(batches, TEXT_RUN):
         times: dict[bytes, int] = {}
         texts: dict[bytes, str] = {}
-        for digest, text in run:
+        for digest, text in zip(run.column("digest").to_pylist(), run.column("text").to_pylist()):
             times[digest] = times.get(digest, 0) + 1
             texts[digest] = text
         yield list(texts), np.array(list(times.values()), np.int64), [words_of(t, lower=False) for t in texts.values()]
@@ -163,12 +163,11 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], np.ndarray, list
 
 def _anchors(batches: Iterator[pa.RecordBatch], window: int, anchor: int) -> Iterator[pa.RecordBatch]:
     """Distinct anchors of a run with their occurrences (2 stands for any larger number)."""
-    for batch in batches:
-        for _, times, words in _runs(batch):
-            p = Paths(words, window, anchor, edges=False)
-            values, place = np.unique(p.anchor, return_inverse=True)
-            n = np.minimum(2, np.bincount(place, weights=times[p.text], minlength=len(values))).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=["anchor", "n"])
+    for _, times, words in _runs(batches):
+        p = Paths(words, window, anchor, edges=False)
+        values, place = np.unique(p.anchor, return_inverse=True)
+        n = np.minimum(2, np.bincount(place, weights=times[p.text], minlength=len(values))).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], names=["anchor", "n"])
 
 
 def _slots(values: np.ndarray, bits: int) -> np.ndarray:
@@ -212,18 +211,17 @@ def _holds(bitmap: bytes, values: np.ndarray) -> np.ndarray:
 
 
 def _path_rows(batches: Iterator[pa.RecordBatch], bitmap: bytes, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for digests, times, words in _runs(batch):
-            p = Paths(words, window, anchor)
-            keep = np.flatnonzero(_holds(bitmap, p.anchor)) if len(p.anchor) else np.zeros(0, np.int64)
-            spans = zip(p.edge_at[keep].tolist(), (p.edge_at + p.count)[keep].tolist())
-            edges = p.edges.view(np.int64)
-            owner = p.text[keep]
-            columns = [
-                pa.array(p.anchor[keep].view(np.int64)), pa.array(p.extent[keep].view(np.int64)), pa.array([digests[i] for i in owner.tolist()], pa.binary()),
-                pa.array(p.first[keep], pa.int64()), pa.array(times[owner], pa.int64()), pa.array([edges[a:b] for a, b in spans], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "extent", "digest", "first", "times", "edges"])
+    for digests, times, words in _runs(batches):
+        p = Paths(words, window, anchor)
+        keep = np.flatnonzero(_holds(bitmap, p.anchor)) if len(p.anchor) else np.zeros(0, np.int64)
+        spans = zip(p.edge_at[keep].tolist(), (p.edge_at + p.count)[keep].tolist())
+        edges = p.edges.view(np.int64)
+        owner = p.text[keep]
+        columns = [
+            pa.array(p.anchor[keep].view(np.int64)), pa.array(p.extent[keep].view(np.int64)), pa.array([digests[i] for i in owner.tolist()], pa.binary()),
+            pa.array(p.first[keep], pa.int64()), pa.array(times[owner], pa.int64()), pa.array([edges[a:b] for a, b in spans], pa.list_(pa.int64())),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["anchor", "extent", "digest", "first", "times", "edges"])
 
 
 def repeated_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -400,7 +398,7 @@ def _with_spans(docs: DataFrame, text_col: str, window: int, name: str) -> DataF
 
 def _summary(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
-    for batch in batches:
+    for batch in text_runs(batches, TEXT_RUN):
         rows = []
         for doc_id, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans"))):
             words, gone = words_of(text, lower=False), 0
@@ -434,7 +432,9 @@ def _cutter(window: int) -> Callable[[Column, Column], Column]:
             head = data[: len(data) - sum(map(len, pieces))]  # white space before the first word
             return (head + b"".join([p for p, c in zip(pieces, covered.tolist()) if not c])).decode()
 
-        return pa.array([one(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist())], pa.string())
+        runs = text_runs(iter([pa.RecordBatch.from_arrays([texts, spans], names=["text", "spans"])]), TEXT_RUN)
+        done = [pa.array([one(t, s) for t, s in zip(r.column("text").to_pylist(), r.column("spans").to_pylist())], pa.string()) for r in runs]
+        return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
     return cut
 
